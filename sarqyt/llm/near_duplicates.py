@@ -1,19 +1,20 @@
 """Problem 7: near-duplicate records by vertical partitioning of the global n-gram order.
 
-1. Every record becomes the set of its distinct word runs (after the repair of problem 2). Records with the same set
-   are collapsed to one representative first, so copies cost nothing further on.
+1. Every record becomes the set of its distinct word runs (after the repair of problem 2), and is named by the 64-bit
+   hash of that set, so exact copies are one record in all that follows and cost nothing.
 2. All runs get one global order, rare ones first. The order is (count of the run's bucket, hash): bucket counts are a
-   table of fixed size (``2**bucket_bits`` numbers), so it is broadcast safely at any data size, and any total order
+   table of fixed size (``2**ORDER_BITS`` numbers), so it is broadcast safely at any data size, and any total order
    gives the exact result.
 3. The order is cut into ``fragments``: a record becomes one segment per fragment.
 4. Two records with Jaccard similarity >= t share a run among the first n - ceil(t n) + 1 of each (prefix filter), and
-   their sizes differ by at most the factor t. Fragment by fragment, equal prefix runs propose pairs. A run that very
-   many records share is split: its list is cut into salted blocks and block pairs are joined by different tasks.
+   their sizes differ by at most the factor t. Prefix runs that only one record has are dropped before any shuffle (by
+   a bitmap of fixed size, which lets a few too many pass, never too few). Equal prefix runs propose pairs. A run that
+   very many records share is split: its list is cut into salted blocks and block pairs are joined by different tasks.
 5. For the proposed pairs the overlap is counted in each fragment apart and summed per pair; a pair is kept if
    overlap >= t * (n_a + n_b - overlap).
 6. Groups are the connected components of the kept pairs.
 
-Exact: no cap on pairs, partners or list lengths; only the 64-bit hashes of runs could in principle collide.
+Exact: no cap on pairs, partners or list lengths; only 64-bit hashes could in principle collide.
 Defined results: nulls and texts under k words have no runs; a record without any run is in no group, however many
 there are; rows repeated with the same key count once.
 """
@@ -28,11 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sarqyt.llm import lookalikes
-from sarqyt.llm.grams import Words, runs
+from sarqyt.llm.grams import Words, column_runs, sorted_sets
 from sarqyt.operators.components import connected_components
-from sarqyt.session import cut, spread
+from sarqyt.session import bitmap, cut, in_bitmap, spread
 
-BUCKET_BITS = 20
+ORDER_BITS = 18
+MEMBER_BITS = 23
+SET_SCHEMA = "grams array<bigint>"
+
+
+def _list(flat: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat))
 
 
 def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3) -> DataFrame:
@@ -43,61 +50,16 @@ def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k:
         con, words = lookalikes.connect(), Words()
         for b in batches:
             t = lookalikes.repair_table(con, pa.Table.from_batches([b]), scripts, [key])
-            columns = [t[f"{c}__fixed"].to_pylist() for c in scripts]
-            sets = [np.unique(np.concatenate([runs(words.hashes(v), k, salt) for salt, v in enumerate(row)])).view(np.int64) for row in zip(*columns, strict=True)]
-            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([t[key].combine_chunks(), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], [key, "grams"])
+            parts = [column_runs(*words.column(t[f"{c}__fixed"].to_pylist()), k, salt) for salt, c in enumerate(scripts)]
+            flat, at = sorted_sets(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), t.num_rows)
+            yield pa.RecordBatch.from_arrays([t[key].combine_chunks(), _list(flat, at)], [key, "grams"])
 
-    # repeated keys count once; the first in text order is taken
     one = df.where(F.col(key).isNotNull()).select(key, *scripts)
-    return spread(one, key).mapInArrow(go, f"`{key}` bigint, grams array<bigint>")
-
-
-def _segments(sets: DataFrame, sizes: np.ndarray, fragments: int, t: float, bits: int) -> DataFrame:
-    """One row per record: its runs in global order, cut at the fragment borders."""
-    counts = np.sort(sizes[sizes > 0])[::-1].astype(np.int64)
-    # borders in bucket counts, so that each fragment holds about the same number of run occurrences
-    if len(counts):
-        mass = np.cumsum(counts[::-1])
-        cuts = [int(counts[::-1][min(np.searchsorted(mass, mass[-1] * (i + 1) / fragments), len(counts) - 1)]) for i in range(fragments - 1)]
-    else:
-        cuts = []
-    shared = sets.sparkSession.sparkContext.broadcast(sizes)
-    cuts_at = np.array(cuts, np.int64)
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = shared.value
-        for b in batches:
-            rows = []
-            ids = b.column(0).to_pylist()
-            offsets, flat = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy().view(np.uint64)
-            freq = size[(flat >> np.uint64(64 - bits)).astype(np.int64)]
-            for i, rid in enumerate(ids):
-                g, f = flat[offsets[i] : offsets[i + 1]], freq[offsets[i] : offsets[i + 1]]
-                order = np.lexsort((g, f))
-                g, f = g[order].view(np.int64), f[order]
-                n = len(g)
-                prefix = n - int(np.ceil(t * n - 1e-9)) + 1
-                at = [0, *np.searchsorted(f, cuts_at, side="right").tolist(), n]
-                segs = [g[x:y] for x, y in zip(at, at[1:], strict=False)]
-                head = g[:prefix][f[:prefix] > 1]  # a bucket with one run in all has no second record
-                rows.append((rid, n, head, segs))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                    pa.array([[s.tolist() for s in r[3]] for r in rows], pa.list_(pa.list_(pa.int64()))),
-                ],
-                ["rid", "n", "head", "segs"],
-            )
-
-    return sets.select("rid", "grams").mapInArrow(go, "rid bigint, n int, head array<bigint>, segs array<array<bigint>>")
+    return spread(one, key).mapInArrow(go, f"`{key}` bigint, {SET_SCHEMA}")
 
 
 def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
-    """Occurrences per bucket of runs: partial counts per task in one fixed-size array, summed; at most 2**bits rows."""
+    """Occurrences per bucket of runs, partial counts first; at most 2**bits rows at any data size."""
     gram = sets.select(F.explode("grams").alias("g"))
     rows = gram.groupBy(F.shiftrightunsigned("g", 64 - bits).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("c")).toArrow()
     out = np.zeros(1 << bits, np.int64)
@@ -105,52 +67,129 @@ def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int = BUCKET_BITS, block: int = 2000) -> DataFrame:
-    """``(a, b, overlap, n_a, n_b)`` of all pairs of different run sets with Jaccard similarity >= ``t``; ``sets`` has
-    ``rid`` and ``grams``."""
-    seg = cut(_segments(sets, _bucket_sizes(sets, bits), fragments, t, bits))
-    post = seg.select("rid", "n", F.posexplode("head").alias("pos", "g"))
+def _borders(sizes: np.ndarray, fragments: int) -> np.ndarray:
+    """Bucket counts at which the order is cut, so that the fragments hold about equally many occurrences."""
+    counts = np.sort(sizes[sizes > 0])
+    if not len(counts):
+        return np.empty(0, np.int64)
+    mass = np.cumsum(counts)
+    return counts[[min(int(np.searchsorted(mass, mass[-1] * (i + 1) / fragments)), len(counts) - 1) for i in range(fragments - 1)]]
+
+
+def _ordered(b: pa.RecordBatch, size: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per run of a batch of (h, grams): its row, hash, bucket count and position, in the global order."""
+    offsets, flat = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy().view(np.uint64)
+    n = np.diff(offsets)
+    flat = flat[offsets[0] : offsets[-1]]
+    rows = np.repeat(np.arange(len(n)), n)
+    freq = size[(flat >> np.uint64(64 - bits)).astype(np.int64)]
+    order = np.lexsort((flat, freq, rows))
+    return rows, flat[order], freq[order], np.arange(len(rows)) - np.repeat(offsets[:-1] - offsets[0], n)
+
+
+def _heads(sets: DataFrame, sizes, t: float, bits: int, member) -> DataFrame:
+    """``(g, h, n, pos)`` of the prefix runs; with ``member``, of those that may occur in a second record."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, packed = sizes.value, member.value if member else None
+        for b in batches:
+            rows, g, _, pos = _ordered(b, size, bits)
+            n = np.diff(b.column(1).offsets.to_numpy())
+            take = pos < (n - np.ceil(t * n - 1e-9).astype(np.int64) + 1)[rows]
+            if packed is not None:
+                take &= in_bitmap(packed, g, MEMBER_BITS)
+            rows, g, pos = rows[take], g[take], pos[take]
+            h = b.column(0).to_numpy()[rows]
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(h), pa.array(n[rows].astype(np.int32)), pa.array(pos.astype(np.int32))], ["g", "h", "n", "pos"])
+
+    return sets.select("h", "grams").mapInArrow(go, "g bigint, h bigint, n int, pos int")
+
+
+def _segments(sets: DataFrame, sizes, cuts: np.ndarray, bits: int, member) -> DataFrame:
+    """``(h, n, fragment, runs)`` of the records that may be in a proposed pair."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, packed = sizes.value, member.value
+        for b in batches:
+            keep = in_bitmap(packed, b.column(0).to_numpy().view(np.uint64), MEMBER_BITS)
+            b = b.filter(pa.array(keep))
+            if not b.num_rows:
+                continue
+            rows, g, freq, _ = _ordered(b, size, bits)
+            parts = len(cuts) + 1
+            cell = rows * parts + np.searchsorted(cuts, freq, side="left")
+            count = np.bincount(cell, minlength=b.num_rows * parts)
+            n = np.diff(b.column(1).offsets.to_numpy()).astype(np.int32)
+            who = np.repeat(np.arange(b.num_rows), parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(b.column(0).to_numpy()[who]), pa.array(n[who]), pa.array(np.tile(np.arange(parts, dtype=np.int32), b.num_rows)), _list(g, np.concatenate([[0], np.cumsum(count)]))],
+                ["h", "n", "fragment", "runs"],
+            )
+
+    return sets.select("h", "grams").mapInArrow(go, "h bigint, n int, fragment int, runs array<bigint>").where("size(runs) > 0")
+
+
+def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int = ORDER_BITS, block: int = 2000) -> DataFrame:
+    """``(a, b, overlap, n_a, n_b)`` of all pairs of different run sets with Jaccard similarity >= ``t``. ``sets`` has
+    ``h`` (hash of the set) and ``grams``; a set that occurs several times is one record."""
+    sc = sets.sparkSession.sparkContext
+    counts = _bucket_sizes(sets, bits)
+    sizes, cuts = sc.broadcast(counts), _borders(counts, fragments)
+    heads = _heads(sets, sizes, t, bits, None)
+    # a bucket of runs that holds one record only has no pair; copies of one set are one record
+    wide = F.shiftleft(F.shiftrightunsigned("g", 64 - MEMBER_BITS), 64 - MEMBER_BITS)
+    short = F.shiftright("h", 32).cast("int")
+    low = heads.groupBy(wide.alias("g")).agg(F.min(short).alias("x"), F.max(short).alias("y"))
+    several = sc.broadcast(bitmap(low.where("x <> y"), "g", MEMBER_BITS))
+    post = cut(_heads(sets, sizes, t, bits, several).distinct())
     # lists longer than a block are cut into salted blocks; pairs of blocks go to different tasks
     hot = post.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").withColumn("blocks", F.ceil(F.col("c") / block).cast("int"))
-    post = post.join(hot, "g").withColumn("s", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    left = post.select("g", "s", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"), "rid", "n", "pos")
-    right = post.select("g", F.col("s").alias("o"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("s"), F.col("rid").alias("rid2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
+    post = post.join(hot, "g").withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = post.select("g", "s", each.alias("o"), "h", "n", "pos")
+    right = post.select("g", F.col("s").alias("o"), each.alias("s"), F.col("h").alias("h2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
     need = F.ceil((F.col("n") + F.col("n2")) * (t / (1 + t)) - 1e-9)
     pairs = (
         left.join(right, ["g", "s", "o"])
-        .where("rid < rid2")
+        .where("h < h2")
         .where((F.col("n") >= F.col("n2") * t - 1e-9) & (F.col("n2") >= F.col("n") * t - 1e-9))
-        # this shared run and all that may follow it must suffice
+        # the runs before this one and all that may follow it must suffice
         .where(F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + F.least("pos", "pos2") >= need)
-        .select(F.col("rid").alias("a"), F.col("rid2").alias("b"))
+        .select(F.col("h").alias("a"), F.col("h2").alias("b"))
         .distinct()
     )
-    parts = seg.select("rid", "n", F.posexplode("segs").alias("fragment", "runs"))
-    one = pairs.join(parts.select(F.col("rid").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("runs").alias("x")), "a")
-    two = one.join(parts.select(F.col("rid").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("runs").alias("y")), ["b", "fragment"])
+    pairs = cut(pairs)
+    members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
+    parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
+    one = pairs.join(parts.select(F.col("h").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("runs").alias("x")), "a")
+    two = one.join(parts.select(F.col("h").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("runs").alias("y")), ["b", "fragment"])
     partial = two.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("c"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("c").alias("overlap"))
     return total.where(F.col("overlap") >= F.lit(t) * (F.col("n_a") + F.col("n_b") - F.col("overlap")) - 1e-9)
 
 
+def _classes(df: DataFrame, key: str, scripts: dict[str, str] | None, k: int, t: float, fragments: int) -> tuple[DataFrame, DataFrame]:
+    sets = cut(run_sets(df, key, scripts, k).where("size(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams"))
+    return sets.select(key, "h").distinct(), cut(linked_pairs(sets, t, fragments).select("a", "b"))
+
+
 def groups(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3, t: float = 0.6, fragments: int = 4) -> DataFrame:
     """``(key, class_id, links)`` for every record that has runs: its class (the smallest key in it) and the number of
-    links of its representative to other run sets. A record alone is its own class."""
-    sets = cut(run_sets(df, key, scripts, k).where("size(grams) > 0").select(F.col(key), "grams", F.xxhash64("grams").alias("h1"), F.hash("grams").alias("h2")))
-    reps = sets.groupBy("h1", "h2").agg(F.min(key).alias("rid"))
-    members = cut(sets.select(key, "h1", "h2").join(reps, ["h1", "h2"]).select(key, "rid").distinct())
-    only = sets.join(reps.select(F.col("rid").alias(key), "rid").distinct(), key, "left_semi").dropDuplicates([key]).select(F.col(key).alias("rid"), "grams")
-    pairs = cut(linked_pairs(only, t, fragments).select("a", "b"))
-    comp = connected_components(pairs, "a", "b").select(F.col("node").alias("rid"), "component")
-    links = pairs.select(F.explode(F.array("a", "b")).alias("rid")).groupBy("rid").agg(F.count(F.lit(1)).alias("links"))
-    named = members.join(comp, "rid", "left").join(links, "rid", "left")
-    return named.select(key, F.coalesce("component", "rid").alias("class_id"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+    links of its run set to other run sets. A record alone is its own class."""
+    members, pairs = _classes(df, key, scripts, k, t, fragments)
+    comp = connected_components(pairs, "a", "b").select(F.col("node").alias("h"), "component")
+    links = pairs.select(F.explode(F.array("a", "b")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("links"))
+    named = members.join(comp, "h", "left").join(links, "h", "left").select(key, F.coalesce("component", "h").alias("c"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+    first = named.groupBy("c").agg(F.min(key).alias("class_id"))
+    return named.join(first, "c").select(key, "class_id", "links")
 
 
 def found(df: DataFrame, key: str, scripts: dict[str, str] | None = None) -> DataFrame:
     """``(row_a, row_b)`` of all rows in one group."""
-    g = groups(df, key, scripts).select(key, "class_id").distinct()
-    some = g.groupBy("class_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("class_id")
-    g = cut(g.join(some, "class_id"))
-    other = g.select("class_id", F.col(key).alias("row_b"))
-    return g.select("class_id", F.col(key).alias("row_a")).join(other, "class_id").where("row_a < row_b").select("row_a", "row_b")
+    members, pairs = _classes(df, key, scripts, 3, 0.6, 4)
+    comp = connected_components(pairs, "a", "b").select(F.col("node").alias("h"), "component")
+    g = members.join(comp, "h", "left").select(key, F.coalesce("component", "h").alias("c"))
+    some = g.groupBy("c").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("c")
+    g = cut(g.join(some, "c"))
+    other = g.select("c", F.col(key).alias("row_b"))
+    return g.select("c", F.col(key).alias("row_a")).join(other, "c").where("row_a < row_b").select("row_a", "row_b")
