@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +50,20 @@ def spread(df: DataFrame, *keys: str, factor: int = 3) -> DataFrame:
     Python stages). Hash partitioning on a column is deterministic, so lost executors recompute the same rows. A large
     scan already has enough tasks and is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(factor * cores, *keys)
+
+
+def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which hash buckets (the top ``bits`` of the 64-bit hashes in ``column``) occur: ``2**bits`` bits whatever the data's
+    size, so it can be broadcast as a first, inexact filter before an exact join."""
+    got = df.select(F.shiftrightunsigned(column, 64 - bits).cast("int").alias("b")).distinct().toArrow()["b"].to_numpy()
+    out = np.zeros(1 << bits, bool)
+    out[got] = True
+    return np.packbits(out)
+
+
+def in_bitmap(packed: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    b = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    return (packed[b >> 3] >> (7 - (b & 7)).astype(np.uint8)) & 1 == 1
