@@ -47,7 +47,8 @@ def compat_sql(x: str) -> str:
     e = f"translate({e}, {_q(WIDE + SPACES + HYPHENS)}, {_q(NARROW + ' ' * len(SPACES) + '-' * len(HYPHENS))})"
     for k, v in LIGATURES.items():
         e = f"replace({e}, {_q(k)}, {_q(v)})"
-    return f"nfc_normalize({e})"
+    # most texts have ordinary characters alone, on which all this changes nothing
+    return f"CASE WHEN regexp_matches({x}, '[^\\x{{00}}-\\x{{7F}}\\x{{0400}}-\\x{{04FF}}«»–—№•¬]') THEN nfc_normalize({e}) ELSE {x} END"
 
 
 def _by_word(x: str, suspect: str, word: str) -> str:

@@ -60,8 +60,17 @@ def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k:
 
 def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
     """Occurrences per bucket of runs, partial counts first; at most 2**bits rows at any data size."""
-    gram = sets.select(F.explode("grams").alias("g"))
-    rows = gram.groupBy(F.shiftrightunsigned("g", 64 - bits).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("c")).toArrow()
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, np.int64)
+        for b in batches:
+            flat = b.column(0).flatten().to_numpy().view(np.uint64)
+            total += np.bincount((flat >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        at = np.flatnonzero(total)
+        for i in range(0, len(at), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 50_000].astype(np.int32)), pa.array(total[at[i : i + 50_000]])], ["b", "c"])
+
+    rows = sets.select("grams").mapInArrow(go, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(1 << bits, np.int64)
     out[rows["b"].to_numpy()] = rows["c"].to_numpy()
     return out
@@ -83,7 +92,8 @@ def _ordered(b: pa.RecordBatch, size: np.ndarray, bits: int) -> tuple[np.ndarray
     flat = flat[offsets[0] : offsets[-1]]
     rows = np.repeat(np.arange(len(n)), n)
     freq = size[(flat >> np.uint64(64 - bits)).astype(np.int64)]
-    order = np.lexsort((flat, freq, rows))
+    # the hashes of a row are sorted already, so a stable sort by (row, count) is the order
+    order = np.argsort(rows * (int(freq.max(initial=0)) + 1) + freq, kind="stable")
     return rows, flat[order], freq[order], np.arange(len(rows)) - np.repeat(offsets[:-1] - offsets[0], n)
 
 
@@ -136,10 +146,9 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     counts = _bucket_sizes(sets, bits)
     sizes, cuts = sc.broadcast(counts), _borders(counts, fragments)
     heads = _heads(sets, sizes, t, bits, None)
-    # a bucket of runs that holds one record only has no pair; copies of one set are one record
-    wide = F.shiftleft(F.shiftrightunsigned("g", 64 - MEMBER_BITS), 64 - MEMBER_BITS)
+    # a run that one record alone has makes no pair; copies of one set are one record
     short = F.shiftright("h", 32).cast("int")
-    low = heads.groupBy(wide.alias("g")).agg(F.min(short).alias("x"), F.max(short).alias("y"))
+    low = heads.groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"))
     several = sc.broadcast(bitmap(low.where("x <> y"), "g", MEMBER_BITS))
     post = cut(_heads(sets, sizes, t, bits, several).distinct())
     # lists longer than a block are cut into salted blocks; pairs of blocks go to different tasks
