@@ -54,23 +54,6 @@ class Words:
         return np.repeat(np.arange(len(texts)), sizes), np.array(h, np.uint64)
 
 
-def column_runs(rows: np.ndarray, words: np.ndarray, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """The row and the hash of every run of k words inside one row."""
-    h = runs(words, k, salt)
-    inside = rows[: len(h)] == rows[k - 1 : k - 1 + len(h)]
-    return rows[: len(h)][inside], h[inside]
-
-
-def sorted_sets(rows: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes per row, sorted, as one flat array and n + 1 offsets."""
-    order = np.lexsort((hashes, rows))
-    rows, hashes = rows[order], hashes[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
-    rows, hashes = rows[new], hashes[new]
-    return hashes, np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
-
-
 def runs(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """The hash of every run of k consecutive words, in text order."""
     n = len(words) - k + 1
