@@ -37,12 +37,16 @@ PAIRS: dict[str, list[tuple[str, str]]] = {
 PAIRS["utf-8>cp1252 twice"] = [("utf-8", "cp1252"), ("utf-8", "cp1252")]
 PAIRS["utf-8>latin-1 twice"] = [("utf-8", "latin-1"), ("utf-8", "latin-1")]
 PAIRS["utf-8>cp1251 twice"] = [("utf-8", "cp1251"), ("utf-8", "cp1251")]
-STATES = ["clean", *PAIRS, "glyph"]
+# a pair whose stretch holds marks alone, such as a quotation mark in an English text, is a state of its own
+MARK_PAIRS = {f"{name} marks": chain for name, chain in PAIRS.items() if name.startswith("utf-8")}
+ALL_PAIRS = PAIRS | MARK_PAIRS
+STATES = ["clean", *ALL_PAIRS, "glyph"]
 
 KAZ = "ӘәҒғҚқҢңӨөҰұҮүҺһІі"
 LETTERS = "".join(map(chr, range(0x410, 0x450))) + "Ёё" + KAZ
 LATIN = "".join(map(chr, [*range(65, 91), *range(97, 123)]))
 MARKS = "«»“”„’‘–—…№•·\n\t¬­"
+WIDE_MARKS = "«»“”„’‘–—…№•€©®™½°ё"
 GLYPH = re.compile(r"[/\\]uni(?:000[0-9A-Fa-f]{3}|[0-9A-Fa-f]{4})|[/\\]afii(?:100[1-9]\d|10110)|\(cid:\d+\)")
 GLYPH_CHAR = ""
 INVERTED = re.compile("[а-яё][А-ЯЁ]{2}")
@@ -121,8 +125,9 @@ class Model:
             p.setdefault(c, 1e-5)
         self.columns: dict[str, int] = {}
         weight: list[dict[str, float]] = [dict(p)]
-        own = {c: x for c, x in p.items() if ord(c) > 127}
-        for chain in PAIRS.values():
+        letters = {c: x for c, x in p.items() if ord(c) > 127}
+        for name, chain in ALL_PAIRS.items():
+            own = {c: 1.0 for c in WIDE_MARKS} if name in MARK_PAIRS else letters
             w: dict[str, float] = {}
             for c, x in own.items():
                 g = garble(c, chain)
@@ -132,7 +137,7 @@ class Model:
                             w[y] = w.get(y, 0.0) + x
             z = sum(w.values()) or 1.0
             # the share of letters in a garbled stretch, against what is plain in either state
-            share = min(0.8, 2 * sum(own.values()) + 0.3)
+            share = 0.9 if name in MARK_PAIRS else min(0.8, 2 * sum(own.values()) + 0.3)
             weight.append({c: share * x / z for c, x in w.items()})
         weight.append({GLYPH_CHAR: 0.9})
         alphabet = sorted(set().union(*weight))
@@ -284,12 +289,12 @@ def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str
                 it = iter(own)
                 found.append((a + shift, a + shift + long, state, "".join((glyph_text(x := next(it)) or x) if c == GLYPH_CHAR else c for c in piece)))
             elif state != "clean" and any(ord(c) > 127 for c in piece):
-                new = restore(piece, PAIRS[state])
+                new = restore(piece, ALL_PAIRS[state])
                 if new is None:  # the border may have cut a character of several bytes
                     for l in range(3):
                         for r in range(3):
                             if new is None and a - l >= 0 and (l or r):
-                                new = restore(t[a - l : b + r], PAIRS[state])
+                                new = restore(t[a - l : b + r], ALL_PAIRS[state])
                                 if new is not None:
                                     found.append((a + shift - l, a + shift + long + r, state, new))
                 elif model.reads(new) > model.reads(piece) + 0.5:
