@@ -271,6 +271,18 @@ def learn(rows: DataFrame, column: str):
     return rows.sparkSession.sparkContext.broadcast(Model(single, pairs.reshape(size, size)))
 
 
+def _better(model: Model, t: str, a: int, b: int, new: str) -> bool:
+    """Whether ``new`` reads better than t[a:b], with the words that the span cuts taken whole."""
+    l, r = a, b
+    while l > 0 and t[l - 1].isalpha():
+        l -= 1
+    while r < len(t) and t[r].isalpha():
+        r += 1
+    if not any(ord(c) > 127 and c not in LETTERS for c in t[a:b]) and not re.search(r"\w{3}", new):
+        return False
+    return model.reads(t[l:a] + new + t[b:r]) > model.reads(t[l:r]) + 0.5
+
+
 def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str | None]]]:
     """Per text its garbled spans: (start, end, state, restored)."""
     plain, codes = [], []
@@ -297,7 +309,7 @@ def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str
                                 new = restore(t[a - l : b + r], ALL_PAIRS[state])
                                 if new is not None:
                                     found.append((a + shift - l, a + shift + long + r, state, new))
-                elif model.reads(new) > model.reads(piece) + 0.5:
+                elif _better(model, t, a, b, new):
                     found.append((a + shift, a + shift + long, state, new))
             shift += long - len(piece)
             at = b

@@ -2,14 +2,15 @@
 
 1. Every record becomes the set of its distinct word runs (after the repair of problem 2), and is named by the 64-bit
    hash of that set, so exact copies are one record in all that follows and cost nothing.
-2. All runs get one global order, rare ones first: by the product of the frequencies of their words, then by hash. Word
-   frequencies are counted over all texts in a table of fixed size (``2**ORDER_BITS`` buckets), so it is broadcast
-   safely at any data size, and any total order gives the exact result.
+2. All runs get one global order, rare ones first. The order is (count of the run's bucket, hash), where the count
+   leaves out what a task sees less than ``OFTEN`` times. Bucket counts are a table of fixed size (``2**ORDER_BITS``
+   numbers), so it is broadcast safely at any data size, and any total order gives the exact result.
 3. The order is cut into ``fragments``: a record becomes one segment per fragment.
-4. Two records with Jaccard similarity >= t share a run among the first n - ceil(t n) + 1 of each (prefix filter), and
-   their sizes differ by at most the factor t. Prefix runs that only one record has are dropped before any shuffle (by
-   a bitmap of fixed size, which lets a few too many pass, never too few). Equal prefix runs propose pairs. A run that
-   very many records share is split: its list is cut into salted blocks and block pairs are joined by different tasks.
+4. Two records with Jaccard similarity >= t share SHARED runs among the first n - ceil(t n) + SHARED of each (prefix
+   filter), their sizes differ by at most the factor t, and their 128 parity bits by at most the runs they may differ in
+   (bitmap filter). Prefix runs that only one record has are dropped before the shuffle (by a bitmap of fixed size, which
+   lets a few too many pass, never too few). Records in one run's list propose pairs. The list of a run that very many
+   records share is cut into salted blocks, and block pairs are joined by different tasks.
 5. For the proposed pairs the overlap is counted in each fragment apart and summed per pair; a pair is kept if
    overlap >= t * (n_a + n_b - overlap).
 6. Groups are the connected components of the kept pairs.
@@ -29,145 +30,210 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sarqyt.llm import lookalikes
-from sarqyt.llm.grams import Words, runs
+from sarqyt.llm.grams import Words, column_runs, sorted_sets
 from sarqyt.operators.components import connected_components
-from sarqyt.session import bitmap, cut, in_bitmap, spread
+from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, spread
 
-ORDER_BITS = 18
+ORDER_BITS = 24
+OFTEN = 2
+SHARED = 4
 MEMBER_BITS = 23
+SET_SCHEMA = "grams array<bigint>"
 
 
 def _list(flat: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat))
 
 
-def word_sizes(df: DataFrame, columns: list[str], bits: int = ORDER_BITS) -> np.ndarray:
-    """Occurrences per bucket of words, over all texts; at most 2**bits rows at any data size."""
+def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3) -> DataFrame:
+    """``(key, grams)``: the sorted distinct run hashes of each record, fields apart and put together."""
+    scripts = scripts or lookalikes.SCRIPTS
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        con, words = lookalikes.connect(), Words()
+        for b in batches:
+            t = lookalikes.repair_table(con, pa.Table.from_batches([b]), scripts, [key])
+            parts = [column_runs(*words.column(t[f"{c}__fixed"].to_pylist()), k, salt) for salt, c in enumerate(scripts)]
+            flat, at = sorted_sets(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), t.num_rows)
+            yield pa.RecordBatch.from_arrays([t[key].combine_chunks(), _list(flat, at)], [key, "grams"])
+
+    one = df.where(F.col(key).isNotNull()).select(key, *scripts)
+    return spread(one, key).mapInArrow(go, f"`{key}` bigint, {SET_SCHEMA}")
+
+
+def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
+    """Occurrences per bucket of runs, as far as a task has at least ``OFTEN`` of them; at most 2**bits rows at any data
+    size. The counts only make the order, so what is left out costs no pair: rare runs are all in front."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, words = np.zeros(1 << bits, np.int64), Words()
+        total = np.zeros(1 << bits, np.uint32)
         for b in batches:
-            for c in b.columns:
-                total += np.bincount((words.column(c.to_pylist())[1] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        at = np.flatnonzero(total)
+            flat = b.column(0).flatten().to_numpy().view(np.uint64)
+            np.add.at(total, (flat >> np.uint64(64 - bits)).astype(np.int64), 1)
+        at = np.flatnonzero(total >= OFTEN)
         for i in range(0, len(at), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 50_000].astype(np.int32)), pa.array(total[at[i : i + 50_000]])], ["b", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 50_000].astype(np.int32)), pa.array(total[at[i : i + 50_000]].astype(np.int64))], ["b", "c"])
 
-    rows = df.select(*columns).mapInArrow(go, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
-    out = np.zeros(1 << bits, np.int64)
-    out[rows["b"].to_numpy()] = rows["c"].to_numpy()
+    rows = sets.select("grams").mapInArrow(go, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
+    # on a logarithmic scale one byte is enough to order by
+    out = np.zeros(1 << bits, np.uint8)
+    out[rows["b"].to_numpy()] = np.minimum(255, 8 * np.log2(rows["c"].to_numpy())).astype(np.uint8)
     return out
 
 
-def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3, fragments: int = 4) -> DataFrame:
-    """``(key, grams, cuts)``: the distinct run hashes of each record in the global order, fields apart and put together,
-    and where the order's fragments end."""
-    scripts = scripts or lookalikes.SCRIPTS
-    some = spread(df.where(F.col(key).isNotNull()).select(key, *scripts), key)
-    sizes = word_sizes(some, list(scripts))
-    rarity = some.sparkSession.sparkContext.broadcast(np.log2(1.0 + sizes))
-    # borders: quantiles of the runs' rarity if words came independently
-    seen = np.repeat(np.log2(1.0 + sizes[sizes > 0]), np.maximum(1, (sizes[sizes > 0] * 10_000 // max(1, int(sizes.sum())))))
-    borders = np.array([8 * k * np.quantile(seen, (i + 1) / fragments) for i in range(fragments - 1)] if len(seen) else [0.0] * (fragments - 1))
+def _borders(sizes: np.ndarray, fragments: int) -> np.ndarray:
+    """Levels of count at which the order is cut: the uncounted runs first, the others in about equal parts."""
+    levels = np.sort(sizes[sizes > 0])
+    if not len(levels) or fragments < 2:
+        return np.zeros(max(0, fragments - 1), np.uint8)
+    mass = np.cumsum(2.0 ** (levels / 8))
+    return np.array([0] + [levels[min(int(np.searchsorted(mass, mass[-1] * (i + 1) / (fragments - 1))), len(levels) - 1)] for i in range(fragments - 2)], np.uint8)
+
+
+def _ordered(b: pa.RecordBatch, size: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per run of a batch of (h, grams): its row, hash, bucket count and position, in the global order."""
+    offsets, flat = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy().view(np.uint64)
+    n = np.diff(offsets)
+    flat = flat[offsets[0] : offsets[-1]]
+    rows = np.repeat(np.arange(len(n)), n)
+    freq = size[(flat >> np.uint64(64 - bits)).astype(np.int64)]
+    # the hashes of a row are sorted already, so a stable sort by (row, count) is the order
+    order = np.argsort(rows.astype(np.int64) * 256 + freq, kind="stable")
+    return rows, flat[order], freq[order], np.arange(len(rows)) - np.repeat(offsets[:-1] - offsets[0], n)
+
+
+def _parity(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
+    """Per record 128 bits: the parity of its runs in each of 128 cells. Two sets that differ in d runs differ in at most d
+    bits, so a pair with more differing bits than similarity allows runs cannot be similar."""
+    odd = np.bincount(rows * 128 + (g & np.uint64(127)).astype(np.int64), minlength=n * 128).reshape(n, 128) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
+def _heads(sets: DataFrame, sizes, t: float, bits: int, member) -> DataFrame:
+    """``(g, h)`` of the prefix runs; with ``member``, ``(g, h, n, s1, s2)`` of those that may occur in a second record, with
+    the record's size and parity bits."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con, words, rare = lookalikes.connect(), Words(), rarity.value
+        size, packed = sizes.value, member.value if member else None
         for b in batches:
-            t = lookalikes.repair_table(con, pa.Table.from_batches([b]), scripts, [key])
-            rows, grams, keys = [], [], []
-            for salt, c in enumerate(scripts):
-                r, w = words.column(t[f"{c}__fixed"].to_pylist())
-                one = rare[(w >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
-                both = sum((one[i : len(one) - k + 1 + i] for i in range(k)), np.zeros(max(0, len(one) - k + 1)))
-                inside = r[: len(both)] == r[k - 1 : k - 1 + len(both)]
-                rows.append(r[: len(both)][inside])
-                grams.append(runs(w, k, salt)[inside])
-                keys.append((8 * both[inside]).astype(np.int64))
-            row, gram, rank = np.concatenate(rows), np.concatenate(grams), np.concatenate(keys)
-            order = np.lexsort((gram, row * 4096 + rank))
-            row, gram, rank = row[order], gram[order], rank[order]
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
-            row, gram, rank = row[new], gram[new], rank[new]
-            at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=t.num_rows))])
-            part = np.bincount(row * fragments + np.searchsorted(borders, rank, side="left"), minlength=t.num_rows * fragments).reshape(-1, fragments)
-            ends = np.cumsum(part, axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([t[key].combine_chunks(), _list(gram, at), _list(ends.ravel(), np.arange(t.num_rows + 1) * fragments)], [key, "grams", "cuts"])
-
-    return some.mapInArrow(go, f"`{key}` bigint, grams array<bigint>, cuts array<int>")
-
-
-def _flat(b: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of a list column and the size of each list."""
-    offsets = b.column(column).offsets.to_numpy()
-    return b.column(column).values.to_numpy()[offsets[0] : offsets[-1]], np.diff(offsets)
-
-
-def _heads(sets: DataFrame, t: float, member) -> DataFrame:
-    """``(g, h, n, pos)`` of the prefix runs; with ``member``, of those that may occur in a second record."""
+            rows, g, _, pos = _ordered(b, size, bits)
+            n = np.diff(b.column(1).offsets.to_numpy())
+            take = pos < np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + SHARED)[rows]
+            if packed is None:
+                yield pa.RecordBatch.from_arrays([pa.array(g[take].view(np.int64)), pa.array(b.column(0).to_numpy()[rows[take]])], ["g", "h"])
+                continue
+            sign = _parity(rows, g, b.num_rows)
+            take &= in_bitmap(packed, g, MEMBER_BITS)
+            rows, g = rows[take], g[take]
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(b.column(0).to_numpy()[rows]), pa.array(n[rows].astype(np.int32)), pa.array(sign[rows, 0]), pa.array(sign[rows, 1])], ["g", "h", "n", "s1", "s2"])
+
+    return sets.select("h", "grams").mapInArrow(go, "g bigint, h bigint" + (", n int, s1 bigint, s2 bigint" if member else ""))
+
+
+def _differ(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
+    """How many runs two sets of similarity >= t may differ in."""
+    return np.floor((n + m) * ((1 - t) / (1 + t)) + 1e-9)
+
+
+def _meet(post: DataFrame, t: float) -> DataFrame:
+    """``(a, b, n_a, n_b, c)``: pairs of records in one list, and in how many of a task's lists they meet. The rows come
+    sorted by run, so a task sees list after list and keeps one list at a time (none is longer than a block)."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = member.value if member else None
+        rest: list[np.ndarray] = []
+
+        def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
+            g, h, n, s1, s2 = cols
+            new = np.ones(len(g), bool)
+            new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
+            g, h, n, s1, s2 = (x[new] for x in cols)
+            out, lag = [], 1
+            at = np.arange(len(g))
+            while True:
+                i = at[: len(g) - lag]
+                i = i[g[i] == g[i + lag]]
+                if not len(i):
+                    break
+                j = i + lag
+                x, y = n[i].astype(np.int64), n[j].astype(np.int64)
+                near = np.bitwise_count((s1[i] ^ s1[j]).view(np.uint64)).astype(np.int64) + np.bitwise_count((s2[i] ^ s2[j]).view(np.uint64))
+                ok = (near <= _differ(x, y, t)) & (x >= y * t - 1e-9) & (y >= x * t - 1e-9)
+                out.append((i[ok], j[ok]))
+                lag += 1
+            i, j = (np.concatenate([o[k] for o in out]) if out else np.empty(0, np.int64) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(h[i]), pa.array(h[j]), pa.array(n[i]), pa.array(n[j])], ["a", "b", "n_a", "n_b"])
+
         for b in batches:
-            g, n = _flat(b, 1)
-            rows = np.repeat(np.arange(len(n)), n)
-            pos = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            take = pos < (n - np.ceil(t * n - 1e-9).astype(np.int64) + 1)[rows]
-            if packed is not None:
-                take &= in_bitmap(packed, g.view(np.uint64), MEMBER_BITS)
-            rows, g, pos = rows[take], g[take], pos[take]
-            yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(b.column(0).to_numpy()[rows]), pa.array(n[rows].astype(np.int32)), pa.array(pos.astype(np.int32))], ["g", "h", "n", "pos"])
+            cols = [c.to_numpy() for c in b.columns]
+            if rest:
+                cols = [np.concatenate([x, y]) for x, y in zip(rest, cols, strict=True)]
+            end = int(np.searchsorted(cols[0], cols[0][-1], side="left")) if len(cols[0]) else 0
+            if end:
+                yield pairs([c[:end] for c in cols])
+            rest = [c[end:] for c in cols]
+        if rest and len(rest[0]):
+            yield pairs(rest)
 
-    return sets.select("h", "grams").mapInArrow(go, "g bigint, h bigint, n int, pos int")
+    return post.mapInArrow(go, "a bigint, b bigint, n_a int, n_b int")
 
 
-def _segments(sets: DataFrame, member) -> DataFrame:
+def _segments(sets: DataFrame, sizes, cuts: np.ndarray, bits: int, member) -> DataFrame:
     """``(h, n, fragment, runs)`` of the records that may be in a proposed pair."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, packed = sizes.value, member.value
         for b in batches:
-            b = b.filter(pa.array(in_bitmap(member.value, b.column(0).to_numpy().view(np.uint64), MEMBER_BITS)))
+            keep = in_bitmap(packed, b.column(0).to_numpy().view(np.uint64), MEMBER_BITS)
+            b = b.filter(pa.array(keep))
             if not b.num_rows:
                 continue
-            g, n = _flat(b, 1)
-            ends, parts = _flat(b, 2)
-            parts = int(parts[0])
-            at = np.concatenate([[0], (ends.reshape(-1, parts) + (np.cumsum(n) - n)[:, None]).ravel()])
+            rows, g, freq, _ = _ordered(b, size, bits)
+            parts = len(cuts) + 1
+            cell = rows * parts + np.searchsorted(cuts, freq, side="left")
+            count = np.bincount(cell, minlength=b.num_rows * parts)
+            n = np.diff(b.column(1).offsets.to_numpy()).astype(np.int32)
             who = np.repeat(np.arange(b.num_rows), parts)
-            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[who]), pa.array(n.astype(np.int32)[who]), pa.array(np.tile(np.arange(parts, dtype=np.int32), b.num_rows)), _list(g, at)], ["h", "n", "fragment", "runs"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(b.column(0).to_numpy()[who]), pa.array(n[who]), pa.array(np.tile(np.arange(parts, dtype=np.int32), b.num_rows)), _list(g, np.concatenate([[0], np.cumsum(count)]))],
+                ["h", "n", "fragment", "runs"],
+            )
 
-    return sets.select("h", "grams", "cuts").mapInArrow(go, "h bigint, n int, fragment int, runs array<bigint>").where("size(runs) > 0")
+    return sets.select("h", "grams").mapInArrow(go, "h bigint, n int, fragment int, runs array<bigint>").where("size(runs) > 0")
 
 
-def linked_pairs(sets: DataFrame, t: float = 0.6, block: int = 2000) -> DataFrame:
+def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int = ORDER_BITS, block: int = 2000) -> DataFrame:
     """``(a, b, overlap, n_a, n_b)`` of all pairs of different run sets with Jaccard similarity >= ``t``. ``sets`` has
-    ``h`` (hash of the set), ``grams`` and ``cuts``; a set that occurs several times is one record."""
+    ``h`` (hash of the set) and ``grams``; a set that occurs several times is one record."""
     sc = sets.sparkSession.sparkContext
-    heads = _heads(sets, t, None)
+    counts = _bucket_sizes(sets, bits)
+    sizes, cuts = sc.broadcast(counts), _borders(counts, fragments)
     # a run that one record alone has makes no pair; copies of one set are one record
     short = F.shiftright("h", 32).cast("int")
-    low = heads.groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"))
-    several = sc.broadcast(bitmap(low.where("x <> y"), "g", MEMBER_BITS))
-    post = cut(_heads(sets, t, several).distinct())
-    # lists longer than a block are cut into salted blocks; pairs of blocks go to different tasks
-    hot = post.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").withColumn("blocks", F.ceil(F.col("c") / block).cast("int"))
-    post = post.join(hot, "g").withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = post.select("g", "s", each.alias("o"), "h", "n", "pos")
-    right = post.select("g", F.col("s").alias("o"), each.alias("s"), F.col("h").alias("h2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-    need = F.ceil((F.col("n") + F.col("n2")) * (t / (1 + t)) - 1e-9)
-    pairs = (
-        left.join(right, ["g", "s", "o"])
-        .where("h < h2")
-        .where((F.col("n") >= F.col("n2") * t - 1e-9) & (F.col("n2") >= F.col("n") * t - 1e-9))
-        # the runs before this one and all that may follow it must suffice
-        .where(F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + F.least("pos", "pos2") >= need)
-        .select(F.col("h").alias("a"), F.col("h2").alias("b"))
-        .distinct()
-    )
+    low = _heads(sets, sizes, t, bits, None).groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
+    low = cut(low.select("g", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
+    several = sc.broadcast(bitmap(low, "g", MEMBER_BITS))
+    post = _heads(sets, sizes, t, bits, several)
+    # lists longer than a block are cut into salted blocks, and pairs of blocks go to different tasks
+    hot = low.where("blocks > 1")
+    met = []
+    if not hot.isEmpty():
+        hot_post = cut(post.join(broadcast_if(hot, 100_000), "g").distinct().withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
+        post = post.join(broadcast_if(hot.select("g"), 100_000), "g", "left_anti")
+        each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        left = hot_post.select("g", "s", each.alias("o"), "h", "n", "s1", "s2")
+        right = hot_post.select("g", F.col("s").alias("o"), each.alias("s"), *(F.col(c).alias(f"{c}_") for c in ("h", "n", "s1", "s2")))
+        near = F.bit_count(F.col("s1").bitwiseXOR(F.col("s1_"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("s2_")))
+        ok = (F.col("n") >= F.col("n_") * t - 1e-9) & (F.col("n_") >= F.col("n") * t - 1e-9) & (near <= F.floor((F.col("n") + F.col("n_")) * ((1 - t) / (1 + t)) + 1e-9))
+        met.append(left.join(right, ["g", "s", "o"]).where("h < h_").where(ok).select(F.col("h").alias("a"), F.col("h_").alias("b"), F.col("n").alias("n_a"), F.col("n_").alias("n_b")))
+    parts = max(sets.rdd.getNumPartitions(), sc.defaultParallelism * 2)
+    met.append(_meet(post.repartition(parts, "g").sortWithinPartitions("g", "h"), t))
+    pairs = met[0] if len(met) == 1 else met[0].unionByName(met[1])
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-9)
+    # similar sets share at least SHARED of the runs in front, or all that they must share
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= F.least(F.lit(SHARED), need)).select("a", "b")
     pairs = cut(pairs)
     members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
-    parts = _segments(sets, members).dropDuplicates(["h", "fragment"])
+    parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
     one = pairs.join(parts.select(F.col("h").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("runs").alias("x")), "a")
     two = one.join(parts.select(F.col("h").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("runs").alias("y")), ["b", "fragment"])
     partial = two.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("c"))
@@ -176,8 +242,8 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, block: int = 2000) -> DataFram
 
 
 def _classes(df: DataFrame, key: str, scripts: dict[str, str] | None, k: int, t: float, fragments: int) -> tuple[DataFrame, DataFrame]:
-    sets = cut(run_sets(df, key, scripts, k, fragments).where("size(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams", "cuts"))
-    return sets.select(key, "h").distinct(), cut(linked_pairs(sets, t).select("a", "b"))
+    sets = cut(run_sets(df, key, scripts, k).where("size(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams"))
+    return sets.select(key, "h").distinct(), cut(linked_pairs(sets, t, fragments).select("a", "b"))
 
 
 def groups(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3, t: float = 0.6, fragments: int = 4) -> DataFrame:
