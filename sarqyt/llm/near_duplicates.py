@@ -30,21 +30,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sarqyt.llm import lookalikes
-from sarqyt.llm.grams import Words, column_runs, sorted_sets
+from sarqyt.llm.grams import Words, column_runs, packed, sorted_sets, unpacked
 from sarqyt.operators.components import connected_components
 from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, spread
 
 ORDER_BITS = 24
 OFTEN = 2
 SHARED = 4
-MEMBER_BITS = 23
-SET_SCHEMA = "grams array<bigint>"
+MEMBER_BITS = 25
 
 
 def _list(flat: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat))
 
 
+def _binary(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets.astype(np.int64) * 6).astype(np.int32)), pa.py_buffer(packed(flat))])
+
+
+def _runs_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All runs of a column of packed sets, and the size of each set."""
+    wide = column.type == pa.large_binary()
+    at = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    return unpacked(raw), (np.diff(at) // 6).astype(np.int64)
+
+
 def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3) -> DataFrame:
     """``(key, grams)``: the sorted distinct run hashes of each record, fields apart and put together."""
     scripts = scripts or lookalikes.SCRIPTS
@@ -55,10 +66,10 @@ def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k:
             t = lookalikes.repair_table(con, pa.Table.from_batches([b]), scripts, [key])
             parts = [column_runs(*words.column(t[f"{c}__fixed"].to_pylist()), k, salt) for salt, c in enumerate(scripts)]
             flat, at = sorted_sets(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), t.num_rows)
-            yield pa.RecordBatch.from_arrays([t[key].combine_chunks(), _list(flat, at)], [key, "grams"])
+            yield pa.RecordBatch.from_arrays([t[key].combine_chunks(), _binary(flat, at)], [key, "grams"])
 
     one = df.where(F.col(key).isNotNull()).select(key, *scripts)
-    return spread(one, key).mapInArrow(go, f"`{key}` bigint, {SET_SCHEMA}")
+    return spread(one, key).mapInArrow(go, f"`{key}` bigint, grams binary")
 
 
 def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
@@ -68,7 +79,7 @@ def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.uint32)
         for b in batches:
-            flat = b.column(0).flatten().to_numpy().view(np.uint64)
+            flat, _ = _runs_of(b.column(0))
             np.add.at(total, (flat >> np.uint64(64 - bits)).astype(np.int64), 1)
         at = np.flatnonzero(total >= OFTEN)
         for i in range(0, len(at), 50_000):
@@ -92,14 +103,13 @@ def _borders(sizes: np.ndarray, fragments: int) -> np.ndarray:
 
 def _ordered(b: pa.RecordBatch, size: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per run of a batch of (h, grams): its row, hash, bucket count and position, in the global order."""
-    offsets, flat = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy().view(np.uint64)
-    n = np.diff(offsets)
-    flat = flat[offsets[0] : offsets[-1]]
+    flat, n = _runs_of(b.column(1))
     rows = np.repeat(np.arange(len(n)), n)
     freq = size[(flat >> np.uint64(64 - bits)).astype(np.int64)]
     # the hashes of a row are sorted already, so a stable sort by (row, count) is the order
-    order = np.argsort(rows.astype(np.int64) * 256 + freq, kind="stable")
-    return rows, flat[order], freq[order], np.arange(len(rows)) - np.repeat(offsets[:-1] - offsets[0], n)
+    order = np.argsort(freq, kind="stable")
+    order = order[np.argsort(rows[order].astype(np.uint16 if len(n) <= 65536 else np.int64), kind="stable")]
+    return rows, flat[order], freq[order], np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
 
 
 def _parity(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
@@ -117,7 +127,7 @@ def _heads(sets: DataFrame, sizes, t: float, bits: int, member) -> DataFrame:
         size, packed = sizes.value, member.value if member else None
         for b in batches:
             rows, g, _, pos = _ordered(b, size, bits)
-            n = np.diff(b.column(1).offsets.to_numpy())
+            n = _runs_of(b.column(1))[1]
             take = pos < np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + SHARED)[rows]
             if packed is None:
                 yield pa.RecordBatch.from_arrays([pa.array(g[take].view(np.int64)), pa.array(b.column(0).to_numpy()[rows[take]])], ["g", "h"])
@@ -191,7 +201,7 @@ def _segments(sets: DataFrame, sizes, cuts: np.ndarray, bits: int, member) -> Da
             parts = len(cuts) + 1
             cell = rows * parts + np.searchsorted(cuts, freq, side="left")
             count = np.bincount(cell, minlength=b.num_rows * parts)
-            n = np.diff(b.column(1).offsets.to_numpy()).astype(np.int32)
+            n = _runs_of(b.column(1))[1].astype(np.int32)
             who = np.repeat(np.arange(b.num_rows), parts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(b.column(0).to_numpy()[who]), pa.array(n[who]), pa.array(np.tile(np.arange(parts, dtype=np.int32), b.num_rows)), _list(g, np.concatenate([[0], np.cumsum(count)]))],
@@ -210,7 +220,7 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     # a run that one record alone has makes no pair; copies of one set are one record
     short = F.shiftright("h", 32).cast("int")
     low = _heads(sets, sizes, t, bits, None).groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
-    low = cut(low.select("g", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
+    low = low.select("g", F.ceil(F.col("c") / block).cast("int").alias("blocks")).persist()
     several = sc.broadcast(bitmap(low, "g", MEMBER_BITS))
     post = _heads(sets, sizes, t, bits, several)
     # lists longer than a block are cut into salted blocks, and pairs of blocks go to different tasks
@@ -232,6 +242,7 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     # similar sets share at least SHARED of the runs in front, or all that they must share
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= F.least(F.lit(SHARED), need)).select("a", "b")
     pairs = cut(pairs)
+    low.unpersist()
     members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
     parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
     one = pairs.join(parts.select(F.col("h").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("runs").alias("x")), "a")
@@ -242,7 +253,7 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
 
 
 def _classes(df: DataFrame, key: str, scripts: dict[str, str] | None, k: int, t: float, fragments: int) -> tuple[DataFrame, DataFrame]:
-    sets = cut(run_sets(df, key, scripts, k).where("size(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams"))
+    sets = cut(run_sets(df, key, scripts, k).where("length(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams"))
     return sets.select(key, "h").distinct(), cut(linked_pairs(sets, t, fragments).select("a", "b"))
 
 
