@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 from sarqyt.llm import lookalikes
 from sarqyt.llm.grams import Words, column_runs, packed, sorted_sets, unpacked
 from sarqyt.operators.components import connected_components
-from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, spread
+from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, release, spread
 
 ORDER_BITS = 24
 OFTEN = 2
 SHARED = 4
+TASK_ROWS = 500_000
 MEMBER_BITS = 25
 
 
@@ -115,7 +116,7 @@ def _ordered(b: pa.RecordBatch, size: np.ndarray, bits: int) -> tuple[np.ndarray
 def _parity(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
     """Per record 128 bits: the parity of its runs in each of 128 cells. Two sets that differ in d runs differ in at most d
     bits, so a pair with more differing bits than similarity allows runs cannot be similar."""
-    odd = np.bincount(rows * 128 + (g & np.uint64(127)).astype(np.int64), minlength=n * 128).reshape(n, 128) & 1
+    odd = np.bincount(rows * 128 + ((g >> np.uint64(16)) & np.uint64(127)).astype(np.int64), minlength=n * 128).reshape(n, 128) & 1
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
@@ -146,43 +147,31 @@ def _differ(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
 
 
 def _meet(post: DataFrame, t: float) -> DataFrame:
-    """``(a, b, n_a, n_b, c)``: pairs of records in one list, and in how many of a task's lists they meet. The rows come
-    sorted by run, so a task sees list after list and keeps one list at a time (none is longer than a block)."""
+    """``(a, b, n_a, n_b)``: pairs of records, once for each list in which they meet. All rows of a run are in one partition;
+    no list is longer than a block, and there are partitions enough to hold about ``TASK_ROWS`` rows each."""
+
+    def pairs(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((cols[1], cols[0]))
+        g, h, n, s1, s2 = (c[order] for c in cols)
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])  # a set that occurs several times
+        g, h, n, s1, s2 = (x[new] for x in (g, h, n, s1, s2))
+        i, lag = np.arange(len(g)), 0
+        while len(i):
+            lag += 1
+            i = i[i < len(g) - lag]
+            i = i[g[i] == g[i + lag]]
+            j = i + lag
+            x, y = n[i].astype(np.int64), n[j].astype(np.int64)
+            near = np.bitwise_count((s1[i] ^ s1[j]).view(np.uint64)).astype(np.int64) + np.bitwise_count((s2[i] ^ s2[j]).view(np.uint64))
+            ok = (near <= _differ(x, y, t)) & (x >= y * t - 1e-9) & (y >= x * t - 1e-9)
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([pa.array(h[i[ok]]), pa.array(h[j[ok]]), pa.array(n[i[ok]]), pa.array(n[j[ok]])], ["a", "b", "n_a", "n_b"])
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = []
-
-        def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
-            g, h, n, s1, s2 = cols
-            new = np.ones(len(g), bool)
-            new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
-            g, h, n, s1, s2 = (x[new] for x in cols)
-            out, lag = [], 1
-            at = np.arange(len(g))
-            while True:
-                i = at[: len(g) - lag]
-                i = i[g[i] == g[i + lag]]
-                if not len(i):
-                    break
-                j = i + lag
-                x, y = n[i].astype(np.int64), n[j].astype(np.int64)
-                near = np.bitwise_count((s1[i] ^ s1[j]).view(np.uint64)).astype(np.int64) + np.bitwise_count((s2[i] ^ s2[j]).view(np.uint64))
-                ok = (near <= _differ(x, y, t)) & (x >= y * t - 1e-9) & (y >= x * t - 1e-9)
-                out.append((i[ok], j[ok]))
-                lag += 1
-            i, j = (np.concatenate([o[k] for o in out]) if out else np.empty(0, np.int64) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(h[i]), pa.array(h[j]), pa.array(n[i]), pa.array(n[j])], ["a", "b", "n_a", "n_b"])
-
-        for b in batches:
-            cols = [c.to_numpy() for c in b.columns]
-            if rest:
-                cols = [np.concatenate([x, y]) for x, y in zip(rest, cols, strict=True)]
-            end = int(np.searchsorted(cols[0], cols[0][-1], side="left")) if len(cols[0]) else 0
-            if end:
-                yield pairs([c[:end] for c in cols])
-            rest = [c[end:] for c in cols]
-        if rest and len(rest[0]):
-            yield pairs(rest)
+        parts = [[c.to_numpy() for c in b.columns] for b in batches]
+        if parts:
+            yield from pairs([np.concatenate(c) for c in zip(*parts, strict=True)])
 
     return post.mapInArrow(go, "a bigint, b bigint, n_a int, n_b int")
 
@@ -220,14 +209,14 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     # a run that one record alone has makes no pair; copies of one set are one record
     short = F.shiftright("h", 32).cast("int")
     low = _heads(sets, sizes, t, bits, None).groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
-    low = low.select("g", F.ceil(F.col("c") / block).cast("int").alias("blocks")).persist()
+    low = low.select("g", "c", F.ceil(F.col("c") / block).cast("int").alias("blocks")).persist()
     several = sc.broadcast(bitmap(low, "g", MEMBER_BITS))
     post = _heads(sets, sizes, t, bits, several)
     # lists longer than a block are cut into salted blocks, and pairs of blocks go to different tasks
     hot = low.where("blocks > 1")
     met = []
     if not hot.isEmpty():
-        hot_post = cut(post.join(broadcast_if(hot, 100_000), "g").distinct().withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
+        hot_post = cut(post.join(broadcast_if(hot.select("g", "blocks"), 100_000), "g").distinct().withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
         post = post.join(broadcast_if(hot.select("g"), 100_000), "g", "left_anti")
         each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         left = hot_post.select("g", "s", each.alias("o"), "h", "n", "s1", "s2")
@@ -235,14 +224,16 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
         near = F.bit_count(F.col("s1").bitwiseXOR(F.col("s1_"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("s2_")))
         ok = (F.col("n") >= F.col("n_") * t - 1e-9) & (F.col("n_") >= F.col("n") * t - 1e-9) & (near <= F.floor((F.col("n") + F.col("n_")) * ((1 - t) / (1 + t)) + 1e-9))
         met.append(left.join(right, ["g", "s", "o"]).where("h < h_").where(ok).select(F.col("h").alias("a"), F.col("h_").alias("b"), F.col("n").alias("n_a"), F.col("n_").alias("n_b")))
-    parts = max(sets.rdd.getNumPartitions(), sc.defaultParallelism * 2)
-    met.append(_meet(post.repartition(parts, "g").sortWithinPartitions("g", "h"), t))
+    rows = low.where("blocks = 1").agg(F.sum("c")).first()[0] or 0
+    parts = max(sc.defaultParallelism * 2, -(-rows // TASK_ROWS))
+    met.append(_meet(post.repartition(parts, "g"), t))
     pairs = met[0] if len(met) == 1 else met[0].unionByName(met[1])
     need = F.ceil((F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-9)
     # similar sets share at least SHARED of the runs in front, or all that they must share
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= F.least(F.lit(SHARED), need)).select("a", "b")
     pairs = cut(pairs)
     low.unpersist()
+    release(pairs.sparkSession)
     members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
     parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
     one = pairs.join(parts.select(F.col("h").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("runs").alias("x")), "a")
