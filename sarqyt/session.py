@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -39,6 +40,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of results that nothing refers to any more; else they stay until the driver
+    happens to collect its garbage, which long jobs on small driver heaps do late."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after its rows were counted against ``max_rows``; beyond, a shuffled join is left to Catalyst."""
     n = df.limit(max_rows + 1).count()
