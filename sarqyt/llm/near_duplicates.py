@@ -8,7 +8,8 @@
 3. The order is cut into ``fragments``: a record becomes one segment per fragment.
 4. Two records with Jaccard similarity >= t share SHARED runs among the first n - ceil(t n) + SHARED of each (prefix
    filter), their sizes differ by at most the factor t, and their 128 parity bits by at most the runs they may differ in
-   (bitmap filter). Prefix runs that only one record has are dropped before the shuffle (by a bitmap of fixed size, which
+   (bitmap filter). Outside their prefixes they can share no more than lies behind one of these, so the prefixes must
+   share the rest. Prefix runs that only one record has are dropped before the shuffle (by a bitmap of fixed size, which
    lets a few too many pass, never too few). Records in one run's list propose pairs. The list of a run that very many
    records share is cut into salted blocks, and block pairs are joined by different tasks.
 5. For the proposed pairs the overlap is counted in each fragment apart and summed per pair; a pair is kept if
@@ -229,8 +230,9 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     met.append(_meet(post.repartition(parts, "g"), t))
     pairs = met[0] if len(met) == 1 else met[0].unionByName(met[1])
     need = F.ceil((F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-9)
-    # similar sets share at least SHARED of the runs in front, or all that they must share
-    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= F.least(F.lit(SHARED), need)).select("a", "b")
+    # whatever two sets share outside their prefixes lies behind the prefix of one of them, so the prefixes must share the rest
+    behind = F.greatest(*(F.greatest(F.ceil(F.col(n) * t - 1e-9) - SHARED, F.lit(0)) for n in ("n_a", "n_b")))
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need - behind).select("a", "b")
     pairs = cut(pairs)
     low.unpersist()
     release(pairs.sparkSession)
