@@ -37,7 +37,7 @@ from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, release, spread
 
 ORDER_BITS = 24
 OFTEN = 2
-SHARED = 4
+SHARED = 1
 TASK_ROWS = 500_000
 MEMBER_BITS = 25
 
@@ -122,7 +122,7 @@ def _parity(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
 
 
 def _heads(sets: DataFrame, sizes, t: float, bits: int, member) -> DataFrame:
-    """``(g, h)`` of the prefix runs; with ``member``, ``(g, h, n, s1, s2)`` of those that may occur in a second record, with
+    """``(g, h)`` of the prefix runs, g being their upper half; with ``member``, ``(g, h, n, s1, s2)`` of those that may occur in a second record, with
     the record's size and parity bits."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,14 +132,14 @@ def _heads(sets: DataFrame, sizes, t: float, bits: int, member) -> DataFrame:
             n = _runs_of(b.column(1))[1]
             take = pos < np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + SHARED)[rows]
             if packed is None:
-                yield pa.RecordBatch.from_arrays([pa.array(g[take].view(np.int64)), pa.array(b.column(0).to_numpy()[rows[take]])], ["g", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array((g[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(b.column(0).to_numpy()[rows[take]])], ["g", "h"])
                 continue
             sign = _parity(rows, g, b.num_rows)
             take &= in_bitmap(packed, g, MEMBER_BITS)
             rows, g = rows[take], g[take]
             yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(b.column(0).to_numpy()[rows]), pa.array(n[rows].astype(np.int32)), pa.array(sign[rows, 0]), pa.array(sign[rows, 1])], ["g", "h", "n", "s1", "s2"])
 
-    return sets.select("h", "grams").mapInArrow(go, "g bigint, h bigint" + (", n int, s1 bigint, s2 bigint" if member else ""))
+    return sets.select("h", "grams").mapInArrow(go, "g bigint, h bigint, n int, s1 bigint, s2 bigint" if member else "g int, h bigint")
 
 
 def _differ(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
@@ -211,14 +211,16 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     short = F.shiftright("h", 32).cast("int")
     low = _heads(sets, sizes, t, bits, None).groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
     low = low.select("g", "c", F.ceil(F.col("c") / block).cast("int").alias("blocks")).persist()
-    several = sc.broadcast(bitmap(low, "g", MEMBER_BITS))
+    several = sc.broadcast(bitmap(low.select(F.shiftleft(F.col("g").cast("bigint"), 32).alias("g")), "g", MEMBER_BITS))
     post = _heads(sets, sizes, t, bits, several)
     # lists longer than a block are cut into salted blocks, and pairs of blocks go to different tasks
     hot = low.where("blocks > 1")
     met = []
     if not hot.isEmpty():
-        hot_post = cut(post.join(broadcast_if(hot.select("g", "blocks"), 100_000), "g").distinct().withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
-        post = post.join(broadcast_if(hot.select("g"), 100_000), "g", "left_anti")
+        hot = broadcast_if(hot.select(F.col("g").alias("top"), "blocks"), 100_000)
+        top = F.shiftright("g", 32).cast("int")
+        hot_post = cut(post.withColumn("top", top).join(hot, "top").drop("top").distinct().withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
+        post = post.withColumn("top", top).join(hot, "top", "left_anti").drop("top")
         each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         left = hot_post.select("g", "s", each.alias("o"), "h", "n", "s1", "s2")
         right = hot_post.select("g", F.col("s").alias("o"), each.alias("s"), *(F.col(c).alias(f"{c}_") for c in ("h", "n", "s1", "s2")))
