@@ -32,7 +32,7 @@ from sarqyt.session import spread
 MAX_DOCS = 2500
 WINDOW, STEP = 24, 12
 BUCKETS, DIM, HIDDEN = 1 << 14, 16, 16
-EPOCHS, LED = 18, 12
+MOST_EPOCHS, LEAST_EPOCHS, READINGS = 18, 7, 18_000
 
 # Letters and signs that look alike, folded to one
 FOLD = str.maketrans("аеорсухкмтнвіёйүұқғңөәһ@$01346ѕј", "aeopcyxkmthbieиyykгноahasoiзчбsj")
@@ -262,10 +262,12 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
     ends = np.searchsorted(who, np.arange(len(texts)), side="right")
     order_docs = np.flatnonzero(~held & (ends > starts))
     word = np.array(v.word)
-    for epoch in range(EPOCHS):
+    epochs = int(np.clip(READINGS // max(1, len(order_docs)), LEAST_EPOCHS, MOST_EPOCHS))
+    led = epochs * 2 // 3
+    for epoch in range(epochs):
         # the shared words lead at first, the network itself later
-        s = first if epoch < LED else net.score(v, ids)
-        high = lead if epoch < LED else 0.0
+        s = first if epoch < led else net.score(v, ids)
+        high = lead if epoch < led else 0.0
         pick, y, wt = [], [], []
         for d in order_docs:
             a, b = starts[d], ends[d]
@@ -285,7 +287,7 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
         pick, y, wt = np.array(pick), np.array(y, np.float32), np.array(wt, np.float32)
         order = r.permutation(len(pick))
         losses = []
-        rate = 0.02 if epoch < LED // 2 else 0.008 if epoch < LED else 0.004
+        rate = 0.02 if epoch < led // 2 else 0.008 if epoch < led else 0.004
         for i in range(0, len(order), 48):
             j = order[i : i + 48]
             used, local, runs = _sub(v, ids[pick[j]])

@@ -37,15 +37,11 @@ from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, release, spread
 
 ORDER_BITS = 24
 OFTEN = 2
-SHARED = 1
+SHARED = 4
 TASK_ROWS = 500_000
 MEMBER_BITS = 25
 
 
-def _list(flat: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat))
-
-
 def _binary(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets.astype(np.int64) * 6).astype(np.int32)), pa.py_buffer(packed(flat))])
 
@@ -194,11 +190,28 @@ def _segments(sets: DataFrame, sizes, cuts: np.ndarray, bits: int, member) -> Da
             n = _runs_of(b.column(1))[1].astype(np.int32)
             who = np.repeat(np.arange(b.num_rows), parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(b.column(0).to_numpy()[who]), pa.array(n[who]), pa.array(np.tile(np.arange(parts, dtype=np.int32), b.num_rows)), _list(g, np.concatenate([[0], np.cumsum(count)]))],
+                [pa.array(b.column(0).to_numpy()[who]), pa.array(n[who]), pa.array(np.tile(np.arange(parts, dtype=np.int32), b.num_rows)), _binary(g, np.concatenate([[0], np.cumsum(count)]))],
                 ["h", "n", "fragment", "runs"],
             )
 
-    return sets.select("h", "grams").mapInArrow(go, "h bigint, n int, fragment int, runs array<bigint>").where("size(runs) > 0")
+    return sets.select("h", "grams").mapInArrow(go, "h bigint, n int, fragment int, runs binary").where("length(runs) > 0")
+
+
+def _shared_runs(pairs: DataFrame) -> DataFrame:
+    """``(a, b, n_a, n_b, c)``: the number of runs in both of two segments x and y."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            (x, nx), (y, ny) = _runs_of(b.column(4)), _runs_of(b.column(5))
+            who = np.concatenate([np.repeat(np.arange(len(nx)), nx), np.repeat(np.arange(len(ny)), ny)])
+            both = np.concatenate([x, y])
+            order = np.lexsort((both, who))
+            who, both = who[order], both[order]
+            same = (who[1:] == who[:-1]) & (both[1:] == both[:-1])
+            c = np.bincount(who[1:][same], minlength=b.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(c)], ["a", "b", "n_a", "n_b", "c"])
+
+    return pairs.mapInArrow(go, "a bigint, b bigint, n_a int, n_b int, c bigint")
 
 
 def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int = ORDER_BITS, block: int = 2000) -> DataFrame:
@@ -239,10 +252,12 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     low.unpersist()
     release(pairs.sparkSession)
     members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
+    # both joins are on (record, fragment), so the segments are shuffled once
     parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
-    one = pairs.join(parts.select(F.col("h").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("runs").alias("x")), "a")
-    two = one.join(parts.select(F.col("h").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("runs").alias("y")), ["b", "fragment"])
-    partial = two.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("c"))
+    each_part = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("fragment"))
+    one = each_part.join(parts.select(F.col("h").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("runs").alias("x")), ["a", "fragment"])
+    two = one.join(parts.select(F.col("h").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("runs").alias("y")), ["b", "fragment"])
+    partial = _shared_runs(two.select("a", "b", "n_a", "n_b", "x", "y"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("c").alias("overlap"))
     return total.where(F.col("overlap") >= F.lit(t) * (F.col("n_a") + F.col("n_b") - F.col("overlap")) - 1e-9)
 
