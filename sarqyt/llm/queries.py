@@ -6,23 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sarqyt.llm import leaks, lookalikes, near_duplicates, site_lines
+from sarqyt.llm import abuse, bilingual, garbled, leaks, lookalikes, near_duplicates, packing, page_noise, sentence_ends, site_lines
 from sarqyt.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _tables(s: SparkSession, d: str, *names: str) -> list[DataFrame]:
+    return [table(s, d, n) for n in names]
+
+
 def queries() -> dict[str, Query]:
+    scans = ("extraction_results", "aligned_corpus")
+    cut = ("extraction_results", "sentences_kaz")
+    bilingual_tables = ("sentences_kaz", "sentences_rus", "sentences_eng", "aligned_corpus", "glossary")
+    rated = ("documents", "doc_labels")
     return {
+        "p1_found": lambda s, d: page_noise.found(*_tables(s, d, *scans)),
+        "p1_repaired": lambda s, d: page_noise.repaired(*_tables(s, d, *scans)),
         "p2_found": lambda s, d: lookalikes.found(table(s, d, "aligned_corpus"), "row_id"),
         "p2_repaired": lambda s, d: lookalikes.repaired(table(s, d, "aligned_corpus"), "row_id"),
+        "p3_found": lambda s, d: bilingual.found(*_tables(s, d, *bilingual_tables)),
         "p4_found": lambda s, d: site_lines.found(table(s, d, "sentences_kaz"), "sent_id"),
         "p4_cleaned": lambda s, d: site_lines.cleaned(table(s, d, "sentences_kaz"), "sent_id").select("sent_id", "collection", "source_file", "sentence_idx", "text"),
         "p4_blocks": lambda s, d: site_lines.blocks(table(s, d, "sentences_kaz"), "sent_id"),
+        "p5_found": lambda s, d: garbled.found(table(s, d, "extraction_results")),
+        "p5_restored": lambda s, d: garbled.restored(table(s, d, "extraction_results")),
+        "p6_found": lambda s, d: sentence_ends.found(*_tables(s, d, *cut)),
+        "p6_units": lambda s, d: sentence_ends.units(*_tables(s, d, *cut)),
         "p7_found": lambda s, d: near_duplicates.found(table(s, d, "aligned_corpus"), "row_id"),
         "p7_groups": lambda s, d: near_duplicates.groups(table(s, d, "aligned_corpus"), "row_id"),
-        "p9_found": lambda s, d: leaks.found(table(s, d, "documents"), table(s, d, "benchmark_items")),
-        "p9_leaks": lambda s, d: leaks.leaks(table(s, d, "documents"), table(s, d, "benchmark_items"), "doc_id", "item_id"),
+        "p8_containers": lambda s, d: packing.containers(table(s, d, "documents"), "doc_id"),
+        "p8_fill": lambda s, d: packing.fill(packing.containers(table(s, d, "documents"), "doc_id")),
+        "p9_found": lambda s, d: leaks.found(*_tables(s, d, "documents", "benchmark_items")),
+        "p9_leaks": lambda s, d: leaks.leaks(*_tables(s, d, "documents", "benchmark_items"), "doc_id", "item_id"),
+        "p10_found": lambda s, d: abuse.found(*_tables(s, d, *rated)),
+        "p10_scores": lambda s, d: abuse.scored(*_tables(s, d, *rated)),
+        "p10_rates": lambda s, d: abuse.rates(*_tables(s, d, *rated)),
     }
 
 
