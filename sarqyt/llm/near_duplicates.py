@@ -223,7 +223,8 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     # a run that one record alone has makes no pair; copies of one set are one record
     short = F.shiftright("h", 32).cast("int")
     low = _heads(sets, sizes, t, bits, None).groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
-    low = low.select("g", "c", F.ceil(F.col("c") / block).cast("int").alias("blocks")).persist()
+    low = cut(low.select("g", "c", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
+    release(sets.sparkSession)
     several = sc.broadcast(bitmap(low.select(F.shiftleft(F.col("g").cast("bigint"), 32).alias("g")), "g", MEMBER_BITS))
     post = _heads(sets, sizes, t, bits, several)
     # lists longer than a block are cut into salted blocks, and pairs of blocks go to different tasks
@@ -249,7 +250,6 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     behind = F.greatest(*(F.greatest(F.ceil(F.col(n) * t - 1e-9) - SHARED, F.lit(0)) for n in ("n_a", "n_b")))
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need - behind).select("a", "b")
     pairs = cut(pairs)
-    low.unpersist()
     release(pairs.sparkSession)
     members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
     # both joins are on (record, fragment), so the segments are shuffled once
