@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,17 +35,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sarqyt-ckpt-"))
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint: the lineage ends in files that outlive any executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager)
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Data frames made and run inside leave no shuffle files behind: without this they stay until the driver happens to
+    collect its garbage, which long jobs do late. A later use of the same plan computes it anew."""
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(TIDY)
+        else:
+            spark.conf.set(TIDY, before)
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of results that nothing refers to any more; else they stay until the driver
-    happens to collect its garbage, which long jobs on small driver heaps do late."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: the lineage ends in files that outlive any executor."""
+    ensure_checkpoint_dir(df.sparkSession)
+    with tidy(df.sparkSession):
+        return df.select("*").checkpoint(True)
 
 
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
@@ -66,7 +79,8 @@ def spread(df: DataFrame, *keys: str, factor: int = 3) -> DataFrame:
 def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
     """Which hash buckets (the top ``bits`` of the 64-bit hashes in ``column``) occur: ``2**bits`` bits whatever the data's
     size, so it can be broadcast as a first, inexact filter before an exact join."""
-    got = df.select(F.shiftrightunsigned(column, 64 - bits).cast("int").alias("b")).distinct().toArrow()["b"].to_numpy()
+    with tidy(df.sparkSession):
+        got = df.select(F.shiftrightunsigned(column, 64 - bits).cast("int").alias("b")).distinct().toArrow()["b"].to_numpy()
     out = np.zeros(1 << bits, bool)
     out[got] = True
     return np.packbits(out)
