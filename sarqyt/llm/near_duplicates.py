@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from sarqyt.llm import lookalikes
 from sarqyt.llm.grams import Words, column_runs, packed, sorted_sets, unpacked
 from sarqyt.operators.components import connected_components
-from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, release, spread
+from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, spread, tidy
 
 ORDER_BITS = 24
 OFTEN = 2
@@ -83,7 +83,8 @@ def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
         for i in range(0, len(at), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 50_000].astype(np.int32)), pa.array(total[at[i : i + 50_000]].astype(np.int64))], ["b", "c"])
 
-    rows = sets.select("grams").mapInArrow(go, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
+    with tidy(sets.sparkSession):
+        rows = sets.select("grams").mapInArrow(go, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
     # on a logarithmic scale one byte is enough to order by
     out = np.zeros(1 << bits, np.uint8)
     out[rows["b"].to_numpy()] = np.minimum(255, 8 * np.log2(rows["c"].to_numpy())).astype(np.uint8)
@@ -224,7 +225,6 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     short = F.shiftright("h", 32).cast("int")
     low = _heads(sets, sizes, t, bits, None).groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
     low = cut(low.select("g", "c", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
-    release(sets.sparkSession)
     several = sc.broadcast(bitmap(low.select(F.shiftleft(F.col("g").cast("bigint"), 32).alias("g")), "g", MEMBER_BITS))
     post = _heads(sets, sizes, t, bits, several)
     # lists longer than a block are cut into salted blocks, and pairs of blocks go to different tasks
@@ -250,7 +250,6 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     behind = F.greatest(*(F.greatest(F.ceil(F.col(n) * t - 1e-9) - SHARED, F.lit(0)) for n in ("n_a", "n_b")))
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need - behind).select("a", "b")
     pairs = cut(pairs)
-    release(pairs.sparkSession)
     members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
     # both joins are on (record, fragment), so the segments are shuffled once
     parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
