@@ -45,10 +45,10 @@ STATES = ["clean", *ALL_PAIRS, "glyph"]
 KAZ = "ӘәҒғҚқҢңӨөҰұҮүҺһІі"
 LETTERS = "".join(map(chr, range(0x410, 0x450))) + "Ёё" + KAZ
 LATIN = "".join(map(chr, [*range(65, 91), *range(97, 123)]))
-MARKS = "«»“”„’‘–—…№•·\n\t¬­"
+MARKS = "«»“”„’‘–—…№•·\n\t¬\u00ad"
 WIDE_MARKS = "«»“”„’‘–—…№•€©®™½°ё"
 GLYPH = re.compile(r"[/\\]uni(?:000[0-9A-Fa-f]{3}|[0-9A-Fa-f]{4})|[/\\]afii(?:100[1-9]\d|10110)|\(cid:\d+\)")
-GLYPH_CHAR = ""
+GLYPH_CHAR = "\ue000"
 INVERTED = re.compile("[а-яё][А-ЯЁ]{2}")
 ENTER, LEAVE = -9.0, -3.0
 
@@ -170,7 +170,7 @@ class Model:
     @staticmethod
     def _foreign(c: str) -> float:
         o = ord(c)
-        if 0xC0 <= o < 0x250 or c in "½¼¾°±×€©®™§²³µ ":
+        if 0xC0 <= o < 0x250 or c in "½¼¾°±×€©®™§²³µ\u00a0":
             return 3e-5
         if 0x400 <= o < 0x530:
             return 3e-6
@@ -283,6 +283,10 @@ def _better(model: Model, t: str, a: int, b: int, new: str) -> bool:
     return model.reads(t[l:a] + new + t[b:r]) > model.reads(t[l:r]) + 0.5
 
 
+# shifts of a span's ends outwards, the smallest first
+BORDERS = sorted(((l, r) for l in range(-4, 3) for r in range(-4, 3)), key=lambda x: (abs(x[0]) + abs(x[1]), x))
+
+
 def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str | None]]]:
     """Per text its garbled spans: (start, end, state, restored)."""
     plain, codes = [], []
@@ -301,16 +305,14 @@ def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str
                 it = iter(own)
                 found.append((a + shift, a + shift + long, state, "".join((glyph_text(x := next(it)) or x) if c == GLYPH_CHAR else c for c in piece)))
             elif state != "clean" and any(ord(c) > 127 for c in piece):
-                new = restore(piece, ALL_PAIRS[state])
-                if new is None:  # the border may have cut a character of several bytes
-                    for l in range(3):
-                        for r in range(3):
-                            if new is None and a - l >= 0 and (l or r):
-                                new = restore(t[a - l : b + r], ALL_PAIRS[state])
-                                if new is not None:
-                                    found.append((a + shift - l, a + shift + long + r, state, new))
-                elif _better(model, t, a, b, new):
-                    found.append((a + shift, a + shift + long, state, new))
+                # the border may have cut a character of several bytes, or taken a plain one in
+                for l, r in BORDERS:
+                    if 0 <= a - l < b + r <= len(t):
+                        new = restore(t[a - l : b + r], ALL_PAIRS[state])
+                        if new is not None:
+                            if _better(model, t, a - l, b + r, new):
+                                found.append((a + shift - l, a + shift + long + r, state, new))
+                            break
             shift += long - len(piece)
             at = b
         out.append(found)

@@ -29,9 +29,9 @@ CYRILLIC_AGAIN = "АВСЕНІКМОРТХҮЅЈасеіорхуһѕјӘӨ"
 GREEK = "ΑΒΕΗΙΚΜΝΟΡΤΧΥΖοανρικυχ"
 GREEK_LATIN = "ABEHIKMNOPTXYZoavpikux"
 GREEK_CYRILLIC = "АВЕНІКМNОРТХУZоаvрікух"
-SPACES = "              　"
-HYPHENS = "‐‑﹣"
-INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿"
+SPACES = "\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+HYPHENS = "\u2010\u2011\ufe63"
+INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufe00-\ufe0f\ufeff"
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 WIDE = "".join(chr(0xFF01 + i) for i in range(94))
 NARROW = "".join(chr(0x21 + i) for i in range(94))
