@@ -5,8 +5,8 @@ characters of a text; each labelled span gets its state's inverse transform.
 
 The model is learned from the texts themselves: one pass counts characters and character pairs (tables bounded by the
 16-bit alphabet, summed in partial counts). What the ordinary letters would look like under a pair is computed by
-running them through it: those are the emissions of its state. Only texts with a character outside the ordinary
-alphabet, a glyph code or inverted case need the Viterbi pass; on all others the best path is clean throughout. A span
+running them through it: those are the emissions of its state. Only texts with strange characters in a run, a glyph
+code or inverted case need the Viterbi pass; on all others the best path is clean throughout. A span
 counts only if its inverse exists and reads better than what stands there, by the character pairs.
 
 Defined results: null is no case and stays null; the empty text stays empty; texts are labelled whole; spans whose
@@ -49,7 +49,6 @@ MARKS = "«»“”„’‘–—…№•·\n\t¬\u00ad"
 WIDE_MARKS = "«»“”„’‘–—…№•€©®™½°ё"
 GLYPH = re.compile(r"[/\\]uni(?:000[0-9A-Fa-f]{3}|[0-9A-Fa-f]{4})|[/\\]afii(?:100[1-9]\d|10110)|\(cid:\d+\)")
 GLYPH_CHAR = "\ue000"
-INVERTED = re.compile("[а-яё][А-ЯЁ]{2}")
 ENTER, LEAVE = -9.0, -3.0
 
 
@@ -235,11 +234,18 @@ class Model:
         return out
 
 
-ORDINARY = re.compile("[^\x00-\x7f" + re.escape(LETTERS + "«»“”„’‘–—…№•") + "　-〿一-鿿！-～]")
+_PLAIN = "\x00-\x7f" + re.escape(LETTERS + "«»“”„’‘–—…№•") + "\u3000-\u303f\u4e00-\u9fff\uff01-\uff5e"
+# One strange character alone, such as an accented letter in a foreign name, can be no garbled letter of a pair, unless
+# it is Cyrillic, a control or a box: each pair turns a word of another script into a run of strange characters.
+STRANGE = re.compile(f"[^{_PLAIN}]{{2}}|[\u0400-\u040f\u0450-\u052f\x80-\x9f\u2190-\u25ff](?<![{_PLAIN}])")
+CAPITALS = re.compile("[А-ЯЁ]{2}")
 
 
 def suspicious(t: str) -> bool:
-    return bool(ORDINARY.search(t) or GLYPH.search(t) or INVERTED.search(t))
+    """Whether the best path can leave the clean state at all."""
+    if STRANGE.search(t) or (("uni" in t or "afii" in t or "(cid" in t) and GLYPH.search(t)):
+        return True
+    return any("а" <= t[m.start() - 1] <= "ё" for m in CAPITALS.finditer(t) if m.start())
 
 
 def learn(rows: DataFrame, column: str):
