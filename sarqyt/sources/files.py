@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-TRIPLET = T.StructType.fromDDL(
+TRIPLET = (
     "id string, kaz string, rus string, eng string, similarity_kaz_rus double, similarity_kaz_eng double, alignment_type_kaz_rus string, alignment_type_kaz_eng string, "
     "metadata struct<source_doc:string,year:string,company:string,doc_type:string,kaz_idx:int>"
 )
-SENTENCE = T.StructType.fromDDL("text string, source_file string, sentence_idx int, language string, metadata struct<year:string,type:string,language:string,company:string>")
+SENTENCE = "text string, source_file string, sentence_idx int, language string, metadata struct<year:string,type:string,language:string,company:string>"
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
@@ -23,8 +22,8 @@ def read_pdf_bytes(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.{pdf,PDF}").load(list(paths)).select("path", "content")
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON lines under a fixed schema; a line that does not parse gives nulls, never an error."""
+def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines under a fixed schema (DDL); a line that does not parse gives nulls, never an error."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
