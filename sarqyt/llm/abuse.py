@@ -250,7 +250,7 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
         odds[w] = np.log((inside[w] + 0.3) / (nb + 1)) - np.log((outside[w] + 0.3 * ng / nb) / (ng + 1))
     odds[0] = 0
     seen = np.array([inside[i] + outside[i] for i in range(len(v.word))])
-    odds[seen < 2] = 0
+    odds[seen < (2 if len(texts) < 1000 else 4)] = 0
     first = np.sort(odds[ids], axis=1)[:, -4:].sum(axis=1) + np.sort(odds[ids], axis=1)[:, :4].sum(axis=1) * 0.2
     # what the words of a good document reach at most, nearly always
     top_of = np.full(len(texts), -9.0)
@@ -291,8 +291,8 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
         for i in range(0, len(order), 48):
             j = order[i : i + 48]
             used, local, runs = _sub(v, ids[pick[j]])
-            # words are forgotten at times, so that their letters count
-            forget = r.random(len(used)) < 0.3
+            # words are forgotten at times, rare ones always, so that their letters count
+            forget = (r.random(len(used)) < 0.3) | (seen[used] < 3)
             size = np.array([len(x) for x in runs])
             flat = np.fromiter((q for x in runs for q in x), np.int64, int(size.sum()))
             owner = np.repeat(np.arange(len(used)), size)
@@ -325,7 +325,7 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
         s = net.score(v, ids)
         top = np.array([s[a:b].max() if b > a else -20 for a, b in zip(starts, ends, strict=True)])
         x, truth = _sigmoid(top[held]), bad[held]
-        best = max((2 * (truth & (x >= c)).sum() / max(1, truth.sum() + (x >= c).sum()), -abs(c - 0.5), c) for c in (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9))
+        best = max((2 * (truth & (x >= c)).sum() / max(1, truth.sum() + (x >= c).sum()), -abs(c - 0.9), c) for c in (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99))
         net.threshold = best[2]
     return net
 
