@@ -128,7 +128,7 @@ class Network:
             self.p["c" + k] = np.zeros(3 * h)
         self.p |= {"A": r.normal(0, (1 / (2 * h)) ** 0.5, (2 * h, h)), "a": r.normal(0, 0.3, h), "o": r.normal(0, 0.3, 2 * h), "z": np.array([-1.0])}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
-        self.threshold = 0.5
+        self.threshold = 0.9
         self.losses: list[float] = []
 
     def inputs(self, v: Vocabulary) -> np.ndarray:
