@@ -10,8 +10,9 @@
    filter), their sizes differ by at most the factor t, and their 128 parity bits by at most the runs they may differ in
    (bitmap filter). Outside their prefixes they can share no more than lies behind one of these, so the prefixes must
    share the rest. Prefix runs that only one record has are dropped before the shuffle (by a bitmap of fixed size, which
-   lets a few too many pass, never too few). Records in one run's list propose pairs. The list of a run that very many
-   records share is cut into salted blocks, and block pairs are joined by different tasks.
+   lets a few too many pass, never too few). Records in one run's list propose pairs. The records of a very long list are
+   compared with its first record before anything else; those linked to it are not compared with each other, and the
+   others meet all of the list in salted pairs of blocks, by different tasks.
 5. For the proposed pairs the overlap is counted in each fragment apart and summed per pair; a pair is kept if
    overlap >= t * (n_a + n_b - overlap).
 6. Groups are the connected components of the kept pairs.
@@ -215,9 +216,33 @@ def _shared_runs(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(go, "a bigint, b bigint, n_a int, n_b int, c bigint")
 
 
+def _verified(sets: DataFrame, pairs: DataFrame, sizes, cuts: np.ndarray, bits: int, t: float) -> DataFrame:
+    """``(a, b, n_a, n_b, overlap)`` of the proposed pairs that are similar: overlaps counted per fragment, then summed."""
+    sc = sets.sparkSession.sparkContext
+    members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
+    # both joins are on (record, fragment), so the segments are shuffled once
+    parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
+    each_part = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("fragment"))
+    one = each_part.join(parts.select(F.col("h").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("runs").alias("x")), ["a", "fragment"])
+    two = one.join(parts.select(F.col("h").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("runs").alias("y")), ["b", "fragment"])
+    partial = _shared_runs(two.select("a", "b", "n_a", "n_b", "x", "y"))
+    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("c").alias("overlap"))
+    return total.where(F.col("overlap") >= F.lit(t) * (F.col("n_a") + F.col("n_b") - F.col("overlap")) - 1e-9)
+
+
+def _near(t: float):
+    """The size and parity filters on the columns n, s1, s2 and n_, s1_, s2_."""
+    near = F.bit_count(F.col("s1").bitwiseXOR(F.col("s1_"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("s2_")))
+    return (F.col("n") >= F.col("n_") * t - 1e-9) & (F.col("n_") >= F.col("n") * t - 1e-9) & (near <= F.floor((F.col("n") + F.col("n_")) * ((1 - t) / (1 + t)) + 1e-9))
+
+
 def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int = ORDER_BITS, block: int = 2000) -> DataFrame:
-    """``(a, b, overlap, n_a, n_b)`` of all pairs of different run sets with Jaccard similarity >= ``t``. ``sets`` has
-    ``h`` (hash of the set) and ``grams``; a set that occurs several times is one record."""
+    """``(a, b)``: links between different run sets with Jaccard similarity >= ``t`` that connect whatever all such links
+    connect. ``sets`` has ``h`` (hash of the set) and ``grams``; a set that occurs several times is one record.
+
+    All similar pairs are links, except that two records of one long list (of more than ``block``) that are both linked
+    to its first record are not compared again, so a group that holds a large share of all rows costs links in
+    proportion to its size."""
     sc = sets.sparkSession.sparkContext
     counts = _bucket_sizes(sets, bits)
     sizes, cuts = sc.broadcast(counts), _borders(counts, fragments)
@@ -227,54 +252,53 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     low = cut(low.select("g", "c", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
     several = sc.broadcast(bitmap(low.select(F.shiftleft(F.col("g").cast("bigint"), 32).alias("g")), "g", MEMBER_BITS))
     post = _heads(sets, sizes, t, bits, several)
-    # lists longer than a block are cut into salted blocks, and pairs of blocks go to different tasks
     hot = low.where("blocks > 1")
-    met = []
+    met, first_links = [], None
     if not hot.isEmpty():
         hot = broadcast_if(hot.select(F.col("g").alias("top"), "blocks"), 100_000)
         top = F.shiftright("g", 32).cast("int")
-        hot_post = cut(post.withColumn("top", top).join(hot, "top").drop("top").distinct().withColumn("s", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
+        long = cut(post.withColumn("top", top).join(hot, "top").drop("top").distinct())
         post = post.withColumn("top", top).join(hot, "top", "left_anti").drop("top")
+        # every record of a long list against the list's first
+        lead = long.groupBy("g").agg(F.min_by(F.struct(*(F.col(c).alias(f"{c}_") for c in ("h", "n", "s1", "s2"))), "h").alias("l")).select("g", "l.*")
+        long = long.join(broadcast_if(lead, 100_000), "g")
+        asked = cut(long.where("h <> h_").where(_near(t)).select(F.col("h_").alias("a"), F.col("h").alias("b")).distinct())
+        first_links = cut(_verified(sets, asked, sizes, cuts, bits, t).select("a", "b"))
+        led = first_links.select(F.col("a").alias("h_"), F.col("b").alias("h"), F.lit(True).alias("led"))
+        salt = F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")
+        long = cut(long.join(led, ["h_", "h"], "left").select("g", "h", "n", "s1", "s2", "blocks", (F.col("led").isNull() & (F.col("h") != F.col("h_"))).alias("open"), salt.alias("s")))
+        # the lists are cut into salted blocks, and pairs of blocks go to different tasks; one of a pair must be open
         each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        left = hot_post.select("g", "s", each.alias("o"), "h", "n", "s1", "s2")
-        right = hot_post.select("g", F.col("s").alias("o"), each.alias("s"), *(F.col(c).alias(f"{c}_") for c in ("h", "n", "s1", "s2")))
-        near = F.bit_count(F.col("s1").bitwiseXOR(F.col("s1_"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("s2_")))
-        ok = (F.col("n") >= F.col("n_") * t - 1e-9) & (F.col("n_") >= F.col("n") * t - 1e-9) & (near <= F.floor((F.col("n") + F.col("n_")) * ((1 - t) / (1 + t)) + 1e-9))
-        met.append(left.join(right, ["g", "s", "o"]).where("h < h_").where(ok).select(F.col("h").alias("a"), F.col("h_").alias("b"), F.col("n").alias("n_a"), F.col("n_").alias("n_b")))
+        left = long.where("open").select("g", "s", each.alias("o"), "h", "n", "s1", "s2")
+        right = long.select("g", F.col("s").alias("o"), each.alias("s"), "open", *(F.col(c).alias(f"{c}_") for c in ("h", "n", "s1", "s2")))
+        both = left.join(right, ["g", "s", "o"]).where("h < h_ OR (NOT open AND h <> h_)").where(_near(t))
+        met.append(both.select(F.least("h", "h_").alias("a"), F.greatest("h", "h_").alias("b"), F.when(F.col("h") < F.col("h_"), F.col("n")).otherwise(F.col("n_")).alias("n_a"), F.when(F.col("h") < F.col("h_"), F.col("n_")).otherwise(F.col("n")).alias("n_b")))
     rows = low.where("blocks = 1").agg(F.sum("c")).first()[0] or 0
     parts = max(sc.defaultParallelism * 2, -(-rows // TASK_ROWS))
     met.append(_meet(post.repartition(parts, "g"), t))
     pairs = met[0] if len(met) == 1 else met[0].unionByName(met[1])
     need = F.ceil((F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-9)
-    # whatever two sets share outside their prefixes lies behind the prefix of one of them, so the prefixes must share the rest
+    # whatever two sets share outside their prefixes lies behind the prefix of one of them, so the prefixes must share the
+    # rest; a pair that misses a long list here is linked through that list's first record
     behind = F.greatest(*(F.greatest(F.ceil(F.col(n) * t - 1e-9) - SHARED, F.lit(0)) for n in ("n_a", "n_b")))
-    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need - behind).select("a", "b")
-    pairs = cut(pairs)
-    members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
-    # both joins are on (record, fragment), so the segments are shuffled once
-    parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
-    each_part = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("fragment"))
-    one = each_part.join(parts.select(F.col("h").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("runs").alias("x")), ["a", "fragment"])
-    two = one.join(parts.select(F.col("h").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("runs").alias("y")), ["b", "fragment"])
-    partial = _shared_runs(two.select("a", "b", "n_a", "n_b", "x", "y"))
-    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("c").alias("overlap"))
-    return total.where(F.col("overlap") >= F.lit(t) * (F.col("n_a") + F.col("n_b") - F.col("overlap")) - 1e-9)
+    pairs = cut(pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need - behind).select("a", "b"))
+    links = _verified(sets, pairs, sizes, cuts, bits, t).select("a", "b")
+    return links if first_links is None else links.unionByName(first_links)
 
 
 def _classes(df: DataFrame, key: str, scripts: dict[str, str] | None, k: int, t: float, fragments: int) -> tuple[DataFrame, DataFrame]:
     sets = cut(run_sets(df, key, scripts, k).where("length(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams"))
-    return sets.select(key, "h").distinct(), cut(linked_pairs(sets, t, fragments).select("a", "b"))
+    return sets.select(key, "h").distinct(), cut(linked_pairs(sets, t, fragments))
 
 
 def groups(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3, t: float = 0.6, fragments: int = 4) -> DataFrame:
-    """``(key, class_id, links)`` for every record that has runs: its class (the smallest key in it) and the number of
-    links of its run set to other run sets. A record alone is its own class."""
+    """``(key, class_id, class_size)`` for every record that has runs: its class (the smallest key in it) and the number of
+    keys in the class. A record alone is its own class."""
     members, pairs = _classes(df, key, scripts, k, t, fragments)
     comp = connected_components(pairs, "a", "b").select(F.col("node").alias("h"), "component")
-    links = pairs.select(F.explode(F.array("a", "b")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("links"))
-    named = members.join(comp, "h", "left").join(links, "h", "left").select(key, F.coalesce("component", "h").alias("c"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
-    first = named.groupBy("c").agg(F.min(key).alias("class_id"))
-    return named.join(first, "c").select(key, "class_id", "links")
+    named = members.join(comp, "h", "left").select(key, F.coalesce("component", "h").alias("c"))
+    first = named.groupBy("c").agg(F.min(key).alias("class_id"), F.countDistinct(key).alias("class_size"))
+    return named.join(first, "c").groupBy(key).agg(F.min("class_id").alias("class_id"), F.max("class_size").alias("class_size"))
 
 
 def found(df: DataFrame, key: str, scripts: dict[str, str] | None = None) -> DataFrame:

@@ -48,11 +48,11 @@ def corpus(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("block", [3, 2000])
+@pytest.mark.parametrize("block", [3, 12, 2000])
 def test_against_brute_force(spark, monkeypatch, block):
     rows = corpus(150, 5)
     whole = N.linked_pairs
-    monkeypatch.setattr(N, "linked_pairs", lambda s, t=0.6, block_=block: whole(s, t, block_))
+    monkeypatch.setattr(N, "linked_pairs", lambda s, t=0.6, fragments=4: whole(s, t, fragments, block=block))
     got = {tuple(x) for x in N.found(spark.createDataFrame(rows, DDL), "row_id").collect()}
     assert got == brute(rows)
 
@@ -62,6 +62,25 @@ def test_edge_rows(spark):
     rows = [(1, t, None, None, ""), (2, t, None, None, ""), (2, t, None, None, ""), (3, None, None, None, ""), (4, None, None, None, ""), (5, "", "a b", None, ""), (None, t, None, None, "")]
     df = spark.createDataFrame(rows, DDL)
     assert {tuple(x) for x in N.found(df, "row_id").collect()} == {(1, 2)}
-    g = {x.row_id: (x.class_id, x.links) for x in N.groups(df, "row_id").collect()}
-    assert g == {1: (1, 0), 2: (1, 0)}
+    g = {x.row_id: (x.class_id, x.class_size) for x in N.groups(df, "row_id").collect()}
+    assert g == {1: (1, 2), 2: (1, 2)}
     assert N.found(df.limit(0), "row_id").count() == 0
+
+
+def test_one_large_group_of_near_copies(spark, monkeypatch):
+    """A third of all rows are near-copies of one text: links grow with the rows, not with their square."""
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(4000)]
+    base = r.sample(words, 60)
+    rows = []
+    for i in range(900):
+        t = list(base) if i % 3 == 0 else r.sample(words, 40)
+        t[r.randrange(len(t))] = r.choice(words)
+        rows.append((i, " ".join(t), None, None, ""))
+    sets = N.run_sets(spark.createDataFrame(rows, DDL), "row_id").selectExpr("xxhash64(grams) h", "grams")
+    links = N.linked_pairs(sets, block=20).distinct()
+    assert links.count() < 3000
+    whole = N.linked_pairs
+    monkeypatch.setattr(N, "linked_pairs", lambda s, t=0.6, fragments=4: whole(s, t, fragments, block=20))
+    g = N.groups(spark.createDataFrame(rows, DDL), "row_id")
+    assert g.where("class_id = 0").count() == 300 and g.count() == 900
