@@ -10,75 +10,82 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sarqyt.functions.rules import words
 
 ORDERS = 4
 CHAR_ORDERS = 6
 
 
-def _grams(w: Column, n: int) -> Column:
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _shared(a: Column, b: Column) -> Column:
-    """Size of the intersection of two bags: each distinct member as often as the poorer side has it. Row-local."""
-    return F.aggregate(F.array_distinct(F.array_intersect(a, b)), F.lit(0), lambda s, x: s + F.least(F.size(F.filter(a, lambda y: y == x)), F.size(F.filter(b, lambda y: y == x))))
+def _bags(rows: np.ndarray, codes: np.ndarray, orders: int) -> list[np.ndarray]:
+    """For each order, the (row, hash) of every run of so many codes inside one row."""
+    out, h = [], np.zeros(len(codes), np.uint64)
+    with np.errstate(over="ignore"):
+        for n in range(1, orders + 1):
+            h = h[: max(0, len(codes) - n + 1)]
+            h = (h ^ codes[n - 1 :]) * _MULT
+            h ^= h >> np.uint64(31)
+            inside = rows[: len(h)] == rows[n - 1 : n - 1 + len(h)]
+            out.append(np.stack([rows[: len(h)][inside].astype(np.uint64), h[inside]]))
+    return out
+
+
+def _matched(x: np.ndarray, y: np.ndarray) -> int:
+    """Runs in both bags, each as often as the poorer side has it, summed over rows."""
+    both = np.concatenate([x, y], axis=1)
+    _, at = np.unique(both[0] * np.uint64(0x100000001B3) ^ both[1], return_inverse=True)
+    n = at.max(initial=-1) + 1
+    return int(np.minimum(np.bincount(at[: x.shape[1]], minlength=n), np.bincount(at[x.shape[1] :], minlength=n)).sum())
+
+
+def _word_codes(texts: list[str], seen: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    ws = [t.split() for t in texts]
+    flat = [seen.setdefault(w, len(seen) + 1) for x in ws for w in x]
+    return np.repeat(np.arange(len(ws)), [len(x) for x in ws]), np.array(flat, np.uint64) * _MULT
+
+
+def _char_codes(texts: list[str], _: dict) -> tuple[np.ndarray, np.ndarray]:
+    bare = ["".join(t.split()) for t in texts]
+    return np.repeat(np.arange(len(bare)), [len(t) for t in bare]), np.frombuffer("".join(bare).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _statistics(df: DataFrame, codes, orders: int) -> DataFrame:
+    """``(n, hyp, ref, both)``: per order the runs of hypotheses, of references, and matched. Counted per Arrow batch in
+    numpy; only sums are shuffled."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((orders, 3), np.int64)
+        for b in batches:
+            seen: dict[str, int] = {}
+            x, y = (_bags(*codes(c.to_pylist(), seen), orders) for c in b.columns)
+            for k in range(orders):
+                total[k] += (x[k].shape[1], y[k].shape[1], _matched(x[k], y[k]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(1, orders + 1, dtype=np.int32)), *(pa.array(total[:, i]) for i in range(3))], ["n", "hyp", "ref", "both"])
+
+    rows = df.where("hypothesis IS NOT NULL AND reference IS NOT NULL").select("hypothesis", "reference")
+    return rows.mapInArrow(go, "n int, hyp bigint, ref bigint, both bigint").groupBy("n").agg(*(F.sum(c).alias(c) for c in ("hyp", "ref", "both")))
 
 
 def corpus_bleu(df: DataFrame) -> DataFrame:
     """One row: ``score, p1..p4, bp, ratio``."""
-    x = df.where("hypothesis IS NOT NULL AND reference IS NOT NULL").select(words(F.col("hypothesis")).alias("h"), words(F.col("reference")).alias("r"))
-    aggs = [F.sum(F.size("h")).alias("hyp"), F.sum(F.size("r")).alias("ref")]
-    for n in range(1, ORDERS + 1):
-        h, r = _grams(F.col("h"), n), _grams(F.col("r"), n)
-        aggs += [F.sum(_shared(h, r)).alias(f"m{n}"), F.sum(F.size(h)).alias(f"t{n}")]
-    s = x.agg(*aggs)
-    p = [F.try_divide(F.col(f"m{n}").cast("double"), F.col(f"t{n}").cast("double")) for n in range(1, ORDERS + 1)]
-    ratio = F.try_divide(F.col("hyp").cast("double"), F.col("ref").cast("double"))
-    bp = F.when(ratio >= 1, 1.0).otherwise(F.exp(1 - F.try_divide(F.lit(1.0), ratio)))
+    one = lambda c, n: F.max(F.when(F.col("n") == n, F.col(c)).cast("double"))
+    s = _statistics(df, _word_codes, ORDERS).agg(*(F.try_divide(one("both", n), one("hyp", n)).alias(f"q{n}") for n in range(1, ORDERS + 1)), F.try_divide(one("hyp", 1), one("ref", 1)).alias("r"))
+    p = [F.col(f"q{n}") for n in range(1, ORDERS + 1)]
+    bp = F.when(F.col("r") >= 1, 1.0).otherwise(F.exp(1 - F.try_divide(F.lit(1.0), F.col("r"))))
     some = F.lit(True)
     for q in p:
         some = some & (q > 0)
     score = F.when(some, 100 * bp * F.exp(sum((F.ln(q) for q in p), F.lit(0.0)) / ORDERS)).otherwise(0.0)
-    return s.select(F.round(score, 6).alias("score"), *(F.round(100 * q, 6).alias(f"p{i + 1}") for i, q in enumerate(p)), F.round(bp, 6).alias("bp"), F.round(ratio, 6).alias("ratio"))
+    return s.select(F.round(score, 6).alias("score"), *(F.round(100 * q, 6).alias(f"p{i + 1}") for i, q in enumerate(p)), F.round(bp, 6).alias("bp"), F.round("r", 6).alias("ratio"))
 
 
 def corpus_chrf(df: DataFrame, beta: float = 2.0) -> DataFrame:
-    """One row: ``score``. Run counts are summed per Arrow batch in numpy; only sums are shuffled."""
-
-    def runs(texts: list[str]) -> list[np.ndarray]:
-        rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64) if texts else np.empty(0, np.uint64)
-        out, h = [], np.zeros(len(code), np.uint64)
-        with np.errstate(over="ignore"):
-            for n in range(1, CHAR_ORDERS + 1):
-                h = h[: len(code) - n + 1] if n > 1 else h
-                h = (h ^ code[n - 1 :]) * np.uint64(0x9E3779B97F4A7C15)
-                h ^= h >> np.uint64(31)
-                inside = rows[: len(h)] == rows[n - 1 : n - 1 + len(h)]
-                out.append(np.stack([rows[: len(h)][inside].astype(np.uint64), h[inside]]))
-        return out
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((CHAR_ORDERS, 3), np.int64)
-        for b in batches:
-            hyp, ref = (["".join(t.split()) for t in c.to_pylist()] for c in b.columns)
-            for k, (x, y) in enumerate(zip(runs(hyp), runs(ref), strict=True)):
-                total[k, 0] += x.shape[1]
-                total[k, 1] += y.shape[1]
-                both = np.concatenate([x, y], axis=1)
-                _, at = np.unique(both[0] * np.uint64(0x100000001B3) ^ both[1], return_inverse=True)
-                n = at.max(initial=-1) + 1
-                total[k, 2] += np.minimum(np.bincount(at[: x.shape[1]], minlength=n), np.bincount(at[x.shape[1] :], minlength=n)).sum()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(1, CHAR_ORDERS + 1, dtype=np.int32)), *(pa.array(total[:, i]) for i in range(3))], ["n", "hyp", "ref", "both"])
-
-    x = df.where("hypothesis IS NOT NULL AND reference IS NOT NULL").select("hypothesis", "reference")
-    s = x.mapInArrow(go, "n int, hyp bigint, ref bigint, both bigint").groupBy("n").agg(*(F.sum(c).alias(c) for c in ("hyp", "ref", "both"))).where("hyp > 0 AND ref > 0")
+    """One row: ``score``."""
+    s = _statistics(df, _char_codes, CHAR_ORDERS).where("hyp > 0 AND ref > 0")
     s = s.agg(F.avg(F.col("both") / F.col("hyp")).alias("p"), F.avg(F.col("both") / F.col("ref")).alias("r"))
     f = F.try_divide((1 + beta**2) * F.col("p") * F.col("r"), beta**2 * F.col("p") + F.col("r"))
     return s.select(F.round(100 * F.coalesce(f, F.lit(0.0)), 6).alias("score"))
-
-

@@ -46,10 +46,7 @@ def good_content_sql(e: str) -> str:
 
 def contents_like(c: Column) -> Column:
     """More than 30 % digits, a word of contents pages, or three numbers in a row."""
-    hit = F.rlike(c, F.lit(TRIPLE)) | (count_of(c, DIGIT) > F.length(c) * 0.3)
-    for w in CONTENTS:
-        hit = hit | F.contains(F.lower(c), F.lit(w))
-    return hit
+    return F.rlike(c, F.lit("(?iu)" + "|".join(CONTENTS))) | F.rlike(c, F.lit(TRIPLE)) | (count_of(c, DIGIT) > F.length(c) * 0.3)
 
 
 def contents_like_sql(e: str) -> str:
@@ -85,6 +82,31 @@ def triplet_reason(p: Limits = Limits()) -> Column:
     return out
 
 
+def with_reason(df: DataFrame, p: Limits = Limits(), name: str = "reason") -> DataFrame:
+    """Adds the verdict of ``triplet_reason`` as a column. What it needs of each text is computed once per row in a
+    projection of its own; inside one CASE each branch would cut the texts into words again."""
+    sides = ("kaz", "rus", "eng")
+    first = df.select("*", *(words(F.col(x)).alias(f"__w_{x}") for x in sides))
+    facts = first.select(*df.columns, *(F.struct((~_missing(F.col(x))).alias("there"), F.size(f"__w_{x}").alias("words"), F.size(F.array_distinct(f"__w_{x}")).alias("kinds"), F.length(x).alias("chars"), count_of(F.col(x), r"\p{L}").alias("letters"), F.size(F.filter(F.array_distinct(F.split(F.lower(x), "")), lambda c: c != "")).alias("marks"), contents_like(F.col(x)).alias("toc")).alias(f"__f_{x}") for x in sides))
+    f = {x: F.col(f"__f_{x}") for x in sides}
+
+    def length(x: str) -> Column:
+        return f[x]["words"].between(p.min_words, p.max_words) & (f[x]["chars"] >= p.min_chars)
+
+    def content(x: str) -> Column:
+        return (f[x]["letters"] >= f[x]["chars"] * 0.4) & (f[x]["marks"] >= 10) & (f[x]["kinds"] >= f[x]["words"] * 0.5) & (f[x]["chars"] > 0)
+
+    out = F.when(~f["kaz"]["there"], "missing_kaz").when(~f["rus"]["there"] & ~f["eng"]["there"], "no_translations").when(~length("kaz"), "kaz_length").when(~content("kaz"), "kaz_quality").when(f["kaz"]["toc"], "kaz_toc")
+    for x in ("rus", "eng"):
+        there, a, b = f[x]["there"], f["kaz"]["words"], f[x]["words"]
+        out = out.when(there & ~length(x), f"{x}_length").when(there & ~content(x), f"{x}_quality").when(there & f[x]["toc"], f"{x}_toc")
+        out = out.when(there & ~(F.greatest(a, b) <= F.least(a, b) * p.max_ratio), f"kaz_{x}_ratio").when(there & ~F.coalesce(F.col(f"similarity_kaz_{x}") >= p.min_similarity, F.lit(False)), f"kaz_{x}_similarity")
+    if p.strict:
+        for x in ("rus", "eng"):
+            out = out.when(f[x]["there"] & (F.coalesce(F.col(f"similarity_kaz_{x}"), F.lit(0.0)) < p.strict_similarity), f"strict_kaz_{x}_similarity")
+    return facts.select(*df.columns, out.alias(name))
+
+
 def triplet_reason_sql(p: Limits = Limits()) -> str:
     gone = lambda x: f"coalesce({x}, '') = ''"
     when = [(gone("kaz"), "missing_kaz"), (f"{gone('rus')} AND {gone('eng')}", "no_translations"), (f"NOT {good_length_sql('kaz', p)}", "kaz_length"), (f"NOT {good_content_sql('kaz')}", "kaz_quality"), (contents_like_sql("kaz"), "kaz_toc")]
@@ -118,7 +140,8 @@ def basic_reason_sql() -> str:
 
 def histogram(df: DataFrame, c: Column, name: str, top: int | None = None) -> DataFrame:
     """Counts per value, the most frequent first (ties by value); nulls are left out."""
-    out = df.select(c.alias(name)).where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    # the null group counts 0; a filter on the value itself would be pushed down and the value computed twice
+    out = df.select(c.alias(name)).groupBy(name).agg(F.count(name).alias("n")).where("n > 0")
     return out.orderBy(F.desc("n"), name).limit(top) if top else out
 
 

@@ -111,7 +111,7 @@ def _register() -> None:
     add("clean_sentence", lambda s, d: clean(s, d).select("doc_id", F.col("i").cast("bigint").alias("sentence_idx"), "sentence"), f"WITH {c_sql} SELECT doc_id, i AS sentence_idx, sentence FROM c")
     add("valid_sentences", lambda s, d: clean(s, d).where(X.valid_sentence(F.col("sentence"))).select("doc_id", F.col("i").cast("bigint").alias("sentence_idx"), "sentence"), f"WITH {c_sql} SELECT doc_id, i AS sentence_idx, sentence FROM c WHERE {X.valid_sentence_sql('sentence')}")
     add("sentence_counts_by_lang", lambda s, d: clean(s, d).where(X.valid_sentence(F.col("sentence"))).groupBy(F.coalesce("lang", F.lit("unknown")).alias("lang")).agg(F.count(F.lit(1)).alias("sentences")), f"WITH {c_sql} SELECT coalesce(lang, 'unknown') AS lang, count(*) AS sentences FROM c WHERE {X.valid_sentence_sql('sentence')} GROUP BY 1")
-    add("chunk_stats", lambda s, d: clean(s, d).agg(F.countDistinct("doc_id").alias("files"), F.count(F.lit(1)).alias("raw"), F.count_if(X.valid_sentence(F.col("sentence"))).alias("valid"), F.count_if(~X.valid_sentence(F.col("sentence"))).alias("filtered")), f"WITH {c_sql} SELECT count(DISTINCT doc_id) AS files, count(*) AS raw, count(*) FILTER (WHERE {X.valid_sentence_sql('sentence')}) AS valid, count(*) FILTER (WHERE NOT {X.valid_sentence_sql('sentence')}) AS filtered FROM c")
+    add("chunk_stats", lambda s, d: clean(s, d).select("doc_id", X.valid_sentence(F.col("sentence")).alias("ok")).agg(F.countDistinct("doc_id").alias("files"), F.count(F.lit(1)).alias("raw"), F.count_if("ok").alias("valid"), F.count_if(~F.col("ok")).alias("filtered")), f"WITH {c_sql} SELECT count(DISTINCT doc_id) AS files, count(*) AS raw, count(*) FILTER (WHERE {X.valid_sentence_sql('sentence')}) AS valid, count(*) FILTER (WHERE NOT {X.valid_sentence_sql('sentence')}) AS filtered FROM c")
     add("split_sentences_faithful", lambda s, d: t(s, d, "documents").select("doc_id", F.posexplode(X.split_sentences(F.col("text"), "faithful")).alias("sentence_idx", "sentence")).select("doc_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), F.lower("sentence").alias("sentence")), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, lower(sentence) AS sentence FROM p")
     # --- extracted markdown ---
     for name, rule in (("page_number_strip", X.PAGE_NUMBERS), ("blank_line_collapse", X.BLANK_LINES), ("header_strip", X.FURNITURE_WORDS), ("empty_row_strip", X.EMPTY_ROWS), ("clean_markdown", X.CLEAN_MARKDOWN)):
@@ -162,10 +162,10 @@ def _register() -> None:
     add("toc_filter", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.contents_like(F.concat_ws(" ", F.col("rus"), F.when(F.pmod("row_id", F.lit(6)) == 0, "Appendix"))).alias("toc")), f"SELECT row_id, {quality.contents_like_sql(chr(40) + 'concat_ws(' + quoted(' ') + ', rus, CASE WHEN row_id % 6 = 0 THEN ' + quoted('Appendix') + ' END)' + chr(41))} AS toc FROM aligned_corpus")
     add("length_ratio", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.good_ratio(F.col("kaz"), F.repeat("eng", (F.pmod("row_id", F.lit(3)) + 1).cast("int"))).alias("ok")), f"SELECT row_id, {quality.good_ratio_sql('kaz', 'repeat(eng, (row_id % 3 + 1)::INT)')} AS ok FROM aligned_corpus")
     for name, lim in (("triplet_reason", quality.Limits(min_similarity=0.82)), ("triplet_reason_strict", quality.Limits(strict=True))):
-        add(name, lambda s, d, lim=lim: t(s, d, "aligned_corpus").select("row_id", quality.triplet_reason(lim).alias("reason")), f"SELECT row_id, {quality.triplet_reason_sql(lim)} AS reason FROM aligned_corpus")
+        add(name, lambda s, d, lim=lim: quality.with_reason(t(s, d, "aligned_corpus"), lim).select("row_id", "reason"), f"SELECT row_id, {quality.triplet_reason_sql(lim)} AS reason FROM aligned_corpus")
     lim = quality.Limits(min_similarity=0.82)
-    add("reason_histogram", lambda s, d: quality.histogram(t(s, d, "aligned_corpus"), quality.triplet_reason(lim), "reason", 10), f"SELECT * FROM (SELECT {quality.triplet_reason_sql(lim)} AS reason, count(*) AS n FROM aligned_corpus GROUP BY 1) WHERE reason IS NOT NULL ORDER BY n DESC, reason LIMIT 10")
-    add("retention_rate", lambda s, d: t(s, d, "aligned_corpus").agg(F.count(F.lit(1)).alias("rows"), F.count_if(quality.triplet_reason(lim).isNull()).alias("kept")).select("rows", "kept", F.round(F.try_divide("kept", "rows"), 6).alias("rate")), f"SELECT count(*) AS rows, count(*) FILTER (WHERE r IS NULL) AS kept, round(count(*) FILTER (WHERE r IS NULL) / count(*), 6) AS rate FROM (SELECT {quality.triplet_reason_sql(lim)} AS r FROM aligned_corpus)")
+    add("reason_histogram", lambda s, d: quality.histogram(quality.with_reason(t(s, d, "aligned_corpus"), lim), F.col("reason"), "reason", 10), f"SELECT * FROM (SELECT {quality.triplet_reason_sql(lim)} AS reason, count(*) AS n FROM aligned_corpus GROUP BY 1) WHERE reason IS NOT NULL ORDER BY n DESC, reason LIMIT 10")
+    add("retention_rate", lambda s, d: quality.with_reason(t(s, d, "aligned_corpus"), lim).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNull()).alias("kept")).select("rows", "kept", F.round(F.try_divide("kept", "rows"), 6).alias("rate")), f"SELECT count(*) AS rows, count(*) FILTER (WHERE r IS NULL) AS kept, round(count(*) FILTER (WHERE r IS NULL) / count(*), 6) AS rate FROM (SELECT {quality.triplet_reason_sql(lim)} AS r FROM aligned_corpus)")
     add("basic_filter_v1", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.basic_reason().alias("reason")), f"SELECT row_id, {quality.basic_reason_sql()} AS reason FROM aligned_corpus")
     v = lambda: quality.parse_verdict(_reply())
     j = lambda f, kind, other: f"CASE WHEN {_HAS_JSON} THEN json_extract_string({_JSON}, '$.{f}')::{kind} ELSE {other} END"
