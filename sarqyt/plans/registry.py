@@ -15,6 +15,7 @@ from sarqyt.functions import text as X
 from sarqyt.functions import unicode as U
 from sarqyt.functions.rules import STRIP, quoted, word_count, word_count_sql
 from sarqyt.operators import align, dedup, metrics, models, preference, quality
+from sarqyt.session import spread
 from sarqyt.sources import manifest
 from sarqyt.sources.tables import table
 from sarqyt.streaming import dedup as streaming
@@ -30,6 +31,11 @@ def add(name: str, query: Query, sql: str | None = None) -> None:
         ORACLES[name] = sql
 
 
+def wide(s: SparkSession, d: str, name: str, key: str, *columns: str) -> DataFrame:
+    """Some columns of a table for CPU-heavy work: spread over the cores if its files make too few tasks."""
+    return spread(table(s, d, name).select(key, *columns), key)
+
+
 # --- injected artefacts: (Spark column, SQL) ----------------------------------------------------------------------
 def _markdown(c: str = "markdown") -> Column:
     n = F.col("extract_id")
@@ -103,7 +109,7 @@ def _carry_sql(kind: str) -> str:
 def _register() -> None:
     t = table
     # --- sentences of documents ---
-    pieces = lambda s, d: t(s, d, "documents").select("doc_id", "lang", F.posexplode(X.split_sentences(F.col("text"))).alias("i", "sentence"))
+    pieces = lambda s, d: wide(s, d, "documents", "doc_id", "lang", "text").select("doc_id", "lang", F.posexplode(X.split_sentences(F.col("text"))).alias("i", "sentence"))
     p_sql = f"p AS (SELECT doc_id, lang, i - 1 AS i, s[i] AS sentence FROM (SELECT doc_id, lang, {X.split_sentences_sql('text')} AS s FROM documents), unnest(range(1, len(s) + 1)) u(i))"
     clean = lambda s, d: pieces(s, d).select("doc_id", "lang", "i", X.CLEAN_SENTENCE.spark(F.col("sentence")).alias("sentence"))
     c_sql = f"{p_sql}, c AS (SELECT doc_id, lang, i, {X.CLEAN_SENTENCE.sql('sentence')} AS sentence FROM p)"
@@ -112,10 +118,10 @@ def _register() -> None:
     add("valid_sentences", lambda s, d: clean(s, d).where(X.valid_sentence(F.col("sentence"))).select("doc_id", F.col("i").cast("bigint").alias("sentence_idx"), "sentence"), f"WITH {c_sql} SELECT doc_id, i AS sentence_idx, sentence FROM c WHERE {X.valid_sentence_sql('sentence')}")
     add("sentence_counts_by_lang", lambda s, d: clean(s, d).where(X.valid_sentence(F.col("sentence"))).groupBy(F.coalesce("lang", F.lit("unknown")).alias("lang")).agg(F.count(F.lit(1)).alias("sentences")), f"WITH {c_sql} SELECT coalesce(lang, 'unknown') AS lang, count(*) AS sentences FROM c WHERE {X.valid_sentence_sql('sentence')} GROUP BY 1")
     add("chunk_stats", lambda s, d: clean(s, d).select("doc_id", X.valid_sentence(F.col("sentence")).alias("ok")).agg(F.countDistinct("doc_id").alias("files"), F.count(F.lit(1)).alias("raw"), F.count_if("ok").alias("valid"), F.count_if(~F.col("ok")).alias("filtered")), f"WITH {c_sql} SELECT count(DISTINCT doc_id) AS files, count(*) AS raw, count(*) FILTER (WHERE {X.valid_sentence_sql('sentence')}) AS valid, count(*) FILTER (WHERE NOT {X.valid_sentence_sql('sentence')}) AS filtered FROM c")
-    add("split_sentences_faithful", lambda s, d: t(s, d, "documents").select("doc_id", F.posexplode(X.split_sentences(F.col("text"), "faithful")).alias("sentence_idx", "sentence")).select("doc_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), F.lower("sentence").alias("sentence")), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, lower(sentence) AS sentence FROM p")
+    add("split_sentences_faithful", lambda s, d: wide(s, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(X.split_sentences(F.col("text"), "faithful")).alias("sentence_idx", "sentence")).select("doc_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), F.lower("sentence").alias("sentence")), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, lower(sentence) AS sentence FROM p")
     # --- extracted markdown ---
     for name, rule in (("page_number_strip", X.PAGE_NUMBERS), ("blank_line_collapse", X.BLANK_LINES), ("header_strip", X.FURNITURE_WORDS), ("empty_row_strip", X.EMPTY_ROWS), ("clean_markdown", X.CLEAN_MARKDOWN)):
-        add(name, lambda s, d, r=rule: t(s, d, "extraction_results").select("extract_id", r.spark(_markdown()).alias("text")), f"SELECT extract_id, {rule.sql(_MARKDOWN)} AS text FROM extraction_results")
+        add(name, lambda s, d, r=rule: wide(s, d, "extraction_results", "extract_id", "markdown").select("extract_id", r.spark(_markdown()).alias("text")), f"SELECT extract_id, {rule.sql(_MARKDOWN)} AS text FROM extraction_results")
     add("named_glyphs", lambda s, d: t(s, d, "extraction_results").select("extract_id", X.decode_named_glyphs(F.col("markdown")).alias("text")), f"SELECT extract_id, {X.decode_named_glyphs_sql('markdown')} AS text FROM extraction_results")
     add("glyph_decode", lambda s, d: t(s, d, "extraction_results").select("extract_id", X.decode_escapes(F.col("markdown")).alias("text")), r"""SELECT extract_id, list_aggregate(list_transform(string_split(regexp_replace(markdown, '[/\\]uni([0-9A-Fa-f]{4})', chr(30) || '\1', 'g'), chr(30)), lambda p, i: CASE WHEN i = 1 THEN p ELSE chr(CAST('0x' || p[1:4] AS INTEGER)) || p[5:] END), 'string_agg', '') AS text FROM extraction_results""")
     add(
@@ -154,7 +160,7 @@ def _register() -> None:
         ("ocr_repair_v1", X.OCR_REPAIR.spark, X.OCR_REPAIR.sql),
         ("dedup_key", X.dedup_key, X.dedup_key_sql),
     ):
-        add(name, lambda s, d, f=f: t(s, d, "aligned_corpus").select("row_id", f(_noisy()).alias("text")), f"SELECT row_id, {sql(_NOISY)} AS text FROM aligned_corpus")
+        add(name, lambda s, d, f=f: wide(s, d, "aligned_corpus", "row_id", "kaz").select("row_id", f(_noisy()).alias("text")), f"SELECT row_id, {sql(_NOISY)} AS text FROM aligned_corpus")
     add("nfkc", lambda s, d: t(s, d, "aligned_corpus").select("row_id", U.nfkc(F.col("kaz")).alias("text")))
     # --- filters on triplets ---
     add("length_filter", lambda s, d: t(s, d, "aligned_corpus").where(quality.good_length(F.col("rus"))).select("row_id"), f"SELECT row_id FROM aligned_corpus WHERE {quality.good_length_sql('rus')}")
@@ -162,11 +168,11 @@ def _register() -> None:
     add("toc_filter", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.contents_like(F.concat_ws(" ", F.col("rus"), F.when(F.pmod("row_id", F.lit(6)) == 0, "Appendix"))).alias("toc")), f"SELECT row_id, {quality.contents_like_sql(chr(40) + 'concat_ws(' + quoted(' ') + ', rus, CASE WHEN row_id % 6 = 0 THEN ' + quoted('Appendix') + ' END)' + chr(41))} AS toc FROM aligned_corpus")
     add("length_ratio", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.good_ratio(F.col("kaz"), F.repeat("eng", (F.pmod("row_id", F.lit(3)) + 1).cast("int"))).alias("ok")), f"SELECT row_id, {quality.good_ratio_sql('kaz', 'repeat(eng, (row_id % 3 + 1)::INT)')} AS ok FROM aligned_corpus")
     for name, lim in (("triplet_reason", quality.Limits(min_similarity=0.82)), ("triplet_reason_strict", quality.Limits(strict=True))):
-        add(name, lambda s, d, lim=lim: quality.with_reason(t(s, d, "aligned_corpus"), lim).select("row_id", "reason"), f"SELECT row_id, {quality.triplet_reason_sql(lim)} AS reason FROM aligned_corpus")
+        add(name, lambda s, d, lim=lim: quality.with_reason(wide(s, d, "aligned_corpus", "row_id", "kaz", "rus", "eng", "similarity_kaz_rus", "similarity_kaz_eng"), lim).select("row_id", "reason"), f"SELECT row_id, {quality.triplet_reason_sql(lim)} AS reason FROM aligned_corpus")
     lim = quality.Limits(min_similarity=0.82)
-    add("reason_histogram", lambda s, d: quality.histogram(quality.with_reason(t(s, d, "aligned_corpus"), lim), F.col("reason"), "reason", 10), f"SELECT * FROM (SELECT {quality.triplet_reason_sql(lim)} AS reason, count(*) AS n FROM aligned_corpus GROUP BY 1) WHERE reason IS NOT NULL ORDER BY n DESC, reason LIMIT 10")
-    add("retention_rate", lambda s, d: quality.with_reason(t(s, d, "aligned_corpus"), lim).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNull()).alias("kept")).select("rows", "kept", F.round(F.try_divide("kept", "rows"), 6).alias("rate")), f"SELECT count(*) AS rows, count(*) FILTER (WHERE r IS NULL) AS kept, round(count(*) FILTER (WHERE r IS NULL) / count(*), 6) AS rate FROM (SELECT {quality.triplet_reason_sql(lim)} AS r FROM aligned_corpus)")
-    add("basic_filter_v1", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.basic_reason().alias("reason")), f"SELECT row_id, {quality.basic_reason_sql()} AS reason FROM aligned_corpus")
+    add("reason_histogram", lambda s, d: quality.histogram(quality.with_reason(wide(s, d, "aligned_corpus", "row_id", "kaz", "rus", "eng", "similarity_kaz_rus", "similarity_kaz_eng"), lim), F.col("reason"), "reason", 10), f"SELECT * FROM (SELECT {quality.triplet_reason_sql(lim)} AS reason, count(*) AS n FROM aligned_corpus GROUP BY 1) WHERE reason IS NOT NULL ORDER BY n DESC, reason LIMIT 10")
+    add("retention_rate", lambda s, d: quality.with_reason(wide(s, d, "aligned_corpus", "row_id", "kaz", "rus", "eng", "similarity_kaz_rus", "similarity_kaz_eng"), lim).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNull()).alias("kept")).select("rows", "kept", F.round(F.try_divide("kept", "rows"), 6).alias("rate")), f"SELECT count(*) AS rows, count(*) FILTER (WHERE r IS NULL) AS kept, round(count(*) FILTER (WHERE r IS NULL) / count(*), 6) AS rate FROM (SELECT {quality.triplet_reason_sql(lim)} AS r FROM aligned_corpus)")
+    add("basic_filter_v1", lambda s, d: wide(s, d, "aligned_corpus", "row_id", "kaz", "rus", "eng", "similarity_kaz_rus", "similarity_kaz_eng").select("row_id", quality.basic_reason().alias("reason")), f"SELECT row_id, {quality.basic_reason_sql()} AS reason FROM aligned_corpus")
     v = lambda: quality.parse_verdict(_reply())
     j = lambda f, kind, other: f"CASE WHEN {_HAS_JSON} THEN json_extract_string({_JSON}, '$.{f}')::{kind} ELSE {other} END"
     add("judge_json_parse", lambda s, d: t(s, d, "aligned_corpus").select("row_id", v().alias("v")).select("row_id", "v.is_valid_alignment", "v.is_atomic", "v.quality_score", "v.fixed_kaz"), f"SELECT row_id, {j('is_valid_alignment', 'BOOLEAN', 'true')} AS is_valid_alignment, {j('is_atomic', 'BOOLEAN', 'true')} AS is_atomic, {j('quality_score', 'DOUBLE', '0.7')} AS quality_score, {j('fixed_kaz', 'VARCHAR', 'NULL')} AS fixed_kaz FROM aligned_corpus")
@@ -174,7 +180,7 @@ def _register() -> None:
     for side in ("rus", "eng"):
         add(f"alignment_type_histogram_{side}", lambda s, d, c=side: quality.histogram(t(s, d, "aligned_corpus"), F.col(f"alignment_type_kaz_{c}"), "type"), f"SELECT alignment_type_kaz_{side} AS type, count(*) AS n FROM aligned_corpus WHERE alignment_type_kaz_{side} IS NOT NULL GROUP BY 1")
     # --- dedup, order, sets ---
-    add("dedup_keep_first", lambda s, d: dedup.keep_first(t(s, d, "aligned_corpus").where("kaz IS NOT NULL"), X.dedup_key(F.col("kaz")), "row_id").select("row_id", "id"), f"SELECT row_id, id FROM (SELECT *, row_number() OVER (PARTITION BY {X.dedup_key_sql('kaz')} ORDER BY row_id) AS n FROM aligned_corpus WHERE kaz IS NOT NULL) WHERE n = 1")
+    add("dedup_keep_first", lambda s, d: dedup.keep_first(wide(s, d, "aligned_corpus", "row_id", "id", "kaz").where("kaz IS NOT NULL"), X.dedup_key(F.col("kaz")), "row_id").select("row_id", "id"), f"SELECT row_id, id FROM (SELECT *, row_number() OVER (PARTITION BY {X.dedup_key_sql('kaz')} ORDER BY row_id) AS n FROM aligned_corpus WHERE kaz IS NOT NULL) WHERE n = 1")
     add("keep_last", lambda s, d: dedup.keep_last(t(s, d, "aligned_corpus"), F.col("id"), "row_id").select("row_id", "id", "kaz"), "SELECT row_id, id, kaz FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY row_id DESC) AS n FROM aligned_corpus) WHERE n = 1")
     add("filename_dedup", lambda s, d: dedup.keep_first(t(s, d, "extraction_results").select("extract_id", "collection", "filename"), F.struct("collection", "filename"), "extract_id"), "SELECT extract_id, collection, filename FROM (SELECT *, row_number() OVER (PARTITION BY collection, filename ORDER BY extract_id) AS n FROM extraction_results) WHERE n = 1")
     add("head_n", lambda s, d: t(s, d, "aligned_corpus").orderBy("row_id").limit(100).select("row_id", "id"), "SELECT row_id, id FROM aligned_corpus ORDER BY row_id LIMIT 100")
@@ -234,7 +240,7 @@ def _register() -> None:
         return align.align_documents(rows("sentences_rus"), rows("sentences_eng"), models.gram_encoder).select("doc", "src", "tgt")
 
     add("dp_align", dp)
-    add("encode_double", lambda s, d: t(s, d, "documents").select("doc_id", models.encoded(F.col("text")).alias("vector")))
+    add("encode_double", lambda s, d: wide(s, d, "documents", "doc_id", "text").select("doc_id", models.encoded(F.col("text")).alias("vector")))
     # --- preference data ---
     six = [(x, x[:3], x[4:]) for x in X.DIRECTIONS]
     asked = " UNION ALL ".join(f"SELECT id, row_id, '{x}' AS direction, {X.prompt_sql(x, a)} AS prompt, {a} AS source_text, {b} AS chosen FROM aligned_corpus WHERE coalesce({a}, '') <> '' AND coalesce({b}, '') <> ''" for x, a, b in six)
@@ -250,7 +256,7 @@ def _register() -> None:
     answer = lambda: F.concat(F.lit("  "), F.col("eng"), F.when(F.pmod("row_id", F.lit(3)) == 0, F.lit("\n\nrest")).when(F.pmod("row_id", F.lit(3)) == 1, F.lit(" Kazakh: x Russian: y")).otherwise(F.lit(" \n")))
     add("generation_cleanup", lambda s, d: t(s, d, "aligned_corpus").select("row_id", X.clean_generation(answer()).alias("text")), f"SELECT row_id, {X.clean_generation_sql('(' + quoted('  ') + ' || eng || CASE row_id % 3 WHEN 0 THEN chr(10) || chr(10) || ' + quoted('rest') + ' WHEN 1 THEN ' + quoted(' Kazakh: x Russian: y') + ' ELSE ' + quoted(' ') + ' || chr(10) END)')} AS text FROM aligned_corpus")
     # --- metrics: each Russian cell against the next record's ---
-    graded = lambda s, d: t(s, d, "aligned_corpus").select("row_id", F.col("rus").alias("reference")).join(t(s, d, "aligned_corpus").select((F.col("row_id") - 1).alias("row_id"), F.col("rus").alias("hypothesis")), "row_id")
+    graded = lambda s, d: spread(t(s, d, "aligned_corpus").select("row_id", F.col("rus").alias("reference")), "row_id").join(t(s, d, "aligned_corpus").select((F.col("row_id") - 1).alias("row_id"), F.col("rus").alias("hypothesis")), "row_id")
     g_sql = "g AS (SELECT a.row_id AS id, b.rus AS hyp, a.rus AS ref FROM aligned_corpus a JOIN aligned_corpus b ON b.row_id = a.row_id + 1 WHERE a.rus IS NOT NULL AND b.rus IS NOT NULL)"
     from sarqyt.functions.rules import words_sql
 
