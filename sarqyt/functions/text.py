@@ -18,6 +18,13 @@ ABBREVIATIONS = (
 )
 _ABBR = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
 MIN_CHARS, MAX_CHARS = 20, 2000
+
+
+def is_abbreviation(c: Column) -> Column:
+    """Whether a word without its final periods is listed, in any case."""
+    return F.lower(F.regexp_replace(c, r"[.]+$", "")).isin([a.lower() for a in ABBREVIATIONS])
+
+
 _START = r"A-ZА-ЯӘҒҚҢӨҰҮІa-zа-яәғқңөұүі\p{Nd}"
 
 # --- cleaning of extracted markdown -------------------------------------------------------------------------------

@@ -39,3 +39,8 @@ def split_test(df: DataFrame, id_column: str, share: float = 0.05) -> DataFrame:
     edge = x.where(F.col("__b") == border).withColumn("is_test", rank <= take - before)
     rest = x.where(F.col("__b") != border).withColumn("is_test", F.col("__b") < border)
     return edge.unionByName(rest).drop("__h", "__b")
+
+
+def sampled(df: DataFrame, id_column: str, share: float) -> DataFrame:
+    """A sample by the hash of the id: the same rows in any run and any partitioning, about ``share`` of them."""
+    return df.where(F.conv(F.substring(F.md5(F.col(id_column).cast("string")), 1, 8), 16, 10).cast("bigint") < int(share * 2**32))

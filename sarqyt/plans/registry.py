@@ -119,6 +119,8 @@ def _register() -> None:
     add("sentence_counts_by_lang", lambda s, d: clean(s, d).where(X.valid_sentence(F.col("sentence"))).groupBy(F.coalesce("lang", F.lit("unknown")).alias("lang")).agg(F.count(F.lit(1)).alias("sentences")), f"WITH {c_sql} SELECT coalesce(lang, 'unknown') AS lang, count(*) AS sentences FROM c WHERE {X.valid_sentence_sql('sentence')} GROUP BY 1")
     add("chunk_stats", lambda s, d: clean(s, d).select("doc_id", X.valid_sentence(F.col("sentence")).alias("ok")).agg(F.countDistinct("doc_id").alias("files"), F.count(F.lit(1)).alias("raw"), F.count_if("ok").alias("valid"), F.count_if(~F.col("ok")).alias("filtered")), f"WITH {c_sql} SELECT count(DISTINCT doc_id) AS files, count(*) AS raw, count(*) FILTER (WHERE {X.valid_sentence_sql('sentence')}) AS valid, count(*) FILTER (WHERE NOT {X.valid_sentence_sql('sentence')}) AS filtered FROM c")
     add("split_sentences_faithful", lambda s, d: wide(s, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(X.split_sentences(F.col("text"), "faithful")).alias("sentence_idx", "sentence")).select("doc_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), F.lower("sentence").alias("sentence")), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, lower(sentence) AS sentence FROM p")
+    last = lambda c: F.element_at(F.split(c, "[ ]"), -1)
+    add("abbreviation_test", lambda s, d: pieces(s, d).select(last(F.col("sentence")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).select("word", "n", X.is_abbreviation(F.col("word")).alias("listed")), f"WITH {p_sql} SELECT word, count(*) AS n, regexp_replace(lower(word), '[.]+$', '') IN ({', '.join(quoted(a.lower()) for a in X.ABBREVIATIONS)}) AS listed FROM (SELECT string_split(sentence, ' ')[-1] AS word FROM p) GROUP BY 1")
     # --- extracted markdown ---
     for name, rule in (("page_number_strip", X.PAGE_NUMBERS), ("blank_line_collapse", X.BLANK_LINES), ("header_strip", X.FURNITURE_WORDS), ("empty_row_strip", X.EMPTY_ROWS), ("clean_markdown", X.CLEAN_MARKDOWN)):
         add(name, lambda s, d, r=rule: wide(s, d, "extraction_results", "extract_id", "markdown").select("extract_id", r.spark(_markdown()).alias("text")), f"SELECT extract_id, {rule.sql(_MARKDOWN)} AS text FROM extraction_results")
@@ -255,6 +257,9 @@ def _register() -> None:
     add("examples_by_direction", lambda s, d: preference.examples(one(s, d), worse(s, d)).groupBy("direction").agg(F.count(F.lit(1)).alias("n")), f"{ex} SELECT direction, count(*) AS n FROM e GROUP BY 1")
     answer = lambda: F.concat(F.lit("  "), F.col("eng"), F.when(F.pmod("row_id", F.lit(3)) == 0, F.lit("\n\nrest")).when(F.pmod("row_id", F.lit(3)) == 1, F.lit(" Kazakh: x Russian: y")).otherwise(F.lit(" \n")))
     add("generation_cleanup", lambda s, d: t(s, d, "aligned_corpus").select("row_id", X.clean_generation(answer()).alias("text")), f"SELECT row_id, {X.clean_generation_sql('(' + quoted('  ') + ' || eng || CASE row_id % 3 WHEN 0 THEN chr(10) || chr(10) || ' + quoted('rest') + ' WHEN 1 THEN ' + quoted(' Kazakh: x Russian: y') + ' ELSE ' + quoted(' ') + ' || chr(10) END)')} AS text FROM aligned_corpus")
+    add("example_source_id", lambda s, d: preference.directions(t(s, d, "aligned_corpus")).select(F.concat_ws("_", "id", "direction").alias("example_id")).select("example_id", F.regexp_replace("example_id", "_[^_]*$", "").alias("id"), F.split(F.element_at(F.split("example_id", "_"), -1), "2")[0].alias("source_lang")), f"SELECT e AS example_id, regexp_replace(e, '_[^_]*$', '') AS id, string_split(string_split(e, '_')[-1], '2')[1] AS source_lang FROM (SELECT id || '_' || direction AS e FROM ({asked}))")
+    # sampling is the operator here: about a tenth of the records go to the judge
+    add("judge_sample", lambda s, d: dedup.sampled(t(s, d, "aligned_corpus").select("row_id", "id"), "row_id", 0.1), "SELECT row_id, id FROM aligned_corpus WHERE CAST('0x' || substr(md5(row_id::VARCHAR), 1, 8) AS BIGINT) < 429496729")
     # --- metrics: each Russian cell against the next record's ---
     graded = lambda s, d: spread(t(s, d, "aligned_corpus").select("row_id", F.col("rus").alias("reference")), "row_id").join(t(s, d, "aligned_corpus").select((F.col("row_id") - 1).alias("row_id"), F.col("rus").alias("hypothesis")), "row_id")
     g_sql = "g AS (SELECT a.row_id AS id, b.rus AS hyp, a.rus AS ref FROM aligned_corpus a JOIN aligned_corpus b ON b.row_id = a.row_id + 1 WHERE a.rus IS NOT NULL AND b.rus IS NOT NULL)"
