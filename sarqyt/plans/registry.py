@@ -179,6 +179,8 @@ def _register() -> None:
     j = lambda f, kind, other: f"CASE WHEN {_HAS_JSON} THEN json_extract_string({_JSON}, '$.{f}')::{kind} ELSE {other} END"
     add("judge_json_parse", lambda s, d: t(s, d, "aligned_corpus").select("row_id", v().alias("v")).select("row_id", "v.is_valid_alignment", "v.is_atomic", "v.quality_score", "v.fixed_kaz"), f"SELECT row_id, {j('is_valid_alignment', 'BOOLEAN', 'true')} AS is_valid_alignment, {j('is_atomic', 'BOOLEAN', 'true')} AS is_atomic, {j('quality_score', 'DOUBLE', '0.7')} AS quality_score, {j('fixed_kaz', 'VARCHAR', 'NULL')} AS fixed_kaz FROM aligned_corpus")
     add("judge_gate", lambda s, d: t(s, d, "aligned_corpus").select("row_id", "kaz", v().alias("v")).where("v.is_valid_alignment AND v.is_atomic AND v.quality_score >= 0.6").select("row_id", F.coalesce(F.nullif("v.fixed_kaz", F.lit("")), F.col("kaz")).alias("kaz")), f"SELECT row_id, coalesce(nullif({j('fixed_kaz', 'VARCHAR', 'NULL')}, ''), kaz) AS kaz FROM aligned_corpus WHERE {j('is_valid_alignment', 'BOOLEAN', 'true')} AND {j('is_atomic', 'BOOLEAN', 'true')} AND {j('quality_score', 'DOUBLE', '0.7')} >= 0.6")
+    kinds = lambda: F.explode(F.array(*(F.struct(F.lit(x).alias("side"), F.col(f"alignment_type_kaz_{x}").alias("type")) for x in ("rus", "eng")))).alias("x")
+    add("alignment_type_histogram", lambda s, d: t(s, d, "aligned_corpus").select(kinds()).select("x.*").groupBy("side", "type").agg(F.count("type").alias("n")).where("n > 0"), "SELECT side, type, count(*) AS n FROM (SELECT 'rus' AS side, alignment_type_kaz_rus AS type FROM aligned_corpus UNION ALL SELECT 'eng', alignment_type_kaz_eng FROM aligned_corpus) WHERE type IS NOT NULL GROUP BY ALL")
     for side in ("rus", "eng"):
         add(f"alignment_type_histogram_{side}", lambda s, d, c=side: quality.histogram(t(s, d, "aligned_corpus"), F.col(f"alignment_type_kaz_{c}"), "type"), f"SELECT alignment_type_kaz_{side} AS type, count(*) AS n FROM aligned_corpus WHERE alignment_type_kaz_{side} IS NOT NULL GROUP BY 1")
     # --- dedup, order, sets ---
