@@ -27,6 +27,7 @@ def is_abbreviation(c: Column) -> Column:
 
 _START = r"A-ZА-ЯӘҒҚҢӨҰҮІa-zа-яәғқңөұүі\p{Nd}"
 
+# The patterns of this file, whose results must equal the pipeline's
 # --- cleaning of extracted markdown -------------------------------------------------------------------------------
 PAGE_NUMBERS = rules(Rule(rf"\n{WS}*{DIGIT}+{WS}*\n", "\n"), Rule(rf"\n{WS}*Page{WS}+{DIGIT}+{WS}*(of{WS}+{DIGIT}+)?{WS}*\n", "\n", fold=True))
 BLANK_LINES = Rule(r"\n{4,}", "\n\n\n")
