@@ -342,10 +342,13 @@ def _learn(rows: DataFrame) -> Model:
     )
 
 
-def texts(extractions: DataFrame, sentences: DataFrame) -> DataFrame:
-    """``(field, rec_id, text, nxt)`` of what is to be cut."""
-    bad = cut(garbled.labelled(extractions, "extract_id", garbled.FIELDS).select("extract_id").distinct())
-    one = extractions.where("success AND method = 'pypdf' AND text_only IS NOT NULL").join(bad, "extract_id", "left_anti").select(F.lit("text_only").alias("field"), F.col("extract_id").alias("rec_id"), F.col("text_only").alias("text"), F.lit(None).cast("string").alias("nxt"))
+def texts(extractions: DataFrame, sentences: DataFrame, every: bool = False) -> DataFrame:
+    """``(field, rec_id, text, nxt)`` of what is to be cut; with ``every`` also the extractions that p6_found leaves out."""
+    one = extractions.where("text_only IS NOT NULL")
+    if not every:
+        bad = cut(garbled.labelled(extractions, "extract_id", garbled.FIELDS).select("extract_id").distinct())
+        one = one.where("success AND method = 'pypdf'").join(bad, "extract_id", "left_anti")
+    one = one.select(F.lit("text_only").alias("field"), F.col("extract_id").alias("rec_id"), F.col("text_only").alias("text"), F.lit(None).cast("string").alias("nxt"))
     # the next row of the file is the next place, not the copy of the same place
     w = Window.partitionBy("collection", "source_file").orderBy("sentence_idx").rangeBetween(1, 4)
     two = sentences.where("text IS NOT NULL").select(F.lit("text").alias("field"), F.col("sent_id").alias("rec_id"), "text", F.when(F.col("source_file").isNotNull() & F.col("sentence_idx").isNotNull(), F.first("text", ignorenulls=True).over(w)).alias("nxt"))
@@ -371,10 +374,28 @@ def found(extractions: DataFrame, sentences: DataFrame) -> DataFrame:
     return rows.select("field", "rec_id", "text", "nxt").mapInArrow(go, "field string, rec_id bigint, end_pos int").distinct()
 
 
+def parts(t: str, ends: list[int]) -> list[str]:
+    """A text cut at its ends; what follows the last one (a sentence that the next row goes on with) is a part too."""
+    got = [t[a:b].strip(" ") for a, b in zip([0, *ends], ends, strict=False)]
+    rest = t[ends[-1] if ends else 0 :]
+    return [*got, rest.strip(" ")] if rest.strip() else got
+
+
 def units(extractions: DataFrame, sentences: DataFrame) -> DataFrame:
-    """``(field, rec_id, unit, text)``: the sentence units of every value."""
-    ends = found(extractions, sentences)
-    w = Window.partitionBy("field", "rec_id").orderBy("end_pos")
-    cutting = ends.select("field", "rec_id", "end_pos", F.coalesce(F.lag("end_pos").over(w), F.lit(0)).alias("begin"), F.row_number().over(w).alias("unit"))
-    whole = extractions.select(F.lit("text_only").alias("field"), F.col("extract_id").alias("rec_id"), F.col("text_only").alias("t")).unionByName(sentences.select(F.lit("text").alias("field"), F.col("sent_id").alias("rec_id"), F.col("text").alias("t")))
-    return cutting.join(whole, ["field", "rec_id"]).select("field", "rec_id", F.col("unit").cast("bigint").alias("unit"), F.trim(F.expr("substring(t, begin + 1, end_pos - begin)")).alias("text"))
+    """``(field, rec_id, unit, text)``: the sentence units of every value. They cover the whole text, however it was
+    extracted; blank texts have none. The counts are those of ``found``."""
+    model = extractions.sparkSession.sparkContext.broadcast(_learn(texts(extractions, sentences)))
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for b in batches:
+            field, rid, unit, text = [], [], [], []
+            for f, r, t, nxt in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                got = parts(t, m.ends(t, nxt, f == "text_only"))
+                field += [f] * len(got)
+                rid += [r] * len(got)
+                unit += range(1, len(got) + 1)
+                text += got
+            yield pa.RecordBatch.from_arrays([pa.array(field, pa.string()), pa.array(rid, pa.int64()), pa.array(unit, pa.int64()), pa.array(text, pa.string())], ["field", "rec_id", "unit", "text"])
+
+    return texts(extractions, sentences, every=True).select("field", "rec_id", "text", "nxt").mapInArrow(go, "field string, rec_id bigint, unit bigint, text string")

@@ -51,3 +51,16 @@ def test_frames(spark):
     assert ("text_only", 1, 24) in got and ("text_only", 1, 38) in got and ("text", 8, 12) in got and not any(r[1] in (2, 3, 9) for r in got)
     assert S.units(e, s).where("rec_id = 1").orderBy("unit").first().text == "Первое предложение года."
     assert S.found(e.limit(0), s.limit(0)).count() == 0
+
+
+def test_units_cover_every_text(spark):
+    e = spark.createDataFrame([(1, True, "pypdf", "Первое предложение года. Второе тенге.", "x", "f"), (2, True, "docling_ocr", "Нет. Да.", "x", "f"), (3, True, "pypdf_partial", "Частично", "x", "f"), (4, False, None, None, None, "f"), (5, True, "docling_ocr", " \n", "x", "f")], "extract_id long, success boolean, method string, text_only string, markdown string, field string")
+    s = spark.createDataFrame([(7, "Бір сөйлем. Жобасы үшін 48 409 млн,", "a", 0, "c"), (8, "теңге бөлді.", "a", 1, "c"), (9, "жобасы үшін,", "a", 2, "c"), (10, "мың теңге", "a", 3, "c")], "sent_id long, text string, source_file string, sentence_idx int, collection string")
+    got = {}
+    for r in S.units(e, s).orderBy("field", "rec_id", "unit").collect():
+        got.setdefault((r.field, r.rec_id), []).append((r.unit, r.text))
+    for f, rows, k in (("text_only", e.collect(), "text_only"), ("text", s.collect(), "text")):
+        for r in rows:
+            assert "".join("".join(x for _, x in got.get((f, r[0]), [])).split()) == "".join((r[k] or "").split())
+    assert [n for n, _ in got["text", 7]] == [1, 2] and ("text", 9) in got and ("text_only", 3) in got and ("text_only", 5) not in got
+    assert not any(r.rec_id in (7, 9) and r.end_pos > 11 for r in S.found(e, s).where("field = 'text'").collect())
