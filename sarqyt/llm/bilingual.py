@@ -12,8 +12,8 @@
    or if what the anchors leave unexplained on both sides agrees.
 
 Documents meet in one task, sorted, and are worked off one Arrow batch of whole documents at a time. A document of more
-than ``LARGE`` sentences is not gathered: its bags are joined on (document, token) by Spark, with the same rules for
-anchors, and merges grown by joins on neighbouring positions.
+than ``LARGE`` sentences is not gathered: its sentences are dealt into blocks, each block of one side meets each of the
+other in a task of its own, with the same rules for anchors, and merges grown by joins on neighbouring positions.
 
 Defined results: null and empty sentences, and rows without a document, pair with nothing; rows loaded twice (same
 document, place and text) pair each.
@@ -36,6 +36,7 @@ from sarqyt.session import cut, spread
 RARE = 500
 LARGE = 20_000
 HEAVY = 4_000_000
+BLOCK, CELLS = 8192, 1 << 22
 ANCHOR, PART, NEAR, LEAST = 0.45, 0.45, 0.8, 3.0
 
 TOKEN = re.compile(r"(?<![\w])\d{1,3}(?:[    ]\d{3})+(?:[.,]\d+)?|\d+(?:[.,]\d+)*|[^\W\d_]+")
@@ -306,10 +307,94 @@ def _gathered(rows: DataFrame, tables, targets: list[str], own_rows: bool) -> Da
     return rows.mapInArrow(go, "side string, kaz_key bigint, other_key bigint")
 
 
-def _joined(rows: DataFrame, tables, targets: list[str], own_rows: bool, heavy: int = HEAVY) -> DataFrame:
-    """The same for documents too large for one task: bags as rows, joined on (document, token). A token that so many
-    sentences share that it alone would make more than ``heavy`` pairs proposes none; it counts in the score of the pairs
-    that other tokens propose (sentences of nothing but such tokens pair with nothing)."""
+SCHEMA = "doc bigint, side string, kaz_key bigint, other_key bigint, p bigint, q bigint, na double, nb double, s double"
+
+
+def _least(norm: np.ndarray) -> np.ndarray:
+    """The least overlap with which a pair counts whose smaller bag has this weight (it grows with the weight)."""
+    return np.maximum(PART * norm, np.minimum(2.0, 0.8 * norm)) * (1 - 1e-9)
+
+
+def _block(t: pa.Table, heavy: int) -> Iterator[tuple]:
+    """Of one block of sources and one of targets, (x, y, overlap): the pairs that can count, and (x, -1, best) and
+    (-1, y, best) of every sentence. Overlaps are summed in a table of some thousand cells a sentence, from at most
+    ``heavy`` shared tokens at a time (or the one of a sentence with more)."""
+    src = t["src"].to_numpy()
+    size = t["tokens"].combine_chunks().value_lengths().to_numpy()
+    first = np.cumsum(size) - size
+    token, weight = t["tokens"].combine_chunks().flatten().to_numpy(), t["weights"].combine_chunks().flatten().to_numpy()
+    norm = t["norm"].to_numpy()
+    a, b = np.flatnonzero(src), np.flatnonzero(~src)
+    if not len(a) or not len(b):
+        return
+    owner = np.repeat(np.arange(len(src)), size)
+    place = np.zeros(len(src), np.int64)
+    place[b] = np.arange(len(b))
+    mine = np.flatnonzero(~src[owner])
+    mine = mine[np.argsort(token[mine], kind="stable")]
+    tb, wb, ob = token[mine], weight[mine], place[owner[mine]]
+    best_b = np.zeros(len(b))
+    rows = max(1, CELLS // len(b))
+    for i in range(0, len(a), rows):
+        x = a[i : i + rows]
+        at = np.concatenate([np.arange(first[k], first[k] + size[k]) for k in x])
+        who = np.repeat(np.arange(len(x)), size[x])
+        lo, hi = np.searchsorted(tb, token[at], "left"), np.searchsorted(tb, token[at], "right")
+        n = hi - lo
+        table = np.zeros(len(x) * len(b))
+        ends = np.cumsum(n)
+        k = 0
+        while k < len(n):
+            e = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + heavy, "right")))
+            ia = np.repeat(np.arange(k, e), n[k:e])
+            ib = np.arange(len(ia)) - np.repeat(np.cumsum(n[k:e]) - n[k:e], n[k:e]) + lo[ia]
+            if len(ia):
+                cell = who[ia] * len(b) + ob[ib]
+                w = np.minimum(weight[at[ia]], wb[ib])
+                if len(ia) * 4 > len(table):
+                    table += np.bincount(cell, weights=w, minlength=len(table))
+                else:
+                    np.add.at(table, cell, w)
+            k = e
+        table = table.reshape(len(x), len(b))
+        best_a, best = table.max(axis=1), table.max(axis=0)
+        best_b = np.maximum(best_b, best)
+        good = table >= np.minimum.outer(_least(norm[x]), _least(norm[b]))
+        good &= (table >= NEAR * best_a[:, None]) | (table >= NEAR * best[None, :])
+        u, v = np.nonzero(good)
+        yield x[u], b[v], table[u, v]
+        yield x, np.full(len(x), -1), best_a
+    yield np.full(len(b), -1), b, best_b
+
+
+def _overlaps(bags: DataFrame, block: int, heavy: int) -> DataFrame:
+    """``SCHEMA``: the pairs that can count, and of every sentence of either side (the other key null) its best overlap with
+    any. Both sides of a document are dealt into blocks; each block of sources meets each of targets in one task."""
+    sizes = bags.groupBy("doc", "side").agg(F.count_if("src").alias("x"), F.count_if(~F.col("src")).alias("y"))
+    sizes = sizes.where("x > 0 AND y > 0").select("doc", "side", *(F.ceil(F.col(c) / block).cast("int").alias(c) for c in "xy"))
+    h = F.xxhash64("key")
+    own = F.pmod(h, F.when(F.col("src"), F.col("x")).otherwise(F.col("y"))).cast("int")
+    dealt = bags.join(sizes, ["doc", "side"]).select("doc", "side", "src", "key", "pos", "tokens", "weights", "norm", own.alias("own"), F.explode(F.sequence(F.lit(0), F.when(F.col("src"), F.col("y")).otherwise(F.col("x")) - 1)).alias("meets"))
+    dealt = dealt.withColumns({"bx": F.when(F.col("src"), F.col("own")).otherwise(F.col("meets")), "by": F.when(F.col("src"), F.col("meets")).otherwise(F.col("own"))}).drop("own", "meets")
+    schema = pa.schema([("doc", pa.int64()), ("side", pa.string()), ("kaz_key", pa.int64()), ("other_key", pa.int64()), ("p", pa.int64()), ("q", pa.int64()), ("na", pa.float64()), ("nb", pa.float64()), ("s", pa.float64())])
+
+    def go(t: pa.Table) -> pa.Table:
+        got = list(_block(t, heavy))
+        if not got:
+            return schema.empty_table()
+        x, y, s = (np.concatenate(c) for c in zip(*got, strict=True))
+        key, pos, norm = (t[c].to_numpy() for c in ("key", "pos", "norm"))
+        no_x, no_y = x < 0, y < 0
+        cols = [pa.array(v[i], mask=m) for v in (key, pos, norm) for i, m in ((x, no_x), (y, no_y))]
+        doc, side = t["doc"][0].as_py(), t["side"][0].as_py()
+        return pa.Table.from_arrays([pa.array(np.full(len(x), doc, np.int64)), pa.array([side] * len(x), pa.string()), *cols, pa.array(s)], schema=schema)
+
+    return dealt.groupBy("doc", "side", "bx", "by").applyInArrow(go, SCHEMA)
+
+
+def _joined(rows: DataFrame, tables, targets: list[str], own_rows: bool, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
+    """The same for documents too large for one task: every pair of blocks of their sentences is summed exactly, common
+    words and all, and only the pairs that can count and the best overlap of each sentence leave the task."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tables.value
@@ -321,36 +406,33 @@ def _joined(rows: DataFrame, tables, targets: list[str], own_rows: bool, heavy:
                 for k in [side] if side else targets:
                     bag = (other if side else source)[k].bag(text)
                     norm = sum(bag.values())
-                    out += [(doc, k, not side, key, pos, c, w, norm) for c, w in bag.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], k) for j, k in enumerate((pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))], ["doc", "side", "src", "key", "pos", "token", "w", "norm"])
-
-    bags = cut(rows.mapInArrow(go, "doc bigint, side string, src boolean, key bigint, pos bigint, token bigint, w double, norm double"))
-    per = bags.groupBy("doc", "side", "token").agg(F.count_if("src").alias("x"), F.count_if(~F.col("src")).alias("y"))
-    common = cut(per.where(F.col("x") * F.col("y") > heavy).select("doc", "side", "token"))
-    stock = bags.join(common, ["doc", "side", "token"], "left_semi").groupBy("doc", "side", "src", "key").agg(F.map_from_entries(F.collect_list(F.struct("token", "w"))).alias("m"))
-    bags = bags.join(common, ["doc", "side", "token"], "left_anti")
-    a = bags.where("src").select("doc", "side", "token", F.col("key").alias("kaz_key"), F.col("pos").alias("p"), F.col("w").alias("wa"), F.col("norm").alias("na"))
-    b = bags.where("NOT src").select("doc", "side", "token", F.col("key").alias("other_key"), F.col("pos").alias("q"), F.col("w").alias("wb"), F.col("norm").alias("nb"))
-    pair = a.join(b, ["doc", "side", "token"]).groupBy("doc", "side", "kaz_key", "other_key", "p", "q", "na", "nb").agg(F.sum(F.least("wa", "wb")).alias("s"))
-    pair = pair.join(stock.where("src").select("doc", "side", F.col("key").alias("kaz_key"), F.col("m").alias("ma")), ["doc", "side", "kaz_key"], "left").join(stock.where("NOT src").select("doc", "side", F.col("key").alias("other_key"), F.col("m").alias("mb")), ["doc", "side", "other_key"], "left")
-    extra = F.aggregate(F.map_keys("ma"), F.lit(0.0), lambda t, k: t + F.coalesce(F.least(F.try_element_at("ma", k), F.try_element_at("mb", k)) * F.when(F.map_contains_key("mb", k), 1.0).otherwise(0.0), F.lit(0.0)))
-    pair = pair.withColumn("s", F.col("s") + F.when(F.col("ma").isNotNull() & F.col("mb").isNotNull(), extra).otherwise(0.0)).drop("ma", "mb")
-    pair = pair.withColumn("ba", F.max("s").over(Window.partitionBy("side", "kaz_key"))).withColumn("bb", F.max("s").over(Window.partitionBy("side", "other_key")))
+                    if norm > 0:
+                        out.append((doc, k, not side, key, pos, list(bag), list(bag.values()), norm))
+            kinds = (pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], k) for j, k in enumerate(kinds)], ["doc", "side", "src", "key", "pos", "tokens", "weights", "norm"])
+
+    bags = cut(spread(rows, "key").mapInArrow(go, "doc bigint, side string, src boolean, key bigint, pos bigint, tokens array<bigint>, weights array<double>, norm double"))
+    got = cut(_overlaps(bags, block, heavy))
+    best = {k: got.where(f"{o} IS NULL").groupBy("doc", "side", k).agg(F.max("s").alias(c)) for k, o, c in (("kaz_key", "other_key", "ba"), ("other_key", "kaz_key", "bb"))}
+    pair = got.where("kaz_key IS NOT NULL AND other_key IS NOT NULL").join(best["kaz_key"], ["doc", "side", "kaz_key"]).join(best["other_key"], ["doc", "side", "other_key"])
     top_a, top_b = F.col("s") >= NEAR * F.col("ba"), F.col("s") >= NEAR * F.col("bb")
     cover = F.col("s") / F.least("na", "nb")
     anchor = top_a & top_b & (cover >= ANCHOR) & (F.col("s") >= F.least(F.lit(LEAST), 0.8 * F.least("na", "nb")))
     inside = ((top_a & (F.col("s") >= PART * F.col("na"))) | (top_b & (F.col("s") >= PART * F.col("nb")))) & (F.col("s") >= 2.0)
-    pair = pair.withColumn("anchor", anchor)
-    near_a = F.max(F.col("anchor").cast("int")).over(Window.partitionBy("side", "other_key").orderBy("p").rangeBetween(-2, 2))
-    near_b = F.max(F.col("anchor").cast("int")).over(Window.partitionBy("side", "kaz_key").orderBy("q").rangeBetween(-2, 2))
-    got = pair.withColumn("beside", (near_a == 1) | (near_b == 1)).where(F.col("anchor") | (inside & (F.col("beside") | (cover >= 0.7)))).select("side", "kaz_key", "other_key")
+    got = _beside(pair.withColumn("at", anchor)).where(F.col("at") | (inside & (F.col("beside") | (cover >= 0.7)))).select("side", "kaz_key", "other_key")
     if own_rows:
         own = got.where("kaz_key = other_key").select("side", "kaz_key")
         got = got.join(own, ["side", "kaz_key"], "left_anti")
     return got
 
 
-def align(rows: DataFrame, tables: dict, targets: list[str], own_rows: bool = False, large: int = LARGE, heavy: int = HEAVY) -> DataFrame:
+def _beside(pair: DataFrame) -> DataFrame:
+    """Adds whether a pair has a neighbour pair (one sentence shared, the other next to it) in ``at``."""
+    near = [F.max(F.col("at").cast("int")).over(Window.partitionBy("doc", "side", k).orderBy(o).rangeBetween(-2, 2)) for k, o in (("other_key", "p"), ("kaz_key", "q"))]
+    return pair.withColumn("beside", (near[0] == 1) | (near[1] == 1))
+
+
+def align(rows: DataFrame, tables: dict, targets: list[str], own_rows: bool = False, large: int = LARGE, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
     """``(side, kaz_key, other_key)``: rows (doc bigint, side '' for the source or a target's name, key, pos, text). With
     ``own_rows`` keys of both sides name the same rows, and sources that their own row translates are left out."""
     sc = rows.sparkSession.sparkContext
@@ -361,7 +443,7 @@ def align(rows: DataFrame, tables: dict, targets: list[str], own_rows: bool = Fa
     if many.isEmpty():
         return _gathered(rows.repartition(parts, "doc").sortWithinPartitions("doc", "side", "pos", "key"), shared, targets, own_rows)
     small = rows.join(many, "doc", "left_anti")
-    return _gathered(small.repartition(parts, "doc").sortWithinPartitions("doc", "side", "pos", "key"), shared, targets, own_rows).unionByName(_joined(rows.join(many, "doc", "left_semi"), shared, targets, own_rows, heavy))
+    return _gathered(small.repartition(parts, "doc").sortWithinPartitions("doc", "side", "pos", "key"), shared, targets, own_rows).unionByName(_joined(rows.join(many, "doc", "left_semi"), shared, targets, own_rows, heavy, block))
 
 
 def sentence_rows(kaz: DataFrame, rus: DataFrame, eng: DataFrame) -> DataFrame:

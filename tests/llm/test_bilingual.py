@@ -47,3 +47,16 @@ def test_cells_of_other_rows(spark):
 def test_spelling():
     assert B.spelled("үйғынқұм") == "uigynkum" and B.spelled("жезқайсор") == B.spelled("жезкайсор") == "zhezkaisor"
     assert B.TOKEN.findall("43 293 и 14,7") == ["43 293", "и", "14,7"]
+
+
+def test_common_words_pair_in_large_documents(spark):
+    c, g = tables(spark)
+    t = B.learn(c, g, "kaz", ["rus", "eng"])
+    # every word is in a third of the sentences or more, so no rare token proposes these pairs
+    kaz = ["Тайсекжол күнге жапты", "Мердыозек шығын қалды", "Буросбулак шығын жапты"]
+    rus = ["Тайсекжол закрыт дней", "Мердыозек убыток остался", "Буросбулак закрыт убыток"]
+    rows = [(1, side, i, i, text[i % 3]) for side, text in (("", kaz), ("rus", rus)) for i in range(30)]
+    rows = spark.createDataFrame(rows, "doc long, side string, key long, pos long, text string")
+    one = {tuple(r) for r in B.align(rows, t, ["rus", "eng"]).collect()}
+    two = {tuple(r) for r in B.align(rows, t, ["rus", "eng"], large=1, heavy=50, block=7).collect()}
+    assert len(one) >= 300 and one == two
