@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sarqyt.session import cut, spread
@@ -37,7 +37,7 @@ RARE = 500
 LARGE = 20_000
 HEAVY = 4_000_000
 BLOCK, CELLS = 8192, 1 << 22
-ANCHOR, PART, NEAR, LEAST = 0.45, 0.45, 0.8, 3.0
+ANCHOR, PART, NEAR, LEAST, REST = 0.45, 0.45, 0.8, 3.0, 4.0
 
 TOKEN = re.compile(r"(?<![\w])\d{1,3}(?:[    ]\d{3})+(?:[.,]\d+)?|\d+(?:[.,]\d+)*|[^\W\d_]+")
 # Kazakh letters as Russian ones, and the common Latin spelling of the Cyrillic letters
@@ -253,7 +253,7 @@ def matches(docs_a: np.ndarray, pos_a: np.ndarray, a: Side, docs_b: np.ndarray,
     rest = np.bincount(back[free], weights=w[free], minlength=len(pair))
     left_a = _sums(a.owner, np.where(used_a, 0, a.weight), len(a.norm))
     left_b = _sums(b.owner, np.where(used_b, 0, b.weight), len(b.norm))
-    more = (rest >= 4.0) & (rest >= 0.5 * np.minimum(left_a[x2], left_b[y2])) & ~anchor
+    more = (rest >= REST) & (rest >= 0.5 * np.minimum(left_a[x2], left_b[y2])) & ~anchor
     if more.any():
         anchor |= more & beside(anchor)
     return x2[anchor], y2[anchor]
@@ -361,6 +361,7 @@ def _block(t: pa.Table, heavy: int) -> Iterator[tuple]:
         best_b = np.maximum(best_b, best)
         good = table >= np.minimum.outer(_least(norm[x]), _least(norm[b]))
         good &= (table >= NEAR * best_a[:, None]) | (table >= NEAR * best[None, :])
+        good |= table >= REST * (1 - 1e-9)
         u, v = np.nonzero(good)
         yield x[u], b[v], table[u, v]
         yield x, np.full(len(x), -1), best_a
@@ -419,13 +420,37 @@ def _joined(rows: DataFrame, tables, targets: list[str], own_rows: bool, heavy:
     cover = F.col("s") / F.least("na", "nb")
     anchor = top_a & top_b & (cover >= ANCHOR) & (F.col("s") >= F.least(F.lit(LEAST), 0.8 * F.least("na", "nb")))
     inside = ((top_a & (F.col("s") >= PART * F.col("na"))) | (top_b & (F.col("s") >= PART * F.col("nb")))) & (F.col("s") >= 2.0)
-    got = _beside(pair.withColumn("at", anchor)).where(F.col("at") | (inside & (F.col("beside") | (cover >= 0.7)))).select("side", "kaz_key", "other_key")
+    grown = _beside(pair.withColumn("at", anchor)).withColumn("at", F.col("at") | (inside & (F.col("beside") | (cover >= 0.7))))
+    near = cut(_beside(grown).where(F.col("at") | (F.col("beside") & (F.col("s") >= REST * (1 - 1e-9)))).select("doc", "side", "kaz_key", "other_key", "at"))
+    got = near.where("at").unionByName(_left_over(near, bags)).select("side", "kaz_key", "other_key")
     if own_rows:
         own = got.where("kaz_key = other_key").select("side", "kaz_key")
         got = got.join(own, ["side", "kaz_key"], "left_anti")
     return got
 
 
+def _left_over(near: DataFrame, bags: DataFrame) -> DataFrame:
+    """Of the pairs beside others (not ``at``), those that agree in what the pairs ``at`` leave unexplained on both sides."""
+    sides = (("kaz_key", "a", bags.where("src")), ("other_key", "b", bags.where("NOT src")))
+    sure, maybe = near.where("at"), near.where("NOT at")
+    for k, c, of in sides:
+        of = of.select("doc", "side", F.col("key").alias(k), F.map_from_arrays("tokens", "weights").alias(f"m{c}"))
+        sure, maybe = sure.join(of, ["doc", "side", k]), maybe.join(of, ["doc", "side", k])
+
+    def free(m: str) -> Column:
+        return F.array_except(F.map_keys(m), F.coalesce(f"u{m}", F.array().cast("array<bigint>")))
+
+    for k, c, _ in sides:
+        used = sure.join(near.where("NOT at").select("doc", "side", k).distinct(), ["doc", "side", k], "left_semi")
+        used = used.select("doc", "side", k, F.explode(F.array_intersect(F.map_keys("ma"), F.map_keys("mb"))).alias("token")).distinct().groupBy("doc", "side", k).agg(F.collect_list("token").alias(f"um{c}"))
+        maybe = maybe.join(used, ["doc", "side", k], "left")
+    def left(m: str) -> Column:
+        return F.aggregate(free(m), F.lit(0.0), lambda t, x: t + F.element_at(m, x))
+
+    rest = F.aggregate(F.array_intersect(free("ma"), free("mb")), F.lit(0.0), lambda t, x: t + F.least(F.element_at("ma", x), F.element_at("mb", x)))
+    return maybe.select("doc", "side", "kaz_key", "other_key", "at", rest.alias("rest"), F.least(left("ma"), left("mb")).alias("left")).where((F.col("rest") >= REST) & (F.col("rest") >= 0.5 * F.col("left"))).drop("rest", "left")
+
+
 def _beside(pair: DataFrame) -> DataFrame:
     """Adds whether a pair has a neighbour pair (one sentence shared, the other next to it) in ``at``."""
     near = [F.max(F.col("at").cast("int")).over(Window.partitionBy("doc", "side", k).orderBy(o).rangeBetween(-2, 2)) for k, o in (("other_key", "p"), ("kaz_key", "q"))]

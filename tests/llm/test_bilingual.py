@@ -60,3 +60,14 @@ def test_common_words_pair_in_large_documents(spark):
     one = {tuple(r) for r in B.align(rows, t, ["rus", "eng"]).collect()}
     two = {tuple(r) for r in B.align(rows, t, ["rus", "eng"], large=1, heavy=50, block=7).collect()}
     assert len(one) >= 300 and one == two
+
+
+def test_left_over_merges_of_large_documents(spark):
+    c, g = tables(spark)
+    t = B.learn(c, g, "kaz", ["rus", "eng"])
+    a, b, d = "альфа бравая гамова дельфа эпсило", "йотова каппен", "лямбен мюнова нюансы ксилон омикра"
+    rows = [(1, "", 1, 0, a), (1, "", 2, 1, f"{b} {d}"), (1, "", 3, 9, "сигмен таурас"), (1, "rus", 1, 0, f"{a} {b}"), (1, "rus", 2, 1, d), (1, "rus", 3, 9, "фимова хивани")]
+    rows = spark.createDataFrame(rows, "doc long, side string, key long, pos long, text string")
+    one = {tuple(r) for r in B.align(rows, t, ["rus", "eng"]).collect()}
+    two = {tuple(r) for r in B.align(rows, t, ["rus", "eng"], large=1).collect()}
+    assert one == two == {("rus", 1, 1), ("rus", 2, 2), ("rus", 2, 1)}
