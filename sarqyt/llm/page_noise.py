@@ -1,12 +1,13 @@
 """Problem 1: traces of scanned pages (words broken by line ends, misread letters, running headers, page numbers).
 
-1. All words of all texts are counted per language (partial counts per Arrow batch first).
+1. All words of all texts are counted per language, and the distinct texts they are in (partial counts per Arrow batch
+   first).
 2. The words seen often are the vocabulary. It is kept as sorted arrays, which are tries: a node is a range of words
    with a common prefix. For every counted word an automaton is run over the trie that accepts exactly the words within a
    given cost of it: a Levenshtein automaton whose cheap edits are the known misreadings (one letter for another, one
    for two, two for one) and which allows one general edit where the word has a digit or sign inside, so it cannot be a
-   word. The search returns every such vocabulary word. A word is a misreading if one of them is ``RATIO`` times as
-   frequent as itself. The vocabulary goes to the workers in shards of bounded size, one after another.
+   word. The search returns every such vocabulary word. A word is a misreading if one of them occurs ``RATIO``
+   times as often as there are distinct texts with it (``RATIOS`` for the rarest words). The vocabulary goes to the workers in shards of bounded size, one after another.
 3. Every text is read once more: its page furniture is cut out, broken words are joined, misreadings looked up (a bitmap
    of fixed size first, then an exact join), and candidates ranked by frequency, cost and the word before (its
    bigrams are counted for the candidates in question only).
@@ -33,6 +34,7 @@ from sarqyt.session import bitmap, cut, in_bitmap, spread
 
 OFTEN = 5
 RATIO = 20
+RATIOS = {1: 5, 2: 10, 3: 15}  # of words in so few texts
 SHARD = 200_000
 BITS = 24
 
@@ -142,24 +144,33 @@ def texts(extractions: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``(lang, word, n)`` over all texts."""
+    """``(lang, word, n, texts)``: how often a word occurs, and in how many distinct texts, which copies do not raise."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, Counter] = {}
+        totals: dict[str, tuple[Counter, Counter]] = {}
 
         def out() -> pa.RecordBatch:
-            flat = [(lang, w, n) for lang, c in totals.items() for w, n in c.items() if not w.isdigit()]
+            flat = [(lang, w, n, d[w]) for lang, (c, d) in totals.items() for w, n in c.items() if not w.isdigit()]
             totals.clear()
-            return pa.RecordBatch.from_arrays([pa.array([x[j] for x in flat], t) for j, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([x[j] for x in flat], t) for j, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], ["lang", "word", "n", "texts"])
 
         for b in batches:
-            for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                totals.setdefault(lang, Counter()).update(WORD.findall(t.lower()))
-            if sum(map(len, totals.values())) > 300_000:
+            for lang, t, copies in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                c, d = totals.setdefault(lang, (Counter(), Counter()))
+                ws = WORD.findall(t.lower())
+                c.update(ws if copies == 1 else {w: n * copies for w, n in Counter(ws).items()})
+                d.update(set(ws))
+            if sum(len(c) for c, _ in totals.values()) > 300_000:
                 yield out()
         yield out()
 
-    return rows.select("lang", "text").mapInArrow(go, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    once = rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    return once.select("lang", "text", "copies").mapInArrow(go, "lang string, word string, n bigint, texts bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
+
+
+def needed(texts: int) -> int:
+    """How often a word must occur to stand for one of so many distinct texts."""
+    return texts * RATIOS.get(texts, RATIO)
 
 
 def _search(words: DataFrame, trie_rows: pa.Table) -> DataFrame:
@@ -178,14 +189,14 @@ def _search(words: DataFrame, trie_rows: pa.Table) -> DataFrame:
             rows = []
             for lang, w, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 trie = tries.get(lang)
-                if trie is None or n * RATIO > top[lang]:
+                if trie is None or needed(n) > top[lang]:
                     continue
                 odd = not _letters(w)
                 hits = trie.within(w, MISREAD_CYRILLIC if cyrillic(lang) else MISREAD_LATIN, 2, odd)
                 good = []
                 for v, cost in hits.items():
                     m = trie.counts[bisect_left(trie.words, v)]
-                    if v != w and m >= n * RATIO:
+                    if v != w and m >= needed(n):
                         good.append({"word": v, "cost": cost, "n": m})
                 if good:
                     rows.append((lang, w, good))
@@ -204,7 +215,7 @@ def misreadings(counts: DataFrame) -> DataFrame:
     out = None
     for i in range(shards):
         part = vocabulary.where(F.pmod(F.xxhash64("word"), F.lit(shards)) == i).toArrow()
-        got = _search(words, part)
+        got = _search(words.select("lang", "word", "texts"), part)
         out = got if out is None else out.unionByName(got)
     return out.groupBy("lang", "word").agg(F.flatten(F.collect_list("right")).alias("right")) if shards > 1 else out
 

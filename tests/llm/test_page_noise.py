@@ -45,3 +45,11 @@ def test_trie_is_complete():
 def test_empty_tables(spark):
     e, c = run(spark, [])
     assert P.found(e.limit(0), c).count() == 0
+
+
+def test_copies_and_rare_words(spark):
+    names = [f"участок Тайсербел номер {'абвгд'[i]}{'ежзик'[i]}{'лмнор'[i]}" for i in range(5)]
+    e, c = run(spark, names + ["показатепь вырос"] * 40 + ["участок Тайсербеп закрыт"], [])
+    good = spark.createDataFrame([(2000 + i, "2020_Report_000001_RUS.md", f"показатель {chr(1072 + i)}{chr(1073 + i)}", "x") for i in range(20)], E_DDL)
+    got = {r.rec_id for r in P.found(e.unionByName(good), c).collect() if r.rec_id < 1000}
+    assert got == set(range(5, 46))
