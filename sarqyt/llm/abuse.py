@@ -66,7 +66,7 @@ def _bucket(s: str) -> int:
 
 def letter_runs(w: str) -> list[int]:
     s = f"<{w}>"
-    return [_bucket(s[i : i + k]) for k in (3, 4) for i in range(len(s) - k + 1)][:60] or [_bucket(s)]
+    return [_bucket(s[i : i + k]) for k in (3, 4) for i in range(len(s) - k + 1)] or [_bucket(s)]
 
 
 class Vocabulary:

@@ -71,3 +71,9 @@ def test_frames(spark):
     assert A.scored(d.drop("score"), labels.limit(0)).where("flagged").count() == 0
     rates = {r.source: r.documents for r in A.rates(d.drop("score"), labels).collect()}
     assert rates == {"s": 62, None: 1}
+
+
+def test_every_letter_of_a_long_word_counts():
+    w = "".join(chr(97 + i % 26) + chr(97 + i // 26) for i in range(100))
+    assert len(A.letter_runs(w)) == 2 * len(w) - 1
+    assert A.letter_runs(w + "скотина")[-5:] != A.letter_runs(w + "картина")[-5:]
