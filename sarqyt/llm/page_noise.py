@@ -140,7 +140,7 @@ def texts(extractions: DataFrame, corpus: DataFrame) -> DataFrame:
     """``(field, rec_id, lang, text)`` of the fields with traces of pages."""
     one = extractions.select(F.lit("text_only").alias("field"), F.col("extract_id").alias("rec_id"), F.lower(F.regexp_extract("filename", r"_([A-Z]{3})\.md$", 1)).alias("lang"), F.col("text_only").alias("text"))
     two = corpus.select(F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col("row_id").alias("rec_id"), F.lit(c).alias("lang"), F.col(c).alias("text")) for c in ("kaz", "rus")))).alias("x")).select("x.*")
-    return spread(one, "rec_id").unionByName(spread(two, "rec_id")).where("text IS NOT NULL AND text <> ''")
+    return spread(one, "rec_id").unionByName(spread(two, "rec_id")).where("text IS NOT NULL")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:

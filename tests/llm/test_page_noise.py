@@ -53,3 +53,10 @@ def test_copies_and_rare_words(spark):
     good = spark.createDataFrame([(2000 + i, "2020_Report_000001_RUS.md", f"показатель {chr(1072 + i)}{chr(1073 + i)}", "x") for i in range(20)], E_DDL)
     got = {r.rec_id for r in P.found(e.unionByName(good), c).collect() if r.rec_id < 1000}
     assert got == set(range(5, 46))
+
+
+def test_empty_texts_stay(spark):
+    e, c = run(spark, ["", "план вырос"], [""])
+    got = {(r.field, r.rec_id): r.text for r in P.repaired(e, c).collect()}
+    assert got["text_only", 0] == "" and got["rus", 0] == "" and got["text_only", 1] == "план вырос"
+    assert not {("text_only", 0), ("rus", 0)} & {(r.field, r.rec_id) for r in P.found(e, c).collect()}
