@@ -4,11 +4,12 @@ Each text is measured in tokens of a public tokenizer (its file is a parameter).
 full containers first, the rest is an item like any other. Items are packed best-fit, largest first, in each partition;
 containers that are nearly full leave. The others become items themselves (a container's contents move as one) and are
 packed again in a tree of fewer and fewer partitions, each of at most ``TASK_ITEMS`` items, until one partition is left
-or nothing merges any more.
+or two rounds on, dealt anew each time, nothing has merged any more.
 
 What moves between rounds is numbers (id, piece, tokens), never text, and the contents of one container, which its
-capacity bounds. Rounds are checkpointed. The result is the same whatever happens to executors: partitioning is by hash
-and order within it by size and name.
+capacity bounds. Rounds are checkpointed. The result is the same whatever happens to executors and however the files
+are laid out: items are named by what they are, partitioning is by hash of the name and the round, and order within a
+partition by size and name.
 
 Defined results: null and empty texts have no tokens but are items of size 0, packed like others at the cost of one token;
 a text of exactly the capacity fills a container; rows with the same id are items of their own.
@@ -22,18 +23,19 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sarqyt.session import cut, spread
 
 CAPACITY = 2048
-TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the public pre-tokenisation pattern of byte-level BPE
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEARLY_FULL = 0.98
 TASK_ITEMS = 200_000
 SHRINK = 8
+EQUAL = 10_000
 
 MEMBERS = pa.list_(pa.struct([("id", pa.int64()), ("piece", pa.int32()), ("tokens", pa.int32())]))
 BINS = pa.schema([("bin", pa.string()), ("size", pa.int32()), ("members", MEMBERS)])
@@ -60,11 +62,13 @@ def counter(path: str):
     return lambda texts: [len(x) for x in sp.encode(texts, num_threads=1)]
 
 
-def sizes(df: DataFrame, key: str, text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
-    """``(id, tokens)`` of every row."""
+def sizes(df: DataFrame, key: str, text: str = "text", *, tokenizer: str) -> DataFrame:
+    """``(id, tokens)`` of every row. The tokenizer's file is sent along with the job."""
+    df.sparkSession.sparkContext.addFile(tokenizer)
+    name = Path(tokenizer).name
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(tokenizer)
+        count = counter(SparkFiles.get(name))
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             out: list[int] = []
@@ -109,31 +113,37 @@ def _pack(bins: DataFrame, capacity: int) -> DataFrame:
     return bins.mapInArrow(go, DDL)
 
 
-def containers(df: DataFrame, key: str, text: str = "text", capacity: int = CAPACITY, tokenizer: str = TOKENIZER, nearly_full: float = NEARLY_FULL, task_items: int = TASK_ITEMS) -> DataFrame:
-    """``(key, piece, tokens, container)``: the container of every row, by piece where a row is larger than one."""
-    item = sizes(df, key, text, tokenizer).withColumn("n", F.monotonically_increasing_id())
+def _items(item: DataFrame, capacity: int) -> DataFrame:
+    """The pieces of (id, tokens) as containers of one item each, by the name (id, tokens, which of the equal ones, piece)."""
+    # equal rows are told apart by number; thousands of them at a time, so that a hot one makes no giant row
+    equal = item.groupBy("id", "tokens").agg(F.count(F.lit(1)).alias("n"))
+    equal = equal.select("id", "tokens", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / EQUAL))).alias("k"))
+    equal = equal.select("id", "tokens", F.explode(F.sequence(F.col("k") * EQUAL, F.least(F.col("n"), (F.col("k") + 1) * EQUAL) - 1)).alias("nth"))
     whole = F.floor(F.greatest(F.col("tokens") - 1, F.lit(0)) / capacity).cast("int")
     piece = F.explode(F.transform(F.sequence(F.lit(0), whole), lambda i: F.struct(i.cast("int").alias("piece"), F.least(F.lit(capacity), F.col("tokens") - i * capacity).cast("int").alias("tokens"))))
-    # the name of an item is its id, the place of its row and the piece; rows are fixed by the first checkpoint
-    items = item.select("id", "n", piece.alias("p")).select(F.format_string("%020d-%d-%06d", "id", "n", "p.piece").alias("bin"), F.col("p.tokens").alias("size"), F.array(F.struct("id", F.col("p.piece").alias("piece"), F.col("p.tokens").alias("tokens"))).alias("members"))
-    bins = cut(items)
+    name = F.format_string("%020d-%d-%d-%06d", F.coalesce("id", F.lit(-1)), "tokens", "nth", "p.piece")
+    return equal.select("id", "tokens", "nth", piece.alias("p")).select(name.alias("bin"), F.col("p.tokens").alias("size"), F.array(F.struct("id", F.col("p.piece").alias("piece"), F.col("p.tokens").alias("tokens"))).alias("members"))
+
+
+def containers(df: DataFrame, key: str, text: str = "text", *, tokenizer: str, capacity: int = CAPACITY, nearly_full: float = NEARLY_FULL, task_items: int = TASK_ITEMS) -> DataFrame:
+    """``(key, piece, tokens, container)``: the container of every row, by piece where a row is larger than one."""
+    bins = cut(_items(sizes(df, key, text, tokenizer=tokenizer), capacity))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    left, full = bins.count(), []
+    left, full, idle, turn = bins.count(), [], 0, 0
     parts = max(cores, -(-left // task_items))
+    closed = F.col("size") >= capacity * nearly_full
     while left:
-        packed = cut(_pack(bins.repartition(parts, "bin"), capacity))
-        last = parts == 1
-        closed = F.col("size") >= capacity * nearly_full
+        # the round is part of the hash, so bins that were together part and meet others
+        turn += 1
+        packed = cut(_pack(bins.repartition(parts, F.xxhash64("bin", F.lit(turn))), capacity))
         now = packed.where(~closed).count()
-        if last or now == left:
+        idle = idle + 1 if now == left else 0
+        if parts == 1 or idle == 2:
             full.append(packed)
             break
         full.append(packed.where(closed))
         bins, left = packed.where(~closed), now
         parts = max(1, min(parts // SHRINK, parts - 1), -(-left // task_items))
-        if parts > 1 and now and -(-left // task_items) == parts and len(full) > 12:
-            full.append(bins)
-            break
     if not full:
         full = [bins]
     out = full[0]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sarqyt.llm import abuse, bilingual, garbled, leaks, lookalikes, near_duplicates, packing, page_noise, sentence_ends, site_lines
 from sarqyt.sources.tables import table
 
+# where the vocabulary files of public tokenizers lie
+TOKENIZERS = os.environ.get("SARQYT_TOKENIZERS", "/opt/tokenizers")
+TOKENIZER = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -36,8 +40,8 @@ def queries() -> dict[str, Query]:
         "p6_units": lambda s, d: sentence_ends.units(*_tables(s, d, *cut)),
         "p7_found": lambda s, d: near_duplicates.found(table(s, d, "aligned_corpus"), "row_id"),
         "p7_groups": lambda s, d: near_duplicates.groups(table(s, d, "aligned_corpus"), "row_id"),
-        "p8_containers": lambda s, d: packing.containers(table(s, d, "documents"), "doc_id"),
-        "p8_fill": lambda s, d: packing.fill(packing.containers(table(s, d, "documents"), "doc_id")),
+        "p8_containers": lambda s, d: packing.containers(table(s, d, "documents"), "doc_id", tokenizer=TOKENIZER),
+        "p8_fill": lambda s, d: packing.fill(packing.containers(table(s, d, "documents"), "doc_id", tokenizer=TOKENIZER)),
         "p9_found": lambda s, d: leaks.found(*_tables(s, d, "documents", "benchmark_items")),
         "p9_leaks": lambda s, d: leaks.leaks(*_tables(s, d, "documents", "benchmark_items"), "doc_id", "item_id"),
         "p10_found": lambda s, d: abuse.found(*_tables(s, d, *rated)),

@@ -5,8 +5,11 @@ Within a collection the lines of each file form a path; all paths together are a
 with high support are kept, joined by the edges that are as well supported, and the connected components are the
 boilerplate blocks. Every occurrence of a kept line is removed.
 
-Lines are the same if they differ only in case, digits, spacing, punctuation and symbols. A row may hold several lines
-(line breaks inside the text): each is a node, and the row is an occurrence if all its lines with letters are kept.
+Which rows are boilerplate is decided by the support of the nodes alone, as the statement of the problem fixes it; the
+edges say which lines make up one block, and every occurrence carries its block.
+
+Lines are the same if they differ only in case, digits, spacing, punctuation and symbols. A row is one line, line breaks
+inside its text being spacing.
 
 Scale: first distinct (collection, line, file) by partial aggregation, so a line that fills a third of all rows
 shrinks to one row per file and task before the shuffle. A kept line fills at least a fixed share of the files of its
@@ -22,10 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sarqyt.operators.components import connected_components
-from sarqyt.session import cut
+from sarqyt.session import broadcast_if, cut
 
 LEAST_FILES = 4
 LEAST_SHARE = 5  # one file in so many
+MOST_BROADCAST = 200_000
 
 
 def line_key(text: Column) -> Column:
@@ -51,10 +55,12 @@ def blocks(df: DataFrame, key: str, least_files: int = LEAST_FILES, least_share:
     """``(collection, line, files, block)``: the kept lines and the block (smallest line number in it) of each."""
     rows = _keyed(df, key)
     kept = cut(_kept(rows, least_files, least_share))
-    # only rows of kept lines can be ends of kept edges, so the window runs over those and gaps are seen by position
+    # only rows of kept lines can be ends of kept edges, so the window runs over these alone; two of them are consecutive
+    # if nothing stands between their places
     w = Window.partitionBy("c", "source_file").orderBy("sentence_idx", key)
-    path = rows.where("source_file IS NOT NULL").select("c", "source_file", "line", F.lead("line").over(w).alias("next"))
-    edge = path.where("line <> '' AND next <> '' AND line <> next").select("c", "line", "next", "source_file").distinct().groupBy("c", "line", "next").agg(F.count(F.lit(1)).alias("files"))
+    own = rows.where("source_file IS NOT NULL AND sentence_idx IS NOT NULL").join(broadcast_if(kept.select("c", "line"), MOST_BROADCAST), ["c", "line"])
+    path = own.select("c", "source_file", "line", "sentence_idx", F.lead("line").over(w).alias("next"), F.lead("sentence_idx").over(w).alias("then"))
+    edge = path.where("then - sentence_idx <= 1 AND line <> next").select("c", "line", "next", "source_file").distinct().groupBy("c", "line", "next").agg(F.count(F.lit(1)).alias("files"))
     kept_id = kept.withColumn("node", F.xxhash64("c", "line"))
     ends = kept_id.select("c", "line", F.col("node").alias("u"), "total")
     strong = (
@@ -68,15 +74,16 @@ def blocks(df: DataFrame, key: str, least_files: int = LEAST_FILES, least_share:
     return out.select(F.when(F.col("c") != "\x00", F.col("c")).alias("collection"), "line", "files", "block")
 
 
-def _marked(df: DataFrame, key: str) -> DataFrame:
+def occurrences(df: DataFrame, key: str) -> DataFrame:
+    """``(key, block)`` of every row whose line is in a boilerplate block."""
     rows = _keyed(df, key).where("line <> ''").select(key, "c", "line")
-    found_blocks = blocks(df, key).select(F.coalesce("collection", F.lit("\x00")).alias("c"), "line", "block")
-    return rows.join(found_blocks, ["c", "line"]).select(key, "block")
+    kept = cut(blocks(df, key).select(F.coalesce("collection", F.lit("\x00")).alias("c"), "line", "block"))
+    return rows.join(broadcast_if(kept, MOST_BROADCAST), ["c", "line"]).select(key, "block")
 
 
 def found(df: DataFrame, key: str) -> DataFrame:
     """Keys of all rows whose line is in a boilerplate block."""
-    return _marked(df, key).select(key).distinct()
+    return occurrences(df, key).select(key).distinct()
 
 
 def cleaned(df: DataFrame, key: str) -> DataFrame:
