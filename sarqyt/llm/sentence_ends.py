@@ -1,12 +1,19 @@
 """Problem 6: sentence boundaries across languages and scripts.
 
-A hidden-event n-gram model: between words there may stand a boundary event. Where a mark could close a sentence, the
-word before it, the mark and the kind of word after it are counted over all texts (a bounded table). How often a word
-with its mark is the last of its text, against how often ordinary words are, and what follows it otherwise, gives the
-probability of an event after it, by iteration; the kinds of words that open texts give what follows an event. Counts of
-how often a word opens or closes a text, and of whole lines that recur, decide where no mark stands (rows that were cut,
-lines without periods). Forward-backward over the candidates of a paragraph gives each its posterior; those above one
-half end a sentence.
+A hidden-event n-gram model: after every word (in scripts without spaces: every character) there may stand a boundary
+token. Counts over all texts give the n-grams around it:
+
+* how often a word is the last, or the first, of a sentence; how often two words stand next to each other inside one;
+* where a mark could close a sentence, the word before it, the mark and the kind of word after it. How often such a word
+  with its mark is the last of its text, against how often ordinary words are, and what follows it otherwise, gives the
+  probability of a boundary after it, by iteration;
+* how many words sentences have: the boundary token's own history, which makes neighbouring events depend on each other;
+* whole lines that recur, which are units without a mark.
+
+A paragraph (and the break to the next row) is one sequence. Its hidden states are the number of words since the last
+boundary, in one of two styles: punctuated, where a boundary without a mark is next to impossible, and unpunctuated, where
+none has marks. Forward-backward over all gaps gives each its posterior; those above one half end a sentence. So a text
+without any marks is cut by its words and lengths, and in ordinary text a mark after an abbreviation must fit its neighbours.
 
 Inside matching quotation marks or brackets nothing ends, and what follows the closing one in lower case or after a dash
 belongs to the same sentence. Headings and list items on a line of their own are units; other line ends are space.
@@ -22,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +40,17 @@ MARK = re.compile(r"(?:\.{2,}|[.!?…]+|[。！？]+)[»”\"’')\]）」』]*"
 ITEM = re.compile(r"[ \t]*(?:#{1,6}[ \t]|[-–—•*‣·][ \t]|\d{1,3}[.)][ \t])")
 PAIRS = {"«": "»", "“": "”", "(": ")", "[": "]", "（": "）", "「": "」", "『": "』", "„": "“"}
 WIDE = "。！？"
-KINDS = ["end", "low", "cap", "init", "num", "dash", "open", "other"]
+KINDS = ["end", "low", "cap", "init", "num", "dash", "open", "other", "wide"]
+WIDE_SCRIPT = "\u3040-\u30ff\u3400-\u9fff"
+WIDE_LETTER = re.compile(f"[{WIDE_SCRIPT}]")
+WIDE_TOKEN = re.compile(rf"[{WIDE_SCRIPT}](?:[^\w\s]+(?=\s|$))?|[^\s{WIDE_SCRIPT}]+")
+LENGTHS, MEAN_LENGTH = 40, 16
+# prior odds: that a text has no marks at its boundaries, that a boundary of a text with marks has none, that one of a
+# text without has one; and how surely these marks alone close a sentence
+PRIOR_BARE, BARE, MARKED = np.log(1e-3), np.log(1e-5), np.log(1e-3)
+SURE = {"w": 0.99, "!": 0.97, "…": 0.97, "q": 0.5}
+BREAK = "break"  # the source of the counts of marks at the end of a row that has a next one
+CLOSE, OPEN = 0.05, 0.15  # of words too rare to be counted
 SHORT = 6
 WORD = re.compile(r"[^\W_]+")
 
@@ -84,6 +102,8 @@ def right_kind(after: str) -> str:
         return "init" if re.match(r"\w\.(?:\s|\w\.)", s) else "cap"
     if c.islower():
         return "low"
+    if WIDE_LETTER.match(c):
+        return "wide"
     return "cap" if c.isalpha() else "other"
 
 
@@ -158,11 +178,19 @@ def candidates(p: str, after: str) -> list[tuple[int, str, str, str, str]]:
         mark = "." if core == "." else "w" if core[0] in WIDE else "…" if core[0] in ".…" else "!"
         if len(core) < len(m[0]) and cover(first):
             mark += "q"  # the mark was inside the quotation that closes here
-        word = WORD.search(rest[:60])
-        out.append((end, left_type(p[max(0, first - 40) : first]), mark, kind, word[0].lower() if word else ""))
+        word = WORD.search(rest)
+        out.append((end, left_type(_before(p, first)), mark, kind, word[0].lower() if word else ""))
     return out
 
 
+def _before(p: str, end: int) -> str:
+    """What stands before a mark up to the last space."""
+    i = end
+    while i and not p[i - 1].isspace() and not WIDE_LETTER.match(p[i - 1]):
+        i -= 1
+    return p[i:end]
+
+
 def line_key(t: str) -> str:
     return "".join(c for c in t.lower() if c.isalpha())
 
@@ -170,22 +198,151 @@ def line_key(t: str) -> str:
 CLOSED = re.compile(r"[.!?…。！？][»”\"’')\]）]*\s*$")
 
 
+class Chunks:
+    """What stands between spaces, as numbers: the hash of its first and last word, its kind, and how many quotation marks
+    or brackets it opens more than it closes. The memory of a worker is bounded: it starts anew when it is full."""
+
+    def __init__(self, model: Model | None = None, most: int = 300_000) -> None:
+        self.model, self.most = model, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.first: list[str] = []
+        self.last: list[str] = []
+        size = 1024
+        self.hash = np.zeros((size, 2), np.uint64)
+        self.kind, self.net = np.zeros(size, np.int8), np.zeros(size, np.int16)
+        self.odds = np.zeros((size, 2), np.float32)
+
+    def add(self, c: str) -> int:
+        i = self.ids[c] = len(self.first)
+        if i == len(self.kind):
+            self.hash, self.odds = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hash, self.odds))
+            self.kind, self.net = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kind, self.net))
+        w = WORD.findall(c.lower())
+        first, last = (w[0], w[-1]) if w else ("", "")
+        self.first.append(first)
+        self.last.append(last)
+        self.hash[i] = xxhash.xxh3_64_intdigest(first), xxhash.xxh3_64_intdigest(last)
+        self.kind[i] = KINDS.index(right_kind(c + " "))
+        self.net[i] = sum(x in PAIRS for x in c) - sum(x in CLOSING for x in c)
+        if self.model:
+            self.odds[i] = self.model.opening(first), self.model.closing(last)
+        return i
+
+    def sequence(self, p: str, c: list[tuple[int, str, str, str, str]]) -> tuple[list[int], list[int]]:
+        """The chunks of a piece as numbers, and after which of them its candidates stand."""
+        ids, at, prev = [], [], 0
+        get, wide = self.ids.get, WIDE_LETTER.search(p)
+        for end in [x[0] for x in c] + [len(p)]:
+            seg = p[prev:end]
+            for x in WIDE_TOKEN.findall(seg) if wide else seg.split():
+                i = get(x)
+                ids.append(self.add(x) if i is None else i)
+            at.append(len(ids) - 1)
+            prev = end
+        return ids, at[:-1]
+
+
+CLOSING = set(PAIRS.values()) - set(PAIRS)
+
+
+def token_ends(p: str, c: list[tuple[int, str, str, str, str]]) -> list[int]:
+    """Where the chunks of ``Chunks.sequence`` end."""
+    token = WIDE_TOKEN if WIDE_LETTER.search(p) else re.compile(r"\S+")
+    out, prev = [], 0
+    for end in [x[0] for x in c] + [len(p)]:
+        out += [prev + m.end() for m in token.finditer(p[prev:end])]
+        prev = end
+    return out
+
+
+def _logit(x):
+    return np.log(x) - np.log1p(-np.asarray(x))
+
+
+def posteriors(sequences: list[tuple[np.ndarray, np.ndarray]], hazard: np.ndarray) -> list[np.ndarray]:
+    """For sequences of evidence (log of how much likelier what is seen at each gap is after a boundary than without one; in
+    the punctuated style and in the other), the posterior of a boundary at each gap, by forward-backward. States are the
+    number of words since the last boundary; ``hazard`` is the chance of a boundary after so many."""
+    out: list[np.ndarray] = [np.empty(0)] * len(sequences)
+    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i][0]))
+    k = 0
+    while k < len(order):
+        size = len(sequences[order[k]][0])
+        group = order[k : k + max(1, min(4096, 400_000 // max(1, size)))]
+        k += len(group)
+        n, length = len(group), np.array([len(sequences[g][0]) for g in group])
+        see = np.zeros((size, n, 2), np.float32)
+        for r, g in enumerate(group):
+            see[: length[r], r, 0], see[: length[r], r, 1] = sequences[g]
+        see = np.exp(np.clip(see, -30, 30))
+        live = np.searchsorted(-length, -np.arange(size), "left")  # rows with a gap at each place; the longest come first
+        state = np.zeros((n, 2, len(hazard)), np.float32)
+        state[:, 0, 0], state[:, 1, 0] = 1, np.exp(PRIOR_BARE)
+        cut_here, scale = np.zeros((size, n, 2), np.float32), np.ones((size, n), np.float32)
+        for i in range(size):
+            m = live[i]
+            a = state[:m]
+            ends = a * hazard
+            mass = ends.sum(axis=2) * see[i, :m]
+            a -= ends
+            rest = a[:, :, -1].copy()
+            a[:, :, 1:] = a[:, :, :-1]
+            a[:, :, -1] += rest
+            a[:, :, 0] = mass
+            z = a.sum(axis=(1, 2))
+            a /= z[:, None, None]
+            cut_here[i, :m], scale[i, :m] = mass / z[:, None], z
+        back = np.ones((n, 2, len(hazard)), np.float32)
+        post = np.zeros((size, n), np.float32)
+        for i in range(size - 1, -1, -1):
+            m = live[i]
+            b = back[:m]
+            post[i, :m] = (cut_here[i, :m] * b[:, :, 0]).sum(axis=1)
+            new = (b[:, :, :1] * see[i, :m, :, None]) * hazard
+            new[:, :, :-1] += b[:, :, 1:] * (1 - hazard[:-1])
+            new[:, :, -1] += b[:, :, -1] * (1 - hazard[-1])
+            back[:m] = new / scale[i, :m, None, None]
+        for r, g in enumerate(group):
+            out[g] = post[: length[r], r]
+    return out
+
+
 class Model:
-    """Boundary events given their neighbours. ``types`` counts (source, left, mark, right) over all texts; ``starts`` the
-    kinds of words that open paragraphs and rows; ``opens`` and ``closes`` how often a word does; ``lines`` the lines
-    without a mark that occur again and again, which are units of their own."""
+    """Boundary events given their neighbours. ``types`` counts (source, left, mark, right) over all texts; ``starts`` and
+    ``inside`` the kinds of words that open sentences and that stand inside; ``opens`` and ``closes`` how often a word does;
+    ``lines`` the lines without a mark that occur again and again, which are units of their own; ``lengths`` the words of
+    sentences; ``pairs`` hashes of two neighbouring words and how much likelier the second is after the first."""
 
-    def __init__(self, types: dict[tuple[str, str, str, str], int], starts: dict[str, int], opens: dict[str, float], closes: dict[str, float], lines: set[str]) -> None:
+    def __init__(self, types: dict[tuple[str, str, str, str], int], starts: dict[str, int], opens: dict[str, float], closes: dict[str, float], lines: set[str], inside: dict[str, int] | None = None, lengths: dict[int, int] | None = None, pairs: tuple[np.ndarray, np.ndarray] | None = None) -> None:
         self.opens, self.closes, self.lines = opens, closes, lines
-        k = {x: i for i, x in enumerate(KINDS)}
         total = sum(starts.values()) + 100
-        first = np.array([0.0, 0.3, 60, 3, 10, 0.3, 20, 2])
+        first = np.array([0.0, 0.3, 60, 3, 10, 0.3, 20, 2, 5])
         self.after = (np.array([starts.get(x, 0) for x in KINDS], float) + first) / total
-        self.other = np.array([0.001, 0.75, 0.03, 0.04, 0.12, 0.03, 0.02, 0.01])
+        inner = np.array([(inside or {}).get(x, 0) for x in KINDS], float)
+        usual = np.array([0.001, 0.75, 0.03, 0.04, 0.12, 0.03, 0.02, 0.01, 0.01])
+        # what follows a mark inside a sentence: as inside sentences in general, but not too surely
+        self.other = (inner / max(1.0, inner.sum()) * 100 + usual * 100) / 200 if inner.sum() else usual
+        # sentences of any length up to 30 words are likely before any were seen
+        h = np.where((np.arange(LENGTHS) > 0) & (np.arange(LENGTHS) < 30), 1.0, 0.1)
+        for k, n in (lengths or {}).items():
+            h[min(k, LENGTHS) - 1] += n
+        h = np.convolve(h, [0.1, 0.2, 0.4, 0.2, 0.1], "same")
+        # lengths are worth half their evidence: they say less than the words do
+        h = np.sqrt(h / np.cumsum(h[::-1])[::-1])
+        self.hazard = np.minimum(h * (np.sqrt(1 / MEAN_LENGTH)), 0.3).astype(np.float32)
+        self.rate = float(_logit(1 / MEAN_LENGTH))
+        self.pairs = pairs or (np.empty(0, np.uint64), np.empty(0, np.float32))
         # the share of boundaries that are the last of their text, per source, from the words that are no abbreviations
         plain: dict[str, list[float]] = {}
         by: dict[tuple[str, str], list[tuple[str, str, int]]] = {}
+        breaks: dict[tuple[str, str], dict[str, int]] = {}
         for (src, l, m, r), n in types.items():
+            if src == BREAK:
+                breaks.setdefault((l, m), {})[r] = n
+                continue
             by.setdefault((l, m), []).append((src, r, n))
             if l == "w" and m == ".":
                 x = plain.setdefault(src, [0.5, 1.0])
@@ -199,149 +356,254 @@ class Model:
             # iterate: what is certainly inside a sentence does not count as a chance to end
             t = min(1.0, (ends + 0.02) / max(expected, 0.02))
             for _ in range(5):
-                inside = sum(n * (1 - self._post(t, r)) for _, r, n in rows if r != "end")
+                inner_n = sum(n * (1 - self._post(t, r)) for _, r, n in rows if r != "end")
                 every = sum(n for *_, n in rows)
-                t = 0.5 * t + 0.5 * (every - inside) / max(every, 1e-9) if t > 0.2 else t
+                t = 0.5 * t + 0.5 * (every - inner_n) / max(every, 1e-9) if t > 0.2 else t
             self.theta[key] = float(np.clip(t, 0.003, 0.997))
 
+        self.broken = {(l, m, r): (n, sum(x.values()) * float(self.after[KINDS.index(r)])) for (l, m), x in breaks.items() for r, n in x.items()}
+
     def _post(self, t: float, right: str) -> float:
         i = KINDS.index(right)
+        if right == "wide":
+            return t
         a, o = t * self.after[i], (1 - t) * self.other[i]
         return a / (a + o) if a + o else 0.0
 
-    def odds(self, left: str, mark: str, right: str, word: str) -> float:
-        """The posterior of one event from its own neighbours."""
-        if mark.startswith("w"):
-            return 0.02 if mark == "wq" and right != "end" else 0.99
+    def opening(self, word: str) -> float:
+        return float(_logit(np.clip(self.opens.get(word, OPEN), 0.001, 0.999)))
+
+    def closing(self, word: str) -> float:
+        return float(_logit(np.clip(CLOSE if word[-1:].isdigit() else self.closes.get(word, CLOSE), 0.001, 0.999)))
+
+    def marked(self, left: str, mark: str, right: str, word: str, at_break: bool = False) -> float:
+        """The evidence for a boundary at a mark, from its own neighbours."""
+        base = mark.rstrip("q")
+        theta = SURE["q"] if mark.endswith("q") else SURE[base] if base in SURE else self.theta.get((left, mark), self.theta.get(("w", mark), 0.97))
+        e = float(_logit(theta)) - self.rate
         if right == "end":
-            return 0.02 if left in ("#", "I") and not word and self.theta.get((left, mark), 1.0) < 0.05 else 1.0
-        if mark.endswith("q"):
-            # a quotation ends here; the words around it are one sentence unless a new one clearly starts
-            return 0.05 if right in ("low", "dash", "num") else 0.7
-        if mark in ("!", "…") and right in ("low", "dash"):
-            return 0.9 if mark == "!" and right == "low" and self.opens.get(word, 0.0) > 0.2 else 0.02
-        if mark in ("!", "…"):
-            return 0.97
-        if left == "#" and right == "num":
-            return 0.05
-        return self._post(self.theta.get((left, mark), self.theta.get(("w", mark), 0.97)), right)
-
-    def goes_on(self, left: str, right: str) -> bool:
-        """Whether, without a mark, the words left and right stand in one sentence."""
+            return 30.0
+        if right == "wide":
+            # letters without case say nothing; a quotation that is followed by more words of the sentence goes on
+            return e - 6 if mark == "wq" else e
+        i = KINDS.index(right)
+        e += float(np.log(self.after[i] / self.other[i]))
+        if right == "low" and base == "!" and word in self.opens:
+            e += max(0.0, self.opening(word) + 3.0)
+        n, same = self.broken.get((left, mark, right), (0, 0.0))
+        if at_break and n >= 20 and n > 2 * same:
+            # a row that ends in a mark and the kind of word the next one begins with: what is far more than sentences
+            # would begin with stands inside, such as the rest of a number
+            e = min(e, float(np.log(max(same, 0.5) / max(n - same, 0.5))) - self.rate)
+        return e
+
+    def breaks(self, left: str, right: str) -> float:
+        """The evidence for a boundary between a row without a closing mark and the row that follows it."""
         if line_key(left) in self.lines or line_key(right) in self.lines:
-            return False
+            return 30.0
         if left.rstrip()[-1:] in ",;:–—-«“(/":
-            return True
+            return -30.0
         a, b = WORD.findall(left), WORD.match(right.lstrip("«“(\"' "))
         if not a or not b or right == "A":
-            return False
-        closing, opening = self.closes.get(a[-1].lower(), 0.05), self.opens.get(b[0].lower(), 0.15)
-        if a[-1].isdigit():
-            closing = 0.05
-        return closing * opening < (1 - closing) * (1 - opening)
-
-    def events(self, p: str, after: str) -> list[int]:
-        """Ends inside a piece, by forward-backward over its candidates."""
-        c = candidates(p, after)
-        if not c:
-            return []
-        if len(c) == 1:
-            return [c[0][0]] if self.odds(*c[0][1:]) > 0.5 else []
-        x = np.array([self.odds(*y[1:]) for y in c])
-        near = [False] + [len(WORD.findall(p[a[0] : b[0]])) < 2 and b[3] != "end" for a, b in zip(c, c[1:], strict=False)]
-        emit = np.stack([1 - x, x], axis=1)
-        step = [np.array([[1.0, 1.0], [1.0, 0.1 if near[i] else 1.0]]) for i in range(len(c))]
-        f = [emit[0]]
-        for i in range(1, len(c)):
-            v = (f[-1] @ step[i]) * emit[i]
-            f.append(v / max(v.sum(), 1e-300))
-        back = np.ones(2)
-        out = []
-        for i in range(len(c) - 1, -1, -1):
-            post = f[i] * back
-            if post[1] > 0.5 * post.sum():
-                out.append(c[i][0])
-            if i:
-                back = step[i] @ (emit[i] * back)
-                back = back / max(back.sum(), 1e-300)
-        return out[::-1]
-
-    def ends(self, t: str | None, nxt: str | None = None, document: bool = True) -> list[int]:
-        """All sentence ends of a text. In a document the text's end is an end; a row may go on in ``nxt``."""
-        if not t or not t.strip():
-            return []
-        out: set[int] = set()
-        parts = pieces(t)
-        for i, (a, b, line) in enumerate(parts):
-            p = t[a:b].rstrip()
-            last = i == len(parts) - 1
-            if line:
-                if last and nxt and not document and not CLOSED.search(p) and not ITEM.match(nxt) and self.goes_on(p, nxt):
-                    continue
-                out.add(a + len(p))
+            return 30.0
+        # a break is as likely as not the end of a sentence
+        return self.closing(a[-1].lower()) + self.opening(b[0].lower()) - self.rate
+
+    def _evidence(self, table: Chunks, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The evidence at every gap without a mark of the pieces that begin at ``starts`` in ``ids``."""
+        nxt = np.append(ids[1:], ids[-1:])
+        e = table.odds[ids, 1] + table.odds[nxt, 0] - np.float32(self.rate)
+        if len(self.pairs[0]):
+            h = _pair(table.hash[ids, 1], table.hash[nxt, 0])
+            at = np.minimum(np.searchsorted(self.pairs[0], h), len(self.pairs[0]) - 1)
+            e -= np.where(self.pairs[0][at] == h, self.pairs[1][at], np.float32(0))
+        e = np.clip(e, -8, 8)
+        # nothing ends inside quotation marks or brackets that match
+        depth = np.cumsum(table.net[ids].astype(np.int64))
+        before = np.concatenate([[0], depth])[starts]
+        piece = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
+        depth -= before[piece]
+        sound = (np.minimum.reduceat(depth, starts) >= 0) & (depth[np.append(starts[1:], len(ids)) - 1] == 0)
+        e[(depth > 0) & sound[piece]] = -30
+        return e
+
+    def ends_of(self, texts: list[str | None], nexts: list[str | None], documents: list[bool], table: Chunks | None = None) -> list[list[int]]:
+        """All sentence ends of each text. In a document the text's end is an end; a row may go on in the next one."""
+        table = table or Chunks(self)
+        if len(table.first) > table.most:
+            table.clear()
+        out: list[set[int]] = [set() for _ in texts]
+        ids: list[int] = []
+        starts: list[int] = []
+        todo: list[tuple[int, int, str, list, list[int]]] = []
+        marked: list[tuple[int, float]] = []
+        final: list[tuple[int, float]] = []
+        for k, (t, nxt, document) in enumerate(zip(texts, nexts, documents, strict=True)):
+            if not t or not t.strip():
                 continue
-            follow = (nxt or "") if last and not document else ""
-            if follow and not follow[0].isupper() and (ITEM.match(follow) or line_key(follow) in self.lines):
-                follow = "A"  # a line of its own starts anew, however it is written
-            out.update(a + e for e in self.events(p, follow))
-            if last and not document and follow.strip():
-                if CLOSED.search(p):
-                    continue  # decided by its event
-                if self.goes_on(p, follow):
+            parts = pieces(t)
+            for j, (a, b, line) in enumerate(parts):
+                p = t[a:b].rstrip()
+                last = j == len(parts) - 1
+                follow = (nxt or "") if last and not document else ""
+                if line:
+                    if not (follow and not CLOSED.search(p) and not ITEM.match(follow) and self.breaks(p, follow) < self.rate * -1):
+                        out[k].add(a + len(p))
+                    continue
+                if follow and not follow[0].isupper() and (ITEM.match(follow) or line_key(follow) in self.lines):
+                    follow = "A"  # a line of its own starts anew, however it is written
+                c = candidates(p, follow)
+                own, at = table.sequence(p, c)
+                if not own:
+                    out[k].add(a + len(p))
                     continue
-            out.add(a + len(p))
-        return sorted(out)
+                starts.append(len(ids))
+                marked += [(len(ids) + i, self.marked(*x[1:], bool(follow) and x[0] == len(p))) for i, x in zip(at, c, strict=True)]
+                ids += own
+                if not follow.strip():
+                    final.append((len(ids) - 1, 30.0))
+                elif not CLOSED.search(p):
+                    final.append((len(ids) - 1, self.breaks(p, follow)))
+                elif not c or c[-1][0] < len(p):
+                    final.append((len(ids) - 1, 30.0))
+                todo.append((k, a, p, c, at))
+        if ids:
+            flat, begin = np.array(ids, np.int64), np.array(starts, np.int64)
+            bare = self._evidence(table, flat, begin)
+            usual = bare + np.float32(BARE)
+            for i, e in marked:
+                usual[i], bare[i] = e, e + MARKED
+            for i, e in final:
+                usual[i] = bare[i] = e
+            stop = np.append(begin[1:], len(flat))
+            for (k, a, p, c, at), post in zip(todo, posteriors([(usual[x:y], bare[x:y]) for x, y in zip(begin, stop, strict=True)], self.hazard), strict=True):
+                yes = post > 0.5
+                got = {i for i in np.flatnonzero(yes).tolist()}
+                where = dict(zip(at, (x[0] for x in c), strict=True))
+                where[len(post) - 1] = len(p)
+                other = got - where.keys()
+                places = token_ends(p, c) if other else []
+                out[k].update(a + (where[i] if i in where else places[i]) for i in got)
+        return [sorted(x) for x in out]
+
+    def ends(self, t: str | None, nxt: str | None = None, document: bool = True) -> list[int]:
+        return self.ends_of([t], [nxt], [document])[0]
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ b
+        return h ^ (h >> np.uint64(31))
+
+
+COUNTS = pa.schema([("kind", pa.string()), ("k", pa.string()), ("h", pa.int64()), ("g", pa.int64()), ("n", pa.int64()), ("c", pa.int64())])
+RARE = 100_000
+STRETCH = 4096
 
 
 def _learn(rows: DataFrame) -> Model:
-    """From rows (field, text): counts of candidate types, of first words, and of lines without a mark."""
+    """From rows (field, text, nxt): the counts of all n-grams around the hidden events."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Chunks()
         types: Counter = Counter()
         starts: Counter = Counter()
-        words: Counter = Counter()
+        lines: Counter = Counter()
+        inside, lengths = np.zeros(len(KINDS), np.int64), np.zeros(LENGTHS + 1, np.int64)
         opens: Counter = Counter()
         closes: Counter = Counter()
-        lines: Counter = Counter()
+        every: Counter = Counter()
         for b in batches:
-            for field, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            ids: list[int] = []
+            no_gap: list[int] = []  # gaps with a mark, and the ends of pieces
+            first: list[int] = []
+            last: list[int] = []
+            for field, t, nxt in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for a, e, line in pieces(t or ""):
                     p = t[a:e]
-                    if not line:
-                        for c in candidates(p, ""):
-                            types[field, c[1], c[2], c[3]] += 1
-                            if c[3] == "cap" and c[2] != ".":
-                                opens[c[4]] += 1
-                        starts[right_kind(p)] += 1
-                    w = WORD.findall(p.lower())
-                    if w:
-                        words.update(w)
-                        opens[w[0]] += 1
-                        closes[w[-1]] += 1
+                    c = [] if line else candidates(p, "")
+                    own, at = table.sequence(p, c)
+                    if not own:
+                        continue
+                    base, begin = len(ids), 0
+                    ids += own
+                    no_gap += [base + i for i in at]
+                    no_gap.append(len(ids) - 1)
+                    first.append(own[0])
+                    last.append(own[-1])
+                    if line:
+                        continue
+                    starts[right_kind(p)] += 1
+                    for i, x in zip(at, c, strict=True):
+                        types[field, x[1], x[2], x[3]] += 1
+                        if x[2] == "!" and x[3] in ("cap", "init", "num", "open"):
+                            starts[x[3]] += 1
+                        # surely a boundary: a word longer than abbreviations are, a mark, a capital
+                        if x[3] in ("cap", "end", "wide") and (x[2] in ("!", "w") or (x[1] == "w" or len(x[1]) > 4 and x[1].isalpha()) and x[2] == "."):
+                            lengths[min(i + 1 - begin, LENGTHS)] += 1
+                            begin = i + 1
+                            if x[3] != "end":
+                                last.append(own[i])
+                                first += own[i + 1 : i + 2]
+                    if nxt and nxt.strip() and c and x[3] == "end" and e == len(t):
+                        types[BREAK, x[1], x[2], right_kind(nxt)] += 1
                 if t and field == "text" and not CLOSED.search(t):
                     lines[line_key(t)] += 1
-        flat = [("t", "\t".join(k), n, 0, 0) for k, n in types.items()] + [("s", k, n, 0, 0) for k, n in starts.items()] + [("l", k, n, 0, 0) for k, n in lines.items() if k]
-        flat += [("w", w, n, opens[w], closes[w]) for w, n in words.items()]
+            if ids:
+                x = np.array(ids, np.int64)
+                gap = np.ones(len(x), bool)
+                gap[no_gap] = False
+                at = np.flatnonzero(gap)
+                inside += np.bincount(table.kind[x[at + 1]], minlength=len(KINDS))
+                for counter, got in ((every, x), (opens, np.array(first, np.int64)), (closes, np.array(last, np.int64))):
+                    u, n = np.unique(got, return_counts=True)
+                    for i, k in zip(u.tolist(), n.tolist(), strict=True):
+                        if counter is not closes:
+                            counter["f", table.first[i]] += k
+                        if counter is not opens:
+                            counter["l", table.last[i]] += k
+                left, right = table.hash[x[at], 1], table.hash[x[at + 1], 0]
+                _, one, n = np.unique(_pair(left, right), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(["p"] * len(one), pa.string()), pa.nulls(len(one), pa.string()), pa.array(left[one].view(np.int64)), pa.array(right[one].view(np.int64)), pa.array(n), pa.array(np.zeros(len(one), np.int64))], schema=COUNTS)
+            if len(table.first) > table.most:
+                table.clear()
+        flat = [("t", "\t".join(k), n, 0) for k, n in types.items()] + [("s", k, n, 0) for k, n in starts.items()] + [("r", k, n, 0) for k, n in lines.items() if k]
+        flat += [("i", k, n, 0) for k, n in zip(KINDS, inside.tolist(), strict=True)] + [("n", str(k), n, 0) for k, n in enumerate(lengths.tolist()) if n]
+        flat += [(side, w, n, (opens if side == "f" else closes)[side, w]) for (side, w), n in every.items()]
         for i in range(0, len(flat), 50_000):
             part = flat[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], k) for j, k in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["kind", "k", "n", "o", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.string()), pa.array([r[1] for r in part], pa.string()), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), pa.array([r[2] for r in part], pa.int64()), pa.array([r[3] for r in part], pa.int64())], schema=COUNTS)
 
-    got = rows.select("field", "text").mapInArrow(go, "kind string, k string, n bigint, o bigint, c bigint").groupBy("kind", "k").agg(F.sum("n").alias("n"), F.sum("o").alias("o"), F.sum("c").alias("c")).persist()
+    got = cut(rows.select("field", "text", "nxt").mapInArrow(go, "kind string, k string, h bigint, g bigint, n bigint, c bigint").groupBy("kind", "k", "h", "g").agg(F.sum("n").alias("n"), F.sum("c").alias("c")))
     whole = {r["kind"]: r["n"] for r in got.groupBy("kind").agg(F.sum("n").alias("n")).toArrow().to_pylist()}
-    # what is rarer than one in 100,000 shares one default, so at most 100,000 rows of a kind come to the driver
-    need = F.create_map(*(x for k, n in whole.items() for x in (F.lit(k), F.lit(max(1, n // 100_000)))))[F.col("kind")] if whole else F.lit(1)
-    small = got.where((F.col("n") >= need) & (F.col("kind").isin("t", "s") | (F.col("n") >= 3))).toArrow().to_pylist()
-    got.unpersist()
-    of = {k: [r for r in small if r["kind"] == k] for k in "tswl"}
+    # what is rarer than one in 100,000 of its kind shares one default, so at most 100,000 rows of a kind come to the driver
+    need = F.create_map(*(x for k, n in whole.items() for x in (F.lit(k), F.lit(max(1, n // RARE)))))[F.col("kind")] if whole else F.lit(1)
+    small = got.where((F.col("n") >= need) & (F.col("kind").isin("t", "s", "i", "n") | (F.col("n") >= 3))).toArrow()
+    of: dict[str, list[tuple]] = {k: [] for k in "tsrinflp"}
+    for r in zip(*(small[c].to_pylist() for c in ("kind", "k", "h", "g", "n", "c")), strict=True):
+        of[r[0]].append(r[1:])
     return Model(
-        {tuple(r["k"].split("\t")): r["n"] for r in of["t"]},
-        {r["k"]: r["n"] for r in of["s"]},
-        {r["k"]: (r["o"] + 0.3) / (r["n"] + 2) for r in of["w"]},
-        {r["k"]: (r["c"] + 0.1) / (r["n"] + 2) for r in of["w"]},
-        {r["k"] for r in of["l"]},
+        {tuple(k.split("\t")): n for k, _, _, n, _ in of["t"]},
+        {k: n for k, _, _, n, _ in of["s"]},
+        {k: (c + 2 * OPEN) / (n + 2) for k, _, _, n, c in of["f"]},
+        {k: (c + 2 * CLOSE) / (n + 2) for k, _, _, n, c in of["l"]},
+        {k for k, *_ in of["r"]},
+        {k: n for k, _, _, n, _ in of["i"]},
+        {int(k): n for k, _, _, n, _ in of["n"]} or None,
+        _lifts(of, whole.get("p", 1)),
     )
 
 
+def _lifts(of: dict[str, list[tuple]], total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per counted pair of neighbours the log of how much likelier the second word is after the first than anywhere."""
+    count = {side: {xxhash.xxh3_64_intdigest(k): n for k, _, _, n, _ in of[side]} for side in "fl"}
+    rows = [(h % 2**64, g % 2**64, n) for _, h, g, n, _ in of["p"]]
+    rows = [(h, g, np.log(n * max(1, total) / (count["l"][h] * count["f"][g]))) for h, g, n in rows if h in count["l"] and g in count["f"]]
+    key = _pair(np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.uint64))
+    o = np.argsort(key)
+    return key[o], np.clip(np.array([r[2] for r in rows], np.float32)[o], -3, 8)
+
+
 def texts(extractions: DataFrame, sentences: DataFrame, every: bool = False) -> DataFrame:
     """``(field, rec_id, text, nxt)`` of what is to be cut; with ``every`` also the extractions that p6_found leaves out."""
     one = extractions.where("text_only IS NOT NULL")
@@ -349,10 +611,30 @@ def texts(extractions: DataFrame, sentences: DataFrame, every: bool = False) ->
         bad = cut(garbled.labelled(extractions, "extract_id", garbled.FIELDS).select("extract_id").distinct())
         one = one.where("success AND method = 'pypdf'").join(bad, "extract_id", "left_anti")
     one = one.select(F.lit("text_only").alias("field"), F.col("extract_id").alias("rec_id"), F.col("text_only").alias("text"), F.lit(None).cast("string").alias("nxt"))
-    # the next row of the file is the next place, not the copy of the same place
-    w = Window.partitionBy("collection", "source_file").orderBy("sentence_idx").rangeBetween(1, 4)
-    two = sentences.where("text IS NOT NULL").select(F.lit("text").alias("field"), F.col("sent_id").alias("rec_id"), "text", F.when(F.col("source_file").isNotNull() & F.col("sentence_idx").isNotNull(), F.first("text", ignorenulls=True).over(w)).alias("nxt"))
-    return spread(one, "rec_id").unionByName(two)
+    return spread(one, "rec_id").unionByName(_with_next(sentences.where("text IS NOT NULL")))
+
+
+def _with_next(rows: DataFrame) -> DataFrame:
+    """The sentence rows, each with the text at the next place of its file (not the copy of its own place). A file is worked
+    off in stretches of ``STRETCH`` places, so that one file of any size is no single task; the last row of a stretch
+    goes on with the first of the next."""
+    out = (F.lit("text").alias("field"), F.col("sent_id").alias("rec_id"), "text")
+    placed = F.col("source_file").isNotNull() & F.col("sentence_idx").isNotNull()
+    part = ["collection", "source_file", "stretch"]
+    known = rows.where(placed).withColumns({"collection": F.coalesce("collection", F.lit("\x00")), "stretch": F.floor(F.col("sentence_idx") / STRETCH)})
+    # downwards, so that the frame only grows
+    down = Window.partitionBy(*part).orderBy(F.col("sentence_idx").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    own = known.select(*part, "sent_id", "text", F.last("text").over(down).alias("own"))
+    heads = known.groupBy(*part).agg(F.min_by("text", F.struct("sentence_idx", "sent_id")).alias("head"))
+    heads = heads.withColumn("beyond", F.lead("head").over(Window.partitionBy(*part[:2]).orderBy("stretch"))).where("beyond IS NOT NULL").drop("head")
+    near = own.join(heads, part, "left").select(*out, F.coalesce("own", "beyond").alias("nxt"))
+    return near.unionByName(rows.where(~placed).select(*out, F.lit(None).cast("string").alias("nxt")))
+
+
+def _cut_up(table: Chunks, b: pa.RecordBatch) -> Iterator[tuple[str, int, str, list[int]]]:
+    """(field, rec_id, text, ends) of the rows of a batch of (field, rec_id, text, nxt)."""
+    field, rid, text, nxt = (c.to_pylist() for c in b.columns)
+    return zip(field, rid, text, table.model.ends_of(text, nxt, [f == "text_only" for f in field], table), strict=True)
 
 
 def found(extractions: DataFrame, sentences: DataFrame) -> DataFrame:
@@ -361,11 +643,10 @@ def found(extractions: DataFrame, sentences: DataFrame) -> DataFrame:
     model = rows.sparkSession.sparkContext.broadcast(_learn(rows))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        table = Chunks(model.value)
         for b in batches:
             field, rid, end = [], [], []
-            for f, r, t, nxt in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                e = m.ends(t, nxt, f == "text_only")
+            for f, r, _, e in _cut_up(table, b):
                 field += [f] * len(e)
                 rid += [r] * len(e)
                 end += e
@@ -387,11 +668,11 @@ def units(extractions: DataFrame, sentences: DataFrame) -> DataFrame:
     model = extractions.sparkSession.sparkContext.broadcast(_learn(texts(extractions, sentences)))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        table = Chunks(model.value)
         for b in batches:
             field, rid, unit, text = [], [], [], []
-            for f, r, t, nxt in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                got = parts(t, m.ends(t, nxt, f == "text_only"))
+            for f, r, t, e in _cut_up(table, b):
+                got = parts(t, e)
                 field += [f] * len(got)
                 rid += [r] * len(got)
                 unit += range(1, len(got) + 1)

@@ -64,3 +64,78 @@ def test_units_cover_every_text(spark):
             assert "".join("".join(x for _, x in got.get((f, r[0]), [])).split()) == "".join((r[k] or "").split())
     assert [n for n, _ in got["text", 7]] == [1, 2] and ("text", 9) in got and ("text_only", 3) in got and ("text_only", 5) not in got
     assert not any(r.rec_id in (7, 9) and r.end_pos > 11 for r in S.found(e, s).where("field = 'text'").collect())
+
+
+SUBJECTS = ["банк", "завод", "комитет", "отдел", "центр", "архив", "совет", "холдинг"]
+VERBS = ["закрыл", "открыл", "купил", "продал", "снизил", "утвердил"]
+OBJECTS = ["участок", "дорогу", "станцию", "склад", "проект", "отчёт", "долг"]
+WHEN = ["вчера", "сегодня", "весной", "осенью"]
+
+
+def stories(n):
+    import random
+
+    r = random.Random(4)
+    return [[" ".join([r.choice(SUBJECTS), "города", r.choice(VERBS), "новый", "важный", r.choice(OBJECTS), r.choice(WHEN)]) for _ in range(6)] for _ in range(n)]
+
+
+def learned(spark, texts, script=""):
+    df = spark.createDataFrame([("text_only", t, None) for t in texts], "field string, text string, nxt string")
+    return S._learn(df)
+
+
+def score(m, truth, texts):
+    good = found = all_true = 0
+    for t, ends in zip(texts, truth):
+        got, want = set(m.ends(t)), set(ends)
+        good, found, all_true = good + len(got & want), found + len(got), all_true + len(want)
+    return good / found, good / all_true
+
+
+def places(sentences, gap):
+    out, at = [], 0
+    for x in sentences:
+        out.append(at + len(x))
+        at += len(x) + len(gap)
+    return out
+
+
+def test_text_without_marks_is_cut(spark):
+    m = learned(spark, [" ".join(x[:1].upper() + x[1:] + "." for x in s) for s in stories(300)])
+    held = stories(340)[300:]
+    precision, recall = score(m, [places(s, " ") for s in held], [" ".join(s) for s in held])
+    assert precision > 0.95 and recall > 0.95
+    # the same model cuts ordinary text at its marks alone
+    assert score(m, [places([x + "." for x in s], " ") for s in held], [" ".join(x[:1].upper() + x[1:] + "." for x in s) for s in held]) == (1.0, 1.0)
+
+
+def test_script_without_spaces_or_marks(spark):
+    import random
+
+    r = random.Random(5)
+    rows = [["".join([r.choice("银厂局部站库"), "长", r.choice("关开买卖减批"), "新", "大", r.choice("区路图仓案报债"), r.choice("昨今春秋")]) for _ in range(6)] for _ in range(340)]
+    m = learned(spark, ["。".join(s) + "。" for s in rows[:300]])
+    precision, recall = score(m, [places(s, "") for s in rows[300:]], ["".join(s) for s in rows[300:]])
+    assert precision > 0.95 and recall > 0.95
+
+
+def test_neighbours_decide(spark):
+    import numpy as np
+
+    hazard = np.array([0.001, 0.001, 0.02, 0.1, 0.2, 0.3], np.float32)
+    far, near = np.full(8, -20.0), np.full(8, -20.0)
+    far[[2, 7]] = near[[2, 3]] = 3.0
+    near[7] = far[7] = 30.0
+    a, b = S.posteriors([(far, far), (near, near)], hazard)
+    assert a[2] > b[2] and b[3] > b[2] and a[7] > 0.99
+
+
+def test_window_free_and_gaps(spark):
+    m = model()
+    long = "ұ" * 500
+    assert S.candidates(f"Ол {long}. Келесі", "")[0][1] == "w"
+    assert S.candidates("Год." + " " * 100 + "Слово", "")[0][4] == "слово"
+    s = spark.createDataFrame([(1, "жобасы үшін 1706", "a", 0, "c"), (2, "млн теңге бөлді.", "a", 9, "c"), (3, "жобасы үшін 1706", "a", 4090, "c"), (4, "млн теңге бөлді.", "a", 9000, "c"), (5, "x", None, 0, "c"), (6, "y", None, 1, "c")], "sent_id long, text string, source_file string, sentence_idx int, collection string")
+    got = {r.rec_id: r.nxt for r in S._with_next(s).collect()}
+    assert got == {1: "млн теңге бөлді.", 2: "жобасы үшін 1706", 3: "млн теңге бөлді.", 4: None, 5: None, 6: None}
+    assert m.ends("жобасы үшін 1706", "млн теңге бөлді.", False) == []
