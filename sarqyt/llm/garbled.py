@@ -3,11 +3,14 @@
 A hidden Markov model with one clean state and one state per encoding pair (and one for glyph codes) labels the
 characters of a text; each labelled span gets its state's inverse transform.
 
-The model is learned from the texts themselves: one pass counts characters and character pairs (tables bounded by the
-16-bit alphabet, summed in partial counts). What the ordinary letters would look like under a pair is computed by
-running them through it: those are the emissions of its state. Only texts with strange characters in a run, a glyph
-code or inverted case need the Viterbi pass; on all others the best path is clean throughout. A span
-counts only if its inverse exists and reads better than what stands there, by the character pairs.
+The model is learned from the texts themselves: one pass counts characters, pairs of letters and runs of capitals
+(tables bounded by the 16-bit alphabet, summed in partial counts). The clean state emits a letter given the letter
+before, in either case. What the ordinary letters would look like under a pair is computed by running them through it:
+those are the emissions of its state, given the character before, so a letter that comes out as several characters has
+them in order, and a letter that comes out as one may follow what its own letter may follow. What a pair leaves as it is
+speaks for no state. The Viterbi path of every text decides, whole texts, all of them; no pattern looks first.
+
+A labelled span gets the inverse of its state; where that does not exist the span stays as it is and still counts.
 
 Defined results: null is no case and stays null; the empty text stays empty; texts are labelled whole; spans whose
 inverse does not exist stay as they are.
@@ -50,6 +53,8 @@ WIDE_MARKS = "«»“”„’‘–—…№•€©®™½°ё"
 GLYPH = re.compile(r"[/\\]uni(?:000[0-9A-Fa-f]{3}|[0-9A-Fa-f]{4})|[/\\]afii(?:100[1-9]\d|10110)|\(cid:\d+\)")
 GLYPH_CHAR = "\ue000"
 ENTER, LEAVE = -9.0, -3.0
+STAY = float(np.log1p(-np.exp(LEAVE)))
+GROUP = 256  # texts labelled side by side
 
 
 def _sloppy(encoding: str) -> tuple[str, dict[str, int]]:
@@ -112,7 +117,7 @@ def glyph_text(code: str) -> str | None:
 class Model:
     """Emissions from the counts of characters, and the pair scores of ordinary letters."""
 
-    def __init__(self, single: np.ndarray, pairs: np.ndarray) -> None:
+    def __init__(self, single: np.ndarray, pairs: np.ndarray, capitals: np.ndarray) -> None:
         total = max(1.0, float(single.sum()))
         ordinary = set(LETTERS + LATIN + MARKS)
         p: dict[str, float] = {}
@@ -122,22 +127,18 @@ class Model:
                 p[c] = max(float(single[i]) / total, 1e-7)
         for c in LETTERS:  # letters too rare to be seen must be possible
             p.setdefault(c, 1e-5)
-        self.columns: dict[str, int] = {}
         weight: list[dict[str, float]] = [dict(p)]
-        letters = {c: x for c, x in p.items() if ord(c) > 127}
         for name, chain in ALL_PAIRS.items():
-            own = {c: 1.0 for c in WIDE_MARKS} if name in MARK_PAIRS else letters
-            w: dict[str, float] = {}
-            for c, x in own.items():
-                g = garble(c, chain)
-                if g:
-                    for y in g:
-                        if ord(y) > 127:
-                            w[y] = w.get(y, 0.0) + x
+            if name in MARK_PAIRS:
+                own = {c: 1.0 for c in WIDE_MARKS}
+                w = self._through(own, chain)
+                z = sum(w.values()) or 1.0
+                weight.append({c: 0.9 * x / z for c, x in w.items() if ord(c) > 127})
+                continue
+            # the whole alphabet through the pair, so that what a pair leaves as it is speaks for no state
+            w = self._through(p, chain)
             z = sum(w.values()) or 1.0
-            # the share of letters in a garbled stretch, against what is plain in either state
-            share = 0.9 if name in MARK_PAIRS else min(0.8, 2 * sum(own.values()) + 0.3)
-            weight.append({c: share * x / z for c, x in w.items()})
+            weight.append({c: x / z for c, x in w.items() if ord(c) > 127})
         weight.append({GLYPH_CHAR: 0.9})
         alphabet = sorted(set().union(*weight))
         self.columns = {c: i for i, c in enumerate(alphabet)}
@@ -160,11 +161,111 @@ class Model:
         self.lookup = np.full(0x10000, len(alphabet), np.int32)
         for c, i in self.columns.items():
             self.lookup[ord(c)] = i
+        self.known = np.zeros(0x10000, bool)
+        for c in p:
+            self.known[ord(c)] = True
+        self.other = np.float32(np.log(max(1e-6, sum(x for c, x in p.items() if c not in LETTERS + LATIN))))
         self.index = np.full(0x10000, 0, np.int32)
         for i, c in enumerate(LETTERS + LATIN):
             self.index[ord(c)] = i + 1
-        q = pairs.astype(np.float64) + 0.2
-        self.pair = np.log(q / q.sum(axis=1, keepdims=True)).astype(np.float32)
+        self.clean = self._clean(pairs.astype(np.float64), capitals)
+        self.after = self._after(p)
+
+    def _clean(self, pairs: np.ndarray, capitals: np.ndarray) -> np.ndarray:
+        """The clean state's emissions, given the character before: log P(letter | letter before), from the case and from
+        the letters in lower case, so that words in capitals are as likely as their letters. Row and column 0 stand for
+        all that is no letter; what that is comes from the single characters."""
+        names = [" ", *LETTERS, *LATIN]
+        low = np.array([names.index(c.lower()) if c.lower() in names else i for i, c in enumerate(names)])
+        case = np.array([0] + [1 + c.isupper() for c in names[1:]])
+        fold = np.zeros_like(pairs)
+        np.add.at(fold, (low[:, None], low[None, :]), pairs)
+        base = fold.sum(axis=0) + 0.5
+        fold = (fold + 2.0 * base / base.sum()) / (fold.sum(axis=1, keepdims=True) + 2.0)
+        kinds = np.zeros((3, 3))
+        np.add.at(kinds, (case[:, None], case[None, :]), pairs)
+        kinds += [[1, 1, 1], [1, 1, 0.01], [20, 60, 20]]
+        kinds /= kinds.sum(axis=1, keepdims=True)
+        self.case = np.zeros(0x10000, np.int8)
+        for c, k in zip(names[1:], case[1:].tolist(), strict=True):
+            self.case[ord(c)] = k
+        three = capitals + [2.0, 0.5, 18.0]
+        self.capitals = np.log(three / three.sum() / kinds[2]).astype(np.float32)
+        letter = np.where(case > 0, 1.0, 0.0)
+        inner = (fold * (np.arange(len(names)) == low)).copy()  # columns of letters in lower case, and of no letter
+        among = inner[low][:, low] / np.maximum(inner[low][:, 1:].sum(axis=1, keepdims=True), 1e-12)
+        # abbreviations in capitals follow no letter pairs
+        latin = np.array([False, *(c in LATIN for c in names[1:])])
+        own = np.where(latin[:, None] == latin[None, :], base[low][None, :], 0)
+        own = own / np.maximum(np.where(latin[:, None] == latin[None, :], base[None, :] * (np.arange(len(names)) == low) * (case > 0), 0).sum(axis=1, keepdims=True), 1e-12)
+        among = np.where((case[:, None] == 2) & (case[None, :] == 2), 0.5 * among + 0.5 * own, among)
+        p = kinds[case][:, case] * np.where(letter[None, :] > 0, among, 1.0)
+        return np.log(np.maximum(p, 1e-7)).astype(np.float32)
+
+    def _after(self, p: dict[str, float]) -> np.ndarray:
+        """The emissions of the garbled states, given the character before: (before, character, state). A letter of several
+        bytes comes out as a fixed order of characters; of one byte, as what its own letter may follow."""
+        size = len(self.table)
+        out = np.repeat(self.table[None, :, :], size, axis=0)
+        # log P(the letter is over | its character so far): a state is left between letters only
+        self.endings = np.zeros((size, len(STATES)), np.float32)
+        for s, name in enumerate(STATES):
+            if name not in ALL_PAIRS:
+                continue
+            chain = ALL_PAIRS[name]
+            own = {c: 1.0 for c in WIDE_MARKS} if name in MARK_PAIRS else p
+            made = {c: g for c in own if (g := garble(c, chain))}
+            if all(len(g) == 1 for g in made.values()):
+                at = np.array([self.columns.get(g, size - 3) for g in made.values()])
+                codes = np.array([ord(c) for c in made])
+                out[at[:, None], at[None, :], s] = self._given(codes[:, None], codes[None, :])
+                continue
+            w = np.zeros((size, size))
+            start, stop = np.zeros(size), np.zeros(size)
+            for c, g in made.items():
+                at = [self.columns.get(x, size - 3) for x in g]
+                start[at[0]] += own[c]
+                stop[at[-1]] += own[c]
+                for a, b in zip(at, at[1:], strict=False):
+                    w[a, b] += own[c]
+            begin = start / max(start.sum(), 1e-12)
+            every = w.sum(axis=1) + stop
+            self.endings[:, s] = np.where(every > 0, np.log(np.maximum(stop / np.maximum(every, 1e-12), 1e-6)), 0)
+            w += stop[:, None] * begin[None, :]
+            # a letter comes out from its first character on
+            for y in {self.columns[x] for g in made.values() for x in g if ord(x) > 127}:
+                out[:, y, s] = np.log(max(begin[y], 1e-9))
+            for y in {self.columns[x] for g in made.values() for x in g if ord(x) > 127}:
+                if w[y].sum():
+                    out[y, :, s] = np.log(np.maximum(w[y] / w[y].sum(), 1e-9))
+        return out.reshape(size * size, len(STATES))
+
+    def clean_emissions(self, codes: np.ndarray) -> np.ndarray:
+        """Of texts of one length as rows of characters: log P(character | the one before) in the clean state."""
+        before = np.zeros_like(codes)
+        before[:, 1:] = codes[:, :-1]
+        out = self._given(before, codes)
+        # after two capitals a third is usual, after one it is not
+        c = self.case[codes]
+        run = np.zeros(codes.shape, bool)
+        run[:, 2:] = (c[:, 1:-1] == 2) & (c[:, :-2] == 2)
+        return np.where(run & (c > 0), out + self.capitals[c], out)
+
+    def _given(self, before: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """log P(character | the one before) in ordinary text: a letter comes from the letter before; another character from
+        P(no letter) and its own share of those."""
+        x, y = self.index[before], self.index[codes]
+        own = self.table[self.lookup[codes], 0]
+        return np.where(y > 0, self.clean[x, y], np.where(self.known[codes], self.clean[x, 0] + own - self.other, own))
+
+    @staticmethod
+    def _through(own: dict[str, float], chain: list[tuple[str, str]]) -> dict[str, float]:
+        """The weights of the characters that come out where ``own`` goes through a pair."""
+        out: dict[str, float] = {}
+        for c, x in own.items():
+            for y in garble(c, chain) or "":
+                out[y] = out.get(y, 0.0) + x
+        return out
 
     @staticmethod
     def _foreign(c: str) -> float:
@@ -179,51 +280,44 @@ class Model:
         x = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
         return np.where(x < 0x10000, x, 0xFFFF)
 
-    def reads(self, t: str) -> float:
-        """How well the words of ``t`` read, per letter; other characters inside count as unlikely."""
-        x = self.index[self.codes(t)]
-        keep = (self.codes(t) > 127) | (x > 0)
-        x = np.concatenate([[0], x])
-        both = self.pair[x[:-1], x[1:]]
-        odd = (x[1:] == 0) & keep
-        both = np.where(odd, -9.0, both)
-        use = keep
-        cjk = (self.codes(t) >= 0x3000) | np.isin(self.codes(t), [ord(c) for c in MARKS])
-        both = np.where(cjk, -2.5, both)
-        return float(both[use].mean()) if use.any() else -9.0
-
     def label(self, texts: list[str]) -> list[np.ndarray]:
         """The best state of every character, by Viterbi over a batch."""
         out: list[np.ndarray] = [np.empty(0, np.int8)] * len(texts)
         order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+        size_a = len(self.table)
         i = 0
         while i < len(order):
-            top = len(texts[order[min(len(order), i + 64) - 1]])
-            group = order[i : i + max(1, min(64, 2_000_000 // max(1, top)))]
+            top = len(texts[order[min(len(order), i + GROUP) - 1]])
+            group = order[i : i + max(1, min(GROUP, 1_000_000 // max(1, top)))]
             i += len(group)
             size = len(texts[group[-1]])
-            codes = np.full((len(group), size), len(self.table) - 1, np.int32)
+            chars = np.full((len(group), size), 0xFFFF, np.int64)
             for r, g in enumerate(group):
-                codes[r, : len(texts[g])] = self.lookup[self.codes(texts[g])]
+                chars[r, : len(texts[g])] = self.codes(texts[g])
             n, s = len(group), len(STATES)
+            codes, plain = np.ascontiguousarray(self.lookup[chars].T), np.ascontiguousarray(self.clean_emissions(chars).T)
             score = np.full((n, s), ENTER, np.float32)
             score[:, 0] = 0
             came = np.zeros((size, n, s), np.int8)
-            own = np.arange(s, dtype=np.int8)
+            own, rows = np.arange(s, dtype=np.int8), np.arange(n)
             for k in range(size):
                 if k:
                     start = score[:, :1] + ENTER
+                    score[:, 1:] += STAY
                     enter = start > score
-                    best = np.argmax(score[:, 1:], axis=1) + 1
-                    leave = score[np.arange(n), best] + LEAVE
+                    whole = score + self.endings[codes[k - 1]]
+                    best = np.argmax(whole[:, 1:], axis=1) + 1
+                    leave = whole[rows, best] + (LEAVE - STAY)
                     step = np.where(enter, np.int8(0), own)
                     out0 = leave > score[:, 0]
                     clean = np.where(out0, leave, score[:, 0])
                     step[:, 0] = np.where(out0, best, 0)
-                    score = np.maximum(score, start)
+                    np.maximum(score, start, out=score)
                     score[:, 0] = clean
                     came[k] = step
-                score = score + self.table[codes[:, k]]
+                seen = self.after[codes[k - 1] * size_a + codes[k]] if k else self.table[codes[k]]
+                seen[:, 0] = plain[k]
+                score += seen
             state = np.argmax(score, axis=1)
             path = np.zeros((n, size), np.int8)
             for k in range(size - 1, -1, -1):
@@ -234,29 +328,17 @@ class Model:
         return out
 
 
-_PLAIN = "\x00-\x7f" + re.escape(LETTERS + "«»“”„’‘–—…№•") + "\u3000-\u303f\u4e00-\u9fff\uff01-\uff5e"
-# One strange character alone, such as an accented letter in a foreign name, can be no garbled letter of a pair, unless
-# it is Cyrillic, a control or a box: each pair turns a word of another script into a run of strange characters.
-STRANGE = re.compile(f"[^{_PLAIN}]{{2}}|[\u0400-\u040f\u0450-\u052f\x80-\x9f\u2190-\u25ff](?<![{_PLAIN}])")
-CAPITALS = re.compile("[А-ЯЁ]{2}")
-
-
-def suspicious(t: str) -> bool:
-    """Whether the best path can leave the clean state at all."""
-    if STRANGE.search(t) or (("uni" in t or "afii" in t or "(cid" in t) and GLYPH.search(t)):
-        return True
-    return any("а" <= t[m.start() - 1] <= "ё" for m in CAPITALS.finditer(t) if m.start())
-
-
 def learn(rows: DataFrame, column: str):
     """The broadcast model of all texts in ``column``."""
     size = len(LETTERS + LATIN) + 1
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, pairs = np.zeros(0x10000, np.int64), np.zeros(size * size, np.int64)
+        single, pairs, three = np.zeros(0x10000, np.int64), np.zeros(size * size, np.int64), np.zeros(3, np.int64)
         index = np.zeros(0x10000, np.int64)
+        case = np.zeros(size, np.int8)
         for i, c in enumerate(LETTERS + LATIN):
             index[ord(c)] = i + 1
+            case[i + 1] = 1 + c.isupper()
         for b in batches:
             t = "\n".join(x for x in b.column(0).to_pylist() if x)
             for a in range(0, len(t), 4_000_000):
@@ -265,7 +347,9 @@ def learn(rows: DataFrame, column: str):
                 single += np.bincount(x, minlength=0x10000)
                 y = index[x]
                 pairs += np.bincount(y[:-1] * size + y[1:], minlength=size * size)
-        for kind, v in ((0, single), (1, pairs)):
+                k = case[y]
+                three += np.bincount(k[2:][(k[:-2] == 2) & (k[1:-1] == 2)], minlength=3)
+        for kind, v in ((0, single), (1, pairs), (2, three)):
             at = np.flatnonzero(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)), pa.array(v[at])], ["kind", "k", "n"])
 
@@ -274,35 +358,35 @@ def learn(rows: DataFrame, column: str):
     single, pairs = np.zeros(0x10000, np.int64), np.zeros(size * size, np.int64)
     single[k[kind == 0]] = n[kind == 0]
     pairs[k[kind == 1]] = n[kind == 1]
-    return rows.sparkSession.sparkContext.broadcast(Model(single, pairs.reshape(size, size)))
-
-
-def _better(model: Model, t: str, a: int, b: int, new: str) -> bool:
-    """Whether ``new`` reads better than t[a:b], with the words that the span cuts taken whole."""
-    l, r = a, b
-    while l > 0 and t[l - 1].isalpha():
-        l -= 1
-    while r < len(t) and t[r].isalpha():
-        r += 1
-    if not any(ord(c) > 127 and c not in LETTERS for c in t[a:b]) and not re.search(r"\w{3}", new):
-        return False
-    return model.reads(t[l:a] + new + t[b:r]) > model.reads(t[l:r]) + 0.5
+    three = np.zeros(3)
+    three[k[kind == 2]] = n[kind == 2]
+    return rows.sparkSession.sparkContext.broadcast(Model(single, pairs.reshape(size, size), three))
 
 
 # shifts of a span's ends outwards, the smallest first
 BORDERS = sorted(((l, r) for l in range(-4, 3) for r in range(-4, 3)), key=lambda x: (abs(x[0]) + abs(x[1]), x))
 
 
+def _core(t: str, a: int, b: int, state: str) -> tuple[int, int]:
+    """A labelled stretch without the characters at its ends that the state's pair leaves as they are."""
+    chain = ALL_PAIRS[state]
+    while a < b and (ord(t[a]) < 128 or restore(t[a], chain) == t[a]):
+        a += 1
+    while b > a and (ord(t[b - 1]) < 128 or restore(t[b - 1], chain) == t[b - 1]):
+        b -= 1
+    return a, b
+
+
 def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str | None]]]:
-    """Per text its garbled spans: (start, end, state, restored)."""
+    """Per text its garbled spans: (start, end, state, restored, or None where the inverse does not exist)."""
     plain, codes = [], []
     for t in texts:
         codes.append([m.group() for m in GLYPH.finditer(t)])
         plain.append(GLYPH.sub(GLYPH_CHAR, t))
     out = []
     for t, path, glyphs in zip(plain, model.label(plain), codes, strict=True):
-        found, at, shift, g = [], 0, 0, iter(glyphs)
-        border = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
+        found, shift, g = [], 0, iter(glyphs)
+        border = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)] if path.any() or glyphs else []
         for a, b in zip(border, border[1:], strict=False):
             piece, state = t[a:b], STATES[path[a]]
             own = [next(g) for c in piece if c == GLYPH_CHAR]
@@ -310,17 +394,17 @@ def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str
             if state == "glyph":
                 it = iter(own)
                 found.append((a + shift, a + shift + long, state, "".join((glyph_text(x := next(it)) or x) if c == GLYPH_CHAR else c for c in piece)))
-            elif state != "clean" and any(ord(c) > 127 for c in piece):
-                # the border may have cut a character of several bytes, or taken a plain one in
-                for l, r in BORDERS:
-                    if 0 <= a - l < b + r <= len(t):
-                        new = restore(t[a - l : b + r], ALL_PAIRS[state])
-                        if new is not None:
-                            if _better(model, t, a - l, b + r, new):
-                                found.append((a + shift - l, a + shift + long + r, state, new))
+            elif state != "clean" and not own:
+                x, y = _core(t, a, b, state)
+                if x < y:
+                    # the border may have cut a character of several bytes, or taken a plain one in
+                    for l, r in BORDERS:
+                        if 0 <= x - l < y + r <= len(t) and any(ord(c) > 127 for c in t[x - l : y + r]) and (new := restore(t[x - l : y + r], ALL_PAIRS[state])) is not None:
+                            found.append((x + shift - l, y + shift + r, state, new))
                             break
+                    else:
+                        found.append((x + shift, y + shift, state, None))
             shift += long - len(piece)
-            at = b
         out.append(found)
     return out
 
@@ -337,7 +421,7 @@ def labelled(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            some = [(f, k, t) for f, k, t in zip(*(c.to_pylist() for c in b.columns), strict=True) if suspicious(t)]
+            some = list(zip(*(c.to_pylist() for c in b.columns), strict=True))
             rows_out = []
             for (f, k, t), got in zip(some, spans(model.value, [x[2] for x in some]), strict=True):
                 if got:

@@ -1,4 +1,3 @@
-import numpy as np
 import pytest
 
 from sarqyt.llm import garbled as G
@@ -45,4 +44,37 @@ def test_nulls(spark):
     assert {tuple(r) for r in G.found(df).collect()} == {("markdown", 2)}
     back = {(r.field, r.extract_id, r.text) for r in G.restored(df).collect()}
     assert ("markdown", 2, CLEAN) in back and ("markdown", 1, None) in back and ("text_only", 1, "") in back
-    assert G.found(df.limit(0)).count() == 0 and isinstance(np.float32(1), np.float32)
+    assert G.found(df.limit(0)).count() == 0
+
+
+def test_no_inverse_still_counts(spark):
+    m = model(spark)
+    broken = G.garble("қаржы комитеті закрыл участок", G.PAIRS["utf-8>cp1252"])
+    # a lead character whose second one is lost all along: nothing to invert, but garbled all the same
+    broken = broken.replace("°", "").replace("Ñ", "Ñ\u0178Ñ").replace("Ð", "ÐÐ")
+    got = G.spans(m, [CLEAN + broken + CLEAN])[0]
+    assert got and all(len(CLEAN) - 2 <= a < b <= len(CLEAN + broken) + 2 for a, b, *_ in got)
+
+
+def test_lone_marks_and_foreign_letters(spark):
+    m = model(spark)
+    got = G.spans(m, ["By an independent estimate, the companyтАЩs finance committee closed.", "the finance committee of Ðalvør Łabędzin closed “the section” (½ of it)", "комитет РСФСР и СССР закрыл участок", CLEAN * 50])
+    assert [x[3] for x in got[0]] == ["’"] and not got[1] and not got[2] and not got[3]
+
+
+def test_share_restored(spark):
+    import random
+
+    r, m = random.Random(8), model(spark)
+    words = CLEAN.split()
+    right = texts = 0
+    for i in range(200):
+        name = r.choice([n for n in G.PAIRS if not n.startswith(("cp866", "koi8", "mac"))])
+        span = " ".join(r.choice(words) for _ in range(r.randint(4, 9)))
+        if (g := G.garble(span, G.PAIRS[name])) and g != span:
+            t = CLEAN + g + " " + CLEAN
+            out, last = "", 0
+            for a, b, _, new in G.spans(m, [t])[0]:
+                out, last = out + t[last:a] + (new if new is not None else t[a:b]), b
+            right, texts = right + (out + t[last:] == CLEAN + span + " " + CLEAN), texts + 1
+    assert right / texts > 0.9
