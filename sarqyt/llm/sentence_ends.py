@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +42,18 @@ ITEM = re.compile(r"[ \t]*(?:#{1,6}[ \t]|[-–—•*‣·][ \t]|\d{1,3}[.)][ \t
 PAIRS = {"«": "»", "“": "”", "(": ")", "[": "]", "（": "）", "「": "」", "『": "』", "„": "“"}
 WIDE = "。！？"
 KINDS = ["end", "low", "cap", "init", "num", "dash", "open", "other", "wide"]
+KIND_AT = {k: i for i, k in enumerate(KINDS)}
 WIDE_SCRIPT = "\u3040-\u30ff\u3400-\u9fff"
 WIDE_LETTER = re.compile(f"[{WIDE_SCRIPT}]")
 WIDE_TOKEN = re.compile(rf"[{WIDE_SCRIPT}](?:[^\w\s]+(?=\s|$))?|[^\s{WIDE_SCRIPT}]+")
 LENGTHS, MEAN_LENGTH = 40, 16
 # prior odds: that a text has no marks at its boundaries, that a boundary of a text with marks has none, that one of a
 # text without has one; and how surely these marks alone close a sentence
-PRIOR_BARE, BARE, MARKED = np.log(1e-3), np.log(1e-5), np.log(1e-3)
+PRIOR_BARE, BARE, MARKED = log(1e-3), log(1e-5), log(1e-3)
 SURE = {"w": 0.99, "!": 0.97, "…": 0.97, "q": 0.5}
 BREAK = "break"  # the source of the counts of marks at the end of a row that has a next one
 CLOSE, OPEN = 0.05, 0.15  # of words too rare to be counted
+RARE_CLOSE, RARE_OPEN = log(CLOSE / (1 - CLOSE)), log(OPEN / (1 - OPEN))
 SHORT = 6
 WORD = re.compile(r"[^\W_]+")
 
@@ -157,7 +160,10 @@ def candidates(p: str, after: str) -> list[tuple[int, str, str, str, str]]:
     fences = shielded(p)
 
     def cover(i: int) -> bool:
-        return any(a <= i < b for a, b in fences)
+        for a, b in fences:
+            if a <= i < b:
+                return True
+        return False
 
     out = []
     for m in MARK.finditer(p):
@@ -192,7 +198,7 @@ def _before(p: str, end: int) -> str:
 
 
 def line_key(t: str) -> str:
-    return "".join(c for c in t.lower() if c.isalpha())
+    return "".join(filter(str.isalpha, t.lower()))
 
 
 CLOSED = re.compile(r"[.!?…。！？][»”\"’')\]）]*\s*$")
@@ -224,11 +230,16 @@ class Chunks:
         first, last = (w[0], w[-1]) if w else ("", "")
         self.first.append(first)
         self.last.append(last)
-        self.hash[i] = xxhash.xxh3_64_intdigest(first), xxhash.xxh3_64_intdigest(last)
-        self.kind[i] = KINDS.index(right_kind(c + " "))
-        self.net[i] = sum(x in PAIRS for x in c) - sum(x in CLOSING for x in c)
+        h = xxhash.xxh3_64_intdigest(first)
+        self.hash[i, 0] = h
+        self.hash[i, 1] = h if first == last else xxhash.xxh3_64_intdigest(last)
+        if FENCE.search(c):
+            self.net[i] = sum(x in PAIRS for x in c) - sum(x in CLOSING for x in c)
         if self.model:
-            self.odds[i] = self.model.opening(first), self.model.closing(last)
+            self.odds[i, 0] = self.model.opening(first)
+            self.odds[i, 1] = self.model.closing(last)
+        else:
+            self.kind[i] = KIND_AT[right_kind(c + " ")]
         return i
 
     def sequence(self, p: str, c: list[tuple[int, str, str, str, str]]) -> tuple[list[int], list[int]]:
@@ -258,8 +269,9 @@ def token_ends(p: str, c: list[tuple[int, str, str, str, str]]) -> list[int]:
     return out
 
 
-def _logit(x):
-    return np.log(x) - np.log1p(-np.asarray(x))
+def _logit(x: float) -> float:
+    x = min(max(x, 0.001), 0.999)
+    return log(x / (1 - x))
 
 
 def posteriors(sequences: list[tuple[np.ndarray, np.ndarray]], hazard: np.ndarray) -> list[np.ndarray]:
@@ -317,7 +329,9 @@ class Model:
     sentences; ``pairs`` hashes of two neighbouring words and how much likelier the second is after the first."""
 
     def __init__(self, types: dict[tuple[str, str, str, str], int], starts: dict[str, int], opens: dict[str, float], closes: dict[str, float], lines: set[str], inside: dict[str, int] | None = None, lengths: dict[int, int] | None = None, pairs: tuple[np.ndarray, np.ndarray] | None = None) -> None:
-        self.opens, self.closes, self.lines = opens, closes, lines
+        self.first = {w: _logit(x) for w, x in opens.items()}
+        self.last = {w: _logit(x) for w, x in closes.items()}
+        self.lines, self.memo = lines, {}
         total = sum(starts.values()) + 100
         first = np.array([0.0, 0.3, 60, 3, 10, 0.3, 20, 2, 5])
         self.after = (np.array([starts.get(x, 0) for x in KINDS], float) + first) / total
@@ -333,7 +347,7 @@ class Model:
         # lengths are worth half their evidence: they say less than the words do
         h = np.sqrt(h / np.cumsum(h[::-1])[::-1])
         self.hazard = np.minimum(h * (np.sqrt(1 / MEAN_LENGTH)), 0.3).astype(np.float32)
-        self.rate = float(_logit(1 / MEAN_LENGTH))
+        self.rate = _logit(1 / MEAN_LENGTH)
         self.pairs = pairs or (np.empty(0, np.uint64), np.empty(0, np.float32))
         # the share of boundaries that are the last of their text, per source, from the words that are no abbreviations
         plain: dict[str, list[float]] = {}
@@ -364,37 +378,46 @@ class Model:
         self.broken = {(l, m, r): (n, sum(x.values()) * float(self.after[KINDS.index(r)])) for (l, m), x in breaks.items() for r, n in x.items()}
 
     def _post(self, t: float, right: str) -> float:
-        i = KINDS.index(right)
+        i = KIND_AT[right]
         if right == "wide":
             return t
         a, o = t * self.after[i], (1 - t) * self.other[i]
         return a / (a + o) if a + o else 0.0
 
     def opening(self, word: str) -> float:
-        return float(_logit(np.clip(self.opens.get(word, OPEN), 0.001, 0.999)))
+        return self.first.get(word, RARE_OPEN)
 
     def closing(self, word: str) -> float:
-        return float(_logit(np.clip(CLOSE if word[-1:].isdigit() else self.closes.get(word, CLOSE), 0.001, 0.999)))
+        return RARE_CLOSE if word[-1:].isdigit() else self.last.get(word, RARE_CLOSE)
 
     def marked(self, left: str, mark: str, right: str, word: str, at_break: bool = False) -> float:
         """The evidence for a boundary at a mark, from its own neighbours."""
+        key = left, mark, right, at_break
+        e = self.memo.get(key)
+        if e is None:
+            if len(self.memo) > 100_000:
+                self.memo.clear()
+            e = self.memo[key] = self._marked(*key)
+        if right == "low" and mark == "!" and word in self.first:
+            e += max(0.0, self.opening(word) + 3.0)
+        return e
+
+    def _marked(self, left: str, mark: str, right: str, at_break: bool) -> float:
         base = mark.rstrip("q")
         theta = SURE["q"] if mark.endswith("q") else SURE[base] if base in SURE else self.theta.get((left, mark), self.theta.get(("w", mark), 0.97))
-        e = float(_logit(theta)) - self.rate
+        e = _logit(theta) - self.rate
         if right == "end":
             return 30.0
         if right == "wide":
             # letters without case say nothing; a quotation that is followed by more words of the sentence goes on
             return e - 6 if mark == "wq" else e
-        i = KINDS.index(right)
-        e += float(np.log(self.after[i] / self.other[i]))
-        if right == "low" and base == "!" and word in self.opens:
-            e += max(0.0, self.opening(word) + 3.0)
+        i = KIND_AT[right]
+        e += log(self.after[i] / self.other[i])
         n, same = self.broken.get((left, mark, right), (0, 0.0))
         if at_break and n >= 20 and n > 2 * same:
             # a row that ends in a mark and the kind of word the next one begins with: what is far more than sentences
             # would begin with stands inside, such as the rest of a number
-            e = min(e, float(np.log(max(same, 0.5) / max(n - same, 0.5))) - self.rate)
+            e = min(e, log(max(same, 0.5) / max(n - same, 0.5)) - self.rate)
         return e
 
     def breaks(self, left: str, right: str) -> float:
@@ -478,12 +501,15 @@ class Model:
             stop = np.append(begin[1:], len(flat))
             for (k, a, p, c, at), post in zip(todo, posteriors([(usual[x:y], bare[x:y]) for x, y in zip(begin, stop, strict=True)], self.hazard), strict=True):
                 yes = post > 0.5
-                got = {i for i in np.flatnonzero(yes).tolist()}
-                where = dict(zip(at, (x[0] for x in c), strict=True))
+                where = {i: x[0] for i, x in zip(at, c, strict=True)}
                 where[len(post) - 1] = len(p)
-                other = got - where.keys()
-                places = token_ends(p, c) if other else []
-                out[k].update(a + (where[i] if i in where else places[i]) for i in got)
+                places = None
+                for i in np.flatnonzero(yes).tolist():
+                    if i in where:
+                        out[k].add(a + where[i])
+                    else:
+                        places = places or token_ends(p, c)
+                        out[k].add(a + places[i])
         return [sorted(x) for x in out]
 
     def ends(self, t: str | None, nxt: str | None = None, document: bool = True) -> list[int]:
