@@ -54,7 +54,7 @@ GLYPH = re.compile(r"[/\\]uni(?:000[0-9A-Fa-f]{3}|[0-9A-Fa-f]{4})|[/\\]afii(?:10
 GLYPH_CHAR = "\ue000"
 ENTER, LEAVE = -9.0, -3.0
 STAY = float(np.log1p(-np.exp(LEAVE)))
-GROUP = 256  # texts labelled side by side
+GROUP = 1024  # texts labelled side by side
 
 
 def _sloppy(encoding: str) -> tuple[str, dict[str, int]]:
@@ -288,7 +288,7 @@ class Model:
         i = 0
         while i < len(order):
             top = len(texts[order[min(len(order), i + GROUP) - 1]])
-            group = order[i : i + max(1, min(GROUP, 1_000_000 // max(1, top)))]
+            group = order[i : i + max(1, min(GROUP, 2_000_000 // max(1, top)))]
             i += len(group)
             size = len(texts[group[-1]])
             chars = np.full((len(group), size), 0xFFFF, np.int64)
@@ -414,10 +414,11 @@ def _each(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return spread(some, key).select(key, F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns))).alias("x")).select("x.field", key, "x.text").where("text IS NOT NULL AND text <> ''")
 
 
-def labelled(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``(field, key, spans, restored)`` of every garbled value: its number of garbled spans and the restored text."""
-    rows = _each(df, key, columns)
-    model = learn(rows, "text")
+def labelled(df: DataFrame, key: str, columns: list[str], where: str = "true") -> DataFrame:
+    """``(field, key, spans, restored)`` of every garbled value: its number of garbled spans and the restored text. The model
+    is that of all rows; rows outside ``where`` are of no interest to the caller and not labelled."""
+    model = learn(_each(df, key, columns), "text")
+    rows = _each(df.where(where), key, columns)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

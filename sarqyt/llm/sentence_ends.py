@@ -24,6 +24,7 @@ Defined results: null or blank texts have no ends; a text is always cut whole; r
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from math import log
@@ -155,46 +156,80 @@ def pieces(t: str) -> list[tuple[int, int, bool]]:
     return out
 
 
+ENDERS = "»”\"’')]）」』"
+NEXT = re.compile(r"[^ \t\n\u00a0]")
+
+
+def _outermost(fences: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that lie in no other."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted(fences):
+        if not ends or a >= ends[-1]:
+            starts.append(a)
+            ends.append(b)
+        else:
+            ends[-1] = max(ends[-1], b)
+    return starts, ends
+
+
 def candidates(p: str, after: str) -> list[tuple[int, str, str, str, str]]:
-    """(end, left, mark, right, next word) of each place where a mark may end a sentence; ``after`` follows the piece."""
+    """(end, left, mark, right, next word) of each place where a mark may end a sentence; ``after`` follows the piece. The
+    next word is given after exclamation and question marks."""
     fences = shielded(p)
+    starts, ends = _outermost(fences) if fences else ([], [])
 
     def cover(i: int) -> bool:
-        for a, b in fences:
-            if a <= i < b:
-                return True
-        return False
+        k = bisect_right(starts, i) - 1
+        return k >= 0 and i < ends[k]
 
     out = []
+    size, wide = len(p), WIDE_LETTER.search(p)
     for m in MARK.finditer(p):
-        core = m[0].rstrip("»”\"’')]）」』")
-        end = m.end()
-        first = m.start()
+        first, end = m.span()
+        core = m[0].rstrip(ENDERS)
         if fences and (cover(end - 1) or (cover(first) and end - first == len(core))):
             continue
-        rest = p[end:] if p[end:].strip() else after
-        glued = bool(rest) and not rest[0].isspace() and end < len(p)
-        if core[0] not in WIDE and glued:
+        x = NEXT.search(p, end)
+        # the kind of what follows shows in its first letters
+        rest, at = (p[x.start() : x.start() + 16], x.start()) if x else (after, end)
+        if x and at == end and core[0] not in WIDE:
             # no space: an end only before a capital, and not inside an abbreviation, address or number
             before = p[max(0, first - 2) : first]
             if not rest[0].isupper() or len(core) == 1 and core == "." and not (len(before) == 2 and (before[1].islower() or before[1] in "%»)”") and not before[0] == "."):
                 if not (rest[0] in "«“(" and core != "."):
                     continue
-        kind = right_kind(rest)
         mark = "." if core == "." else "w" if core[0] in WIDE else "…" if core[0] in ".…" else "!"
-        if len(core) < len(m[0]) and cover(first):
+        if len(core) < end - first and cover(first):
             mark += "q"  # the mark was inside the quotation that closes here
-        word = WORD.search(rest)
-        out.append((end, left_type(_before(p, first)), mark, kind, word[0].lower() if word else ""))
+        word = WORD.search(p, at) if x and mark[0] == "!" else WORD.search(after) if mark[0] == "!" else None
+        out.append((end, _left(p, first, wide), mark, right_kind(rest), word[0].lower() if word else ""))
     return out
 
 
-def _before(p: str, end: int) -> str:
-    """What stands before a mark up to the last space."""
+_TYPES: dict[str, str] = {}
+
+
+def _left(p: str, end: int, wide) -> str:
+    """The type of what stands before a mark, up to the last space (in scripts without spaces, the last such letter)."""
     i = end
-    while i and not p[i - 1].isspace() and not WIDE_LETTER.match(p[i - 1]):
-        i -= 1
-    return p[i:end]
+    if wide:
+        while i and not p[i - 1].isspace() and not WIDE_LETTER.match(p[i - 1]):
+            i -= 1
+        return left_type(p[i:end])
+    step = 32
+    while True:
+        got = p[max(0, end - step) : end].rsplit(None, 1)
+        word = got[-1] if got and not p[end - 1 : end].isspace() else ""
+        if len(word) < step or step >= end:
+            break
+        step *= 4
+    t = _TYPES.get(word)
+    if t is None:
+        if len(_TYPES) > 100_000:
+            _TYPES.clear()
+        t = _TYPES[word] = left_type(word)
+    return t
 
 
 def line_key(t: str) -> str:
@@ -634,8 +669,9 @@ def texts(extractions: DataFrame, sentences: DataFrame, every: bool = False) ->
     """``(field, rec_id, text, nxt)`` of what is to be cut; with ``every`` also the extractions that p6_found leaves out."""
     one = extractions.where("text_only IS NOT NULL")
     if not every:
-        bad = cut(garbled.labelled(extractions, "extract_id", garbled.FIELDS).select("extract_id").distinct())
-        one = one.where("success AND method = 'pypdf'").join(bad, "extract_id", "left_anti")
+        clean = "success AND method = 'pypdf'"
+        bad = cut(garbled.labelled(extractions, "extract_id", garbled.FIELDS, where=clean).select("extract_id").distinct())
+        one = one.where(clean).join(bad, "extract_id", "left_anti")
     one = one.select(F.lit("text_only").alias("field"), F.col("extract_id").alias("rec_id"), F.col("text_only").alias("text"), F.lit(None).cast("string").alias("nxt"))
     return spread(one, "rec_id").unionByName(_with_next(sentences.where("text IS NOT NULL")))
 
