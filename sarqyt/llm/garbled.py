@@ -170,6 +170,7 @@ class Model:
             self.index[ord(c)] = i + 1
         self.clean = self._clean(pairs.astype(np.float64), capitals)
         self.after = self._after(p)
+        self.most = self.after[:, 1:].max(axis=1)
 
     def _clean(self, pairs: np.ndarray, capitals: np.ndarray) -> np.ndarray:
         """The clean state's emissions, given the character before: log P(letter | letter before), from the case and from
@@ -281,52 +282,85 @@ class Model:
         return np.where(x < 0x10000, x, 0xFFFF)
 
     def label(self, texts: list[str]) -> list[np.ndarray]:
-        """The best state of every character, by Viterbi over a batch."""
-        out: list[np.ndarray] = [np.empty(0, np.int8)] * len(texts)
-        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
-        size_a = len(self.table)
-        i = 0
-        while i < len(order):
-            top = len(texts[order[min(len(order), i + GROUP) - 1]])
-            group = order[i : i + max(1, min(GROUP, 2_000_000 // max(1, top)))]
-            i += len(group)
-            size = len(texts[group[-1]])
-            chars = np.full((len(group), size), 0xFFFF, np.int64)
-            for r, g in enumerate(group):
-                chars[r, : len(texts[g])] = self.codes(texts[g])
-            n, s = len(group), len(STATES)
-            codes, plain = np.ascontiguousarray(self.lookup[chars].T), np.ascontiguousarray(self.clean_emissions(chars).T)
-            score = np.full((n, s), ENTER, np.float32)
-            score[:, 0] = 0
-            came = np.zeros((size, n, s), np.int8)
-            own, rows = np.arange(s, dtype=np.int8), np.arange(n)
-            for k in range(size):
-                if k:
-                    start = score[:, :1] + ENTER
-                    score[:, 1:] += STAY
-                    enter = start > score
-                    whole = score + self.endings[codes[k - 1]]
-                    best = np.argmax(whole[:, 1:], axis=1) + 1
-                    leave = whole[rows, best] + (LEAVE - STAY)
-                    step = np.where(enter, np.int8(0), own)
-                    out0 = leave > score[:, 0]
-                    clean = np.where(out0, leave, score[:, 0])
-                    step[:, 0] = np.where(out0, best, 0)
-                    np.maximum(score, start, out=score)
-                    score[:, 0] = clean
-                    came[k] = step
-                seen = self.after[codes[k - 1] * size_a + codes[k]] if k else self.table[codes[k]]
-                seen[:, 0] = plain[k]
-                score += seen
-            state = np.argmax(score, axis=1)
-            path = np.zeros((n, size), np.int8)
-            for k in range(size - 1, -1, -1):
-                path[:, k] = state
-                state = came[k, np.arange(n), state]
-            for r, g in enumerate(group):
-                out[g] = path[r, : len(texts[g])]
+        """The best state of every character of each text, by Viterbi.
+
+        Where the most that any state could gain over the clean one, summed up from the last place at which that sum was
+        nothing, never pays for entering a state, the best path is clean whatever the states do: such stretches are exact
+        without the recursion, and the others are worked off side by side."""
+        out, work = [], []
+        least = STAY - ENTER  # a state's first character costs no staying
+        for i, t in enumerate(texts):
+            codes = self.codes(t).astype(np.int64)
+            out.append(np.zeros(len(codes), np.int8))
+            if not len(codes):
+                continue
+            clean = self.clean_emissions(codes[None, :])[0]
+            at = np.concatenate([[self.lookup[10]], self.lookup[codes]]).astype(np.int64)
+            pair = at[:-1] * len(self.table) + at[1:]
+            total = np.cumsum(self.most[pair] + STAY - clean, dtype=np.float64)
+            run = total - np.minimum(np.minimum.accumulate(total), 0)
+            stop = np.flatnonzero(run <= 0)
+            start = np.concatenate([[0], stop + 1])
+            end = np.concatenate([stop, [len(codes)]])
+            keep = end > start
+            start, end = start[keep], end[keep]
+            if len(start):
+                top = np.maximum.reduceat(np.append(run, 0), np.stack([start, end], axis=1).ravel())[::2]
+                work += [(i, a, b, pair, clean, at) for a, b in zip(start[top >= least], end[top >= least], strict=True)]
+        work.sort(key=lambda x: x[2] - x[1])
+        k = 0
+        while k < len(work):
+            top = work[min(len(work), k + GROUP) - 1]
+            group = work[k : k + max(1, min(GROUP, 2_000_000 // (top[2] - top[1])))]
+            k += len(group)
+            self._viterbi(group, out)
         return out
 
+    def _viterbi(self, group: list[tuple], out: list[np.ndarray]) -> None:
+        """Labels stretches (text, start, end, character pairs, clean emissions, characters), the longest last, in ``out``."""
+        size, n, s = group[-1][2] - group[-1][1], len(group), len(STATES)
+        length = np.array([b - a for _, a, b, *_ in group])
+        pair, plain, before = np.zeros((size, n), np.int64), np.zeros((size, n), np.float32), np.zeros((size, n), np.int64)
+        for r, (_, a, b, p, c, at) in enumerate(group):
+            pair[: b - a, r], plain[: b - a, r], before[: b - a, r] = p[a:b], c[a:b], at[a:b]
+        first = np.searchsorted(length, np.arange(size), "right")  # the stretches that go on to each place
+        score = np.full((n, s), ENTER, np.float32)
+        score[:, 0] = 0
+        came = np.zeros((size, n, s), np.int8)
+        own = np.arange(s, dtype=np.int8)
+        for k in range(size):
+            f = first[k]
+            now = score[f:]
+            if k:
+                start = now[:, :1] + ENTER
+                now[:, 1:] += STAY
+                enter = start > now
+                whole = now + self.endings[before[k, f:]]
+                best = np.argmax(whole[:, 1:], axis=1) + 1
+                leave = whole[np.arange(n - f), best] + (LEAVE - STAY)
+                step = np.where(enter, np.int8(0), own)
+                out0 = leave > now[:, 0]
+                clean = np.where(out0, leave, now[:, 0])
+                step[:, 0] = np.where(out0, best, 0)
+                np.maximum(now, start, out=now)
+                now[:, 0] = clean
+                came[k, f:] = step
+            seen = self.after[pair[k, f:]]
+            seen[:, 0] = plain[k, f:]
+            now += seen
+        # inside a text a stretch ends clean
+        for r, (i, a, b, _, _, at) in enumerate(group):
+            if b < len(out[i]):
+                score[r, 1:] += LEAVE + self.endings[at[b], 1:]
+        state = np.argmax(score, axis=1)
+        path = np.zeros((n, size), np.int8)
+        for k in range(size - 1, -1, -1):
+            f = first[k]
+            path[f:, k] = state[f:]
+            state[f:] = came[k, np.arange(f, n), state[f:]]
+        for r, (i, a, b, *_) in enumerate(group):
+            out[i][a:b] = path[r, : b - a]
+
 
 def learn(rows: DataFrame, column: str):
     """The broadcast model of all texts in ``column``."""
