@@ -60,3 +60,63 @@ def test_empty_texts_stay(spark):
     got = {(r.field, r.rec_id): r.text for r in P.repaired(e, c).collect()}
     assert got["text_only", 0] == "" and got["rus", 0] == "" and got["text_only", 1] == "план вырос"
     assert not {("text_only", 0), ("rus", 0)} & {(r.field, r.rec_id) for r in P.found(e, c).collect()}
+
+
+def test_every_word_within_one_edit_is_a_candidate():
+    words = sorted({"показатель", "станция", "развитие", "план", "год"})
+    trie = P.Trie(words, [9] * len(words))
+    for wrong, right in (("показазель", "показатель"), ("стансия", "станция"), ("развитне", "развитие"), ("план", "план"), ("плн", "план"), ("годд", "год"), ("рзвитие", "развитие")):
+        assert right in trie.within(wrong, {}, 2, True), wrong
+
+
+def test_edits_are_learned(spark):
+    # the letter pair ж, ф is misread again and again; endings differ both ways
+    words = ["жалоба", "железо", "живопись", "журнал", "жёлтый", "жилище", "жизнь", "жара"]
+    ends = [f"{w}{e}" for w in ("завод", "договор", "разговор") for e in ("а", "у")]
+    rows = [(w, 400, 300) for w in words] + [("ф" + w[1:], 1, 1) for w in words] + [(w, 40 + 30 * i, 20) for i, w in enumerate(ends)] + [("договору", 1, 1), ("железа", 2, 2)]
+    counts = spark.createDataFrame([("rus", *r) for r in rows], "lang string, word string, n long, texts long")
+    got = {r.word: {x.word for x in r.right} for r in P.misreadings(counts).collect()}
+    assert got == {"ф" + w[1:]: {w} for w in words}
+
+
+def test_headers_are_learned(spark):
+    lines = ["Annual Report 2019 – Acme Holding", "страница {} из 80", "Page {}/80"]
+    e = []
+    for f in range(8):
+        body = [f"{a} заводов{chr(1072 + f)} в {i} районе и ещё" for i, a in enumerate(["построено много", "закрыто несколько", "открыто семь", "намечено пять", "начато шесть"])]
+        for k, h in enumerate(lines):
+            body.insert(2 + k, h.format(f + 3))
+        e.append((f, "c", f"2020_Report_00000{f}_RUS.md", "\n".join(body)))
+    e.append((50, "c", "2020_Report_000050_RUS.md", "построено много\nзаводов и ещё"))
+    known = P.headers(spark.createDataFrame(e, "extract_id long, collection string, filename string, text string").selectExpr("hash(filename) AS f", "text").selectExpr("cast(f AS bigint) AS file", "text"))
+    assert {"страница # из #", "Page #/#"} <= set(known.lines) and any(x.startswith("Annual Report") for x in known.lines)
+    assert P.furniture("построено\nстраница 77 из 80\nмного", known) and P.furniture("много Page 9/80 заводов", known) and not P.furniture("построено много в 3 районе", known)
+
+
+def test_repair_brings_texts_back(spark):
+    import random
+
+    r = random.Random(6)
+    vocabulary = GOOD.split()
+    clean = [" ".join(r.choice(vocabulary) for _ in range(30)) for _ in range(60)]
+    noisy = []
+    for t in clean:
+        ws = t.split()
+        for _ in range(3):
+            i = r.randrange(len(ws))
+            if len(ws[i]) > 5:
+                ws[i] = r.choice([ws[i][:3] + "¬\n" + ws[i][3:], ws[i].replace("о", "0", 1), ws[i].replace("л", "п", 1), ws[i].replace("н", "п", 1)])
+        noisy.append(" ".join(ws) + r.choice(["", "\n12 / 184", "\n- 7 -"]))
+    e, c = run(spark, noisy)
+    got = {x.rec_id: x.text for x in P.repaired(e, c).collect()}
+
+    def errors(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            last, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+        return row[-1]
+
+    before, after = (sum(errors(x, y) for x, y in zip(s, clean)) for s in (noisy, [got[i] for i in range(60)]))
+    assert after < 0.1 * before
