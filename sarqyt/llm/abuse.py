@@ -7,8 +7,10 @@ windows: of a rated-bad document the windows that score highest (at first, by th
 good one the highest and some others. Spelling is folded first: letters that look alike are one letter, letters drawn out
 or set apart are joined, digits and signs inside words become the letters they stand for.
 
-At most ``MAX_DOCS`` rated documents (in the order of a hash of their ids) are used for the fit, the bound on what the
-driver holds; every fifth of them is kept apart to set the threshold. All overlapping windows of all documents are scored,
+At most ``MAX_DOCS`` rated documents (in the order of a hash of their ids) are used for the fit, the bound on what one
+task holds; every fifth of them is kept apart to set the threshold (0.9 where those hold no verdicts of both kinds). The
+fit runs once, in a task on an executor, the same number of readings of every document whatever their number, and only
+its arrays come back. All overlapping windows of all documents are scored,
 whole texts, in Arrow batches; the input side of the recurrences is computed once per distinct word of a batch.
 
 Defined results: null or blank texts score 0; raters' null verdicts are no verdict; without any verdicts of both kinds
@@ -17,6 +19,7 @@ all scores are 0; repeated rows are scored apart.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,7 +35,8 @@ from sarqyt.session import spread
 MAX_DOCS = 2500
 WINDOW, STEP = 24, 12
 BUCKETS, DIM, HIDDEN = 1 << 14, 16, 16
-MOST_EPOCHS, LEAST_EPOCHS, READINGS = 18, 7, 18_000
+EPOCHS, BATCH = 12, 64
+SEEN = 3  # documents in which a word must be to lead the choice of windows
 
 # Letters and signs that look alike, folded to one
 FOLD = str.maketrans("аеорсухкмтнвіёйүұқғңөәһ@$01346ѕј", "aeopcyxkmthbieиyykгноahasoiзчбsj")
@@ -115,6 +119,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
+def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in ``at`` and the sums of their rows."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[first], np.add.reduceat(rows[order], first, axis=0)
+
+
 class Network:
     """Parameters by name; two directions (f, b) of gated recurrent units."""
 
@@ -199,7 +211,8 @@ class Network:
             dU = np.zeros_like(u)
             dz = np.zeros((len(x), 3 * h), np.float32)
             ds = np.zeros((len(ids), h), np.float32)
-            for t, s, r, q, c, on in reversed(memo):
+            at_word, at_step = np.empty((len(memo), len(ids)), np.int64), np.empty((len(memo), len(ids), 3 * h), np.float32)
+            for k2, (t, s, r, q, c, on) in enumerate(reversed(memo)):
                 dn = part[t] + ds
                 live = dn * on[:, None]
                 dc = live * q * (1 - c**2)
@@ -210,7 +223,9 @@ class Network:
                 dU[:, : 2 * h] += s.T @ both
                 dU[:, 2 * h :] += (r * s).T @ dc
                 ds = np.where(on[:, None], live * (1 - q) + drs * r + both @ u[:, : 2 * h].T, dn)
-                np.add.at(dz, ids[:, t], np.concatenate([both, dc], axis=1) * on[:, None])
+                at_word[k2], at_step[k2, :, : 2 * h], at_step[k2, :, 2 * h :] = ids[:, t], both * on[:, None], dc * on[:, None]
+            at, sums = _summed(at_word.ravel(), at_step.reshape(-1, 3 * h))
+            dz[at] = sums
             g["U" + k], g["W" + k], g["c" + k] = dU, x.T @ dz, dz.sum(axis=0)
             dx += dz @ W.T
         return loss, g, dx
@@ -240,7 +255,9 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
     v = Vocabulary()
     docs = v.numbers(texts)
     ids, who = windows(docs)
-    held = np.arange(len(texts)) % 5 == 4 if bad.sum() >= 25 else np.zeros(len(texts), bool)
+    held = np.arange(len(texts)) % 5 == 4
+    if not (bad & ~held).any():
+        held[:] = False
     # words that bad documents share, to start with
     inside = Counter(w for d, b, k in zip(docs, bad, held, strict=True) if b and not k for w in set(d.tolist()))
     outside = Counter(w for d, b, k in zip(docs, bad, held, strict=True) if not b and not k for w in set(d.tolist()))
@@ -250,7 +267,7 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
         odds[w] = np.log((inside[w] + 0.3) / (nb + 1)) - np.log((outside[w] + 0.3 * ng / nb) / (ng + 1))
     odds[0] = 0
     seen = np.array([inside[i] + outside[i] for i in range(len(v.word))])
-    odds[seen < (2 if len(texts) < 1000 else 4)] = 0
+    odds[seen < SEEN] = 0
     first = np.sort(odds[ids], axis=1)[:, -4:].sum(axis=1) + np.sort(odds[ids], axis=1)[:, :4].sum(axis=1) * 0.2
     # what the words of a good document reach at most, nearly always
     top_of = np.full(len(texts), -9.0)
@@ -262,9 +279,8 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
     ends = np.searchsorted(who, np.arange(len(texts)), side="right")
     order_docs = np.flatnonzero(~held & (ends > starts))
     word = np.array(v.word)
-    epochs = int(np.clip(READINGS // max(1, len(order_docs)), LEAST_EPOCHS, MOST_EPOCHS))
-    led = epochs * 2 // 3
-    for epoch in range(epochs):
+    led = EPOCHS * 2 // 3
+    for epoch in range(EPOCHS):
         # the shared words lead at first, the network itself later
         s = first if epoch < led else net.score(v, ids)
         high = lead if epoch < led else 0.0
@@ -288,8 +304,8 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
         order = r.permutation(len(pick))
         losses = []
         rate = 0.02 if epoch < led // 2 else 0.008 if epoch < led else 0.004
-        for i in range(0, len(order), 48):
-            j = order[i : i + 48]
+        for i in range(0, len(order), BATCH):
+            j = order[i : i + BATCH]
             used, local, runs = _sub(v, ids[pick[j]])
             # words are forgotten at times, rare ones always, so that their letters count
             forget = (r.random(len(used)) < 0.3) | (seen[used] < 3)
@@ -313,15 +329,13 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 7) -> Network:
                 n += 0.001 * q * q
                 net.p[k] -= (fix * m / (np.sqrt(n) + 1e-8) + 1e-5 * net.p[k]).astype(np.float32)
             for k, (at, q) in rows.items():
-                u, back = np.unique(at, return_inverse=True)
-                q2 = np.zeros((len(u), DIM), np.float32)
-                np.add.at(q2, back, q)
+                u, q2 = _summed(at, q.astype(np.float32))
                 m, n = state[k]
                 m[u] = 0.9 * m[u] + 0.1 * q2
                 n[u] = 0.999 * n[u] + 0.001 * q2 * q2
                 net.p[k][u] -= fix * m[u] / (np.sqrt(n[u]) + 1e-8) + 1e-4 * net.p[k][u]
         net.losses.append(float(np.mean(losses)))
-    if held.any():
+    if bad[held].any() and not bad[held].all():
         s = net.score(v, ids)
         top = np.array([s[a:b].max() if b > a else -20 for a, b in zip(starts, ends, strict=True)])
         x, truth = _sigmoid(top[held]), bad[held]
@@ -334,8 +348,17 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Netwo
     """The network fitted on at most ``max_docs`` rated documents."""
     mean = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.avg("toxic").alias("target"))
     some = mean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("target").alias("target")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).toArrow()
-    return fit(rows["text"].to_pylist(), rows["target"].to_numpy())
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("target").alias("target")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        texts = [t for b in got for t in b.column(1).to_pylist()]
+        net = fit(texts, np.array([x for b in got for x in b.column(2).to_pylist()], float))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
+
+    # limit leaves one partition, in the order of the hash
+    made = rows.select("doc_id", "text", "target").coalesce(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").mapInArrow(go, "net binary").collect()
+    return pickle.loads(made[0]["net"]) if made else fit([], np.zeros(0))
 
 
 def scored(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:

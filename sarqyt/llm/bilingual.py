@@ -34,7 +34,11 @@ from pyspark.sql import functions as F
 from sarqyt.session import cut, spread
 
 RARE = 500
-LARGE = 20_000
+LARGE = 3_000
+MOST_TERMS = 100_000
+MOST_CELLS = 2_000_000
+SPEAKS = 4  # a word of one language is replaced by so many of the other at most, the best first
+LIFT, DICE = 3, 0.15
 HEAVY = 4_000_000
 BLOCK, CELLS = 8192, 1 << 22
 ANCHOR, PART, NEAR, LEAST, REST = 0.45, 0.45, 0.8, 3.0, 4.0
@@ -128,47 +132,56 @@ def learn(corpus: DataFrame, glossary: DataFrame, source: str, targets: list[str
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        total = {t: np.zeros((len(index[source]), len(index[t])), np.int32) for t in targets}
+        cells = {t: (np.empty(0, np.int64), np.empty(0, np.int64)) for t in targets}
+
+        def out(k: int, t: str) -> Iterator[pa.RecordBatch]:
+            at, n = cells[t]
+            cells[t] = (at[:0], n[:0])
+            for i in range(0, len(at), 50_000):
+                part = at[i : i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), pa.array(part // len(index[t])), pa.array(part % len(index[t])), pa.array(n[i : i + 50_000])], ["t", "s", "o", "n"])
+
         for b in batches:
             ids = {}
             for c in columns:
                 get = index[c].get
                 ids[c] = [np.array(sorted({i for w in TOKEN.findall(t.lower()) if (i := get(w)) is not None}), np.int64) if t else None for t in b.column(c).to_pylist()]
-            for t in targets:
+            for k, t in enumerate(targets):
                 n = len(index[t])
                 flat = [(s[:, None] * n + o).ravel() for s, o in zip(ids[source], ids[t], strict=True) if s is not None and o is not None]
                 if flat:
-                    np.add.at(total[t].ravel(), np.concatenate(flat), 1)
+                    # only cells that occur are held
+                    one, count = np.unique(np.concatenate(flat), return_counts=True)
+                    at, back = np.unique(np.concatenate([cells[t][0], one]), return_inverse=True)
+                    cells[t] = at, np.bincount(back, weights=np.concatenate([cells[t][1], count])).astype(np.int64)
+                    if len(at) > MOST_CELLS:
+                        yield from out(k, t)
         for k, t in enumerate(targets):
-            v = total[t].ravel()
-            at = np.flatnonzero(v > 0)
-            for i in range(0, len(at), 50_000):
-                p = at[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), k, np.int32)), pa.array(p.astype(np.int64)), pa.array(v[p].astype(np.int64))], ["t", "cell", "n"])
-
-    both = rows.mapInArrow(go, "t int, cell bigint, n bigint").groupBy("t", "cell").agg(F.sum("n").alias("n"))
-    # only cells that say something come to the driver: at least a fifth of the rarer word's rows
+            yield from out(k, t)
+
+    both = rows.mapInArrow(go, "t int, s bigint, o bigint, n bigint").groupBy("t", "s", "o").agg(F.sum("n").alias("n"))
+    # the word counts are as bounded as the vocabulary; only cells that say something come to the driver
+    spark = rows.sparkSession
+    sides = [(-1, i, frequent[source][w]) for w, i in words[source].items()] + [(k, i, frequent[t][w]) for k, t in enumerate(targets) for w, i in words[t].items()]
+    sizes = spark.createDataFrame(pa.table([pa.array([r[j] for r in sides], k) for j, k in enumerate((pa.int32(), pa.int64(), pa.int64()))], ["t", "i", "c"]))
+    got = both.join(F.broadcast(sizes.where("t < 0").select(F.col("i").alias("s"), F.col("c").alias("cs"))), "s").join(F.broadcast(sizes.where("t >= 0").select("t", F.col("i").alias("o"), F.col("c").alias("ct"))), ["t", "o"])
+    # how much more often together than apart, and the share of the rarer word's rows
+    got = got.withColumns({"dice": 2.0 * F.col("n") / (F.col("cs") + F.col("ct")), "lift": F.col("n").cast("double") * max(1, whole) / (F.col("cs") * F.col("ct"))}).where((F.col("n") >= 3) & (F.col("lift") > LIFT) & (F.col("dice") > DICE)).select("t", "s", "o", "dice").toArrow()
+    tt, ss, oo, dd = (got[c].to_numpy() for c in ("t", "s", "o", "dice"))
+    terms = glossary.select(*columns).limit(MOST_TERMS + 1).toArrow().to_pylist()
+    if len(terms) > MOST_TERMS:
+        raise ValueError(f"a glossary of more than {MOST_TERMS} terms")
     out = {}
-    got = both.where(F.col("n") >= 3).toArrow()
-    tt, cell, n = (got[c].to_numpy() for c in ("t", "cell", "n"))
-    terms = glossary.select(*columns).toArrow().to_pylist()  # some hundred terms at any scale
     for k, t in enumerate(targets):
-        size = len(words[t])
         sw, tw = sorted(words[source]), sorted(words[t])
-        cs = np.array([frequent[source][w] for w in sw], float)
         ct = np.array([frequent[t][w] for w in tw], float)
         m = tt == k
-        s, o, c = cell[m] // max(1, size), cell[m] % max(1, size), n[m].astype(float)
-        # how much more often together than apart, and the share of the rarer word's rows
-        dice = 2 * c / (cs[s] + ct[o])
-        lift = c * max(1, whole) / (cs[s] * ct[o])
-        good = (lift > 3) & (dice > 0.15)
+        s, o, dice = ss[m], oo[m], dd[m]
         idf_t = np.log(max(2, whole) / ct) / 4
         table: dict[str, list[tuple[int, float]]] = {w: [] for w in sw}
         spoken = np.zeros(len(tw), bool)
-        order = np.argsort(-dice, kind="stable")
-        for i in order[good[order]]:
-            if len(table[sw[s[i]]]) < 4:
+        for i in np.lexsort((o, s, -dice)):
+            if len(table[sw[s[i]]]) < SPEAKS:
                 table[sw[s[i]]].append((code("=", tw[o[i]]), float(min(1.5, idf_t[o[i]]) * min(1.0, 1.5 * dice[i]))))
                 spoken[o[i]] = True
         # a frequent target word that no word speaks for would only dilute its bag

@@ -79,7 +79,8 @@ PAGE_START = re.compile(rf"(?m)^p\. {NUMBER}(?= [{UP}#«])")
 # a word broken at a line end, and a break that was left behind inside a line
 BROKEN = re.compile(rf"(?<=[{LOW}])(?:¬[ \t]*\n?[ \t]*|[ ]?[-‐][ \t]*\n[ \t]*)(?=[{LOW}])")
 SPLIT = re.compile(rf"([{UP}{LOW}][{LOW}]*)[ ]?[-‐][ ]([{LOW}]+)")
-INSIDE = re.compile(rf"[{LOW}][0134569][{LOW}]|[{UP}{LOW}][{LOW}]{{2,}}[034569](?![\w])|(?<![\w.,/-])[0346][{LOW}]{{3,}}|[{LOW}{UP}]>к[{LOW}]|ьі")
+# each way begins with the character that is looked for, so that the search runs from one to the next
+INSIDE = re.compile(rf"[0134569](?<=[{LOW}]\d)(?=[{LOW}])|[034569](?<=[{UP}{LOW}][{LOW}]{{2}}\d)(?![\w])|[0346](?<![\w.,/-]\d)[{LOW}]{{3,}}|>(?<=[{LOW}{UP}]>)к[{LOW}]|ьі")
 GARBLED = re.compile("[\u00ae\u00a4\u00a7\u00a9\u0490\u00b0\u00b1\u00b5\u00b6\u00a6\x80-\x9f]")
 
 
@@ -87,12 +88,13 @@ def cyrillic(lang: str) -> bool:
     return lang != "eng"
 
 
-CODED = re.compile(rf"\S*(?:[/\\](?:uni|afii)|\(cid:|{GARBLED.pattern})\S*")
+CODE = rf"[/\\](?:uni|afii)|\(cid:|{GARBLED.pattern}"
+ANY_CODE, CODED = re.compile(CODE), re.compile(rf"\S*(?:{CODE})\S*")
 
 
 def plain_words(t: str) -> list[str]:
     """The words of a text in lower case; what a wrong encoding or glyph codes cut apart is none."""
-    if CODED.search(t):
+    if ANY_CODE.search(t):
         t = CODED.sub(" ", t)
     return WORD.findall((HIDDEN.sub("", unicodedata.normalize("NFC", t)) if HIDDEN.search(t) else t).lower())
 
@@ -477,6 +479,8 @@ def furniture(t: str, known: Headers = NO_HEADERS) -> list[tuple[int, int]]:
 
 def breaks(t: str) -> list[tuple[int, int]]:
     """Places of line breaks inside words."""
+    if "¬" not in t and "\n" not in t:
+        return []
     return [m.span() for m in BROKEN.finditer(t) if not GARBLED.search(t, max(0, m.start() - 15), m.end() + 15)]
 
 
@@ -517,7 +521,7 @@ def _lookups(t: str, lang: str, packed: np.ndarray, words: dict, context: bool)
             hit = in_bitmap(packed, np.array([_hash(lang, w) for w in new], np.uint64), BITS)
             bad.update(w for w, h in zip(new, hit, strict=True) if h)
     out = own & bad
-    joins = ["j" + (m[1] + m[2]).lower() for m in SPLIT.finditer(t)]
+    joins = ["j" + (m[1] + m[2]).lower() for m in SPLIT.finditer(t)] if "- " in t or "‐ " in t else []
     if not context:
         return ["w" + w for w in out] + joins
     return sorted({f"w{w} {a}" for a, w in zip(["", *ws], ws, strict=False) if w in out}) + joins
