@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from sarqyt.session import spread
 
-MAX_DOCS = 2500
+MAX_DOCS = 5000
 WINDOW, STEP = 24, 12
 BUCKETS, DIM, HIDDEN = 1 << 14, 16, 16
 EPOCHS, BATCH = 12, 64
