@@ -54,7 +54,10 @@ GLYPH = re.compile(r"[/\\]uni(?:000[0-9A-Fa-f]{3}|[0-9A-Fa-f]{4})|[/\\]afii(?:10
 GLYPH_CHAR = "\ue000"
 ENTER, LEAVE = -9.0, -3.0
 STAY = float(np.log1p(-np.exp(LEAVE)))
-GROUP = 1024  # texts labelled side by side
+GROUP, BLOCK = 1024, 1_000_000  # stretches labelled side by side, and characters looked at together
+# states whose gains are bounded together: those of several bytes, and each of one byte by itself
+_ONE = [n for n in PAIRS if not n.startswith("utf-8")]
+BOUNDED = [[n for n in STATES if n not in _ONE and n != "clean"], *([n] for n in _ONE)]
 
 
 def _sloppy(encoding: str) -> tuple[str, dict[str, int]]:
@@ -170,7 +173,7 @@ class Model:
             self.index[ord(c)] = i + 1
         self.clean = self._clean(pairs.astype(np.float64), capitals)
         self.after = self._after(p)
-        self.most = self.after[:, 1:].max(axis=1)
+        self.most = [self.after[:, [STATES.index(s) for s in some]].max(axis=1) for some in BOUNDED]
 
     def _clean(self, pairs: np.ndarray, capitals: np.ndarray) -> np.ndarray:
         """The clean state's emissions, given the character before: log P(letter | letter before), from the case and from
@@ -284,45 +287,66 @@ class Model:
     def label(self, texts: list[str]) -> list[np.ndarray]:
         """The best state of every character of each text, by Viterbi.
 
-        Where the most that any state could gain over the clean one, summed up from the last place at which that sum was
-        nothing, never pays for entering a state, the best path is clean whatever the states do: such stretches are exact
-        without the recursion, and the others are worked off side by side."""
-        out, work = [], []
-        least = STAY - ENTER  # a state's first character costs no staying
-        for i, t in enumerate(texts):
-            codes = self.codes(t).astype(np.int64)
-            out.append(np.zeros(len(codes), np.int8))
-            if not len(codes):
+        Where the most that a state can gain over the clean one, summed up from the last place at which that sum was
+        nothing, never pays for entering it, no best path is in that state. Stretches of which that is so for every state
+        are clean, exactly, without the recursion; the others are worked off side by side. States are taken together in
+        few groups, each bounded by its best."""
+        out = [np.zeros(len(t), np.int8) for t in texts]
+        i = 0
+        while i < len(texts):
+            e, size = i, 0
+            while e < len(texts) and (e == i or size + len(texts[e]) < BLOCK):
+                size += len(texts[e]) + 1
+                e += 1
+            self._label_block(texts[i:e], out[i:e])
+            i = e
+        return out
+
+    def _label_block(self, texts: list[str], out: list[np.ndarray]) -> None:
+        # a line end before each text: the character before its first one, and a place that nothing runs across
+        codes = self.codes("\n" + "\n".join(texts)).astype(np.int64)
+        border = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        clean = self.clean_emissions(codes[None, :])[0]
+        at = self.lookup[codes].astype(np.int64)
+        pair = np.concatenate([[0], at[:-1] * len(self.table) + at[1:]])
+        change = np.zeros(len(codes) + 1, np.int32)
+        for most in self.most:
+            gain = most[pair].astype(np.float64)
+            gain += STAY - clean
+            gain[border[:-1]] = -1e7
+            total = np.cumsum(gain)
+            run = total - np.minimum.accumulate(total)
+            # a state's first character costs no staying
+            high = np.flatnonzero(run >= STAY - ENTER)
+            if not len(high):
                 continue
-            clean = self.clean_emissions(codes[None, :])[0]
-            at = np.concatenate([[self.lookup[10]], self.lookup[codes]]).astype(np.int64)
-            pair = at[:-1] * len(self.table) + at[1:]
-            total = np.cumsum(self.most[pair] + STAY - clean, dtype=np.float64)
-            run = total - np.minimum(np.minimum.accumulate(total), 0)
-            stop = np.flatnonzero(run <= 0)
-            start = np.concatenate([[0], stop + 1])
-            end = np.concatenate([stop, [len(codes)]])
-            keep = end > start
-            start, end = start[keep], end[keep]
-            if len(start):
-                top = np.maximum.reduceat(np.append(run, 0), np.stack([start, end], axis=1).ravel())[::2]
-                work += [(i, a, b, pair, clean, at) for a, b in zip(start[top >= least], end[top >= least], strict=True)]
+            stop = np.append(np.flatnonzero(run <= 0), len(codes))
+            k = np.unique(np.searchsorted(stop, high))
+            np.add.at(change, stop[k - 1] + 1, 1)
+            np.add.at(change, stop[k], -1)
+        inside = np.cumsum(change[:-1]) > 0
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]])))
+        work = []
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            t = int(np.searchsorted(border, a, "right")) - 1
+            first = int(border[t]) + 1
+            work.append((out[t], a, b, first, pair, clean, at))
         work.sort(key=lambda x: x[2] - x[1])
         k = 0
         while k < len(work):
             top = work[min(len(work), k + GROUP) - 1]
             group = work[k : k + max(1, min(GROUP, 2_000_000 // (top[2] - top[1])))]
             k += len(group)
-            self._viterbi(group, out)
-        return out
+            self._viterbi(group)
 
-    def _viterbi(self, group: list[tuple], out: list[np.ndarray]) -> None:
-        """Labels stretches (text, start, end, character pairs, clean emissions, characters), the longest last, in ``out``."""
+    def _viterbi(self, group: list[tuple]) -> None:
+        """Labels stretches (labels of the text, start, end, start of the text, character pairs, clean emissions,
+        characters), the longest last."""
         size, n, s = group[-1][2] - group[-1][1], len(group), len(STATES)
-        length = np.array([b - a for _, a, b, *_ in group])
+        length = np.array([x[2] - x[1] for x in group])
         pair, plain, before = np.zeros((size, n), np.int64), np.zeros((size, n), np.float32), np.zeros((size, n), np.int64)
-        for r, (_, a, b, p, c, at) in enumerate(group):
-            pair[: b - a, r], plain[: b - a, r], before[: b - a, r] = p[a:b], c[a:b], at[a:b]
+        for r, (_, a, b, _, p, c, at) in enumerate(group):
+            pair[: b - a, r], plain[: b - a, r], before[: b - a, r] = p[a:b], c[a:b], at[a - 1 : b - 1]
         first = np.searchsorted(length, np.arange(size), "right")  # the stretches that go on to each place
         score = np.full((n, s), ENTER, np.float32)
         score[:, 0] = 0
@@ -349,17 +373,17 @@ class Model:
             seen[:, 0] = plain[k, f:]
             now += seen
         # inside a text a stretch ends clean
-        for r, (i, a, b, _, _, at) in enumerate(group):
-            if b < len(out[i]):
-                score[r, 1:] += LEAVE + self.endings[at[b], 1:]
+        for r, (label, a, b, first_at, _, _, at) in enumerate(group):
+            if b < first_at + len(label):
+                score[r, 1:] += LEAVE + self.endings[at[b - 1], 1:]
         state = np.argmax(score, axis=1)
         path = np.zeros((n, size), np.int8)
         for k in range(size - 1, -1, -1):
             f = first[k]
             path[f:, k] = state[f:]
             state[f:] = came[k, np.arange(f, n), state[f:]]
-        for r, (i, a, b, *_) in enumerate(group):
-            out[i][a:b] = path[r, : b - a]
+        for r, (label, a, b, first_at, *_) in enumerate(group):
+            label[a - first_at : b - first_at] = path[r, : b - a]
 
 
 def learn(rows: DataFrame, column: str):

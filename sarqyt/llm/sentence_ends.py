@@ -282,10 +282,12 @@ class Chunks:
         ids, at, prev = [], [], 0
         get, wide = self.ids.get, WIDE_LETTER.search(p)
         for end in [x[0] for x in c] + [len(p)]:
-            seg = p[prev:end]
-            for x in WIDE_TOKEN.findall(seg) if wide else seg.split():
-                i = get(x)
-                ids.append(self.add(x) if i is None else i)
+            seg = p[prev:end] if c else p
+            chunks = WIDE_TOKEN.findall(seg) if wide else seg.split()
+            own = list(map(get, chunks))
+            if None in own:
+                own = [(i if (i := get(x)) is not None else self.add(x)) if i is None else i for i, x in zip(own, chunks, strict=True)]
+            ids += own
             at.append(len(ids) - 1)
             prev = end
         return ids, at[:-1]
