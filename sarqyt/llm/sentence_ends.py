@@ -286,7 +286,7 @@ class Chunks:
             chunks = WIDE_TOKEN.findall(seg) if wide else seg.split()
             own = list(map(get, chunks))
             if None in own:
-                own = [(i if (i := get(x)) is not None else self.add(x)) if i is None else i for i, x in zip(own, chunks, strict=True)]
+                own = [self.ids[x] if x in self.ids else self.add(x) for x in chunks]
             ids += own
             at.append(len(ids) - 1)
             prev = end
