@@ -35,7 +35,7 @@ from sarqyt.session import spread
 MAX_DOCS = 5000
 WINDOW, STEP = 24, 12
 BUCKETS, DIM, HIDDEN = 1 << 14, 16, 16
-EPOCHS, BATCH = 12, 64
+EPOCHS, BATCH = 8, 64
 SEEN = 3  # documents in which a word must be to lead the choice of windows
 
 # Letters and signs that look alike, folded to one
