@@ -18,6 +18,7 @@ ABBREVIATIONS = (
 )
 _ABBR = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
 MIN_CHARS, MAX_CHARS = 20, 2000
+_IN_LINE = WS[:-1] + r"&&[^\n]]"
 
 
 def is_abbreviation(c: Column) -> Column:
@@ -66,18 +67,34 @@ def decode_escapes(c: Column) -> Column:
     return F.concat(parts[0], F.array_join(decoded, ""))
 
 
+def decode_escapes_sql(e: str) -> str:
+    return rf"""list_aggregate(list_transform(string_split(regexp_replace({e}, '[/\\]uni([0-9A-Fa-f]{{4}})', chr(30) || '\1', 'g'), chr(30)), lambda p, i: CASE WHEN i = 1 THEN p ELSE chr(CAST('0x' || p[1:4] AS INTEGER)) || p[5:] END), 'string_agg', '')"""
+
+
+def clean_markdown(c: Column) -> Column:
+    """The whole cleaning of extracted text: glyph escapes, named glyphs, page numbers, blank lines, furniture, empty rows."""
+    return CLEAN_MARKDOWN.spark(decode_named_glyphs(decode_escapes(c)))
+
+
+def clean_markdown_sql(e: str) -> str:
+    return CLEAN_MARKDOWN.sql(decode_named_glyphs_sql(decode_escapes_sql(e)))
+
+
 def without_tables(c: Column) -> Column:
-    """Drops table blocks: a line that starts with a pipe opens one, the next blank line closes it and goes too. Row-local:
-    one fold writes a flag per line (k keep, i inside, e end of a table), and the lines are filtered by it."""
-    lines = F.split(c, "\n")
+    """Drops table blocks: a line that starts with a pipe opens one, the next blank line closes it and goes too. Row-local
+    and linear: a text is cut before its blank lines; of each part what stands before its first table line stays, and
+    the blank line at its head unless the part before it had a table."""
+    parts = F.split(c, rf"\n(?={_IN_LINE}*(?:\n|\z))")
+    table = rf"(?s)(?:^|(?<=\n)){_IN_LINE}*\|.*"
 
-    def step(flags: Column, line: Column) -> Column:
-        bare, inside = STRIP.spark(line), F.right(flags, F.lit(1)) == "i"
-        return F.concat(flags, F.when(F.startswith(bare, F.lit("|")), "i").when(inside & (bare == ""), "e").when(inside, "i").otherwise("k"))
+    def kept(part: Column, i: Column) -> Column:
+        body = F.regexp_replace(part, rf"(?s)(?:^|\n){_IN_LINE}*\|.*\z", "")
+        closed = (i > 0) & F.rlike(F.get(parts, i - 1), F.lit(table))
+        # lines that are left: none where a table opens the text, or closes with nothing after the blank line
+        none = F.rlike(part, F.lit(rf"^{_IN_LINE}*\|")) | (closed & (F.locate("\n", body) == 0))
+        return F.when(~none, F.when(closed, F.substring(body, F.locate("\n", body) + 1, F.length(body))).otherwise(body))
 
-    flags = F.aggregate(lines, F.lit(""), step)
-    kept = F.transform(F.filter(F.arrays_zip(lines.alias("line"), F.split(flags, "").alias("flag")), lambda x: x["flag"] == "k"), lambda x: x["line"])
-    return F.array_join(kept, "\n")
+    return F.array_join(F.filter(F.transform(parts, kept), lambda x: x.isNotNull()), "\n")
 
 
 def has_kazakh_letters(filename: Column, text: Column) -> Column:
@@ -193,6 +210,26 @@ OCR_REPAIR = rules(
     Rule(rf"([а-яәғқңөұүіА-ЯӘҒҚҢӨҰҮІ]){WS}+([а-яәғқңөұүі])", r"\1\2"), Rule(rf"{WS}{{2,}}", " "), STRIP,
 )
 
+
+def ocr_repair(c: Column) -> Column:
+    """``(text, changed)`` of the first repair."""
+    new = OCR_REPAIR.spark(c)
+    return F.struct(new.alias("text"), (new != c).alias("changed"))
+
+
+def round4(c: Column) -> Column:
+    """Four decimals, rounded by the number's exact binary value (0.84995 is a little less than that: 0.8499), ties to even.
+    The product by 10,000 is taken with its rounding error, which decides what the product alone cannot."""
+    split = lambda x: (134217729.0 * x) - (134217729.0 * x - x)
+    high = c * 10000.0
+    a = split(c)
+    low = (a * 10000.0 - high) + (c - a) * 10000.0
+    base = F.floor(high)
+    part = high - base
+    up = (part > 0.5) | ((part == 0.5) & ((low > 0) | ((low == 0) & (F.pmod(base, F.lit(2)) == 1))))
+    return (base + F.when(up, 1).otherwise(0)).cast("double") / 10000.0
+
+
 # --- repair, second version ---------------------------------------------------------------------------------------
 _NUMBER_LINE = r"^[\p{Nd}" + WS[1:-1] + r".,\-:()]+$"
 PAGE_LINE = "|".join([rf"^{WS}*{DIGIT}+{WS}*$", rf"^(стр\.|page|бет){WS}*{DIGIT}+", rf"^{WS}*[A-ZА-ЯӘІҢҒҮҰҚӨҺ{WS[1:-1]}]{{2,50}}{WS}*{DIGIT}+{WS}*$", rf"^{DIGIT}+{WS}*/{WS}*{DIGIT}+$"])
@@ -246,6 +283,13 @@ def clean_text(c: Column) -> Column:
     return rules(SPACES, STRIP).spark(fix_case(SPACING.spark(HYPHENS.spark(remove_noise(c)))))
 
 
+def clean_text_full(c: Column) -> Column:
+    """All stages of the second repair, compatibility forms first; the empty text stays as it is."""
+    from sarqyt.functions.unicode import nfkc
+
+    return F.when(c == "", c).otherwise(clean_text(nfkc(c)))
+
+
 def clean_text_sql(e: str) -> str:
     return rules(SPACES, STRIP).sql(fix_case_sql(SPACING_SQL.sql(HYPHENS.sql(remove_noise_sql(e)))))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,20 +29,49 @@ def gram_encoder(texts: list[str]) -> np.ndarray:
     return out / (np.linalg.norm(out, axis=1, keepdims=True) + 1e-8)
 
 
-def encoded(c: Column, encoder: Encoder = gram_encoder) -> Column:
-    """Vectors of a text column, batch by batch; null texts give null."""
+def encoded(c: Column, encoder: Encoder | None = None, load: Callable[[], Encoder] | None = None) -> Column:
+    """Vectors of a text column; null texts give null. ``load`` makes the encoder once per Python worker's task, for models
+    that take long to load; else ``encoder`` is used as it is."""
+    make = load or (lambda: encoder or gram_encoder)
 
     @F.pandas_udf("array<float>")
-    def run(s: pd.Series) -> pd.Series:
-        v = encoder(s.fillna("").tolist())
-        return pd.Series([None if t is None else x.astype(np.float32).tolist() for t, x in zip(s, v, strict=True)])
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = make()
+        for s in parts:
+            some = s.notna()
+            v = encode(s[some].tolist()) if some.any() else []
+            out = pd.Series([None] * len(s), index=s.index, dtype=object)
+            out[some] = pd.Series([x.astype(np.float32).tolist() for x in v], index=s.index[some], dtype=object)
+            yield out
 
     return run(c)
 
 
-def generated(c: Column, generator: Generator) -> Column:
+def answered(c: Column, model: Generator, load: Callable[[], Generator] | None = None) -> Column:
+    """What a model of texts answers to prompts, asked batch by batch; null prompts are not asked and give null."""
+    make = load or (lambda: model)
+
     @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return pd.Series(generator(s.fillna("").tolist()))
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        answer = make()
+        for s in parts:
+            some = s.notna()
+            out = pd.Series([None] * len(s), index=s.index, dtype=object)
+            if some.any():
+                out[some] = pd.Series(answer(s[some].tolist()), index=s.index[some], dtype=object)
+            yield out
 
     return run(c)
+
+
+generated = answered
+
+
+def echo_generator(prompts: list[str]) -> list[str]:
+    """A deterministic double of a generator: the source text of a translation prompt, given back."""
+    return [p.rsplit("\n\n", 2)[-2].split(": ", 1)[-1] if p.count("\n\n") >= 2 else p for p in prompts]
+
+
+def length_judge(prompts: list[str]) -> list[str]:
+    """A deterministic double of a judge: valid if the prompt has an even number of characters, scored by its length."""
+    return [f'Answer: {{"is_valid_alignment": {"true" if len(p) % 2 == 0 else "false"}, "is_atomic": true, "quality_score": {(len(p) % 100) / 100:.2f}, "issues": [], "fixed_kaz": null, "fixed_rus": null, "fixed_eng": null}}' for p in prompts]

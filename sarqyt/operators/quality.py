@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sarqyt.operators.models import Judge, answered
 from sarqyt.functions.rules import DIGIT, WS, count_of, count_of_sql, quoted, word_count, word_count_sql, words, words_sql
 
 
@@ -67,23 +68,8 @@ def _missing(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) == ""
 
 
-def triplet_reason(p: Limits = Limits()) -> Column:
-    """The first reason against a triplet (columns kaz, rus, eng and their similarities), or null."""
-    kaz = F.col("kaz")
-    out = F.when(_missing(kaz), "missing_kaz").when(_missing(F.col("rus")) & _missing(F.col("eng")), "no_translations")
-    out = out.when(~good_length(kaz, p), "kaz_length").when(~good_content(kaz), "kaz_quality").when(contents_like(kaz), "kaz_toc")
-    for x in ("rus", "eng"):
-        c, there = F.col(x), ~_missing(F.col(x))
-        out = out.when(there & ~good_length(c, p), f"{x}_length").when(there & ~good_content(c), f"{x}_quality").when(there & contents_like(c), f"{x}_toc")
-        out = out.when(there & ~good_ratio(kaz, c, p), f"kaz_{x}_ratio").when(there & ~F.coalesce(F.col(f"similarity_kaz_{x}") >= p.min_similarity, F.lit(False)), f"kaz_{x}_similarity")
-    if p.strict:
-        for x in ("rus", "eng"):
-            out = out.when(~_missing(F.col(x)) & (F.coalesce(F.col(f"similarity_kaz_{x}"), F.lit(0.0)) < p.strict_similarity), f"strict_kaz_{x}_similarity")
-    return out
-
-
 def with_reason(df: DataFrame, p: Limits = Limits(), name: str = "reason") -> DataFrame:
-    """Adds the verdict of ``triplet_reason`` as a column. What it needs of each text is computed once per row in a
+    """Adds the first reason against a triplet (columns kaz, rus, eng and their similarities), or null, as a column. What it needs of each text is computed once per row in a
     projection of its own; inside one CASE each branch would cut the texts into words again."""
     sides = ("kaz", "rus", "eng")
     first = df.select("*", *(words(F.col(x)).alias(f"__w_{x}") for x in sides))
@@ -148,8 +134,53 @@ def histogram(df: DataFrame, c: Column, name: str, top: int | None = None) -> Da
 JUDGE_SCHEMA = "is_valid_alignment boolean, is_atomic boolean, quality_score double, issues array<string>, fixed_kaz string, fixed_rus string, fixed_eng string"
 
 
+SIDES = ("kaz", "rus", "eng")
+
+
 def parse_verdict(reply: Column) -> Column:
     """The first flat JSON object in a judge's reply; a reply without one is valid with 0.7 (the judge must not lose rows)."""
     got = F.from_json(F.regexp_extract(reply, r"(?s)\{[^{}]*\}", 0), JUDGE_SCHEMA)
     ok = got["quality_score"].isNotNull() | got["is_valid_alignment"].isNotNull()
-    return F.struct(F.when(ok, got["is_valid_alignment"]).otherwise(True).alias("is_valid_alignment"), F.when(ok, got["is_atomic"]).otherwise(True).alias("is_atomic"), F.when(ok, got["quality_score"]).otherwise(0.7).alias("quality_score"), F.when(ok, got["fixed_kaz"]).alias("fixed_kaz"))
+    usual = (("is_valid_alignment", True), ("is_atomic", True), ("quality_score", 0.7))
+    return F.struct(*(F.when(ok, F.coalesce(got[k], F.lit(v))).otherwise(v).alias(k) for k, v in usual), *(F.when(ok, got[f"fixed_{x}"]).alias(f"fixed_{x}") for x in SIDES))
+
+
+def gated(df: DataFrame, reply: str, least: float = 0.6) -> DataFrame:
+    """The triplets a judge lets pass, by the replies in a column, with its corrections of all three sides and its score."""
+    rest = [c for c in df.columns if c not in (*SIDES, reply)]
+    v = df.withColumn("__v", parse_verdict(F.col(reply)))
+    passed = v.where(F.col("__v.is_valid_alignment") & F.col("__v.is_atomic") & (F.col("__v.quality_score") >= least))
+    return passed.select(*rest, *(F.coalesce(F.nullif(F.col(f"__v.fixed_{x}"), F.lit("")), F.col(x)).alias(x) for x in SIDES), F.col("__v.quality_score").alias("llm_quality_score"))
+
+
+# What a judge is asked
+JUDGE_PROMPT = (
+    "Check this translation triplet.\n\nKazakh: ", "\nRussian: ", "\nEnglish: ",
+    "\n\nAre the texts translations of each other? Is each one unit and not several sentences merged? Are there recognition errors to correct?\nAnswer with one JSON object alone: "
+    '{"is_valid_alignment": true/false, "is_atomic": true/false, "quality_score": 0.0-1.0, "issues": [], "fixed_kaz": text or null, "fixed_rus": text or null, "fixed_eng": text or null}',
+)
+
+
+def judge_prompt() -> Column:
+    """The question about a triplet; missing sides are asked about as empty."""
+    parts = []
+    for p, x in zip(JUDGE_PROMPT, SIDES, strict=False):
+        parts += [F.lit(p), F.coalesce(F.col(x), F.lit(""))]
+    return F.concat(*parts, F.lit(JUDGE_PROMPT[3]))
+
+
+def judge_prompt_sql() -> str:
+    return " || ".join(f"{quoted(p)} || coalesce({x}, '')" for p, x in zip(JUDGE_PROMPT, SIDES, strict=False)) + f" || {quoted(JUDGE_PROMPT[3])}"
+
+
+def judged(df: DataFrame, judge: Judge, least: float = 0.6) -> DataFrame:
+    """Asks a judge about each triplet and keeps those it lets pass, corrected."""
+    return gated(df.withColumn("__reply", answered(judge_prompt(), judge)), "__reply", least)
+
+
+def basic_counters(df: DataFrame) -> DataFrame:
+    """One row on the first version's filter: rows, each kind of rejection, rows kept, and their share."""
+    r = df.select(basic_reason().alias("r"))
+    count = lambda *names: F.count_if(F.coalesce(F.col("r").isin(*names), F.lit(False)))
+    out = r.agg(F.count(F.lit(1)).alias("rows"), count("missing_kaz", "missing_both_targets").alias("null_filtered"), count("too_short").alias("too_short"), count("too_long").alias("too_long"), count("garbage_pattern").alias("garbage"), F.count_if(F.col("r").isNull()).alias("kept"))
+    return out.select("*", F.round(F.try_divide("kept", "rows"), 6).alias("rate"))

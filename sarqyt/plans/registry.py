@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from sarqyt.functions import text as X
 from sarqyt.functions import unicode as U
-from sarqyt.functions.rules import STRIP, quoted, word_count, word_count_sql
-from sarqyt.operators import align, dedup, metrics, models, preference, quality
+from sarqyt.functions.rules import STRIP, quoted, word_count_sql
+from sarqyt.operators import align, chunk, dedup, evaluation, extraction, metrics, models, preference, quality
+from sarqyt.plans import pipeline
 from sarqyt.session import spread
 from sarqyt.sources import manifest
 from sarqyt.sources.tables import table
@@ -57,11 +58,11 @@ _NOISY = "(CASE row_id % 5 WHEN 0 THEN '1.1 кіріспе' || chr(10) WHEN 1 TH
 
 def _reply() -> Column:
     """A judge's answer about a triplet; without a Russian side it is no JSON."""
-    body = F.concat(F.lit('{"is_valid_alignment": '), F.when(F.col("similarity_kaz_rus") >= 0.82, "true").otherwise("false"), F.lit(', "is_atomic": true, "quality_score": '), F.format_number(F.col("similarity_kaz_rus"), 4), F.lit(', "issues": [], "fixed_kaz": "'), F.col("id"), F.lit('"}'))
+    body = F.concat(F.lit('{"is_valid_alignment": '), F.when(F.col("similarity_kaz_rus") >= 0.82, "true").otherwise("false"), F.lit(', "is_atomic": true, "quality_score": '), F.format_number(F.col("similarity_kaz_rus"), 4), F.lit(', "issues": [], "fixed_kaz": "'), F.col("id"), F.lit('", "fixed_rus": null, "fixed_eng": "e'), F.col("id"), F.lit('"}'))
     return F.concat(F.lit("Answer:\n"), F.when(F.col("similarity_kaz_rus").isNotNull(), body).otherwise("none {broken"))
 
 
-_REPLY = """('Answer:' || chr(10) || CASE WHEN similarity_kaz_rus IS NOT NULL THEN '{"is_valid_alignment": ' || CASE WHEN similarity_kaz_rus >= 0.82 THEN 'true' ELSE 'false' END || ', "is_atomic": true, "quality_score": ' || printf('%.4f', similarity_kaz_rus) || ', "issues": [], "fixed_kaz": "' || id || '"}' ELSE 'none {broken' END)"""
+_REPLY = """('Answer:' || chr(10) || CASE WHEN similarity_kaz_rus IS NOT NULL THEN '{"is_valid_alignment": ' || CASE WHEN similarity_kaz_rus >= 0.82 THEN 'true' ELSE 'false' END || ', "is_atomic": true, "quality_score": ' || printf('%.4f', similarity_kaz_rus) || ', "issues": [], "fixed_kaz": "' || id || '", "fixed_rus": null, "fixed_eng": "e' || id || '"}' ELSE 'none {broken' END)"""
 _HAS_JSON = f"regexp_matches({_REPLY}, '[{{][^{{}}]*[}}]')"
 _JSON = f"regexp_extract({_REPLY}, '[{{][^{{}}]*[}}]')"
 
@@ -109,23 +110,24 @@ def _carry_sql(kind: str) -> str:
 def _register() -> None:
     t = table
     # --- sentences of documents ---
-    pieces = lambda s, d: wide(s, d, "documents", "doc_id", "lang", "text").select("doc_id", "lang", F.posexplode(X.split_sentences(F.col("text"))).alias("i", "sentence"))
+    docs = lambda s, d: wide(s, d, "documents", "doc_id", "lang", "text")
     p_sql = f"p AS (SELECT doc_id, lang, i - 1 AS i, s[i] AS sentence FROM (SELECT doc_id, lang, {X.split_sentences_sql('text')} AS s FROM documents), unnest(range(1, len(s) + 1)) u(i))"
-    clean = lambda s, d: pieces(s, d).select("doc_id", "lang", "i", X.CLEAN_SENTENCE.spark(F.col("sentence")).alias("sentence"))
     c_sql = f"{p_sql}, c AS (SELECT doc_id, lang, i, {X.CLEAN_SENTENCE.sql('sentence')} AS sentence FROM p)"
-    add("split_sentences", lambda s, d: pieces(s, d).select("doc_id", F.col("i").cast("bigint").alias("sentence_idx"), "sentence"), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, sentence FROM p")
-    add("clean_sentence", lambda s, d: clean(s, d).select("doc_id", F.col("i").cast("bigint").alias("sentence_idx"), "sentence"), f"WITH {c_sql} SELECT doc_id, i AS sentence_idx, sentence FROM c")
-    add("valid_sentences", lambda s, d: clean(s, d).where(X.valid_sentence(F.col("sentence"))).select("doc_id", F.col("i").cast("bigint").alias("sentence_idx"), "sentence"), f"WITH {c_sql} SELECT doc_id, i AS sentence_idx, sentence FROM c WHERE {X.valid_sentence_sql('sentence')}")
-    add("sentence_counts_by_lang", lambda s, d: clean(s, d).where(X.valid_sentence(F.col("sentence"))).groupBy(F.coalesce("lang", F.lit("unknown")).alias("lang")).agg(F.count(F.lit(1)).alias("sentences")), f"WITH {c_sql} SELECT coalesce(lang, 'unknown') AS lang, count(*) AS sentences FROM c WHERE {X.valid_sentence_sql('sentence')} GROUP BY 1")
-    add("chunk_stats", lambda s, d: clean(s, d).select("doc_id", X.valid_sentence(F.col("sentence")).alias("ok")).agg(F.countDistinct("doc_id").alias("files"), F.count(F.lit(1)).alias("raw"), F.count_if("ok").alias("valid"), F.count_if(~F.col("ok")).alias("filtered")), f"WITH {c_sql} SELECT count(DISTINCT doc_id) AS files, count(*) AS raw, count(*) FILTER (WHERE {X.valid_sentence_sql('sentence')}) AS valid, count(*) FILTER (WHERE NOT {X.valid_sentence_sql('sentence')}) AS filtered FROM c")
-    add("split_sentences_faithful", lambda s, d: wide(s, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(X.split_sentences(F.col("text"), "faithful")).alias("sentence_idx", "sentence")).select("doc_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), F.lower("sentence").alias("sentence")), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, lower(sentence) AS sentence FROM p")
+    valid = X.valid_sentence_sql("sentence")
+    add("split_sentences", lambda s, d: chunk.pieces(docs(s, d), "doc_id"), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, sentence FROM p")
+    add("clean_sentence", lambda s, d: chunk.sentences(docs(s, d), "doc_id", valid=False).drop("ok"), f"WITH {c_sql} SELECT doc_id, i AS sentence_idx, sentence FROM c")
+    add("valid_sentences", lambda s, d: chunk.sentences(docs(s, d), "doc_id").drop("ok"), f"WITH {c_sql} SELECT doc_id, i AS sentence_idx, sentence FROM c WHERE {valid}")
+    add("sentence_counts_by_lang", lambda s, d: chunk.by_language(chunk.sentences(docs(s, d), "lang")), f"WITH {c_sql} SELECT coalesce(lang, 'unknown') AS lang, count(*) AS sentences FROM c WHERE {valid} GROUP BY 1")
+    add("chunk_stats", lambda s, d: chunk.totals(chunk.sentences(docs(s, d), "doc_id", valid=False), "doc_id"), f"WITH {c_sql} SELECT count(DISTINCT doc_id) AS files, count(*) AS raw, count(*) FILTER (WHERE {valid}) AS valid, count(*) FILTER (WHERE NOT {valid}) AS filtered FROM c")
+    add("split_sentences_faithful", lambda s, d: chunk.pieces(docs(s, d), "doc_id", compat="faithful").withColumn("sentence", F.lower("sentence")), f"WITH {p_sql} SELECT doc_id, i AS sentence_idx, lower(sentence) AS sentence FROM p")
     last = lambda c: F.element_at(F.split(c, "[ ]"), -1)
-    add("abbreviation_test", lambda s, d: pieces(s, d).select(last(F.col("sentence")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).select("word", "n", X.is_abbreviation(F.col("word")).alias("listed")), f"WITH {p_sql} SELECT word, count(*) AS n, regexp_replace(lower(word), '[.]+$', '') IN ({', '.join(quoted(a.lower()) for a in X.ABBREVIATIONS)}) AS listed FROM (SELECT string_split(sentence, ' ')[-1] AS word FROM p) GROUP BY 1")
+    add("abbreviation_test", lambda s, d: chunk.pieces(docs(s, d), "doc_id").select(last(F.col("sentence")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).select("word", "n", X.is_abbreviation(F.col("word")).alias("listed")), f"WITH {p_sql} SELECT word, count(*) AS n, regexp_replace(lower(word), '[.]+$', '') IN ({', '.join(quoted(a.lower()) for a in X.ABBREVIATIONS)}) AS listed FROM (SELECT string_split(sentence, ' ')[-1] AS word FROM p) GROUP BY 1")
     # --- extracted markdown ---
-    for name, rule in (("page_number_strip", X.PAGE_NUMBERS), ("blank_line_collapse", X.BLANK_LINES), ("header_strip", X.FURNITURE_WORDS), ("empty_row_strip", X.EMPTY_ROWS), ("clean_markdown", X.CLEAN_MARKDOWN)):
+    for name, rule in (("page_number_strip", X.PAGE_NUMBERS), ("blank_line_collapse", X.BLANK_LINES), ("header_strip", X.FURNITURE_WORDS), ("empty_row_strip", X.EMPTY_ROWS)):
         add(name, lambda s, d, r=rule: wide(s, d, "extraction_results", "extract_id", "markdown").select("extract_id", r.spark(_markdown()).alias("text")), f"SELECT extract_id, {rule.sql(_MARKDOWN)} AS text FROM extraction_results")
+    add("clean_markdown", lambda s, d: wide(s, d, "extraction_results", "extract_id", "markdown").select("extract_id", X.clean_markdown(_markdown()).alias("text")), f"SELECT extract_id, {X.clean_markdown_sql(_MARKDOWN)} AS text FROM extraction_results")
     add("named_glyphs", lambda s, d: t(s, d, "extraction_results").select("extract_id", X.decode_named_glyphs(F.col("markdown")).alias("text")), f"SELECT extract_id, {X.decode_named_glyphs_sql('markdown')} AS text FROM extraction_results")
-    add("glyph_decode", lambda s, d: t(s, d, "extraction_results").select("extract_id", X.decode_escapes(F.col("markdown")).alias("text")), r"""SELECT extract_id, list_aggregate(list_transform(string_split(regexp_replace(markdown, '[/\\]uni([0-9A-Fa-f]{4})', chr(30) || '\1', 'g'), chr(30)), lambda p, i: CASE WHEN i = 1 THEN p ELSE chr(CAST('0x' || p[1:4] AS INTEGER)) || p[5:] END), 'string_agg', '') AS text FROM extraction_results""")
+    add("glyph_decode", lambda s, d: t(s, d, "extraction_results").select("extract_id", X.decode_escapes(F.col("markdown")).alias("text")), f"SELECT extract_id, {X.decode_escapes_sql('markdown')} AS text FROM extraction_results")
     add(
         "table_block_removal",
         lambda s, d: t(s, d, "extraction_results").where("markdown IS NOT NULL").select("extract_id", X.without_tables(F.col("markdown")).alias("text")),
@@ -135,11 +137,9 @@ def _register() -> None:
         SELECT extract_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT inside AND ev IS DISTINCT FROM true), '') AS text FROM b GROUP BY extract_id""",
     )
     add("kazakh_letters", lambda s, d: t(s, d, "extraction_results").select("extract_id", X.has_kazakh_letters(F.col("filename"), F.col("text_only")).alias("ok")), "SELECT extract_id, NOT (contains(filename, '_KAZ') AND length(text_only) > 100 AND NOT regexp_matches(text_only, '[ӘәҒғҚқҢңӨөҰұҮүІі]')) AS ok FROM extraction_results")
-    add("extraction_totals", lambda s, d: t(s, d, "extraction_results").agg(F.count(F.lit(1)).alias("total"), F.count_if("success").alias("ok"), F.count_if(~F.col("success")).alias("failed"), F.sum(F.when(F.col("success"), F.col("char_count"))).alias("chars")), "SELECT count(*) AS total, count(*) FILTER (WHERE success) AS ok, count(*) FILTER (WHERE NOT success) AS failed, sum(CASE WHEN success THEN char_count END)::BIGINT AS chars FROM extraction_results")
+    add("extraction_totals", lambda s, d: extraction.totals(t(s, d, "extraction_results")), "SELECT count(*) AS total, count(*) FILTER (WHERE success) AS ok, count(*) FILTER (WHERE NOT success) AS failed, sum(CASE WHEN success THEN char_count END)::BIGINT AS chars FROM extraction_results")
     pages = lambda s, d: t(s, d, "extraction_results").where("text_only IS NOT NULL").select("extract_id", "text_only", F.split("text_only", "\n\n").alias("p"))
-    with_text = lambda: F.size(F.filter("p", lambda x: STRIP.spark(x) != ""))
-    enough = lambda: (with_text() >= F.size("p") * 0.5) & (F.length("text_only") >= F.size("p") * 100)
-    add("extract_route", lambda s, d: pages(s, d).select("extract_id", F.when(enough(), "pypdf").when(F.pmod("extract_id", F.lit(2)) == 0, "docling_ocr").otherwise("pypdf_partial").alias("method"), F.size("p").cast("bigint").alias("pages")), "SELECT extract_id, CASE WHEN len(list_filter(p, lambda x: trim(x, ' ' || chr(9) || chr(10)) <> '')) >= len(p) * 0.5 AND length(text_only) >= len(p) * 100 THEN 'pypdf' WHEN extract_id % 2 = 0 THEN 'docling_ocr' ELSE 'pypdf_partial' END AS method, len(p)::BIGINT AS pages FROM (SELECT *, string_split(text_only, chr(10) || chr(10)) AS p FROM extraction_results WHERE text_only IS NOT NULL)")
+    add("extract_route", lambda s, d: pages(s, d).select("extract_id", extraction.route(F.col("p"), F.pmod("extract_id", F.lit(2)) == 0).alias("method"), F.size("p").cast("bigint").alias("pages")), "SELECT extract_id, CASE WHEN len(list_filter(p, lambda x: trim(x, ' ' || chr(9) || chr(10)) <> '')) >= len(p) * 0.5 AND length(text_only) >= len(p) * 100 THEN 'pypdf' WHEN extract_id % 2 = 0 THEN 'docling_ocr' ELSE 'pypdf_partial' END AS method, len(p)::BIGINT AS pages FROM (SELECT *, string_split(text_only, chr(10) || chr(10)) AS p FROM extraction_results WHERE text_only IS NOT NULL)")
     # --- file names ---
     add("detect_language", lambda s, d: t(s, d, "extraction_results").select("extract_id", X.language_of(F.col("filename")).alias("language")), f"SELECT extract_id, {X.LANGUAGE_SQL.format('filename')} AS language FROM extraction_results")
     named = lambda: F.concat_ws("_", F.substring("filename", 1, 4), F.lower("collection"), F.col("filename"))
@@ -163,7 +163,9 @@ def _register() -> None:
         ("dedup_key", X.dedup_key, X.dedup_key_sql),
     ):
         add(name, lambda s, d, f=f: wide(s, d, "aligned_corpus", "row_id", "kaz").select("row_id", f(_noisy()).alias("text")), f"SELECT row_id, {sql(_NOISY)} AS text FROM aligned_corpus")
-    add("nfkc", lambda s, d: t(s, d, "aligned_corpus").select("row_id", U.nfkc(F.col("kaz")).alias("text")))
+    add("nfkc", lambda s, d: t(s, d, "aligned_corpus").select("row_id", U.nfkc(F.col("kaz")).alias("text")), f"SELECT row_id, {U.nfkc_sql('kaz')} AS text FROM aligned_corpus")
+    add("clean_text_full", lambda s, d: wide(s, d, "aligned_corpus", "row_id", "kaz").select("row_id", X.clean_text_full(F.col("kaz")).alias("text")), f"SELECT row_id, CASE WHEN kaz = '' THEN kaz ELSE {X.clean_text_sql(U.nfkc_sql('kaz'))} END AS text FROM aligned_corpus")
+    add("ocr_repair_changed", lambda s, d: wide(s, d, "aligned_corpus", "row_id", "kaz").select("row_id", X.ocr_repair(_noisy()).alias("r")).select("row_id", "r.changed"), f"SELECT row_id, {X.OCR_REPAIR.sql(_NOISY)} <> {_NOISY} AS changed FROM aligned_corpus")
     # --- filters on triplets ---
     add("length_filter", lambda s, d: t(s, d, "aligned_corpus").where(quality.good_length(F.col("rus"))).select("row_id"), f"SELECT row_id FROM aligned_corpus WHERE {quality.good_length_sql('rus')}")
     add("content_quality", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.good_content(F.repeat(F.substring("kaz", 1, 30), (F.pmod("row_id", F.lit(4)) + 1).cast("int"))).alias("ok")), f"SELECT row_id, {quality.good_content_sql('repeat(kaz[1:30], (row_id % 4 + 1)::INT)')} AS ok FROM aligned_corpus")
@@ -178,7 +180,12 @@ def _register() -> None:
     v = lambda: quality.parse_verdict(_reply())
     j = lambda f, kind, other: f"CASE WHEN {_HAS_JSON} THEN json_extract_string({_JSON}, '$.{f}')::{kind} ELSE {other} END"
     add("judge_json_parse", lambda s, d: t(s, d, "aligned_corpus").select("row_id", v().alias("v")).select("row_id", "v.is_valid_alignment", "v.is_atomic", "v.quality_score", "v.fixed_kaz"), f"SELECT row_id, {j('is_valid_alignment', 'BOOLEAN', 'true')} AS is_valid_alignment, {j('is_atomic', 'BOOLEAN', 'true')} AS is_atomic, {j('quality_score', 'DOUBLE', '0.7')} AS quality_score, {j('fixed_kaz', 'VARCHAR', 'NULL')} AS fixed_kaz FROM aligned_corpus")
-    add("judge_gate", lambda s, d: t(s, d, "aligned_corpus").select("row_id", "kaz", v().alias("v")).where("v.is_valid_alignment AND v.is_atomic AND v.quality_score >= 0.6").select("row_id", F.coalesce(F.nullif("v.fixed_kaz", F.lit("")), F.col("kaz")).alias("kaz")), f"SELECT row_id, coalesce(nullif({j('fixed_kaz', 'VARCHAR', 'NULL')}, ''), kaz) AS kaz FROM aligned_corpus WHERE {j('is_valid_alignment', 'BOOLEAN', 'true')} AND {j('is_atomic', 'BOOLEAN', 'true')} AND {j('quality_score', 'DOUBLE', '0.7')} >= 0.6")
+    add("judge_gate", lambda s, d: quality.gated(t(s, d, "aligned_corpus").select("row_id", "kaz", "rus", "eng", _reply().alias("reply")), "reply"), f"SELECT row_id, coalesce(nullif({j('fixed_kaz', 'VARCHAR', 'NULL')}, ''), kaz) AS kaz, coalesce(nullif({j('fixed_rus', 'VARCHAR', 'NULL')}, ''), rus) AS rus, coalesce(nullif({j('fixed_eng', 'VARCHAR', 'NULL')}, ''), eng) AS eng, {j('quality_score', 'DOUBLE', '0.7')} AS llm_quality_score FROM aligned_corpus WHERE {j('is_valid_alignment', 'BOOLEAN', 'true')} AND {j('is_atomic', 'BOOLEAN', 'true')} AND {j('quality_score', 'DOUBLE', '0.7')} >= 0.6")
+    question = quality.judge_prompt_sql()
+    add("judge_prompt", lambda s, d: t(s, d, "aligned_corpus").select("row_id", quality.judge_prompt().alias("prompt")), f"SELECT row_id, {question} AS prompt FROM aligned_corpus")
+    add("judged", lambda s, d: quality.judged(wide(s, d, "aligned_corpus", "row_id", "kaz", "rus", "eng"), models.length_judge), f"SELECT row_id, kaz, rus, eng, length({question}) % 100 / 100.0 AS llm_quality_score FROM aligned_corpus WHERE length({question}) % 2 = 0 AND length({question}) % 100 >= 60")
+    reasons = {"null_filtered": "r IN ('missing_kaz', 'missing_both_targets')", "too_short": "r = 'too_short'", "too_long": "r = 'too_long'", "garbage": "r = 'garbage_pattern'", "kept": "r IS NULL"}
+    add("basic_counters_v1", lambda s, d: quality.basic_counters(wide(s, d, "aligned_corpus", "row_id", "kaz", "rus", "eng")), f"SELECT count(*) AS rows, {', '.join(f'count(*) FILTER (WHERE {w}) AS {n}' for n, w in reasons.items())}, round(count(*) FILTER (WHERE r IS NULL) / count(*), 6) AS rate FROM (SELECT {quality.basic_reason_sql()} AS r FROM aligned_corpus)")
     kinds = lambda: F.explode(F.array(*(F.struct(F.lit(x).alias("side"), F.col(f"alignment_type_kaz_{x}").alias("type")) for x in ("rus", "eng")))).alias("x")
     add("alignment_type_histogram", lambda s, d: t(s, d, "aligned_corpus").select(kinds()).select("x.*").groupBy("side", "type").agg(F.count("type").alias("n")).where("n > 0"), "SELECT side, type, count(*) AS n FROM (SELECT 'rus' AS side, alignment_type_kaz_rus AS type FROM aligned_corpus UNION ALL SELECT 'eng', alignment_type_kaz_eng FROM aligned_corpus) WHERE type IS NOT NULL GROUP BY ALL")
     for side in ("rus", "eng"):
@@ -196,11 +203,11 @@ def _register() -> None:
     add("key_union_distinct", lambda s, d: key(s, d, "sentences_rus").unionByName(key(s, d, "sentences_eng")).distinct(), f"{k_sql('sentences_rus')} UNION {k_sql('sentences_eng')}")
     add(
         "doc_pairing",
-        lambda s, d: key(s, d, "sentences_kaz").groupBy("collection", "document").agg(F.count(F.lit(1)).alias("kaz")).join(key(s, d, "sentences_rus").groupBy("collection", "document").agg(F.count(F.lit(1)).alias("rus")), ["collection", "document"]),
+        lambda s, d: chunk.documents_in_both(t(s, d, "sentences_kaz"), t(s, d, "sentences_rus"), ("kaz", "rus")),
         f"SELECT collection, document, kaz, rus FROM (SELECT collection, document, count(*) AS kaz FROM ({k_sql('sentences_kaz')}) GROUP BY ALL) JOIN (SELECT collection, document, count(*) AS rus FROM ({k_sql('sentences_rus')}) GROUP BY ALL) USING (collection, document)",
     )
-    add("group_sentences", lambda s, d: t(s, d, "sentences_eng").groupBy("collection", "source_file").agg(F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("sentence_idx", "sent_id", "text"))), lambda x: x["text"])).alias("text")), "SELECT collection, source_file, string_agg(text, ' ' ORDER BY sentence_idx, sent_id) AS text FROM sentences_eng GROUP BY ALL")
-    add("first_metadata", lambda s, d: t(s, d, "sentences_kaz").groupBy("collection", "source_file").agg(F.min_by("metadata", F.struct("sentence_idx", "sent_id")).alias("m")).select("collection", "source_file", "m.year", "m.company", F.col("m.type").alias("doc_type")), "SELECT collection, source_file, m.year AS year, m.company AS company, m.type AS doc_type FROM (SELECT collection, source_file, metadata AS m, row_number() OVER (PARTITION BY collection, source_file ORDER BY sentence_idx, sent_id) AS n FROM sentences_kaz) WHERE n = 1")
+    add("group_sentences", lambda s, d: chunk.by_document(t(s, d, "sentences_eng"), "collection", "source_file"), "SELECT collection, source_file, string_agg(text, ' ' ORDER BY sentence_idx, sent_id) AS text FROM sentences_eng GROUP BY ALL")
+    add("first_metadata", lambda s, d: chunk.first_metadata(t(s, d, "sentences_kaz"), "collection", "source_file"), "SELECT collection, source_file, m.year AS year, m.company AS company, m.type AS doc_type FROM (SELECT collection, source_file, metadata AS m, row_number() OVER (PARTITION BY collection, source_file ORDER BY sentence_idx, sent_id) AS n FROM sentences_kaz) WHERE n = 1")
     # --- manifests ---
     add("manifest_carry_forward", lambda s, d: manifest.carry_forward(_lines(t(s, d, "extraction_results"), "carry")), _carry_sql(_TITLE_TYPE))
     add("manifest_integrated", lambda s, d: manifest.carry_forward(_lines(t(s, d, "extraction_results"), "carry"), "integrated"), _carry_sql(_INTEGRATED))
@@ -218,8 +225,7 @@ def _register() -> None:
     knn_sql = "k AS (SELECT q AS query, m AS match, sim AS similarity FROM (SELECT a.vec_id AS q, b.vec_id AS m, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 12) DESC, b.vec_id) AS n FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE n = 1)"
     add("knn_top1", lambda s, d: knn(s, d).select("query", "match", F.round("similarity", 6).alias("similarity")), f"WITH {knn_sql} SELECT query, match, round(similarity, 6) AS similarity FROM k")
     add("greedy_one_to_one", lambda s, d: align.one_to_one(knn(s, d).where("similarity >= 0.25"), "query", "match").select("query", "match"), f"WITH {knn_sql} SELECT query, match FROM (SELECT *, row_number() OVER (PARTITION BY match ORDER BY query) AS n FROM k WHERE similarity >= 0.25) WHERE n = 1")
-    both = lambda: (F.col("similarity_kaz_rus") >= 0.82) & (word_count(F.col("kaz")) >= 5) & (word_count(F.col("rus")) >= 5) & F.try_divide(word_count(F.col("kaz")), word_count(F.col("rus"))).between(0.3, 3.0)
-    add("pair_filters", lambda s, d: t(s, d, "aligned_corpus").where(both()).select("row_id"), f"SELECT row_id FROM aligned_corpus WHERE similarity_kaz_rus >= 0.82 AND {word_count_sql('kaz')} >= 5 AND {word_count_sql('rus')} >= 5 AND {word_count_sql('kaz')} / {word_count_sql('rus')} BETWEEN 0.3 AND 3.0")
+    add("pair_filters", lambda s, d: align.pair_filters(t(s, d, "aligned_corpus"), "kaz", "rus", "similarity_kaz_rus", 0.82).select("row_id"), f"SELECT row_id FROM aligned_corpus WHERE similarity_kaz_rus >= 0.82 AND {word_count_sql('kaz')} >= 5 AND {word_count_sql('rus')} >= 5 AND {word_count_sql('kaz')} / {word_count_sql('rus')} BETWEEN 0.3 AND 3.0")
     pair = lambda s, d, x: t(s, d, "aligned_corpus").where(F.col(x).isNotNull() & F.col("kaz").isNotNull() & F.col("metadata.source_doc").isNotNull()).select(F.col("metadata.source_doc").alias("doc"), F.col("row_id").alias("pos"), "kaz", F.col(x).alias("text"), F.col(f"similarity_kaz_{x}").alias("sim"), F.col(f"alignment_type_kaz_{x}").alias("kind"))
     side = lambda x: f"SELECT doc, kaz, min(row_id) AS {x}_pos, arg_max({x}, row_id) AS {x}, arg_max(struct_pack(s := similarity_kaz_{x}, a := alignment_type_kaz_{x}), row_id) AS {x}_s FROM (SELECT *, metadata.source_doc AS doc FROM aligned_corpus) WHERE {x} IS NOT NULL AND kaz IS NOT NULL AND doc IS NOT NULL GROUP BY doc, kaz"
     full = f"SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY rus_pos NULLS LAST, eng_pos NULLS LAST) - 1 AS idx, kaz, rus, eng, round(rus_s.s, 4) AS similarity_kaz_rus, round(eng_s.s, 4) AS similarity_kaz_eng, rus_s.a AS alignment_type_kaz_rus, eng_s.a AS alignment_type_kaz_eng FROM ({side('rus')}) FULL JOIN ({side('eng')}) USING (doc, kaz)"
@@ -227,18 +233,28 @@ def _register() -> None:
     add("record_ids", lambda s, d: align.triplets(pair(s, d, "rus"), pair(s, d, "eng")).select("id"), f"SELECT printf('%s_%04d', doc, idx) AS id FROM ({full})")
     kaz = lambda s, d: t(s, d, "aligned_corpus").select("row_id", "kaz")
     left = lambda s, d, x: t(s, d, "aligned_corpus").where(F.col(x).isNotNull()).select("row_id", x)
-    add("triplets_left", lambda s, d: kaz(s, d).join(left(s, d, "rus"), "row_id", "left").join(left(s, d, "eng"), "row_id", "left").where("rus IS NOT NULL OR eng IS NOT NULL"), "SELECT k.row_id, k.kaz, r.rus, e.eng FROM aligned_corpus k LEFT JOIN (SELECT row_id, rus FROM aligned_corpus WHERE rus IS NOT NULL) r USING (row_id) LEFT JOIN (SELECT row_id, eng FROM aligned_corpus WHERE eng IS NOT NULL) e USING (row_id) WHERE r.rus IS NOT NULL OR e.eng IS NOT NULL")
-    add("alignment_stats", lambda s, d: t(s, d, "aligned_corpus").agg(F.count("rus").alias("kaz_rus_pairs"), F.count("eng").alias("kaz_eng_pairs"), F.count_if(F.col("alignment_type_kaz_rus") != "1:1").alias("kaz_rus_merged"), F.count_if(F.col("rus").isNotNull() & F.col("eng").isNotNull()).alias("full_triplets"), F.count_if(F.col("rus").isNull() != F.col("eng").isNull()).alias("partial_triplets")), "SELECT count(rus) AS kaz_rus_pairs, count(eng) AS kaz_eng_pairs, count(*) FILTER (WHERE alignment_type_kaz_rus <> '1:1') AS kaz_rus_merged, count(*) FILTER (WHERE rus IS NOT NULL AND eng IS NOT NULL) AS full_triplets, count(*) FILTER (WHERE (rus IS NULL) <> (eng IS NULL)) AS partial_triplets FROM aligned_corpus")
-    sims = lambda s, d: t(s, d, "aligned_corpus").select(F.explode(F.array(F.struct(F.lit("mexma").alias("model"), F.col("similarity_kaz_rus").alias("s")), F.struct(F.lit("labse").alias("model"), F.col("similarity_kaz_eng").alias("s")), F.struct(F.lit("sonar").alias("model"), ((F.col("similarity_kaz_rus") + F.col("similarity_kaz_eng")) / 2).alias("s")))).alias("x")).select("x.*").where("s IS NOT NULL")
+    add("triplets_left", lambda s, d: align.left_triplets(kaz(s, d), left(s, d, "rus"), left(s, d, "eng"), "row_id"), "SELECT k.row_id, k.kaz, r.rus, e.eng FROM aligned_corpus k LEFT JOIN (SELECT row_id, rus FROM aligned_corpus WHERE rus IS NOT NULL) r USING (row_id) LEFT JOIN (SELECT row_id, eng FROM aligned_corpus WHERE eng IS NOT NULL) e USING (row_id) WHERE r.rus IS NOT NULL OR e.eng IS NOT NULL")
+    add("alignment_stats", lambda s, d: align.stats(t(s, d, "aligned_corpus")), "SELECT count(rus) AS kaz_rus_pairs, count(eng) AS kaz_eng_pairs, count(*) FILTER (WHERE alignment_type_kaz_rus <> '1:1') AS kaz_rus_merged, count(*) FILTER (WHERE rus IS NOT NULL AND eng IS NOT NULL) AS full_triplets, count(*) FILTER (WHERE (rus IS NULL) <> (eng IS NULL)) AS partial_triplets FROM aligned_corpus")
+    sims = lambda s, d: t(s, d, "aligned_corpus").select(F.explode(F.array(F.struct(F.lit("mexma").alias("model"), F.col("similarity_kaz_rus").alias("s")), F.struct(F.lit("labse").alias("model"), F.col("similarity_kaz_eng").alias("s")), F.struct(F.lit("sonar").alias("model"), ((F.col("similarity_kaz_rus") + F.col("similarity_kaz_eng")) / 2).alias("s")))).alias("x")).select("x.model", F.col("x.s").alias("similarity"))
     sims_sql = "s AS (SELECT 'mexma' AS model, similarity_kaz_rus AS s FROM aligned_corpus UNION ALL SELECT 'labse', similarity_kaz_eng FROM aligned_corpus UNION ALL SELECT 'sonar', (similarity_kaz_rus + similarity_kaz_eng) / 2 FROM aligned_corpus)"
-    above = lambda: [F.count_if(F.col("s") > x).alias(f"above_{int(x * 100)}") for x in (0.8, 0.85, 0.9)]
     a_sql = ", ".join(f"count(*) FILTER (WHERE s > {x}) AS above_{int(x * 100)}" for x in (0.8, 0.85, 0.9))
-    add("encoder_comparison", lambda s, d: sims(s, d).groupBy("model").agg(F.round(F.avg("s"), 6).alias("mean"), F.round(F.median("s"), 6).alias("median"), F.round(F.stddev_pop("s"), 6).alias("std"), *above()), f"WITH {sims_sql} SELECT model, round(avg(s), 6) AS mean, round(median(s), 6) AS median, round(stddev_pop(s), 6) AS std, {a_sql} FROM s WHERE s IS NOT NULL GROUP BY model")
-    rank = lambda: F.when(F.col("model") == "mexma", 0).when(F.col("model") == "sonar", 1).otherwise(2)
-    add("encoder_winner", lambda s, d: sims(s, d).groupBy("model").agg(F.count_if(F.col("s") > 0.85).alias("n")).agg(F.coalesce(F.max_by("model", F.struct("n", -rank())), F.lit("mexma")).alias("winner")), f"WITH {sims_sql}, c AS (SELECT model, count(*) FILTER (WHERE s > 0.85) AS n FROM s GROUP BY 1) SELECT model AS winner FROM c ORDER BY n DESC, CASE model WHEN 'mexma' THEN 0 WHEN 'sonar' THEN 1 ELSE 2 END LIMIT 1")
+    add("encoder_comparison", lambda s, d: align.compare_encoders(sims(s, d)), f"WITH {sims_sql} SELECT model, round(avg(s), 6) AS mean, round(median(s), 6) AS median, round(stddev_pop(s), 6) AS std, {a_sql} FROM s WHERE s IS NOT NULL GROUP BY model")
+    add("encoder_winner", lambda s, d: align.winner(sims(s, d)), f"WITH {sims_sql}, c AS (SELECT model, count(*) FILTER (WHERE s > 0.85) AS n FROM s GROUP BY 1) SELECT model AS winner FROM c ORDER BY n DESC, CASE model WHEN 'mexma' THEN 0 WHEN 'sonar' THEN 1 ELSE 2 END LIMIT 1")
     pair_no = lambda: F.floor(F.col("sentence_idx") / 2).cast("bigint").alias("bead")
     add("bead_text", lambda s, d: t(s, d, "sentences_eng").select("collection", "source_file", pair_no(), "sentence_idx", "text").distinct().groupBy("collection", "source_file", "bead").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sentence_idx", "text"))), lambda x: x["text"]), " ").alias("text")), "SELECT collection, source_file, (sentence_idx // 2)::BIGINT AS bead, string_agg(text, ' ' ORDER BY sentence_idx, text) AS text FROM (SELECT DISTINCT collection, source_file, sentence_idx, text FROM sentences_eng) GROUP BY ALL")
 
+    one_doc = lambda s, d: t(s, d, "sentences_eng").where("text IS NOT NULL").select(F.concat_ws("/", "collection", X.document_id(F.col("source_file"))).alias("doc"), F.col("sentence_idx").alias("idx"), "text").distinct()
+
+    def made_beads(s: SparkSession, d: str) -> DataFrame:
+        """Beads of two neighbouring sentences with the first of them, every third without a target."""
+        n = one_doc(s, d).groupBy("doc").agg(F.count(F.lit(1)).cast("int").alias("n"))
+        k = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 2).cast("int"))).alias("k")
+        return n.select("doc", "n", k).select("doc", F.sequence(2 * F.col("k"), F.least(2 * F.col("k") + 1, F.col("n") - 1)).alias("src"), F.when(F.pmod("k", F.lit(3)) == 0, F.array().cast("array<int>")).otherwise(F.array(2 * F.col("k"))).alias("tgt"))
+
+    places = f"r AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY idx, text) - 1 AS place, text FROM (SELECT DISTINCT concat_ws('/', collection, {X.document_id_sql('source_file')}) AS doc, sentence_idx AS idx, text FROM sentences_eng WHERE text IS NOT NULL))"
+    add("bead_chain", lambda s, d: align.bead_texts(made_beads(s, d), one_doc(s, d), one_doc(s, d)), f"WITH {places} SELECT doc, min(place)::INT AS pos, string_agg(text, ' ' ORDER BY place) AS kaz, arg_min(text, place) AS text, count(*) || ':1' AS kind FROM r WHERE (place // 2) % 3 <> 0 GROUP BY doc, place // 2")
+    add("pair_similarity", lambda s, d: t(s, d, "embeddings").alias("a").join(t(s, d, "embeddings").alias("b"), F.col("b.vec_id") == F.col("a.vec_id") + 1).select(F.col("a.vec_id").alias("vec_id"), F.round(align.vector_product(F.col("a.embedding"), F.col("b.embedding")), 5).alias("similarity")), "SELECT a.vec_id, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS similarity FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
+
     def dp(s: SparkSession, d: str) -> DataFrame:
         rows = lambda n: t(s, d, n).where("text IS NOT NULL").select(F.concat_ws("/", "collection", X.document_id(F.col("source_file"))).alias("doc"), F.col("sentence_idx").alias("idx"), "text").distinct()
         return align.align_documents(rows("sentences_rus"), rows("sentences_eng"), models.gram_encoder).select("doc", "src", "tgt")
@@ -280,13 +296,49 @@ def _register() -> None:
         lambda s, d: metrics.corpus_chrf(graded(s, d)),
         f"WITH {g_sql}, h AS ({chars.format(w=words_sql('hyp'))}), r AS ({chars.format(w=words_sql('ref'))}), m AS (SELECT h.n, sum(least(h.c, r.c)) AS m FROM h JOIN r ON h.id = r.id AND h.n = r.n AND h.g = r.g GROUP BY 1), x AS (SELECT avg(m / hs) AS p, avg(m / rs) AS r FROM m JOIN (SELECT n, sum(c) AS hs FROM h GROUP BY 1) USING (n) JOIN (SELECT n, sum(c) AS rs FROM r GROUP BY 1) USING (n)) SELECT round(100 * 5 * p * r / (4 * p + r), 6) AS score FROM x",
     )
+    m4, h4 = [f"m{n}" for n in range(1, 5)], [f"h{n}" for n in range(1, 5)]
+
+    def bleu_sql(pairs: str) -> str:
+        """The customary BLEU of the (id, hyp, ref) in ``pairs``."""
+        words = lambda e: words_sql(metrics.tokens_13a_sql(e))
+        zeros = "0"
+        p = []
+        for m, h in zip(m4, h4, strict=True):
+            zeros += f" + CASE WHEN {m} = 0 AND {h} > 0 THEN 1 ELSE 0 END"
+            p.append(f"CASE WHEN {h} = 0 THEN 0 WHEN {m} = 0 THEN 100.0 / (pow(2, {zeros}) * {h}) ELSE 100.0 * {m} / {h} END")
+        cells = ", ".join(f"coalesce(max(m.m) FILTER (WHERE t.n = {n}), 0) AS m{n}, coalesce(max(t.t) FILTER (WHERE t.n = {n}), 0) AS h{n}" for n in range(1, 5))
+        bp = "CASE WHEN h1 = 0 THEN 0.0 WHEN h1 < rl THEN exp(1 - rl / h1) ELSE 1.0 END"
+        some, whole = " + ".join(m4) + " > 0", " AND ".join(f"{h} > 0" for h in h4)
+        logs = " + ".join(f"ln(CASE WHEN {x} > 0 THEN {x} ELSE 1 END)" for x in (f"({q})" for q in p))
+        return (
+            f"WITH g AS ({pairs}), h AS ({grams.format(w=words('hyp'))}), r AS ({grams.format(w=words('ref'))}), m AS (SELECT h.n, sum(least(h.c, r.c)) AS m FROM h JOIN r ON h.id = r.id AND h.n = r.n AND h.g = r.g GROUP BY 1), t AS (SELECT n, sum(c) AS t FROM h GROUP BY 1),"
+            f" x AS (SELECT {cells}, (SELECT sum(len({words('ref')})) FROM g) AS rl FROM t LEFT JOIN m USING (n))"
+            f" SELECT round(CASE WHEN {some} AND {whole} THEN {bp} * exp(({logs}) / 4) ELSE 0 END, 6) AS score, " + ", ".join(f"round(CASE WHEN {some} THEN {q} ELSE 0 END, 6) AS p{i + 1}" for i, q in enumerate(p)) + f", round({bp}, 6) AS bp, round(h1 / rl, 6) AS ratio FROM x"
+        )
+
+    add("bleu_defaults", lambda s, d: metrics.bleu(graded(s, d)), bleu_sql("SELECT a.row_id AS id, b.rus AS hyp, a.rus AS ref FROM aligned_corpus a JOIN aligned_corpus b ON b.row_id = a.row_id + 1 WHERE a.rus IS NOT NULL AND b.rus IS NOT NULL"))
+    held = lambda s, d: wide(s, d, "aligned_corpus", "row_id", "kaz", "rus", "eng").withColumnRenamed("row_id", "id")
+    add("eval_eligible", lambda s, d: evaluation.eligible(held(s, d), "kaz2eng"), "SELECT row_id AS id, kaz AS source, eng AS reference FROM aligned_corpus WHERE coalesce(kaz, '') <> '' AND coalesce(eng, '') <> ''")
+    told = f"SELECT row_id AS id, {X.clean_generation_sql('kaz')} AS hyp, rus AS ref FROM aligned_corpus WHERE coalesce(kaz, '') <> '' AND coalesce(rus, '') <> ''"
+    add("evaluate_direction", lambda s, d: evaluation.evaluated(held(s, d), "kaz2rus", models.echo_generator).select("direction", "num_samples", "bleu"), f"SELECT 'kaz2rus' AS direction, (SELECT count(*) FROM ({told})) AS num_samples, score AS bleu FROM ({bleu_sql(told)})")
+    two = {"echo": models.echo_generator, "constant": lambda prompts: ["тенге"] * len(prompts)}
+    constant = "SELECT row_id AS id, 'тенге' AS hyp, rus AS ref FROM aligned_corpus WHERE coalesce(kaz, '') <> '' AND coalesce(rus, '') <> ''"
+    add("compare_models", lambda s, d: evaluation.compared(held(s, d), "kaz2rus", two).select("model", "bleu"), f"SELECT 'echo' AS model, score AS bleu FROM ({bleu_sql(told)}) UNION ALL SELECT 'constant', score FROM ({bleu_sql(constant)})")
+    # --- the phases in one ---
+    sides = {x: f"CASE WHEN {x} = '' THEN {x} ELSE {X.clean_text_sql(U.nfkc_sql(x))} END AS {x}" for x in ("kaz", "rus", "eng")}
+    add(
+        "pipeline_cleaned",
+        lambda s, d: pipeline.cleaned(wide(s, d, "aligned_corpus", "row_id", "id", "kaz", "rus", "eng", "similarity_kaz_rus", "similarity_kaz_eng"), "row_id", pipeline.Settings(limits=lim)).select("row_id", "id", "kaz", "rus", "eng"),
+        f"WITH c AS (SELECT row_id, id, {', '.join(sides.values())}, similarity_kaz_rus, similarity_kaz_eng FROM aligned_corpus), g AS (SELECT * FROM c WHERE {quality.triplet_reason_sql(lim)} IS NULL) SELECT row_id, id, kaz, rus, eng FROM (SELECT *, row_number() OVER (PARTITION BY {X.dedup_key_sql('kaz')} ORDER BY row_id) AS n FROM g) WHERE n = 1",
+    )
+    add("pipeline_documents", lambda s, d: pipeline.documents(t(s, d, "extraction_results")).select("collection", "source_file", "language", F.length("text").alias("chars")), f"SELECT collection, filename AS source_file, {X.LANGUAGE_SQL.format('filename')} AS language, length(text_only)::INT AS chars FROM (SELECT *, row_number() OVER (PARTITION BY collection, filename ORDER BY extract_id DESC) AS n FROM extraction_results WHERE success AND text_only IS NOT NULL) WHERE n = 1")
     # --- streams and files ---
     def stream(s: SparkSession, d: str) -> DataFrame:
         schema = s.read.parquet(f"{d}/events.parquet").schema
         live = s.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
         return streaming.run_available(streaming.first_events(live, "event_id", "ts"))
 
-    add("stream_dedup", stream)
+    add("stream_dedup", stream, "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS n FROM events) WHERE n = 1")
 
 
 _register()

@@ -6,6 +6,9 @@ each other (a file is one window partition; manifests are short by nature). Null
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -87,3 +90,26 @@ def file_name(year: Column, doc_type: Column, lang: Column) -> Column:
 def duplicate_links(tasks: DataFrame) -> DataFrame:
     """Tasks with the number of tasks that share their link (one file labelled as several)."""
     return tasks.withColumn("same_url", F.count(F.lit(1)).over(Window.partitionBy("url")))
+
+
+def fetched(tasks: DataFrame, fetch: Callable[[str], bytes], have: DataFrame | None = None) -> DataFrame:
+    """``(filename, url, content, error)`` of rows (url, year, type, lang, position): of the tasks that give one name the first
+    is fetched, names in ``have`` not again; ``fetch`` maps a URL to bytes, and what it raises is the row's error."""
+    named = tasks.withColumn("filename", file_name(F.col("year"), F.col("type"), F.col("lang")))
+    first = named.groupBy("filename").agg(F.min_by("url", "position").alias("url"))
+    if have is not None:
+        first = first.join(have.select("filename").distinct(), "filename", "left_anti")
+
+    def go(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in parts:
+            content, errors = [], []
+            for url in df["url"]:
+                try:
+                    content.append(fetch(url))
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001  (a failed download belongs to its row)
+                    content.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pd.DataFrame({"filename": df["filename"], "url": df["url"], "content": content, "error": errors})
+
+    return first.mapInPandas(go, "filename string, url string, content binary, error string")

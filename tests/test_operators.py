@@ -72,7 +72,7 @@ def test_reasons_cover_all(spark):
     ok = "Бұл сөйлем сапасы жағынан әбден жарамды мәтін"
     ddl = "row_id int, kaz string, rus string, eng string, similarity_kaz_rus double, similarity_kaz_eng double"
     data = [(0, None, "x", None, None, None), (1, ok, None, "", None, None), (2, "аз", ok, None, 0.9, None), (3, "аа аа аа аа аа аа аа аа", ok, None, 0.9, None), (4, ok + " appendix", ok, None, 0.9, None), (5, ok, "мал", None, 0.9, None), (6, ok, ok * 4 + " ә" * 40, None, 0.9, None), (7, ok, ok, None, 0.5, None), (8, ok, ok, None, None, None), (9, ok, ok, None, 0.9, None), (10, ok, None, ok, None, 0.1)]
-    got = {r.row_id: r.reason for r in spark.createDataFrame(data, ddl).select("row_id", quality.triplet_reason().alias("reason")).collect()}
+    got = {r.row_id: r.reason for r in quality.with_reason(spark.createDataFrame(data, ddl)).select("row_id", "reason").collect()}
     assert got[0] == "missing_kaz" and got[1] == "no_translations" and got[2] == "kaz_length" and got[3] == "kaz_quality" and got[4] == "kaz_toc" and got[5] == "rus_length"
     assert got[7] == got[8] == "kaz_rus_similarity" and got[9] is None and got[10] == "kaz_eng_similarity" and got[6] in ("kaz_rus_ratio", "rus_quality")
 
