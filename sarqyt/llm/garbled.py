@@ -54,7 +54,7 @@ GLYPH = re.compile(r"[/\\]uni(?:000[0-9A-Fa-f]{3}|[0-9A-Fa-f]{4})|[/\\]afii(?:10
 GLYPH_CHAR = "\ue000"
 ENTER, LEAVE = -9.0, -3.0
 STAY = float(np.log1p(-np.exp(LEAVE)))
-GROUP, BLOCK = 1024, 1_000_000  # stretches labelled side by side, and characters looked at together
+GROUP, BLOCK = 1024, 100_000  # stretches labelled side by side, and characters looked at together
 # states whose gains are bounded together: those of several bytes, and each of one byte by itself
 _ONE = [n for n in PAIRS if not n.startswith("utf-8")]
 BOUNDED = [[n for n in STATES if n not in _ONE and n != "clean"], *([n] for n in _ONE)]
@@ -292,17 +292,25 @@ class Model:
         are clean, exactly, without the recursion; the others are worked off side by side. States are taken together in
         few groups, each bounded by its best."""
         out = [np.zeros(len(t), np.int8) for t in texts]
-        i = 0
+        i, work = 0, []
         while i < len(texts):
             e, size = i, 0
             while e < len(texts) and (e == i or size + len(texts[e]) < BLOCK):
                 size += len(texts[e]) + 1
                 e += 1
-            self._label_block(texts[i:e], out[i:e])
+            work += self._stretches(texts[i:e], out[i:e])
             i = e
+        work.sort(key=lambda x: x[2] - x[1])
+        k = 0
+        while k < len(work):
+            top = work[min(len(work), k + GROUP) - 1]
+            group = work[k : k + max(1, min(GROUP, 2_000_000 // (top[2] - top[1])))]
+            k += len(group)
+            self._viterbi(group)
         return out
 
-    def _label_block(self, texts: list[str], out: list[np.ndarray]) -> None:
+    def _stretches(self, texts: list[str], out: list[np.ndarray]) -> list[tuple]:
+        """The stretches of some texts whose best path may leave the clean state."""
         # a line end before each text: the character before its first one, and a place that nothing runs across
         codes = self.codes("\n" + "\n".join(texts)).astype(np.int64)
         border = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
@@ -331,13 +339,7 @@ class Model:
             t = int(np.searchsorted(border, a, "right")) - 1
             first = int(border[t]) + 1
             work.append((out[t], a, b, first, pair, clean, at))
-        work.sort(key=lambda x: x[2] - x[1])
-        k = 0
-        while k < len(work):
-            top = work[min(len(work), k + GROUP) - 1]
-            group = work[k : k + max(1, min(GROUP, 2_000_000 // (top[2] - top[1])))]
-            k += len(group)
-            self._viterbi(group)
+        return work
 
     def _viterbi(self, group: list[tuple]) -> None:
         """Labels stretches (labels of the text, start, end, start of the text, character pairs, clean emissions,
@@ -439,8 +441,9 @@ def spans(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, str
     """Per text its garbled spans: (start, end, state, restored, or None where the inverse does not exist)."""
     plain, codes = [], []
     for t in texts:
-        codes.append([m.group() for m in GLYPH.finditer(t)])
-        plain.append(GLYPH.sub(GLYPH_CHAR, t))
+        coded = "uni" in t or "afii" in t or "(cid:" in t
+        codes.append([m.group() for m in GLYPH.finditer(t)] if coded else [])
+        plain.append(GLYPH.sub(GLYPH_CHAR, t) if coded else t)
     out = []
     for t, path, glyphs in zip(plain, model.label(plain), codes, strict=True):
         found, shift, g = [], 0, iter(glyphs)

@@ -136,6 +136,8 @@ def shielded(p: str) -> list[tuple[int, int]]:
 
 def pieces(t: str) -> list[tuple[int, int, bool]]:
     """Paragraphs, and lines that are units of their own: (start, end, whether a line of its own)."""
+    if "\n" not in t:
+        return [(0, len(t), bool(ITEM.match(t)))] if t.strip() else []
     out: list[tuple[int, int, bool]] = []
     start = None
     at = 0
@@ -236,7 +238,9 @@ def line_key(t: str) -> str:
     return "".join(filter(str.isalpha, t.lower()))
 
 
-CLOSED = re.compile(r"[.!?…。！？][»”\"’')\]）]*\s*$")
+def closed(t: str) -> bool:
+    """Whether a text ends in a closing mark, whatever quotation marks and brackets follow it."""
+    return t.rstrip().rstrip(ENDERS)[-1:] in (".", "!", "?", "…", "。", "！", "？")
 
 
 class Chunks:
@@ -320,7 +324,7 @@ def posteriors(sequences: list[tuple[np.ndarray, np.ndarray]], hazard: np.ndarra
     k = 0
     while k < len(order):
         size = len(sequences[order[k]][0])
-        group = order[k : k + max(1, min(4096, 400_000 // max(1, size)))]
+        group = order[k : k + max(1, min(1024, 200_000 // max(1, size)))]
         k += len(group)
         n, length = len(group), np.array([len(sequences[g][0]) for g in group])
         see = np.zeros((size, n, 2), np.float32)
@@ -507,7 +511,7 @@ class Model:
                 last = j == len(parts) - 1
                 follow = (nxt or "") if last and not document else ""
                 if line:
-                    if not (follow and not CLOSED.search(p) and not ITEM.match(follow) and self.breaks(p, follow) < self.rate * -1):
+                    if not (follow and not closed(p) and not ITEM.match(follow) and self.breaks(p, follow) < self.rate * -1):
                         out[k].add(a + len(p))
                     continue
                 if follow and not follow[0].isupper() and (ITEM.match(follow) or line_key(follow) in self.lines):
@@ -522,7 +526,7 @@ class Model:
                 ids += own
                 if not follow.strip():
                     final.append((len(ids) - 1, 30.0))
-                elif not CLOSED.search(p):
+                elif not closed(p):
                     final.append((len(ids) - 1, self.breaks(p, follow)))
                 elif not c or c[-1][0] < len(p):
                     final.append((len(ids) - 1, 30.0))
@@ -610,7 +614,7 @@ def _learn(rows: DataFrame) -> Model:
                                 first += own[i + 1 : i + 2]
                     if nxt and nxt.strip() and c and x[3] == "end" and e == len(t):
                         types[BREAK, x[1], x[2], right_kind(nxt)] += 1
-                if t and field == "text" and not CLOSED.search(t):
+                if t and field == "text" and not closed(t):
                     lines[line_key(t)] += 1
             if ids:
                 x = np.array(ids, np.int64)
