@@ -13,6 +13,7 @@ Defined results: null stays null, the empty text stays empty; every text is hand
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,17 +25,33 @@ from sarqyt.session import spread
 # Look-alike letters. Position i of each string looks like position i of its partner.
 LATIN = "ABCEHIKMOPTXYSJaceiopxyhsjəɵ"
 CYRILLIC = "АВСЕНІКМОРТХУЅЈасеіорхуһѕјәө"
-LATIN_AGAIN = "ABCEHIKMOPTXYSJaceiopxyhsjƏƟ"
-CYRILLIC_AGAIN = "АВСЕНІКМОРТХҮЅЈасеіорхуһѕјӘӨ"
 GREEK = "ΑΒΕΗΙΚΜΝΟΡΤΧΥΖοανρικυχ"
 GREEK_LATIN = "ABEHIKMNOPTXYZoavpikux"
-GREEK_CYRILLIC = "АВЕНІКМNОРТХУZоаvрікух"
+# of these, those that look like a Cyrillic letter
+GREEK_TOO = "ΑΒΕΗΙΚΜΟΡΤΧΥοαρικυχ"
+GREEK_CYRILLIC = "АВЕНІКМОРТХУоарікух"
 SPACES = "\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 HYPHENS = "\u2010\u2011\ufe63"
 INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufe00-\ufe0f\ufeff"
-LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
-WIDE = "".join(chr(0xFF01 + i) for i in range(94))
-NARROW = "".join(chr(0x21 + i) for i in range(94))
+
+
+def _same_look() -> tuple[str, str, dict[str, str]]:
+    """Characters that are other ones in another dress: full width and letters of mathematical alphabets (one for one), and
+    ligatures and Roman numerals (several for one). Fractions, raised figures and signs such as the numero sign do not look
+    like what they decompose into, and stay."""
+    one, plain, more = "", "", {}
+    for i in (*range(0xFB00, 0xFB07), *range(0x2160, 0x2180), *range(0xFF01, 0xFF5F), *range(0x2102, 0x2140), *range(0x1D400, 0x1D800)):
+        c = chr(i)
+        kind, to = unicodedata.decomposition(c).partition(">")[0], unicodedata.normalize("NFKC", c)
+        written_as = kind == "<compat" and not 0x2102 <= i < 0x2140
+        if len(to) == 1 and (written_as or kind in ("<wide", "<font")):
+            one, plain = one + c, plain + to
+        elif written_as:
+            more[c] = to
+    return one, plain, more
+
+
+DRESSED, PLAIN, LIGATURES = _same_look()
 
 
 def _q(s: str) -> str:
@@ -44,7 +61,7 @@ def _q(s: str) -> str:
 def compat_sql(x: str) -> str:
     """Canonical composition, compatibility forms and invisible characters, as a DuckDB expression."""
     e = f"regexp_replace({x}, '[{INVISIBLE}]', '', 'g')"
-    e = f"translate({e}, {_q(WIDE + SPACES + HYPHENS)}, {_q(NARROW + ' ' * len(SPACES) + '-' * len(HYPHENS))})"
+    e = f"translate({e}, {_q(DRESSED + SPACES + HYPHENS)}, {_q(PLAIN + ' ' * len(SPACES) + '-' * len(HYPHENS))})"
     for k, v in LIGATURES.items():
         e = f"replace({e}, {_q(k)}, {_q(v)})"
     # most texts have ordinary characters alone, on which all this changes nothing
@@ -60,7 +77,7 @@ def _by_word(x: str, suspect: str, word: str) -> str:
 def cyrillic_sql(x: str) -> str:
     """Look-alikes in a field that is ordinarily Cyrillic: inside a word with Cyrillic letters, and in lower-case words
     made only of look-alikes, Latin and Greek letters become Cyrillic; in a Latin word, Cyrillic and Greek ones Latin."""
-    to_cyr = f"translate(translate(w, {_q(GREEK)}, {_q(GREEK_CYRILLIC)}), {_q(LATIN)}, {_q(CYRILLIC)})"
+    to_cyr = f"translate(translate(w, {_q(GREEK_TOO)}, {_q(GREEK_CYRILLIC)}), {_q(LATIN)}, {_q(CYRILLIC)})"
     to_lat = f"translate(translate(w, {_q(GREEK)}, {_q(GREEK_LATIN)}), {_q(CYRILLIC)}, {_q(LATIN)})"
     own = "regexp_matches(w, '[\\x{0400}-\\x{052F}]')"
     only_like = f"regexp_matches(w, '^[{''.join(c for c in LATIN if c.islower())}]+$')"

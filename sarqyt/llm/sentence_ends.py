@@ -243,6 +243,9 @@ def closed(t: str) -> bool:
     return t.rstrip().rstrip(ENDERS)[-1:] in (".", "!", "?", "…", "。", "！", "？")
 
 
+NUMBER = "0"
+
+
 class Chunks:
     """What stands between spaces, as numbers: the hash of its first and last word, its kind, and how many quotation marks
     or brackets it opens more than it closes. The memory of a worker is bounded: it starts anew when it is full."""
@@ -261,6 +264,10 @@ class Chunks:
         self.odds = np.zeros((size, 2), np.float32)
 
     def add(self, c: str) -> int:
+        # numbers are one word
+        if c[0].isdigit() and c[-1].isdigit() and c != NUMBER and not any(map(str.isalpha, c)):
+            i = self.ids[c] = self.ids[NUMBER] if NUMBER in self.ids else self.add(NUMBER)
+            return i
         i = self.ids[c] = len(self.first)
         if i == len(self.kind):
             self.hash, self.odds = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hash, self.odds))
@@ -426,7 +433,7 @@ class Model:
         return a / (a + o) if a + o else 0.0
 
     def opening(self, word: str) -> float:
-        return self.first.get(word, RARE_OPEN)
+        return self.first.get(NUMBER if word.isdigit() else word, RARE_OPEN)
 
     def closing(self, word: str) -> float:
         return RARE_CLOSE if word[-1:].isdigit() else self.last.get(word, RARE_CLOSE)
@@ -707,7 +714,7 @@ def _cut_up(table: Chunks, b: pa.RecordBatch) -> Iterator[tuple[str, int, str, l
 
 def found(extractions: DataFrame, sentences: DataFrame) -> DataFrame:
     """``(field, rec_id, end_pos)``: every sentence end."""
-    rows = texts(extractions, sentences)
+    rows = cut(texts(extractions, sentences))  # read twice: to count, and to cut
     model = rows.sparkSession.sparkContext.broadcast(_learn(rows))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
