@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -28,11 +31,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of ``spark.checkpoint.dir``; only where it is unset (tests), a folder of our own."""
+    """Use the shared folder of ``spark.checkpoint.dir``. Where it is unset, a local session (tests, benches) gets a folder of
+    its own, which goes when Python ends; a cluster gets an error, since its executors share no temporary folder."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sarqyt-ckpt-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="sarqyt-ckpt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.setCheckpointDir(folder)
 
 
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
