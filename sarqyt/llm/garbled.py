@@ -475,24 +475,32 @@ def _each(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return spread(some, key).select(key, F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns))).alias("x")).select("x.field", key, "x.text").where("text IS NOT NULL AND text <> ''")
 
 
+def _once(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``(fields, key, text)``: each different text of a row once, with the fields that hold it."""
+    some = df.select(key, *columns)
+    texts = F.array_distinct(F.array(*(F.col(c) for c in columns)))
+    own = F.array_compact(F.array(*(F.when(F.col(c) == F.col("text"), F.lit(c)) for c in columns)))
+    return spread(some, key).select(key, *columns, F.explode(texts).alias("text")).where("text IS NOT NULL AND text <> ''").select(own.alias("fields"), key, "text")
+
+
 def labelled(df: DataFrame, key: str, columns: list[str], where: str = "true") -> DataFrame:
     """``(field, key, spans, restored)`` of every garbled value: its number of garbled spans and the restored text. The model
     is that of all rows; rows outside ``where`` are of no interest to the caller and not labelled."""
     model = learn(_each(df, key, columns), "text")
-    rows = _each(df.where(where), key, columns)
+    rows = _once(df.where(where), key, columns)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             some = list(zip(*(c.to_pylist() for c in b.columns), strict=True))
             rows_out = []
-            for (f, k, t), got in zip(some, spans(model.value, [x[2] for x in some]), strict=True):
+            for (fields, k, t), got in zip(some, spans(model.value, [x[2] for x in some]), strict=True):
                 if got:
                     new, last = [], 0
                     for a, e, _, r in got:
                         if a >= last:
                             new += [t[last:a], r if r is not None else t[a:e]]
                             last = e
-                    rows_out.append((f, k, len(got), "".join(new) + t[last:]))
+                    rows_out += [(f, k, len(got), "".join(new) + t[last:]) for f in fields]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows_out], ty) for j, ty in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))], ["field", key, "spans", "restored"])
 
     return rows.mapInArrow(go, f"field string, `{key}` bigint, spans bigint, restored string")

@@ -56,6 +56,30 @@ t AS (SELECT collection, count(DISTINCT source_file) AS total FROM s GROUP BY 1)
 k AS (SELECT collection, line, count(DISTINCT source_file) AS files FROM s WHERE line <> '' GROUP BY 1, 2),
 kept AS (SELECT collection, line FROM k JOIN t USING (collection) WHERE files >= 4 AND files * 5 >= total)
 """
+_P4_BLOCKS = (
+    _P4
+    + r"""
+, o AS (SELECT s.collection, s.source_file, s.line, s.sentence_idx, lead(s.line) OVER w AS next, lead(s.sentence_idx) OVER w AS place FROM s JOIN kept USING (collection, line) WHERE source_file IS NOT NULL AND sentence_idx IS NOT NULL WINDOW w AS (PARTITION BY collection, source_file ORDER BY sentence_idx, sent_id)),
+e AS (SELECT collection, line AS a, next AS b FROM o JOIN t USING (collection) WHERE place - sentence_idx <= 1 AND line <> next GROUP BY collection, line, next, total HAVING count(DISTINCT source_file) >= 4 AND count(DISTINCT source_file) * 5 >= total),
+u AS (SELECT * FROM e UNION SELECT collection, b, a FROM e),
+r AS (SELECT collection, line AS a, line AS b FROM kept UNION SELECT r.collection, r.a, u.b FROM r JOIN u ON u.collection = r.collection AND u.a = r.b)
+SELECT k.collection, k.line, k.files, min(r.b) AS block FROM k JOIN kept USING (collection, line) JOIN r ON r.collection = k.collection AND r.a = k.line GROUP BY ALL
+"""
+).replace("WITH s AS", "WITH RECURSIVE s AS", 1)
+
+
+def _p7(columns: str, tail: str) -> str:
+    """Every pair of rows that share a run, its similarity, and what such links reach, by brute force."""
+    fixed = ", ".join(f"{lookalikes.repair_sql(c, s)} AS {c}" for c, s in lookalikes.SCRIPTS.items())
+    words = lambda c: f"list_transform(regexp_extract_all({c}, '[\\p{{L}}\\p{{N}}]+'), lambda w: lower(w))"
+    runs = " UNION ALL ".join(f"SELECT row_id, '{c}' || array_to_string(w[p:p + 2], ' ') AS g FROM (SELECT row_id, {words(c)} AS w FROM f), unnest(range(1, len(w) - 1)) u(p)" for c in lookalikes.SCRIPTS)
+    return f"""WITH RECURSIVE f AS (SELECT row_id, {fixed} FROM aligned_corpus), g AS (SELECT DISTINCT row_id, g FROM ({runs})), n AS (SELECT row_id, count(*) AS n FROM g GROUP BY 1),
+    s AS (SELECT a.row_id AS a, b.row_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.row_id < b.row_id GROUP BY 1, 2),
+    l AS (SELECT s.a, s.b FROM s JOIN n x ON x.row_id = s.a JOIN n y ON y.row_id = s.b WHERE s.c >= 0.6 * (x.n + y.n - s.c) - 1e-9),
+    u AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT row_id AS a, row_id AS b FROM n UNION SELECT r.a, u.b FROM r JOIN u ON u.a = r.b)
+    SELECT {columns} FROM r {tail}"""
+
+
 _P9 = r"""
 WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda w: lower(w)) AS w FROM documents),
 i AS (SELECT item_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda w: lower(w)) AS w FROM benchmark_items),
@@ -73,6 +97,9 @@ def oracle_sql() -> dict[str, str]:
         "p2_repaired": "SELECT row_id, " + ", ".join(f"{e} AS {c}" for c, e in fixed.items()) + " FROM aligned_corpus",
         "p4_found": _P4 + "SELECT DISTINCT sent_id FROM s JOIN kept USING (collection, line)",
         "p4_cleaned": _P4 + "SELECT sent_id, collection, source_file, sentence_idx, text FROM s WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.collection = s.collection AND k.line = s.line)",
+        "p4_blocks": _P4_BLOCKS,
+        "p7_found": _p7("a AS row_a, b AS row_b", "WHERE a < b"),
+        "p7_groups": _p7("a AS row_id, min(b) AS class_id, count(*) AS class_size", "GROUP BY a"),
         "p9_found": f"SELECT doc_id, item_id FROM ({_P9})",
         "p9_leaks": _P9,
     }

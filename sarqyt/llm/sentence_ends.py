@@ -175,7 +175,7 @@ def _outermost(fences: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def candidates(p: str, after: str) -> list[tuple[int, str, str, str, str]]:
+def candidates(p: str, after: str, wide: bool | None = None) -> list[tuple[int, str, str, str, str]]:
     """(end, left, mark, right, next word) of each place where a mark may end a sentence; ``after`` follows the piece. The
     next word is given after exclamation and question marks."""
     fences = shielded(p)
@@ -186,10 +186,12 @@ def candidates(p: str, after: str) -> list[tuple[int, str, str, str, str]]:
         return k >= 0 and i < ends[k]
 
     out = []
-    size, wide = len(p), WIDE_LETTER.search(p)
+    if wide is None:
+        wide = bool(WIDE_LETTER.search(p))
     for m in MARK.finditer(p):
         first, end = m.span()
-        core = m[0].rstrip(ENDERS)
+        whole = m[0]
+        core = whole if whole == "." else whole.rstrip(ENDERS)
         if fences and (cover(end - 1) or (cover(first) and end - first == len(core))):
             continue
         x = NEXT.search(p, end)
@@ -288,10 +290,10 @@ class Chunks:
             self.kind[i] = KIND_AT[right_kind(c + " ")]
         return i
 
-    def sequence(self, p: str, c: list[tuple[int, str, str, str, str]]) -> tuple[list[int], list[int]]:
+    def sequence(self, p: str, c: list[tuple[int, str, str, str, str]], wide: bool) -> tuple[list[int], list[int]]:
         """The chunks of a piece as numbers, and after which of them its candidates stand."""
         ids, at, prev = [], [], 0
-        get, wide = self.ids.get, WIDE_LETTER.search(p)
+        get = self.ids.get
         for end in [x[0] for x in c] + [len(p)]:
             seg = p[prev:end] if c else p
             chunks = WIDE_TOKEN.findall(seg) if wide else seg.split()
@@ -523,8 +525,9 @@ class Model:
                     continue
                 if follow and not follow[0].isupper() and (ITEM.match(follow) or line_key(follow) in self.lines):
                     follow = "A"  # a line of its own starts anew, however it is written
-                c = candidates(p, follow)
-                own, at = table.sequence(p, c)
+                wide = bool(WIDE_LETTER.search(p))
+                c = candidates(p, follow, wide)
+                own, at = table.sequence(p, c, wide)
                 if not own:
                     out[k].add(a + len(p))
                     continue
@@ -595,8 +598,9 @@ def _learn(rows: DataFrame) -> Model:
             for field, t, nxt in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for a, e, line in pieces(t or ""):
                     p = t[a:e]
-                    c = [] if line else candidates(p, "")
-                    own, at = table.sequence(p, c)
+                    wide = bool(WIDE_LETTER.search(p))
+                    c = [] if line else candidates(p, "", wide)
+                    own, at = table.sequence(p, c, wide)
                     if not own:
                         continue
                     base, begin = len(ids), 0

@@ -52,7 +52,7 @@ def _kept(rows: DataFrame, least_files: int, least_share: int) -> DataFrame:
 
 
 def blocks(df: DataFrame, key: str, least_files: int = LEAST_FILES, least_share: int = LEAST_SHARE) -> DataFrame:
-    """``(collection, line, files, block)``: the kept lines and the block (smallest line number in it) of each."""
+    """``(collection, line, files, block)``: the kept lines and the block of each, named by its first line."""
     rows = _keyed(df, key)
     kept = cut(_kept(rows, least_files, least_share))
     # only rows of kept lines can be ends of kept edges, so the window runs over these alone; two of them are consecutive
@@ -70,7 +70,10 @@ def blocks(df: DataFrame, key: str, least_files: int = LEAST_FILES, least_share:
         .where(F.col("files") * least_share >= F.col("total"))
     )
     comp = connected_components(strong.select("u", "v"), "u", "v")
-    out = kept_id.join(comp, "node", "left").select("c", "line", "files", F.coalesce("component", "node").alias("block"))
+    out = kept_id.join(comp, "node", "left").select("c", "line", "files", F.coalesce("component", "node").alias("b"))
+    # a block goes by its first line in the order of letters
+    name = out.groupBy("c", "b").agg(F.min("line").alias("block"))
+    out = out.join(name, ["c", "b"])
     return out.select(F.when(F.col("c") != "\x00", F.col("c")).alias("collection"), "line", "files", "block")
 
 

@@ -84,3 +84,11 @@ def test_one_large_group_of_near_copies(spark, monkeypatch):
     monkeypatch.setattr(N, "linked_pairs", lambda s, t=0.6, fragments=4: whole(s, t, fragments, block=20))
     g = N.groups(spark.createDataFrame(rows, DDL), "row_id")
     assert g.where("class_id = 0").count() == 300 and g.count() == 900
+
+
+def test_blocks_of_a_group_give_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(N, "PAIR_BLOCK", 3)
+    t = "бір екі үш төрт бес алты"
+    df = spark.createDataFrame([(i, t, None, None, "") for i in range(12)], DDL)
+    got = [tuple(x) for x in N.found(df, "row_id").collect()]
+    assert len(got) == 66 == len(set(got)) and all(a < b for a, b in got)
