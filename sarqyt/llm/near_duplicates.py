@@ -2,15 +2,16 @@
 
 1. Every record becomes the set of its distinct word runs (after the repair of problem 2), and is named by the 64-bit
    hash of that set, so exact copies are one record in all that follows and cost nothing.
-2. All runs get one global order, rare ones first. The order is (count of the run's bucket, hash), where the count
-   leaves out what a task sees less than ``OFTEN`` times. Bucket counts are a table of fixed size (``2**ORDER_BITS``
-   numbers), so it is broadcast safely at any data size, and any total order gives the exact result.
+2. All runs get one global order: rare ones first, by the exact number of records that have them (on a scale of eighths of
+   a doubling), then by hash. Records are packed in pages; each page asks, part by part of the runs' range, how often its
+   runs occur, and gets one byte back for each. So the order needs no table that some task must hold: what is exchanged is
+   six bytes a run there and one back, at any size of the data.
 3. The order is cut into ``fragments``: a record becomes one segment per fragment.
 4. Two records with Jaccard similarity >= t share SHARED runs among the first n - ceil(t n) + SHARED of each (prefix
    filter), their sizes differ by at most the factor t, and their 128 parity bits by at most the runs they may differ in
    (bitmap filter). Outside their prefixes they can share no more than lies behind one of these, so the prefixes must
-   share the rest. Prefix runs that only one record has are dropped before the shuffle (by a bitmap of fixed size, which
-   lets a few too many pass, never too few). Records in one run's list propose pairs. The records of a very long list are
+   share the rest. Prefix runs that only one record has are dropped before the shuffle. Records in one run's list propose
+   pairs. The records of a very long list are
    compared with its first record before anything else; those linked to it are not compared with each other, and the
    others meet all of the list in salted pairs of blocks, by different tasks.
 5. For the proposed pairs the overlap is counted in each fragment apart and summed per pair; a pair is kept if
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,12 +41,11 @@ from sarqyt.llm.grams import Words, column_runs, packed, sorted_sets, unpacked
 from sarqyt.operators.components import connected_components
 from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, spread, tidy
 
-ORDER_BITS = 24
-OFTEN = 2
 SHARED = 4
 TASK_ROWS = 500_000
+TASK_BYTES = 32 << 20
 MEMBER_BITS = 25
-PAIR_BLOCK = 2000
+PAIR_BLOCK = BLOCK = 2000
 
 
 def _binary(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -75,45 +76,121 @@ def run_sets(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k:
     return spread(one, key).mapInArrow(go, f"`{key}` bigint, grams binary")
 
 
-def _bucket_sizes(sets: DataFrame, bits: int) -> np.ndarray:
-    """Occurrences per bucket of runs, as far as a task has at least ``OFTEN`` of them; at most 2**bits rows at any data
-    size. The counts only make the order, so what is left out costs no pair: rare runs are all in front."""
+PAGE = "page bigint, keys binary, of binary, h binary, sizes binary, runs binary"
+
+
+def _blob(x: np.ndarray) -> pa.Array:
+    return pa.array([x.tobytes()], pa.binary())
+
+
+def _pages(sets: DataFrame, key: str | None = None) -> DataFrame:
+    """``PAGE``: the records of each Arrow batch of (key, h, grams) packed in one row, equal sets once: all keys and the set of
+    each, the different sets, their sizes and runs. Pages are told apart by their place, which the caller's cut fixes."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << 32
+        for i, b in enumerate(batches):
+            own = b.column(0).to_numpy()
+            h, first = np.unique(own, return_index=True)
+            flat, n = _runs_of(b.column(1).take(pa.array(first)))
+            keys = b.column(2).to_numpy() if b.num_columns > 2 else own[:0]
+            yield pa.RecordBatch.from_arrays([pa.array([place + i]), _blob(keys), _blob(own if len(keys) else own[:0]), _blob(h), _blob(n.astype(np.int32)), _blob(packed(flat))], ["page", "keys", "of", "h", "sizes", "runs"])
+
+    return sets.select("h", "grams", *([key] if key else [])).mapInArrow(go, PAGE)
+
+
+def _members(pages: DataFrame, key: str) -> DataFrame:
+    """``(key, h)`` of all records."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.uint32)
         for b in batches:
-            flat, _ = _runs_of(b.column(0))
-            np.add.at(total, (flat >> np.uint64(64 - bits)).astype(np.int64), 1)
-        at = np.flatnonzero(total >= OFTEN)
-        for i in range(0, len(at), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 50_000].astype(np.int32)), pa.array(total[at[i : i + 50_000]].astype(np.int64))], ["b", "c"])
-
-    with tidy(sets.sparkSession):
-        rows = sets.select("grams").mapInArrow(go, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
-    # on a logarithmic scale one byte is enough to order by
-    out = np.zeros(1 << bits, np.uint8)
-    out[rows["b"].to_numpy()] = np.minimum(255, 8 * np.log2(rows["c"].to_numpy())).astype(np.uint8)
-    return out
-
-
-def _borders(sizes: np.ndarray, fragments: int) -> np.ndarray:
-    """Levels of count at which the order is cut: the uncounted runs first, the others in about equal parts."""
-    levels = np.sort(sizes[sizes > 0])
-    if not len(levels) or fragments < 2:
+            for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(k, np.int64)), pa.array(np.frombuffer(h, np.int64))], [key, "h"])
+
+    return pages.select("keys", "of").mapInArrow(go, f"`{key}` bigint, h bigint").distinct()
+
+
+def _part(runs: np.ndarray, parts: int) -> np.ndarray:
+    return ((runs >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+
+
+def _levels(pages: DataFrame, parts: int) -> DataFrame:
+    """``(page, part, levels)``: how often each run of a page occurs in all of them (0: once), in the order of the page's runs of
+    that part."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for page, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                runs = unpacked(np.frombuffer(raw, np.uint8))
+                p = _part(runs, parts)
+                count = np.bincount(p, minlength=parts)
+                some = np.flatnonzero(count)
+                ordered = packed(runs[np.argsort(p, kind="stable")])
+                end = np.cumsum(count) * 6
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), page)), pa.array([ordered[end[k] - count[k] * 6 : end[k]].tobytes() for k in some], pa.binary())], ["part", "page", "runs"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, page, raw = [], [], []
+        for b in batches:
+            part += b.column(0).to_pylist()
+            page += b.column(1).to_pylist()
+            raw += b.column(2).to_pylist()
+        if not part:
+            return
+        size = np.array([len(r) // 6 for r in raw])
+        _, back, count = np.unique(unpacked(np.frombuffer(b"".join(raw), np.uint8)), return_inverse=True, return_counts=True)
+        level = np.where(count == 1, 0, np.minimum(255, 1 + 8 * np.log2(count))).astype(np.uint8)[back]
+        end = np.cumsum(size)
+        yield pa.RecordBatch.from_arrays([pa.array(page), pa.array(part, pa.int32()), pa.array([level[e - n : e].tobytes() for e, n in zip(end, size, strict=True)], pa.binary())], ["page", "part", "levels"])
+
+    asked = pages.select("page", "runs").mapInArrow(ask, "part int, page bigint, runs binary")
+    return asked.repartition(parts, "part").mapInArrow(answer, "page bigint, part int, levels binary")
+
+
+def _level(count: int) -> int:
+    return min(255, int(1 + 8 * np.log2(count))) if count > 1 else 0
+
+
+def _borders(levels: DataFrame, fragments: int) -> np.ndarray:
+    """Levels at which the order is cut: the unshared runs first, the others in about equal parts."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(256, np.int64)
+        for b in batches:
+            for raw in b.column(0).to_pylist():
+                n += np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256, dtype=np.int32)), pa.array(n)], ["level", "n"])
+
+    n = np.zeros(256, np.int64)
+    for r in levels.select("levels").mapInArrow(go, "level int, n bigint").groupBy("level").agg(F.sum("n").alias("n")).toArrow().to_pylist():
+        n[r["level"]] = r["n"]
+    mass = np.cumsum(n[1:])
+    if fragments < 2 or not mass[-1]:
         return np.zeros(max(0, fragments - 1), np.uint8)
-    mass = np.cumsum(2.0 ** (levels / 8))
-    return np.array([0] + [levels[min(int(np.searchsorted(mass, mass[-1] * (i + 1) / (fragments - 1))), len(levels) - 1)] for i in range(fragments - 2)], np.uint8)
+    return np.array([0] + [1 + int(np.searchsorted(mass, mass[-1] * (i + 1) / (fragments - 1))) for i in range(fragments - 2)], np.uint8)
+
+
+def _with_levels(pages: DataFrame, levels: DataFrame) -> DataFrame:
+    """``(h, sizes, runs, parts)``: pages with the levels of their runs. A page has at most as many bytes of levels as runs."""
+    own = levels.groupBy("page").agg(F.collect_list(F.struct("part", "levels")).alias("parts"))
+    return pages.select("page", "h", "sizes", "runs").join(own, "page", "left").select("h", "sizes", "runs", "parts")
 
 
-def _ordered(b: pa.RecordBatch, size: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per run of a batch of (h, grams): its row, hash, bucket count and position, in the global order."""
-    flat, n = _runs_of(b.column(1))
+def _ordered(h: bytes, sizes: bytes, raw: bytes, parts: list[dict] | None, of: int) -> tuple[np.ndarray, ...]:
+    """Of one page: its sets, their sizes, and per run its set's number, hash, level and position, in the global order."""
+    n = np.frombuffer(sizes, np.int32).astype(np.int64)
+    flat = unpacked(np.frombuffer(raw, np.uint8))
+    level = np.zeros(len(flat), np.uint8)
+    p = _part(flat, of)
+    place = np.argsort(p, kind="stable")
+    start = np.concatenate([[0], np.cumsum(np.bincount(p, minlength=of))])
+    for x in parts or ():
+        level[place[start[x["part"]] : start[x["part"] + 1]]] = np.frombuffer(x["levels"], np.uint8)
     rows = np.repeat(np.arange(len(n)), n)
-    freq = size[(flat >> np.uint64(64 - bits)).astype(np.int64)]
-    # the hashes of a row are sorted already, so a stable sort by (row, count) is the order
-    order = np.argsort(freq, kind="stable")
+    # the hashes of a row are sorted already, so a stable sort by (row, level) is the order
+    order = np.argsort(level, kind="stable")
     order = order[np.argsort(rows[order].astype(np.uint16 if len(n) <= 65536 else np.int64), kind="stable")]
-    return rows, flat[order], freq[order], np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+    return np.frombuffer(h, np.int64), n, rows, flat[order], level[order], np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
 
 
 def _parity(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
@@ -123,25 +200,21 @@ def _parity(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
-def _heads(sets: DataFrame, sizes, t: float, bits: int, member) -> DataFrame:
-    """``(g, h)`` of the prefix runs, g being their upper half; with ``member``, ``(g, h, n, s1, s2)`` of those that may occur in a second record, with
-    the record's size and parity bits."""
+def _heads(pages: DataFrame, t: float, parts: int, block: int) -> DataFrame:
+    """``(g, h, n, s1, s2, hot)`` of the prefix runs that another record has too, with the record's size and parity bits, and
+    whether the run is in so many records that its list may be longer than ``block``."""
+    least = _level(block)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, packed = sizes.value, member.value if member else None
         for b in batches:
-            rows, g, _, pos = _ordered(b, size, bits)
-            n = _runs_of(b.column(1))[1]
-            take = pos < np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + SHARED)[rows]
-            if packed is None:
-                yield pa.RecordBatch.from_arrays([pa.array((g[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(b.column(0).to_numpy()[rows[take]])], ["g", "h"])
-                continue
-            sign = _parity(rows, g, b.num_rows)
-            take &= in_bitmap(packed, g, MEMBER_BITS)
-            rows, g = rows[take], g[take]
-            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(b.column(0).to_numpy()[rows]), pa.array(n[rows].astype(np.int32)), pa.array(sign[rows, 0]), pa.array(sign[rows, 1])], ["g", "h", "n", "s1", "s2"])
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                h, n, rows, g, level, pos = _ordered(*row, parts)
+                sign = _parity(rows, g, len(h))
+                take = (pos < np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + SHARED)[rows]) & (level > 0)
+                rows, g, level = rows[take], g[take], level[take]
+                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(h[rows]), pa.array(n[rows].astype(np.int32)), pa.array(sign[rows, 0]), pa.array(sign[rows, 1]), pa.array(level >= least)], ["g", "h", "n", "s1", "s2", "hot"])
 
-    return sets.select("h", "grams").mapInArrow(go, "g bigint, h bigint, n int, s1 bigint, s2 bigint" if member else "g int, h bigint")
+    return pages.mapInArrow(go, "g bigint, h bigint, n int, s1 bigint, s2 bigint, hot boolean")
 
 
 def _differ(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
@@ -179,28 +252,26 @@ def _meet(post: DataFrame, t: float) -> DataFrame:
     return post.mapInArrow(go, "a bigint, b bigint, n_a int, n_b int")
 
 
-def _segments(sets: DataFrame, sizes, cuts: np.ndarray, bits: int, member) -> DataFrame:
+def _segments(pages: DataFrame, cuts: np.ndarray, parts: int, member) -> DataFrame:
     """``(h, n, fragment, runs)`` of the records that may be in a proposed pair."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, packed = sizes.value, member.value
         for b in batches:
-            keep = in_bitmap(packed, b.column(0).to_numpy().view(np.uint64), MEMBER_BITS)
-            b = b.filter(pa.array(keep))
-            if not b.num_rows:
-                continue
-            rows, g, freq, _ = _ordered(b, size, bits)
-            parts = len(cuts) + 1
-            cell = rows * parts + np.searchsorted(cuts, freq, side="left")
-            count = np.bincount(cell, minlength=b.num_rows * parts)
-            n = _runs_of(b.column(1))[1].astype(np.int32)
-            who = np.repeat(np.arange(b.num_rows), parts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(b.column(0).to_numpy()[who]), pa.array(n[who]), pa.array(np.tile(np.arange(parts, dtype=np.int32), b.num_rows)), _binary(g, np.concatenate([[0], np.cumsum(count)]))],
-                ["h", "n", "fragment", "runs"],
-            )
-
-    return sets.select("h", "grams").mapInArrow(go, "h bigint, n int, fragment int, runs binary").where("length(runs) > 0")
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                h, n, rows, g, level, _ = _ordered(*row, parts)
+                keep = in_bitmap(member.value, h.view(np.uint64), MEMBER_BITS)
+                if not keep.any():
+                    continue
+                some = keep[rows]
+                number = np.cumsum(keep) - 1
+                h, n, rows, g, level = h[keep], n[keep], number[rows[some]], g[some], level[some]
+                pieces = len(cuts) + 1
+                cell = rows * pieces + np.searchsorted(cuts, level, side="left")
+                count = np.bincount(cell, minlength=len(h) * pieces)
+                who = np.repeat(np.arange(len(h)), pieces)
+                yield pa.RecordBatch.from_arrays([pa.array(h[who]), pa.array(n[who].astype(np.int32)), pa.array(np.tile(np.arange(pieces, dtype=np.int32), len(h))), _binary(g, np.concatenate([[0], np.cumsum(count)]))], ["h", "n", "fragment", "runs"])
+
+    return pages.mapInArrow(go, "h bigint, n int, fragment int, runs binary").where("length(runs) > 0")
 
 
 def _shared_runs(pairs: DataFrame) -> DataFrame:
@@ -220,12 +291,12 @@ def _shared_runs(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(go, "a bigint, b bigint, n_a int, n_b int, c bigint")
 
 
-def _verified(sets: DataFrame, pairs: DataFrame, sizes, cuts: np.ndarray, bits: int, t: float) -> DataFrame:
+def _verified(pages: DataFrame, pairs: DataFrame, cuts: np.ndarray, of: int, t: float) -> DataFrame:
     """``(a, b, n_a, n_b, overlap)`` of the proposed pairs that are similar: overlaps counted per fragment, then summed."""
-    sc = sets.sparkSession.sparkContext
+    sc = pages.sparkSession.sparkContext
     members = sc.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h", MEMBER_BITS))
     # both joins are on (record, fragment), so the segments are shuffled once
-    parts = _segments(sets, sizes, cuts, bits, members).dropDuplicates(["h", "fragment"])
+    parts = _segments(pages, cuts, of, members).dropDuplicates(["h", "fragment"])
     each_part = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("fragment"))
     one = each_part.join(parts.select(F.col("h").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("runs").alias("x")), ["a", "fragment"])
     two = one.join(parts.select(F.col("h").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("runs").alias("y")), ["b", "fragment"])
@@ -240,34 +311,37 @@ def _near(t: float):
     return (F.col("n") >= F.col("n_") * t - 1e-9) & (F.col("n_") >= F.col("n") * t - 1e-9) & (near <= F.floor((F.col("n") + F.col("n_")) * ((1 - t) / (1 + t)) + 1e-9))
 
 
-def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int = ORDER_BITS, block: int = 2000) -> DataFrame:
+def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, block: int = 2000) -> DataFrame:
     """``(a, b)``: links between different run sets with Jaccard similarity >= ``t`` that connect whatever all such links
     connect. ``sets`` has ``h`` (hash of the set) and ``grams``; a set that occurs several times is one record.
 
     All similar pairs are links, except that two records of one long list (of more than ``block``) that are both linked
     to its first record are not compared again, so a group that holds a large share of all rows costs links in
     proportion to its size."""
-    sc = sets.sparkSession.sparkContext
-    counts = _bucket_sizes(sets, bits)
-    sizes, cuts = sc.broadcast(counts), _borders(counts, fragments)
-    # a run that one record alone has makes no pair; copies of one set are one record
-    short = F.shiftright("h", 32).cast("int")
-    low = _heads(sets, sizes, t, bits, None).groupBy("g").agg(F.min(short).alias("x"), F.max(short).alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
-    low = cut(low.select("g", "c", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
-    several = sc.broadcast(bitmap(low.select(F.shiftleft(F.col("g").cast("bigint"), 32).alias("g")), "g", MEMBER_BITS))
-    post = _heads(sets, sizes, t, bits, several)
-    hot = low.where("blocks > 1")
+    return _linked(cut(_pages(sets)), t, fragments, block)
+
+
+def _linked(pages: DataFrame, t: float, fragments: int, block: int) -> DataFrame:
+    sc = pages.sparkSession.sparkContext
+    size = pages.agg(F.sum(F.length("runs")).alias("n")).first()["n"] or 0
+    of = max(sc.defaultParallelism * 2, -(-size // TASK_BYTES))
+    levels = cut(_levels(pages, of))
+    cuts = _borders(levels, fragments)
+    ranked = _with_levels(pages, levels)
+    post = cut(_heads(ranked, t, of, block))
+    hot = post.where("hot").select("g", "h").distinct().groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1")
+    rows, post = post.count(), post.drop("hot")
     met, first_links = [], None
+    hot = cut(hot)
     if not hot.isEmpty():
-        hot = broadcast_if(hot.select(F.col("g").alias("top"), "blocks"), 100_000)
-        top = F.shiftright("g", 32).cast("int")
-        long = cut(post.withColumn("top", top).join(hot, "top").drop("top").distinct())
-        post = post.withColumn("top", top).join(hot, "top", "left_anti").drop("top")
+        hot = broadcast_if(hot, 100_000)
+        long = cut(post.join(hot, "g").distinct())
+        post = post.join(hot, "g", "left_anti")
         # every record of a long list against the list's first
         lead = long.groupBy("g").agg(F.min_by(F.struct(*(F.col(c).alias(f"{c}_") for c in ("h", "n", "s1", "s2"))), "h").alias("l")).select("g", "l.*")
         long = long.join(broadcast_if(lead, 100_000), "g")
         asked = cut(long.where("h <> h_").where(_near(t)).select(F.col("h_").alias("a"), F.col("h").alias("b")).distinct())
-        first_links = cut(_verified(sets, asked, sizes, cuts, bits, t).select("a", "b"))
+        first_links = cut(_verified(ranked, asked, cuts, of, t).select("a", "b"))
         led = first_links.select(F.col("a").alias("h_"), F.col("b").alias("h"), F.lit(True).alias("led"))
         salt = F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")
         long = cut(long.join(led, ["h_", "h"], "left").select("g", "h", "n", "s1", "s2", "blocks", (F.col("led").isNull() & (F.col("h") != F.col("h_"))).alias("open"), salt.alias("s")))
@@ -277,7 +351,6 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
         right = long.select("g", F.col("s").alias("o"), each.alias("s"), "open", *(F.col(c).alias(f"{c}_") for c in ("h", "n", "s1", "s2")))
         both = left.join(right, ["g", "s", "o"]).where("h < h_ OR (NOT open AND h <> h_)").where(_near(t))
         met.append(both.select(F.least("h", "h_").alias("a"), F.greatest("h", "h_").alias("b"), F.when(F.col("h") < F.col("h_"), F.col("n")).otherwise(F.col("n_")).alias("n_a"), F.when(F.col("h") < F.col("h_"), F.col("n_")).otherwise(F.col("n")).alias("n_b")))
-    rows = low.where("blocks = 1").agg(F.sum("c")).first()[0] or 0
     parts = max(sc.defaultParallelism * 2, -(-rows // TASK_ROWS))
     met.append(_meet(post.repartition(parts, "g"), t))
     pairs = met[0] if len(met) == 1 else met[0].unionByName(met[1])
@@ -286,13 +359,14 @@ def linked_pairs(sets: DataFrame, t: float = 0.6, fragments: int = 4, bits: int
     # rest; a pair that misses a long list here is linked through that list's first record
     behind = F.greatest(*(F.greatest(F.ceil(F.col(n) * t - 1e-9) - SHARED, F.lit(0)) for n in ("n_a", "n_b")))
     pairs = cut(pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need - behind).select("a", "b"))
-    links = _verified(sets, pairs, sizes, cuts, bits, t).select("a", "b")
+    links = _verified(ranked, pairs, cuts, of, t).select("a", "b")
     return links if first_links is None else links.unionByName(first_links)
 
 
 def _classes(df: DataFrame, key: str, scripts: dict[str, str] | None, k: int, t: float, fragments: int) -> tuple[DataFrame, DataFrame]:
-    sets = cut(run_sets(df, key, scripts, k).where("length(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams"))
-    return sets.select(key, "h").distinct(), cut(linked_pairs(sets, t, fragments))
+    sets = run_sets(df, key, scripts, k).where("length(grams) > 0").select(key, F.xxhash64("grams").alias("h"), "grams")
+    pages = cut(_pages(sets, key))
+    return cut(_members(pages, key)), cut(_linked(pages, t, fragments, BLOCK))
 
 
 def groups(df: DataFrame, key: str, scripts: dict[str, str] | None = None, k: int = 3, t: float = 0.6, fragments: int = 4) -> DataFrame:

@@ -51,8 +51,7 @@ def corpus(n, seed):
 @pytest.mark.parametrize("block", [3, 12, 2000])
 def test_against_brute_force(spark, monkeypatch, block):
     rows = corpus(150, 5)
-    whole = N.linked_pairs
-    monkeypatch.setattr(N, "linked_pairs", lambda s, t=0.6, fragments=4: whole(s, t, fragments, block=block))
+    monkeypatch.setattr(N, "BLOCK", block)
     got = {tuple(x) for x in N.found(spark.createDataFrame(rows, DDL), "row_id").collect()}
     assert got == brute(rows)
 
@@ -80,8 +79,7 @@ def test_one_large_group_of_near_copies(spark, monkeypatch):
     sets = N.run_sets(spark.createDataFrame(rows, DDL), "row_id").selectExpr("xxhash64(grams) h", "grams")
     links = N.linked_pairs(sets, block=20).distinct()
     assert links.count() < 3000
-    whole = N.linked_pairs
-    monkeypatch.setattr(N, "linked_pairs", lambda s, t=0.6, fragments=4: whole(s, t, fragments, block=20))
+    monkeypatch.setattr(N, "BLOCK", 20)
     g = N.groups(spark.createDataFrame(rows, DDL), "row_id")
     assert g.where("class_id = 0").count() == 300 and g.count() == 900
 
