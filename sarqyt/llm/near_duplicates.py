@@ -44,6 +44,7 @@ from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, spread, tidy
 SHARED = 4
 TASK_ROWS = 500_000
 TASK_BYTES = 32 << 20
+PAGE_ROWS = 2000
 MEMBER_BITS = 25
 PAIR_BLOCK = BLOCK = 2000
 
@@ -84,12 +85,12 @@ def _blob(x: np.ndarray) -> pa.Array:
 
 
 def _pages(sets: DataFrame, key: str | None = None) -> DataFrame:
-    """``PAGE``: the records of each Arrow batch of (key, h, grams) packed in one row, equal sets once: all keys and the set of
+    """``PAGE``: ``PAGE_ROWS`` records of (key, h, grams) at a time packed in one row, equal sets once: all keys and the set of
     each, the different sets, their sizes and runs. Pages are told apart by their place, which the caller's cut fixes."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << 32
-        for i, b in enumerate(batches):
+        for i, b in enumerate(b.slice(k, PAGE_ROWS) for b in batches for k in range(0, b.num_rows, PAGE_ROWS)):
             own = b.column(0).to_numpy()
             h, first = np.unique(own, return_index=True)
             flat, n = _runs_of(b.column(1).take(pa.array(first)))
@@ -170,10 +171,11 @@ def _borders(levels: DataFrame, fragments: int) -> np.ndarray:
     return np.array([0] + [1 + int(np.searchsorted(mass, mass[-1] * (i + 1) / (fragments - 1))) for i in range(fragments - 2)], np.uint8)
 
 
-def _with_levels(pages: DataFrame, levels: DataFrame) -> DataFrame:
-    """``(h, sizes, runs, parts)``: pages with the levels of their runs. A page has at most as many bytes of levels as runs."""
-    own = levels.groupBy("page").agg(F.collect_list(F.struct("part", "levels")).alias("parts"))
-    return pages.select("page", "h", "sizes", "runs").join(own, "page", "left").select("h", "sizes", "runs", "parts")
+def _with_levels(pages: DataFrame, levels: DataFrame, parts: int) -> DataFrame:
+    """``(h, sizes, runs, parts)``: pages with the levels of their runs (a page has one byte of level for six of a run), met in
+    as many tasks as the runs' bytes ask for."""
+    own = levels.repartition(parts, "page").groupBy("page").agg(F.collect_list(F.struct("part", "levels")).alias("parts"))
+    return pages.select("page", "h", "sizes", "runs").repartition(parts, "page").join(own, "page", "left").select("h", "sizes", "runs", "parts")
 
 
 def _ordered(h: bytes, sizes: bytes, raw: bytes, parts: list[dict] | None, of: int) -> tuple[np.ndarray, ...]:
@@ -201,20 +203,23 @@ def _parity(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
 
 
 def _heads(pages: DataFrame, t: float, parts: int, block: int) -> DataFrame:
-    """``(g, h, n, s1, s2, hot)`` of the prefix runs that another record has too, with the record's size and parity bits, and
-    whether the run is in so many records that its list may be longer than ``block``."""
+    """``(h, n, s1, s2, cold, warm)`` of every record: its size, its parity bits, and its prefix runs that another record has
+    too, apart those in so many records that their list may be longer than ``block``."""
     least = _level(block)
 
+    def lists(rows: np.ndarray, g: np.ndarray, n: int) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)), pa.array(g.view(np.int64)))
+
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 h, n, rows, g, level, pos = _ordered(*row, parts)
                 sign = _parity(rows, g, len(h))
-                take = (pos < np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + SHARED)[rows]) & (level > 0)
-                rows, g, level = rows[take], g[take], level[take]
-                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(h[rows]), pa.array(n[rows].astype(np.int32)), pa.array(sign[rows, 0]), pa.array(sign[rows, 1]), pa.array(level >= least)], ["g", "h", "n", "s1", "s2", "hot"])
+                head = (pos < np.minimum(n, n - np.ceil(t * n - 1e-9).astype(np.int64) + SHARED)[rows]) & (level > 0)
+                cold, warm = head & (level < least), head & (level >= least)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int32)), pa.array(sign[:, 0]), pa.array(sign[:, 1]), lists(rows[cold], g[cold], len(h)), lists(rows[warm], g[warm], len(h))], ["h", "n", "s1", "s2", "cold", "warm"])
 
-    return pages.mapInArrow(go, "g bigint, h bigint, n int, s1 bigint, s2 bigint, hot boolean")
+    return pages.mapInArrow(go, "h bigint, n int, s1 bigint, s2 bigint, cold array<bigint>, warm array<bigint>")
 
 
 def _differ(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
@@ -327,10 +332,11 @@ def _linked(pages: DataFrame, t: float, fragments: int, block: int) -> DataFrame
     of = max(sc.defaultParallelism * 2, -(-size // TASK_BYTES))
     levels = cut(_levels(pages, of))
     cuts = _borders(levels, fragments)
-    ranked = _with_levels(pages, levels)
-    post = cut(_heads(ranked, t, of, block))
-    hot = post.where("hot").select("g", "h").distinct().groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1")
-    rows, post = post.count(), post.drop("hot")
+    ranked = _with_levels(pages, levels, of)
+    heads = cut(_heads(ranked, t, of, block))
+    post = heads.select(F.explode(F.concat("cold", "warm")).alias("g"), "h", "n", "s1", "s2")
+    hot = heads.select(F.explode("warm").alias("g"), "h").distinct().groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1")
+    rows = heads.agg(F.sum(F.size("cold") + F.size("warm")).alias("n")).first()["n"] or 0
     met, first_links = [], None
     hot = cut(hot)
     if not hot.isEmpty():

@@ -47,7 +47,7 @@ KIND_AT = {k: i for i, k in enumerate(KINDS)}
 WIDE_SCRIPT = "\u3040-\u30ff\u3400-\u9fff"
 WIDE_LETTER = re.compile(f"[{WIDE_SCRIPT}]")
 WIDE_TOKEN = re.compile(rf"[{WIDE_SCRIPT}](?:[^\w\s]+(?=\s|$))?|[^\s{WIDE_SCRIPT}]+")
-LENGTHS, MEAN_LENGTH = 40, 16
+LENGTHS, MEAN_LENGTH = 32, 16
 # prior odds: that a text has no marks at its boundaries, that a boundary of a text with marks has none, that one of a
 # text without has one; and how surely these marks alone close a sentence
 PRIOR_BARE, BARE, MARKED = log(1e-3), log(1e-5), log(1e-3)
@@ -111,11 +111,20 @@ def right_kind(after: str) -> str:
     return "cap" if c.isalpha() else "other"
 
 
-FENCE = re.compile(r"[«»“”„()（）「」『』\[\]\"]")
+_FENCES = "«»“”„()（）「」『』\\[\\]\""
+FENCE = re.compile(f"[{_FENCES}]")
+PLAIN_PAIR = re.compile("|".join(f"{re.escape(a)}[^{_FENCES}]*{re.escape(b)}" for a, b in [*PAIRS.items(), ('"', '"')]))
 
 
 def shielded(p: str) -> list[tuple[int, int]]:
     """The stretches (start, end) inside matching quotation marks or brackets; the closing one is outside."""
+    fences = len(FENCE.findall(p))
+    if not fences:
+        return []
+    # mostly each closes before another opens
+    simple = [m.span() for m in PLAIN_PAIR.finditer(p)]
+    if 2 * len(simple) == fences:
+        return [(a, b - 1) for a, b in simple]
     out: list[tuple[int, int]] = []
     stack: list[tuple[str, int]] = []
     straight: list[int] = []
@@ -389,8 +398,8 @@ class Model:
         usual = np.array([0.001, 0.75, 0.03, 0.04, 0.12, 0.03, 0.02, 0.01, 0.01])
         # what follows a mark inside a sentence: as inside sentences in general, but not too surely
         self.other = (inner / max(1.0, inner.sum()) * 100 + usual * 100) / 200 if inner.sum() else usual
-        # sentences of any length up to 30 words are likely before any were seen
-        h = np.where((np.arange(LENGTHS) > 0) & (np.arange(LENGTHS) < 30), 1.0, 0.1)
+        # sentences of two words and more are alike before any were seen
+        h = np.where(np.arange(LENGTHS) > 0, 1.0, 0.1)
         for k, n in (lengths or {}).items():
             h[min(k, LENGTHS) - 1] += n
         h = np.convolve(h, [0.1, 0.2, 0.4, 0.2, 0.1], "same")
@@ -505,7 +514,7 @@ class Model:
         table = table or Chunks(self)
         if len(table.first) > table.most:
             table.clear()
-        out: list[set[int]] = [set() for _ in texts]
+        out: list[list[int]] = [[] for _ in texts]
         ids: list[int] = []
         starts: list[int] = []
         todo: list[tuple[int, int, str, list, list[int]]] = []
@@ -521,7 +530,7 @@ class Model:
                 follow = (nxt or "") if last and not document else ""
                 if line:
                     if not (follow and not closed(p) and not ITEM.match(follow) and self.breaks(p, follow) < self.rate * -1):
-                        out[k].add(a + len(p))
+                        out[k].append(a + len(p))
                     continue
                 if follow and not follow[0].isupper() and (ITEM.match(follow) or line_key(follow) in self.lines):
                     follow = "A"  # a line of its own starts anew, however it is written
@@ -529,7 +538,7 @@ class Model:
                 c = candidates(p, follow, wide)
                 own, at = table.sequence(p, c, wide)
                 if not own:
-                    out[k].add(a + len(p))
+                    out[k].append(a + len(p))
                     continue
                 starts.append(len(ids))
                 marked += [(len(ids) + i, self.marked(*x[1:], bool(follow) and x[0] == len(p))) for i, x in zip(at, c, strict=True)]
@@ -557,11 +566,11 @@ class Model:
                 places = None
                 for i in np.flatnonzero(yes).tolist():
                     if i in where:
-                        out[k].add(a + where[i])
+                        out[k].append(a + where[i])
                     else:
                         places = places or token_ends(p, c)
-                        out[k].add(a + places[i])
-        return [sorted(x) for x in out]
+                        out[k].append(a + places[i])
+        return [sorted(set(x)) if len(x) > 1 else x for x in out]
 
     def ends(self, t: str | None, nxt: str | None = None, document: bool = True) -> list[int]:
         return self.ends_of([t], [nxt], [document])[0]
