@@ -70,6 +70,14 @@ def cut(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint(True)
 
 
+def free(df: DataFrame) -> None:
+    """Deletes the files of a ``cut`` table that nothing will be computed from any more; long jobs need their room."""
+    jvm, rdd = df.sparkSession.sparkContext._jvm, df._jdf.queryExecution().logical().rdd()
+    if rdd.getCheckpointFile().isDefined():
+        path = jvm.org.apache.hadoop.fs.Path(rdd.getCheckpointFile().get())
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after its rows were counted against ``max_rows``; beyond, a shuffled join is left to Catalyst."""
     n = df.limit(max_rows + 1).count()
