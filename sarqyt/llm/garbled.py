@@ -55,9 +55,11 @@ GLYPH_CHAR = "\ue000"
 ENTER, LEAVE = -9.0, -3.0
 STAY = float(np.log1p(-np.exp(LEAVE)))
 GROUP, BLOCK = 1024, 100_000  # stretches labelled side by side, and characters looked at together
-# states whose gains are bounded together: those of several bytes, and each of one byte by itself
+# states whose gains are bounded together: those of several bytes, those that make Western letters of Cyrillic ones, and
+# each of the others by itself
 _ONE = [n for n in PAIRS if not n.startswith("utf-8")]
-BOUNDED = [[n for n in STATES if n not in _ONE and n != "clean"], *([n] for n in _ONE)]
+_WEST = [n for n in _ONE if n.endswith(("cp1252", "latin-1"))]
+BOUNDED = [[n for n in STATES if n not in _ONE and n != "clean"], _WEST, *([n] for n in _ONE if n not in _WEST)]
 
 
 def _sloppy(encoding: str) -> tuple[str, dict[str, int]]:

@@ -39,11 +39,11 @@ from pyspark.sql import functions as F
 from sarqyt.llm import lookalikes
 from sarqyt.llm.grams import Words, column_runs, packed, sorted_sets, unpacked
 from sarqyt.operators.components import connected_components
-from sarqyt.session import bitmap, broadcast_if, cut, in_bitmap, spread, tidy
+from sarqyt.session import bitmap, broadcast_if, cut, free, in_bitmap, spread
 
 SHARED = 4
 TASK_ROWS = 500_000
-TASK_BYTES = 32 << 20
+TASK_BYTES = 16 << 20
 PAGE_ROWS = 2000
 MEMBER_BITS = 25
 PAIR_BLOCK = BLOCK = 2000
@@ -365,6 +365,7 @@ def _linked(pages: DataFrame, t: float, fragments: int, block: int) -> DataFrame
     # rest; a pair that misses a long list here is linked through that list's first record
     behind = F.greatest(*(F.greatest(F.ceil(F.col(n) * t - 1e-9) - SHARED, F.lit(0)) for n in ("n_a", "n_b")))
     pairs = cut(pairs.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need - behind).select("a", "b"))
+    free(heads)  # the pairs are written, and all else comes from the pages
     links = _verified(ranked, pairs, cuts, of, t).select("a", "b")
     return links if first_links is None else links.unionByName(first_links)
 
