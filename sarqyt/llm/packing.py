@@ -121,7 +121,7 @@ def _items(item: DataFrame, capacity: int) -> DataFrame:
     equal = equal.select("id", "tokens", F.explode(F.sequence(F.col("k") * EQUAL, F.least(F.col("n"), (F.col("k") + 1) * EQUAL) - 1)).alias("nth"))
     whole = F.floor(F.greatest(F.col("tokens") - 1, F.lit(0)) / capacity).cast("int")
     piece = F.explode(F.transform(F.sequence(F.lit(0), whole), lambda i: F.struct(i.cast("int").alias("piece"), F.least(F.lit(capacity), F.col("tokens") - i * capacity).cast("int").alias("tokens"))))
-    name = F.format_string("%020d-%d-%d-%06d", F.coalesce("id", F.lit(-1)), "tokens", "nth", "p.piece")
+    name = F.concat(F.when(F.col("id").isNull(), "none").otherwise(F.format_string("%020d", "id")), F.format_string("-%d-%d-%06d", "tokens", "nth", "p.piece"))
     return equal.select("id", "tokens", "nth", piece.alias("p")).select(name.alias("bin"), F.col("p.tokens").alias("size"), F.array(F.struct("id", F.col("p.piece").alias("piece"), F.col("p.tokens").alias("tokens"))).alias("members"))
 
 

@@ -291,14 +291,13 @@ def _costs(pairs: DataFrame) -> dict[tuple[str, str], tuple[int, int]]:
     each = pairs.where("right IS NOT NULL").select("lang", "word", F.explode("right").alias("r")).select("lang", "word", F.col("r.edit").alias("edit"))
     # a word that a known misreading explains speaks for no other edit
     each = each.where(~F.exists(F.array("edit"), lambda e: e.isin("odd"))).groupBy("lang", "word").agg(F.collect_set("edit").alias("edits")).where("NOT array_contains(edits, '')")
+    each = cut(each)
     strength: dict[tuple[str, str], int] = {}
     for _ in range(2):
+        one = each.select("lang", "word", F.explode("edits").alias("edit"))
         if strength:
-            weight = F.create_map(*(x for (k, e), n in strength.items() for x in (F.lit(f"{k} {e}"), F.lit(n))))
-            best = F.array_max(F.transform("edits", lambda e: F.struct(F.coalesce(F.element_at(weight, F.concat(F.col("lang"), F.lit(" "), e)), F.lit(0)).alias("n"), e.alias("edit"))))["edit"]
-            one = each.select("lang", best.alias("edit"))
-        else:
-            one = each.select("lang", F.explode("edits").alias("edit"))
+            known = each.sparkSession.createDataFrame(pa.table([pa.array([k for k, _ in strength]), pa.array([e for _, e in strength]), pa.array(list(strength.values()), pa.int64())], ["lang", "edit", "n"]))
+            one = one.join(F.broadcast(known), ["lang", "edit"]).groupBy("lang", "word").agg(F.max_by("edit", F.struct("n", "edit")).alias("edit"))
         strength = {(r["lang"], r["edit"]): r["n"] for r in one.groupBy("lang", "edit").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pylist()}
     return {k: (n, even.get(k, 0)) for k, n in strength.items()}
 
