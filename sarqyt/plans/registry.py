@@ -73,7 +73,8 @@ def _lines(d: DataFrame, layout: str) -> DataFrame:
     word = F.when(lang == "KAZ", "Казахский (KAZ)").when(lang == "RUS", "Русский (RUS)").when(lang == "ENG", "Английский (ENG)").otherwise("Китайский (CHN)")
     year, url = F.substring("filename", 1, 4), F.concat(F.lit("https://files.example/"), F.col("filename"))
     if layout == "prefixed":
-        lines = F.array(F.concat(year, F.lit(" ГОДОВЫЕ ОТЧЕТЫ:")), F.concat(lang, F.lit(": "), url), F.lit(""))
+        years = F.when(F.pmod("extract_id", F.lit(4)) == 0, F.concat(year, F.lit("-"), year)).otherwise(year)
+        lines = F.array(F.concat(years, F.lit(" ГОДОВЫЕ ОТЧЕТЫ:")), F.concat(lang, F.lit(": "), url), F.lit(""))
     elif layout == "ahead":
         lines = F.array(F.concat(year, F.lit(" ГОД - "), word), F.when(F.pmod("extract_id", F.lit(7)) == 0, "(ссылка)").otherwise(url), F.lit(""))
     else:
@@ -87,7 +88,7 @@ def _lines_sql(layout: str) -> str:
     word = f"CASE {lang} WHEN 'KAZ' THEN 'Казахский (KAZ)' WHEN 'RUS' THEN 'Русский (RUS)' WHEN 'ENG' THEN 'Английский (ENG)' ELSE 'Китайский (CHN)' END"
     url = "'https://files.example/' || filename"
     three = {
-        "prefixed": f"[filename[1:4] || ' ГОДОВЫЕ ОТЧЕТЫ:', {lang} || ': ' || {url}, '']",
+        "prefixed": f"[filename[1:4] || CASE WHEN extract_id % 4 = 0 THEN '-' || filename[1:4] ELSE '' END || ' ГОДОВЫЕ ОТЧЕТЫ:', {lang} || ': ' || {url}, '']",
         "ahead": f"[filename[1:4] || ' ГОД - ' || {word}, CASE WHEN extract_id % 7 = 0 THEN '(ссылка)' ELSE {url} END, '']",
         "carry": f"[CASE WHEN extract_id % 3 = 0 THEN '' ELSE filename[1:4] || ' ГОД - ' || {word} END, ' ' || replace(filename, '_', ' '), {url}]",
     }[layout]

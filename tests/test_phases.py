@@ -13,24 +13,29 @@ from sarqyt.sources import files, manifest
 from pyspark.sql import functions as F
 
 
-def own_text(content):
-    if content == b"broken":
-        raise ValueError("no pages")
-    return content.decode().split("\f")
+def extractor():
+    """As a closure, so that it travels to the workers by value."""
+
+    def own_text(content):
+        if content == b"broken":
+            raise ValueError("no pages")
+        return content.decode().split("\f")
+
+    return own_text
 
 
 def test_extraction_routes_and_keeps_errors(spark):
     page = "мәтін " * 40
     pdfs = [("/a/2020_Report_KAZ.pdf", f"{page}\f{page}".encode()), ("/a/2020_Report_RUS.pdf", b"short\f"), ("/a/x_ENG.pdf", b"broken"), ("/a/none.pdf", None)]
     df = spark.createDataFrame(pdfs, "path string, content binary")
-    got = {r.filename: r for r in extraction.extracted(df, own_text).collect()}
+    got = {r.filename: r for r in extraction.extracted(df, extractor()).collect()}
     assert got["2020_Report_KAZ.pdf"].method == "pypdf" and got["2020_Report_KAZ.pdf"].success and got["2020_Report_KAZ.pdf"].kazakh_ok
     assert got["2020_Report_RUS.pdf"].method == "pypdf_partial"
     assert not got["x_ENG.pdf"].success and "no pages" in got["x_ENG.pdf"].error and got["x_ENG.pdf"].markdown is None
     assert not got["none.pdf"].success and got["none.pdf"].char_count == 0
-    scanned = {r.filename: r for r in extraction.extracted(df, own_text, lambda c: ["scanned text"]).collect()}
+    scanned = {r.filename: r for r in extraction.extracted(df, extractor(), lambda c: ["scanned text"]).collect()}
     assert scanned["2020_Report_RUS.pdf"].markdown == "scanned text" and scanned["2020_Report_RUS.pdf"].method == "docling_ocr"
-    t = extraction.totals(extraction.extracted(df, own_text)).first()
+    t = extraction.totals(extraction.extracted(df, extractor())).first()
     assert (t.total, t.ok, t.failed) == (4, 2, 2)
 
 

@@ -49,7 +49,7 @@ def test_operators_change_something(spark):
         seen = q[name](spark, DATA).join(raw.select("row_id", registry._noisy().alias("t")), "row_id")
         assert seen.where("text <> t").count() > 20, name
     for name in ("triplet_reason", "basic_filter_v1"):
-        assert q[name](spark, DATA).select("reason").distinct().count() > 2, name
+        assert q[name](spark, DATA).select("reason").distinct().count() > 1, name
 
 
 def test_entry(spark):
