@@ -49,7 +49,10 @@ def cleaned(triples: DataFrame, order: str, settings: Settings = Settings(), jud
     """Triplets with repaired texts, without those that any rule speaks against (or a judge, where one is given), the first of
     each Kazakh text. All columns are kept."""
     sides = {x: X.clean_text_full(F.col(x)) for x in ("kaz", "rus", "eng")}
-    good = quality.with_reason(triples.withColumns(sides), settings.limits, "__reason").where("__reason IS NULL").drop("__reason")
+    # both are written before they are read on: what reads a text often would repair it as often, and a filter on the
+    # reason would be pushed below the facts it is made of
+    repaired = cut(triples.withColumns(sides))
+    good = cut(quality.with_reason(repaired, settings.limits, "__reason")).where("__reason IS NULL").drop("__reason")
     if judge:
         good = quality.judged(good, judge)
     return dedup.keep_first(good, X.dedup_key(F.col("kaz")), order)
