@@ -77,3 +77,36 @@ def test_every_letter_of_a_long_word_counts():
     w = "".join(chr(97 + i % 26) + chr(97 + i // 26) for i in range(100))
     assert len(A.letter_runs(w)) == 2 * len(w) - 1
     assert A.letter_runs(w + "скотина")[-5:] != A.letter_runs(w + "картина")[-5:]
+
+
+def test_threshold_follows_the_corpus_not_the_rated():
+    """Half of the rated documents are bad, 3 of 100 of the corpus; good ones that score high are few among the rated."""
+    r = np.random.default_rng(5)
+    bad, good = r.beta(30, 1, 3000), r.beta(1, 5, 97000)
+    good[:1500] = r.uniform(0.6, 0.93, 1500)
+    net = A.Network()
+    net.threshold, net.held = 0.8, np.concatenate([r.beta(30, 1, 150), np.full(20, 0.01)])
+    score = np.concatenate([bad, good])
+    c = A.threshold(net, [int((score >= x).sum()) for x in A.LEVELS], len(score))
+    found = (score >= c).sum()
+    assert (bad >= net.threshold).sum() / (score >= net.threshold).sum() < 0.85
+    assert (bad >= c).sum() / found > 0.9 and (bad >= c).mean() > 0.9
+    assert A.threshold(A.Network(), [0] * len(A.LEVELS), 0) == 0.9
+
+
+def test_words_of_a_grown_vocabulary_score_alike():
+    docs, _ = data(40)
+    net, v = A.Network(), A.Vocabulary()
+    first = v.numbers(docs[:20])
+    z = net.products(v)
+    ids, _ = A.windows(first + v.numbers(docs[20:] + ["жаңа сөздер мұнда тұр"]))
+    z = net.products(v, z)
+    assert np.allclose(net.score(v, ids, z), net.score(v, ids), atol=1e-5)
+    assert np.allclose(net.score(v, ids, z), [net.score(v, ids[i : i + 1])[0] for i in range(len(ids))], atol=1e-5)
+
+
+def test_apart_letters_are_joined_wherever_they_stand():
+    for t in ("b a s t a r d", "x с.к.о.т", "ab c d e f gh", "1 2 3 4 5", "a_b_c_d!", "т.б. 9.5 k", "a b c d", "", "..a.b.c.d..", "a-b*c.d e"):
+        low = t.lower()
+        want = A.APART.sub(lambda m: m[0] if m[0][0].isdigit() else "".join(c for c in m[0] if c not in " ._*-"), low)
+        assert A.words(t) == want.split()
