@@ -23,10 +23,12 @@ Defined results: null or blank texts have no ends; a text is always cut whole; r
 
 from __future__ import annotations
 
+import gc
 import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from math import log
 
 import numpy as np
@@ -38,7 +40,8 @@ from pyspark.sql import functions as F
 from sarqyt.llm import garbled
 from sarqyt.session import cut, spread
 
-MARK = re.compile(r"(?:\.{2,}|[.!?…]+|[。！？]+)[»”\"’')\]）」』]*")
+# two dots and more, or a run of such marks, or of wide ones; a pattern that begins with a set is looked for quickly
+MARK = re.compile(r"[.!?…。！？](?:(?<=\.)\.+|(?<=[.!?…])[.!?…]*|(?<=[。！？])[。！？]*)[»”\"’')\]）」』]*")
 ITEM = re.compile(r"[ \t]*(?:#{1,6}[ \t]|[-–—•*‣·][ \t]|\d{1,3}[.)][ \t])")
 PAIRS = {"«": "»", "“": "”", "(": ")", "[": "]", "（": "）", "「": "」", "『": "』", "„": "“"}
 WIDE = "。！？"
@@ -303,7 +306,7 @@ class Chunks:
         """The chunks of a piece as numbers, and after which of them its candidates stand."""
         ids, at, prev = [], [], 0
         get = self.ids.get
-        for end in [x[0] for x in c] + [len(p)]:
+        for end in [x[0] for x in c] + [len(p)] if not c or c[-1][0] < len(p) else [x[0] for x in c]:
             seg = p[prev:end] if c else p
             chunks = WIDE_TOKEN.findall(seg) if wide else seg.split()
             own = list(map(get, chunks))
@@ -312,7 +315,7 @@ class Chunks:
             ids += own
             at.append(len(ids) - 1)
             prev = end
-        return ids, at[:-1]
+        return ids, at[: len(c)]
 
 
 CLOSING = set(PAIRS.values()) - set(PAIRS)
@@ -328,6 +331,18 @@ def token_ends(p: str, c: list[tuple[int, str, str, str, str]]) -> list[int]:
     return out
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """No search for cycles among the many small objects made inside: they form none, and go when they are done with."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _logit(x: float) -> float:
     x = min(max(x, 0.001), 0.999)
     return log(x / (1 - x))
@@ -511,13 +526,18 @@ class Model:
 
     def ends_of(self, texts: list[str | None], nexts: list[str | None], documents: list[bool], table: Chunks | None = None) -> list[list[int]]:
         """All sentence ends of each text. In a document the text's end is an end; a row may go on in the next one."""
+        with _uncollected():
+            return self._ends_of(texts, nexts, documents, table)
+
+    def _ends_of(self, texts: list[str | None], nexts: list[str | None], documents: list[bool], table: Chunks | None) -> list[list[int]]:
         table = table or Chunks(self)
         if len(table.first) > table.most:
             table.clear()
         out: list[list[int]] = [[] for _ in texts]
         ids: list[int] = []
         starts: list[int] = []
-        todo: list[tuple[int, int, str, list, list[int]]] = []
+        todo: list[tuple[int, int, str, list]] = []
+        where: dict[int, int] = {}  # the gaps at a mark or at the end of a piece, and the places in the text
         marked: list[tuple[int, float]] = []
         final: list[tuple[int, float]] = []
         for k, (t, nxt, document) in enumerate(zip(texts, nexts, documents, strict=True)):
@@ -540,16 +560,20 @@ class Model:
                 if not own:
                     out[k].append(a + len(p))
                     continue
-                starts.append(len(ids))
-                marked += [(len(ids) + i, self.marked(*x[1:], bool(follow) and x[0] == len(p))) for i, x in zip(at, c, strict=True)]
+                base = len(ids)
+                starts.append(base)
+                for i, x in zip(at, c, strict=True):
+                    where[base + i] = a + x[0]
+                    marked.append((base + i, self.marked(*x[1:], bool(follow) and x[0] == len(p))))
                 ids += own
+                where[len(ids) - 1] = a + len(p)
                 if not follow.strip():
                     final.append((len(ids) - 1, 30.0))
                 elif not closed(p):
                     final.append((len(ids) - 1, self.breaks(p, follow)))
                 elif not c or c[-1][0] < len(p):
                     final.append((len(ids) - 1, 30.0))
-                todo.append((k, a, p, c, at))
+                todo.append((k, a, p, c))
         if ids:
             flat, begin = np.array(ids, np.int64), np.array(starts, np.int64)
             bare = self._evidence(table, flat, begin)
@@ -559,17 +583,17 @@ class Model:
             for i, e in final:
                 usual[i] = bare[i] = e
             stop = np.append(begin[1:], len(flat))
-            for (k, a, p, c, at), post in zip(todo, posteriors([(usual[x:y], bare[x:y]) for x, y in zip(begin, stop, strict=True)], self.hazard), strict=True):
-                yes = post > 0.5
-                where = {i: x[0] for i, x in zip(at, c, strict=True)}
-                where[len(post) - 1] = len(p)
-                places = None
-                for i in np.flatnonzero(yes).tolist():
-                    if i in where:
-                        out[k].append(a + where[i])
-                    else:
-                        places = places or token_ends(p, c)
-                        out[k].append(a + places[i])
+            post = np.concatenate(posteriors([(usual[x:y], bare[x:y]) for x, y in zip(begin.tolist(), stop.tolist(), strict=True)], self.hazard))
+            hits = np.flatnonzero(post > 0.5)
+            places: dict[int, list[int]] = {}
+            for i, j in zip(hits.tolist(), (np.searchsorted(begin, hits, "right") - 1).tolist(), strict=True):
+                k, a, p, c = todo[j]
+                end = where.get(i)
+                if end is None:
+                    if j not in places:
+                        places[j] = token_ends(p, c)
+                    end = a + places[j][i - starts[j]]
+                out[k].append(end)
         return [sorted(set(x)) if len(x) > 1 else x for x in out]
 
     def ends(self, t: str | None, nxt: str | None = None, document: bool = True) -> list[int]:
@@ -599,7 +623,21 @@ def _learn(rows: DataFrame) -> Model:
         opens: Counter = Counter()
         closes: Counter = Counter()
         every: Counter = Counter()
-        for b in batches:
+        by_chunk = np.zeros((3, 1024), np.int64)  # how often each chunk stands anywhere, first and last
+
+        def to_words() -> None:
+            """Counts of chunks become those of their words."""
+            for at, counters in enumerate((((every, "f"), (every, "l")), ((opens, "f"),), ((closes, "l"),))):
+                some = np.flatnonzero(by_chunk[at])
+                for counter, side in counters:
+                    word = table.first if side == "f" else table.last
+                    for i, k in zip(some.tolist(), by_chunk[at, some].tolist(), strict=True):
+                        counter[side, word[i]] += k
+            by_chunk[:] = 0
+
+        def count(b: pa.RecordBatch) -> pa.RecordBatch | None:
+            """Counts a batch; its pairs of neighbours are returned."""
+            nonlocal by_chunk, inside
             ids: list[int] = []
             no_gap: list[int] = []  # gaps with a mark, and the ends of pieces
             first: list[int] = []
@@ -636,24 +674,30 @@ def _learn(rows: DataFrame) -> Model:
                         types[BREAK, x[1], x[2], right_kind(nxt)] += 1
                 if t and field == "text" and not closed(t):
                     lines[line_key(t)] += 1
-            if ids:
-                x = np.array(ids, np.int64)
-                gap = np.ones(len(x), bool)
-                gap[no_gap] = False
-                at = np.flatnonzero(gap)
-                inside += np.bincount(table.kind[x[at + 1]], minlength=len(KINDS))
-                for counter, got in ((every, x), (opens, np.array(first, np.int64)), (closes, np.array(last, np.int64))):
-                    u, n = np.unique(got, return_counts=True)
-                    for i, k in zip(u.tolist(), n.tolist(), strict=True):
-                        if counter is not closes:
-                            counter["f", table.first[i]] += k
-                        if counter is not opens:
-                            counter["l", table.last[i]] += k
-                left, right = table.hash[x[at], 1], table.hash[x[at + 1], 0]
-                _, one, n = np.unique(_pair(left, right), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(["p"] * len(one), pa.string()), pa.nulls(len(one), pa.string()), pa.array(left[one].view(np.int64)), pa.array(right[one].view(np.int64)), pa.array(n), pa.array(np.zeros(len(one), np.int64))], schema=COUNTS)
+            if not ids:
+                return None
+            x = np.array(ids, np.int64)
+            gap = np.ones(len(x), bool)
+            gap[no_gap] = False
+            at = np.flatnonzero(gap)
+            inside += np.bincount(table.kind[x[at + 1]], minlength=len(KINDS))
+            if by_chunk.shape[1] < len(table.kind):
+                by_chunk = np.concatenate([by_chunk, np.zeros((3, len(table.kind) - by_chunk.shape[1]), np.int64)], axis=1)
+            for row, got in zip(by_chunk, (ids, first, last), strict=True):
+                row += np.bincount(np.array(got, np.int64), minlength=len(row))
+            left, right = table.hash[x[at], 1], table.hash[x[at + 1], 0]
+            _, one, n = np.unique(_pair(left, right), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(["p"] * len(one), pa.string()), pa.nulls(len(one), pa.string()), pa.array(left[one].view(np.int64)), pa.array(right[one].view(np.int64)), pa.array(n), pa.array(np.zeros(len(one), np.int64))], schema=COUNTS)
+
+        for b in batches:
+            with _uncollected():
+                pairs = count(b)
+            if pairs is not None:
+                yield pairs
             if len(table.first) > table.most:
+                to_words()
                 table.clear()
+        to_words()
         flat = [("t", "\t".join(k), n, 0) for k, n in types.items()] + [("s", k, n, 0) for k, n in starts.items()] + [("r", k, n, 0) for k, n in lines.items() if k]
         flat += [("i", k, n, 0) for k, n in zip(KINDS, inside.tolist(), strict=True)] + [("n", str(k), n, 0) for k, n in enumerate(lengths.tolist()) if n]
         flat += [(side, w, n, (opens if side == "f" else closes)[side, w]) for (side, w), n in every.items()]

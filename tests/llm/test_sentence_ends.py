@@ -139,3 +139,35 @@ def test_window_free_and_gaps(spark):
     got = {r.rec_id: r.nxt for r in S._with_next(s).collect()}
     assert got == {1: "млн теңге бөлді.", 2: "жобасы үшін 1706", 3: "млн теңге бөлді.", 4: None, 5: None, 6: None}
     assert m.ends("жобасы үшін 1706", "млн теңге бөлді.", False) == []
+
+
+def test_cutting_does_not_search_for_cycles():
+    """Part of the time went into the search for cycles among objects that form none."""
+    import gc
+
+    seen, before = [], gc.get_threshold()
+    texts = [f"Первое дело {i}. Второе «дело», т. е. {i}.5 тонн! Третье" for i in range(300)]
+    model = S.Model({}, {}, {}, {}, set())
+    gc.callbacks.append(lambda phase, info: seen.append(phase))
+    gc.set_threshold(50)
+    try:
+        ends = model.ends_of(texts, [None] * len(texts), [True] * len(texts))
+        inside = len(seen)
+        assert gc.isenabled()
+    finally:
+        gc.callbacks.pop()
+        gc.set_threshold(*before)
+    assert inside < 10
+    assert all(e and e[-1] == len(t) for e, t in zip(ends, texts, strict=True))
+    assert ends == [model.ends(t) for t in texts]
+
+
+def test_marks_are_runs_of_dots_of_marks_or_of_wide_marks():
+    import random
+    import re
+
+    plain = re.compile(r"(?:\.{2,}|[.!?…]+|[。！？]+)[»”\"’')\]）」』]*")
+    r = random.Random(1)
+    for _ in range(3000):
+        t = "".join(r.choice('..!?…。！？»") a') for _ in range(r.randint(1, 12)))
+        assert [m.span() for m in plain.finditer(t)] == [m.span() for m in S.MARK.finditer(t)]
